@@ -49,3 +49,9 @@ def word_count(col: str | Column = "text") -> Column:
 def id_hash(seed: int, *cols: str | Column) -> Column:
     """A seeded hash of 63 bits; the same row gets the same value in every run and partitioning."""
     return F.xxhash64(F.lit(seed), *cols).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Python tasks get rows in batches that fit beside the JVM even if all texts are very long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import cut
+from ._common import cut, small_batches
 from ._wordhash import NOT_WORD, Words, pieces
 
 WINDOW = 10
@@ -108,6 +108,7 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, most_windows: int
     """``docs`` (with ``text``) plus mask, items, n_words, n_hit. Null texts have no words; an empty benchmark hits
     nothing; a null item_id is ignored. A column of ``docs`` named like one of the four is replaced."""
     spark = docs.sparkSession
+    small_batches(spark)
     out = docs.drop("mask", "items", "n_words", "n_hit")
     windows = cut(benchmark_windows(benchmark))
     blocks = max(1, -(-windows.count() // most_windows))

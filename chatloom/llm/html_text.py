@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._common import small_batches
+
 # Elements by their role in a page, and words in class, id or role that mark a part as not the article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -159,6 +161,7 @@ def main_text(html: str | None) -> str:
 def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
     """``pages`` with ``text`` in place of ``html``: one row per page, an empty text where the page has no article
     (also for null and empty pages). A column named text in ``pages`` is replaced."""
+    small_batches(pages.sparkSession)
     kept = [f for f in pages.schema.fields if f.name not in (html, "text")]
     rows = pages.select(*[F.col(f"`{f.name}`") for f in kept], F.col(html).alias("html"))
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._common import cut
+from ._common import cut, small_batches
 from ._components import components
 from ._wordhash import shingle_sets
 
@@ -33,7 +33,9 @@ SKETCH_BITS = 20
 BLOCKS = 64
 #: From this count on, a shingle's postings are split over SALTS lists.
 HOT, SALTS = 1_000, 32
-PIVOT_ROUNDS = 4
+PIVOT_ROUNDS = 3
+#: Shingles with at least FEW groups are hot in the last step, where a group's list of them has at most LIST entries.
+FEW, LIST = 16, 256
 #: Pairs of ids up to this number (16 MB) are broadcast to the scan that makes their sets; more are joined by shuffle.
 MOST_BROADCAST = 1_000_000
 
@@ -145,6 +147,7 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = 80) -> tu
     doc_id are one document, linked if any of their texts is.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     counts = spark.sparkContext.broadcast(shingle_counts(docs, k))
     schema = "doc_id long, n long, whole binary, first binary, prefix array<long>, cold int"
@@ -197,8 +200,11 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = 80) -> tu
     for r in range(1, PIVOT_ROUNDS):
         if open_posts.isEmpty():
             break
-        # Another pivot for each shingle, by a hash that changes with the round.
-        pivots = open_posts.groupBy("token").agg(F.min(F.struct(F.xxhash64("gid", F.lit(r)).alias("h"), F.col("gid").alias("pivot"), F.col("low").alias("pl"))).alias("p"))
+        # Another pivot for each shingle: first the group with most open shingles, as the one with fewest edits is nearest to
+        # all others; then by a hash that changes with the round.
+        ranked = open_posts.join(open_posts.groupBy("gid").agg(F.count("*").alias("much")), "gid")
+        rank = F.struct((-F.col("much") if r == 1 else F.xxhash64("gid", F.lit(r))).alias("h"), F.col("gid").alias("pivot"), F.col("low").alias("pl"))
+        pivots = ranked.groupBy("token").agg(F.min(rank).alias("p"))
         tried = open_posts.join(pivots, "token").filter("low <> p.pl").select("gid", F.col("p.pivot").alias("pivot"))
         found = verify(docs, to_units(best(tried)), k, percent)
         if found.isEmpty():
@@ -213,33 +219,41 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = 80) -> tu
 
 
 def _remaining_pairs(open_posts: DataFrame, groups: DataFrame, of_unit: DataFrame, percent: int) -> DataFrame:
-    """All pairs of units (a, b) of different components that the prefix, size, position and overlap filters let pass.
+    """All pairs of units (a, b) of different components that the size and overlap filters let pass.
 
-    Each shingle's most common component stands on one side, the others on both, so that a large component is paired with
-    what is outside it, never with itself. A pair is taken at the first shingle its prefixes share."""
+    Similar sets share enough shingles within their prefixes, as what stands behind the prefixes is bounded by size. All
+    those shingles are among the open postings, so they are counted there. For shingles with few groups each pair is
+    a row; for the others a pair is one row, at the first common shingle, with the overlap of the groups' short lists of such
+    shingles. Each shingle's most common component stands on one side, the others on both, so that a large component is
+    paired with what is outside it, never with itself."""
     mixed = F.col("low") != F.col("high")
-    tally = open_posts.filter(~mixed).groupBy("token", "low").count()
-    major = tally.groupBy("token").agg(F.max(F.struct("count", "low")).alias("m")).select("token", F.col("m.low").alias("major"))
-    full = open_posts.join(groups.select("gid", "n", "prefix"), "gid").join(major, "token", "left")
-    full = full.withColumn("minor", mixed | F.coalesce(F.col("low") != F.col("major"), F.lit(True)))
-    side = lambda s: full.select(*[F.col(c).alias(f"{c}_{s}") for c in ("token", "gid", "low", "high", "n", "prefix", "minor")])
-    x, y = side("x").filter("minor_x"), side("y")
+    tally = open_posts.groupBy("token", F.when(~mixed, F.col("low")).alias("low")).count()
+    tokens = tally.groupBy("token").agg(F.sum("count").alias("c"), F.max(F.when(F.col("low").isNotNull(), F.struct("count", "low"))).alias("m"))
+    tokens = tokens.select("token", (F.col("c") >= FEW).alias("hot"), F.col("m.low").alias("major"))
+    full = open_posts.join(tokens, "token").join(groups.select("gid", "n", F.size("prefix").alias("p")), "gid")
+    full = cut(full.withColumn("minor", mixed | F.coalesce(F.col("low") != F.col("major"), F.lit(True))))
+    hot_lists = full.groupBy("gid").agg(F.count_if("hot").alias("hots"), F.count_if(~F.col("hot")).alias("cool"))
+    full = full.join(hot_lists, "gid").withColumn("big", F.col("hots") > LIST)
+    lists = full.filter("hot AND NOT big").groupBy("gid").agg(F.sort_array(F.collect_list("token")).alias("list"))
+    names = ("token", "gid", "low", "high", "n", "p", "minor", "hot", "big", "cool")
+    side = lambda df, s, *more: df.select(*[F.col(c).alias(f"{c}_{s}") for c in (*names, *more)])
     n, m = F.col("n_x"), F.col("n_y")
-    other = (F.col("low_x") != F.col("low_y")) | (F.col("low_x") != F.col("high_x")) | (F.col("low_y") != F.col("high_y"))
-    pos_x, pos_y = F.array_position("prefix_x", F.col("token_x")), F.array_position("prefix_y", F.col("token_y"))
-    need = _needed(n, m, percent)
-    both = F.array_intersect("prefix_x", "prefix_y")
-    most_after = F.greatest(n - F.size("prefix_x"), m - F.size("prefix_y"))
-    on = (
+    need = _needed(n, m, percent) - F.greatest(n - F.col("p_x"), m - F.col("p_y"))
+    meet = (
         (F.col("token_x") == F.col("token_y"))
         & (~F.col("minor_y") | (F.col("gid_x") < F.col("gid_y")))
-        & other
+        & ((F.col("low_x") != F.col("low_y")) | (F.col("low_x") != F.col("high_x")) | (F.col("low_y") != F.col("high_y")))
         & (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
-        & (F.lit(1) + F.least(n - pos_x, m - pos_y) >= need)
-        & (F.get(both, F.lit(0)) == F.col("token_x"))
-        & (F.size(both) + most_after >= need)
     )
-    pairs = x.join(y, on).select(F.col("gid_x").alias("g"), F.col("gid_y").alias("h"))
+    pair = [F.least("gid_x", "gid_y").alias("g"), F.greatest("gid_x", "gid_y").alias("h"), need.alias("need")]
+    each = side(full, "x").filter("minor_x").join(side(full, "y"), meet & (~F.col("hot_x") | F.col("big_x") | F.col("big_y")))
+    each = each.groupBy(*pair).agg(F.count("*").alias("shared"))
+    short = full.filter("hot AND NOT big").join(lists, "gid")
+    both = F.array_intersect("list_x", "list_y")
+    enough = F.size(both) + F.least("cool_x", "cool_y") >= need
+    first = side(short, "x", "list").filter("minor_x").join(side(short, "y", "list"), meet & (F.get(both, F.lit(0)) == F.col("token_x")) & enough)
+    first = first.select(*pair, F.size(both).cast("long").alias("shared")).distinct()
+    pairs = each.unionAll(first).groupBy("g", "h").agg(F.sum("shared").alias("s"), F.first("need").alias("need")).filter("s >= need").select("g", "h")
     u = of_unit.select("gid", "unit", "comp")
     a, b = u.toDF("g", "a", "ca"), u.toDF("h", "b", "cb")
     across = pairs.join(a, "g").join(b, "h").filter("ca <> cb").select("a", "b")
