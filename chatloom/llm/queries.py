@@ -48,6 +48,9 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.conversation_report(table(spark, sf_dir, "conversations"))
 
 
+#: SQL twins. The other operators are held against brute force in the tests: SQL has no form of them.
+ORACLE: dict[str, str] = {}
+
 QUERIES = {
     f.__name__: f
     for f in (
