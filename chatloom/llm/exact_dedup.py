@@ -47,7 +47,8 @@ def radix_groups(df: DataFrame, text: Column | None = None) -> DataFrame:
             F.count("*").alias("n"), F.max(F.struct("chars", F.bitwise_not("doc_id").alias("neg"))).alias("best")
         )
         groups = cut(groups.filter("n > 1").withColumn("next", F.monotonically_increasing_id()))
-        joined = here.join(groups, ["gid", "digit", "ended"], "left").select(
+        # The groups grow with the corpus, so they are never broadcast, also where they happen to be few.
+        joined = here.join(groups.hint("merge"), ["gid", "digit", "ended"], "left").select(
             "doc_id", "chars", "sha", "n", "best",
             F.col("next").alias("gid"),
             F.when(F.col("n").isNotNull() & ~F.col("ended"), F.col("rest")).alias("rest"),
