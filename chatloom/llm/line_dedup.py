@@ -12,10 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import SPACE, text_or_empty
+from ._common import SPACE, cut, text_or_empty
 
 #: Shorter lines are compared exactly only; with one edit most of them would be near.
 MIN_WORDS = 5
+#: Keys up to this number (16 MB) are broadcast to the second scan of the texts; more are joined by shuffle.
+MOST_BROADCAST = 1_000_000
 
 
 def _part(line: str, n: Column) -> Column:
@@ -30,7 +32,7 @@ def _words_less(line: str, n: str, i: Column) -> Column:
 
 
 def text_lines(docs: DataFrame) -> DataFrame:
-    """One row per line with words: where it stands, its normal form ``line`` and the form's key."""
+    """One row per line with words: where it stands, its normal form ``line``, its number of words and the form's key."""
     t = text_or_empty("text")
     line = F.lower(F.trim(F.regexp_replace(F.col("raw"), SPACE, " ")))
     return (
@@ -38,33 +40,36 @@ def text_lines(docs: DataFrame) -> DataFrame:
         .select(F.struct("doc_id", "th", "line_no").alias("pos"), line.alias("line"))
         .filter("line <> ''")
         .withColumns({"k1": F.xxhash64("line"), "k2": F.xxhash64(F.lit(7), "line")})
+        .withColumn("n", F.char_length("line") - F.char_length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
     )
 
 
-def _halves(lines: DataFrame) -> DataFrame:
+def _halves() -> Column:
     """Keys of the first and second halves; of lines with an odd number of words, both ways to halve."""
     low, high = F.expr("n div 2").cast("int"), F.expr("(n + 1) div 2").cast("int")
-    keys = [F.xxhash64(F.lit(side), _part("line", sign * k)) for side, sign in ((0, 1), (1, -1)) for k in (low, high)]
-    return lines.select("k1", "k2", F.explode(F.array_distinct(F.array(*keys))).alias("half"))
+    return F.array_distinct(F.array(*[F.xxhash64(F.lit(side), _part("line", sign * k)) for side, sign in ((0, 1), (1, -1)) for k in (low, high)]))
 
 
 def line_decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
-    """(lines, fates): every line, and for each distinct line that has copies or is near an earlier one its first
-    place and whether it goes altogether. Rows of ``docs`` that repeat doc_id and text count as one document."""
-    lines = text_lines(docs)
-    distinct = (
-        lines.groupBy("k1", "k2")
-        .agg(F.min("pos").alias("first"), F.count("*").alias("copies"), F.min("line").alias("line"))
-        .withColumn("n", F.char_length("line") - F.char_length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
-    )
-    long_lines = distinct.filter(F.col("n") >= min_words)
-    halves = _halves(long_lines)
+    """(lines, fates): every line's place and key, and for each distinct line that has copies or is near an earlier one
+    its first place and whether it goes altogether. Rows of ``docs`` that repeat doc_id and text count as one document.
+
+    Texts are scanned twice: once for keys, once for the lines that may be near another. All else moves keys."""
+    long_enough = F.col("n") >= min_words
+    keyed = text_lines(docs).select("pos", "k1", "k2", F.when(long_enough, _halves()).alias("halves"))
+    keyed = cut(keyed)
+    lines = keyed.select("pos", "k1", "k2")
+    distinct = cut(lines.groupBy("k1", "k2").agg(F.min("pos").alias("first"), F.count("*").alias("copies")))
+    firsts = distinct.select("k1", "k2", F.col("first").alias("pos"))
+    halves = keyed.filter("halves IS NOT NULL").join(firsts, ["k1", "k2", "pos"], "left_semi").select("k1", "k2", F.explode("halves").alias("half")).distinct()
     shared = halves.groupBy("half").agg(F.count("*").alias("c")).filter("c > 1").select("half")
-    likely = halves.join(shared, "half", "left_semi").select("k1", "k2").distinct()
-    near = _near_lines(long_lines.join(likely, ["k1", "k2"], "left_semi"))
+    likely = cut(halves.join(shared, "half", "left_semi").select("k1", "k2").distinct())
+    hint = F.broadcast if likely.count() <= MOST_BROADCAST else lambda x: x
+    texts = text_lines(docs).join(hint(likely), ["k1", "k2"], "left_semi")
+    texts = texts.groupBy("k1", "k2").agg(F.min("pos").alias("first"), F.min("line").alias("line"), F.min("n").alias("n"))
+    near = _near_lines(cut(texts))
     fates = (
-        distinct.select("k1", "k2", "first", "copies")
-        .join(near.withColumn("near", F.lit(True)), ["k1", "k2"], "left")
+        distinct.join(near.withColumn("near", F.lit(True)), ["k1", "k2"], "left")
         .filter("copies > 1 OR near")
         .select("k1", "k2", "first", F.coalesce("near", F.lit(False)).alias("near"))
     )
