@@ -85,7 +85,7 @@ def _near_lines(lines: DataFrame) -> DataFrame:
     i = F.explode(F.sequence(F.lit(-1), F.col("n").cast("int") - 1))
     v = lines.select("k1", "k2", "first", "line", "n", i.alias("i"))
     v = v.withColumn("vk", F.when(F.col("i") < 0, F.xxhash64("line")).otherwise(F.xxhash64(_words_less("line", "n", F.col("i")))))
-    v = v.select("k1", "k2", "first", "i", "vk")
+    v = cut(v.select("k1", "k2", "first", "i", "vk"))  # used four times
     me = F.struct("first", "k1", "k2")
     same_place = v.groupBy("vk", "i").agg(F.min(me).alias("a"), F.count("*").alias("c")).filter("c > 1 AND i >= 0").drop("c")
     whole = F.col("i") < 0
