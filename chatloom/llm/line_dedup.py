@@ -12,8 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import SPACE, cut, text_or_empty
+from ._common import cut, text_or_empty
 
+#: White space within a line that is more than one space.
+GAPS = r"[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*|\x20[\x20\x09\x0B-\x0D]+"
+#: A line with words, from its first word on.
+LINE = r"[^\x20\x09-\x0D][^\x0A]*"
 #: Shorter lines are compared exactly only; with one edit most of them would be near.
 MIN_WORDS = 5
 #: Keys up to this number (16 MB) are broadcast to the second scan of the texts; more are joined by shuffle.
@@ -32,22 +36,34 @@ def _words_less(line: str, n: str, i: Column) -> Column:
 
 
 def text_lines(docs: DataFrame) -> DataFrame:
-    """One row per line with words: where it stands, its normal form ``line``, its number of words and the form's key."""
+    """One row per line with words: where it stands, its normal form ``line``, its number of words and the form's keys.
+    Texts are hashed and put into normal form before they are split, so once each."""
     t = text_or_empty("text")
-    line = F.lower(F.trim(F.regexp_replace(F.col("raw"), SPACE, " ")))
+    whole = docs.select("doc_id", F.xxhash64(t).alias("th"), F.lower(F.regexp_replace(t, GAPS, " ")).alias("clean"))
     return (
-        docs.select("doc_id", F.xxhash64(t).alias("th"), F.posexplode(F.split(t, "\n", -1)).alias("line_no", "raw"))
-        .select(F.struct("doc_id", "th", "line_no").alias("pos"), line.alias("line"))
+        whole.select("doc_id", "th", F.posexplode(F.split("clean", "\n", -1)).alias("line_no", "raw"))
+        .select(F.struct("doc_id", "th", "line_no").alias("pos"), F.trim("raw").alias("line"))
         .filter("line <> ''")
         .withColumns({"k1": F.xxhash64("line"), "k2": F.xxhash64(F.lit(7), "line")})
         .withColumn("n", F.char_length("line") - F.char_length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
     )
 
 
-def _halves() -> Column:
+def _halves(long_enough: Column) -> dict[str, Column]:
     """Keys of the first and second halves; of lines with an odd number of words, both ways to halve."""
-    low, high = F.expr("n div 2").cast("int"), F.expr("(n + 1) div 2").cast("int")
-    return F.array_distinct(F.array(*[F.xxhash64(F.lit(side), _part("line", sign * k)) for side, sign in ((0, 1), (1, -1)) for k in (low, high)]))
+    low, odd = F.expr("n div 2").cast("int"), F.col("n") % 2 == 1
+    half = lambda side, n: F.xxhash64(F.lit(side), _part("line", n))
+    return {
+        "front_low": F.when(long_enough, half(0, low)),
+        "front_high": F.when(long_enough & odd, half(0, low + 1)),
+        "back_low": F.when(long_enough, half(1, -low)),
+        "back_high": F.when(long_enough & odd, half(1, -low - 1)),
+    }
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """``df``, a table cut before, to be broadcast if it has at most MOST_BROADCAST rows."""
+    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
 
 
 def line_decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
@@ -55,37 +71,40 @@ def line_decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFra
     its first place and whether it goes altogether. Rows of ``docs`` that repeat doc_id and text count as one document.
 
     Texts are scanned twice: once for keys, once for the lines that may be near another. All else moves keys."""
-    long_enough = F.col("n") >= min_words
-    keyed = text_lines(docs).select("pos", "k1", "k2", F.when(long_enough, _halves()).alias("halves"))
-    keyed = cut(keyed)
+    halves = _halves(F.col("n") >= min_words)
+    keyed = cut(text_lines(docs).select("pos", "k1", "k2", *[c.alias(h) for h, c in halves.items()]))
     lines = keyed.select("pos", "k1", "k2")
-    distinct = cut(lines.groupBy("k1", "k2").agg(F.min("pos").alias("first"), F.count("*").alias("copies")))
-    firsts = distinct.select("k1", "k2", F.col("first").alias("pos"))
-    halves = keyed.filter("halves IS NOT NULL").join(firsts, ["k1", "k2", "pos"], "left_semi").select("k1", "k2", F.explode("halves").alias("half")).distinct()
-    shared = halves.groupBy("half").agg(F.count("*").alias("c")).filter("c > 1").select("half")
-    likely = cut(halves.join(shared, "half", "left_semi").select("k1", "k2").distinct())
-    hint = F.broadcast if likely.count() <= MOST_BROADCAST else lambda x: x
-    texts = text_lines(docs).join(hint(likely), ["k1", "k2"], "left_semi")
-    texts = texts.groupBy("k1", "k2").agg(F.min("pos").alias("first"), F.min("line").alias("line"), F.min("n").alias("n"))
+    distinct = cut(keyed.groupBy("k1", "k2").agg(F.min("pos").alias("first"), F.count("*").alias("copies"), *[F.min(h).alias(h) for h in halves]))
+    sides = [F.struct(F.lit(h.startswith("front")).alias("front"), F.col(h).alias("half")) for h in halves]
+    sides = distinct.filter("front_low IS NOT NULL").select("k1", "k2", F.inline(F.array(*sides))).filter("half IS NOT NULL")
+    shared = cut(sides.groupBy("half").agg(F.count("*").alias("c")).filter("c > 1").select("half"))
+    likely = sides.join(_small(shared), "half", "left_semi").groupBy("k1", "k2").agg(F.max("front").alias("front"), F.max(~F.col("front")).alias("back"))
+    texts = text_lines(docs).join(_small(cut(likely)), ["k1", "k2"])
+    texts = texts.groupBy("k1", "k2").agg(*[F.min(c).alias(d) for c, d in (("pos", "first"), ("line", "line"), ("n", "n"), ("front", "front"), ("back", "back"))])
     near = _near_lines(cut(texts))
     fates = (
         distinct.join(near.withColumn("near", F.lit(True)), ["k1", "k2"], "left")
         .filter("copies > 1 OR near")
         .select("k1", "k2", "first", F.coalesce("near", F.lit(False)).alias("near"))
     )
-    return lines, fates
+    return lines, cut(fates)
 
 
 def _near_lines(lines: DataFrame) -> DataFrame:
     """Keys of the lines that are one word away from an earlier line.
 
     Lines that lack the same word of the same variant differ in that word alone; a variant that is itself a line is one
-    word shorter. In each such set only the earliest line matters, so sets are aggregated, never paired up.
+    word shorter. In each such set only the earliest line matters, so sets are aggregated, never paired up. Where only
+    the first half is shared with another line, the edit lies in the rest, and the other way round, so words of the
+    shared half alone need no deletion. Variants of one line only are put aside before anything else moves.
     """
-    i = F.explode(F.sequence(F.lit(-1), F.col("n").cast("int") - 1))
-    v = lines.select("k1", "k2", "first", "line", "n", i.alias("i"))
+    low = F.expr("n div 2").cast("int")
+    begin, end = F.when(F.col("back"), 0).otherwise(low), F.when(F.col("front"), F.col("n").cast("int")).otherwise(F.col("n").cast("int") - low) - 1
+    v = lines.select("k1", "k2", "line", "n", F.explode(F.concat(F.array(F.lit(-1)), F.sequence(begin, end))).alias("i"))
     v = v.withColumn("vk", F.when(F.col("i") < 0, F.xxhash64("line")).otherwise(F.xxhash64(_words_less("line", "n", F.col("i")))))
-    v = cut(v.select("k1", "k2", "first", "i", "vk"))  # used four times
+    v = cut(v.select("k1", "k2", "i", "vk"))
+    shared = cut(v.groupBy("vk").agg(F.count("*").alias("c")).filter("c > 1").select("vk"))
+    v = cut(v.join(_small(shared), "vk", "left_semi").join(lines.select("k1", "k2", "first"), ["k1", "k2"]))
     me = F.struct("first", "k1", "k2")
     same_place = v.groupBy("vk", "i").agg(F.min(me).alias("a"), F.count("*").alias("c")).filter("c > 1 AND i >= 0").drop("c")
     whole = F.col("i") < 0
@@ -121,25 +140,21 @@ def line_report(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     the numbers of the dropped lines (counted from 0 over all its lines). Documents without words have none. Earlier
     means smaller doc_id (null first), then text hash, then line number."""
     lines, fates = line_decisions(docs, min_words)
-    told = lines.select("k1", "k2", "pos").join(fates, ["k1", "k2"], "left")
-    near = F.coalesce(F.col("near"), F.lit(False))
-    copy = F.col("first").isNotNull() & (F.col("first") != F.col("pos")) & ~near
+    told = lines.join(_small(fates), ["k1", "k2"]).filter(F.col("near") | (F.col("first") != F.col("pos")))
     per_doc = (
-        told.select("pos.doc_id", "pos.th", "pos.line_no", near.alias("near"), copy.alias("copy"))
+        told.select("pos.doc_id", "pos.th", "pos.line_no", "near")
         .groupBy("doc_id", "th")
-        .agg(
-            F.countDistinct("line_no").alias("n_lines"),
-            F.countDistinct(F.when(F.col("copy"), F.col("line_no"))).alias("n_copies"),
-            F.countDistinct(F.when(F.col("near"), F.col("line_no"))).alias("n_near"),
-            F.array_join(F.sort_array(F.collect_set(F.when(F.col("copy") | F.col("near"), F.col("line_no")))), ",").alias("dropped"),
-        )
+        .agg(F.collect_set(F.when(~F.col("near"), F.col("line_no"))).alias("copies"), F.collect_set(F.when(F.col("near"), F.col("line_no"))).alias("nears"))
+        .select("doc_id", "th", "copies", "nears", F.array_join(F.sort_array(F.concat("copies", "nears")), ",").alias("dropped"))
     )
     none = F.lit(0).cast("long")
-    keys = docs.select("doc_id", F.xxhash64(text_or_empty("text")).alias("th"))
+    t = text_or_empty("text")
+    keys = docs.select("doc_id", F.xxhash64(t).alias("th"), F.regexp_count(t, F.lit(LINE)).cast("long").alias("n_lines"))
     same = keys["doc_id"].eqNullSafe(per_doc["doc_id"]) & (keys["th"] == per_doc["th"])
     return keys.join(per_doc, same, "left").select(
         keys["doc_id"],
-        *[F.coalesce(per_doc[c], none).alias(c) for c in ("n_lines", "n_copies", "n_near")],
+        "n_lines",
+        *[F.coalesce(F.size(c).cast("long"), none).alias(d) for c, d in (("copies", "n_copies"), ("nears", "n_near"))],
         F.coalesce("dropped", F.lit("")).alias("dropped"),
     )
 

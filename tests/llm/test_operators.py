@@ -65,7 +65,9 @@ def test_entropy_spans_and_allow_list(spark):
     assert secrets.redact_secrets(d).first().text == t.replace("AbC9dEf2GhI5jKl8MnO1pQr4StU7", "[SECRET]")
 
 
-def test_line_dedup_equals_brute_force(spark):
+@pytest.mark.parametrize("broadcast", [line_dedup.MOST_BROADCAST, 0])
+def test_line_dedup_equals_brute_force(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(line_dedup, "MOST_BROADCAST", broadcast)
     random.seed(1)
     lines = [" ".join(random.choice("abc") for _ in range(random.choice([1, 4, 5, 6, 7]))) for _ in range(150)]
     texts = [(i, "\n".join(random.choice(lines) for _ in range(5))) for i in range(60)] + [(60, None), (61, "")]
@@ -86,8 +88,19 @@ def test_line_dedup_equals_brute_force(spark):
                 first[key] = min(first.get(key, pos), pos)
     dead = {a for a in first if any(first[b] < first[a] and near(a, b) for b in first)}
     for i, t in texts:
-        gone = [k for k, line in enumerate((t or "").split("\n")) if line and (tuple(line.split()) in dead or first[tuple(line.split())] != (i, k))]
+        said = (t or "").split("\n")
+        near_at = [k for k, line in enumerate(said) if tuple(line.split()) in dead]
+        gone = [k for k, line in enumerate(said) if line and (k in near_at or first[tuple(line.split())] != (i, k))]
         assert got[i].dropped == ",".join(map(str, gone)), i
+        assert (got[i].n_lines, got[i].n_copies, got[i].n_near) == (sum(map(bool, said)), len(gone) - len(near_at), len(near_at))
+
+
+def test_line_normal_form(spark):
+    t = "\t\tA  b\r\n \t\n\x0b\nc \td\x0c e\n"
+    got = [(r.pos.line_no, r.line, r.n) for r in line_dedup.text_lines(spark.createDataFrame([(1, t)], "doc_id long, text string")).collect()]
+    assert sorted(got) == [(0, "a b", 2), (3, "c d e", 3)]
+    r = line_dedup.line_report(spark.createDataFrame([(1, t), (1, t), (None, "c d e")], "doc_id long, text string")).collect()
+    assert len(r) == 3 and {(x.doc_id, x.n_lines, x.dropped) for x in r} == {(1, 2, "3"), (None, 1, "")}
 
 
 def test_mixing(spark, docs, odd):
