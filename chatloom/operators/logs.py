@@ -40,3 +40,23 @@ def bins(df: DataFrame, x: str, y: str, width: int, height: int) -> DataFrame:
 
     cells = df.select(cell(x, low_x, high_x, width).alias("bin_x"), cell(y, low_y, high_y, height).alias("bin_y"))
     return cells.groupBy("bin_x", "bin_y").agg(F.count("*").alias("n"))
+
+
+def first_responses(lines: DataFrame) -> DataFrame:
+    """(file, line_no, raw) JSON samples to one row per file with responses: the first one, its length, the number and the
+    mean length of all. A file whose line 0 is an object without a response counts as having none."""
+    v = F.try_parse_json("raw")
+
+    def text(path: str) -> Column:
+        is_text = F.schema_of_variant(F.try_variant_get(v, path, "variant")) == "STRING"
+        return F.nullif(F.when(is_text, F.try_variant_get(v, path, "string")), F.lit(""))
+
+    said = lines.select("file", "line_no", F.coalesce(text("$.resps[0][0]"), text("$.resps[0]")).alias("said"), F.schema_of_variant(v).startswith("OBJECT").alias("object"))
+    stops = F.coalesce(F.bool_or((F.col("line_no") == 0) & F.col("object") & F.col("said").isNull()), F.lit(False))
+    per_file = said.groupBy("file").agg(
+        F.min_by("said", F.when(F.col("said").isNotNull(), F.col("line_no"))).alias("first_response"),
+        F.count("said").alias("n"),
+        F.avg(F.length("said")).alias("mean_chars"),
+        stops.alias("stops"),
+    )
+    return per_file.filter("NOT stops AND n > 0").select("file", "first_response", F.length("first_response").cast("long").alias("first_chars"), "n", "mean_chars")

@@ -12,6 +12,8 @@ from chatloom.functions import strings as S
 from chatloom.functions import turns as T
 from chatloom.operators import datasets as D
 from chatloom.operators import logs as L
+from chatloom.operators import open_keys as K
+from chatloom.operators import sampling as P
 
 LETTER = "chr(65 + CAST(conv_id % 5 AS INT))"
 LABEL = f"CASE WHEN conv_id % 7 = 0 THEN NULL ELSE {LETTER} END"
@@ -373,3 +375,54 @@ def clean_accuracy(spark, sf_dir):
     rows = rows.withColumn("exact_match", S.answer_matches(F.col("said"), F.col("label_letter")))
     labeled = F.count_if(F.coalesce("label_letter", F.lit("")) != "")
     return rows.agg(labeled.alias("labeled"), F.count_if("exact_match").alias("correct"), F.count_if(~S.harmony_valid(F.col("said"))).alias("invalid"))
+
+
+_OWN = "'{\"doc_id\":' || doc_id || CASE doc_id % 4 WHEN 0 THEN '}' WHEN 1 THEN ',\"label\":\"nan\"}' WHEN 2 THEN ',\"label\":0}' ELSE ',\"label\":null}' END"
+_SOURCE = "'{\"label\":' || coalesce(quality, 0) || ',\"gold_answer\":' || coalesce(toxic, 0) || ',\"note\":1,\"label_agreement\":\"x\"}'"
+_MERGED = "'{\"doc_id\":' || doc_id || ',\"gold_answer\":' || t || ',\"label\":' || q || '}'"
+_OK = "WITH e AS (SELECT d.doc_id, coalesce(quality, 0) AS q, coalesce(toxic, 0) AS t, d.doc_id % 4 AS k FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"
+
+
+def _merged(spark, sf_dir, keep: bool):
+    d = _read(spark, sf_dir, "documents").select("doc_id", F.expr(_OWN).alias("own"))
+    s = _read(spark, sf_dir, "labels").select("doc_id", F.expr(_SOURCE).alias("source_raw"))
+    rows = d.join(s, "doc_id").withColumns({"own": K.entries(F.col("own")), "copied": K.labels_of(K.entries(F.col("source_raw")))})
+    m = K.merge(F.col("own"), F.col("copied"), keep)
+    return rows.select("doc_id", "source_raw", m["merged"].alias("merged"), m["added"].alias("added"), m["overwritten"].alias("overwritten"))
+
+
+@query("merge_open_keys", _OK + f" SELECT doc_id, {_MERGED} AS line, CAST(CASE WHEN k = 0 THEN 2 ELSE 1 END AS BIGINT) AS added, CAST(CASE WHEN k = 2 AND q <> 0 THEN 1 ELSE 0 END AS BIGINT) AS overwritten FROM e")
+def merge_open_keys(spark, sf_dir):
+    return _merged(spark, sf_dir, False).select("doc_id", K.to_line(F.col("merged")).alias("line"), "added", "overwritten")
+
+
+@query("merge_open_keys_keep", _OK.replace("coalesce(quality, 0) AS q", "CASE WHEN d.doc_id % 4 = 2 THEN 0 ELSE coalesce(quality, 0) END AS q") + f" SELECT doc_id, {_MERGED} AS line, CAST(CASE WHEN k = 0 THEN 2 ELSE 1 END AS BIGINT) AS added, CAST(0 AS BIGINT) AS overwritten FROM e")
+def merge_open_keys_keep(spark, sf_dir):
+    return _merged(spark, sf_dir, True).select("doc_id", K.to_line(F.col("merged")).alias("line"), "added", "overwritten")
+
+
+@query("embed_source_rows", f"WITH e AS (SELECT doc_id, {_SOURCE} AS r FROM labels) SELECT doc_id, '{{\"doc_id\":' || doc_id || ',\"source_row_payload\":' || r || ',\"source_row_raw_json\":\"' || replace(r, '\"', chr(92) || '\"') || '\"}}' AS line FROM e")
+def embed_source_rows(spark, sf_dir):
+    own = K.entries(F.concat(F.lit('{"doc_id":'), "doc_id", F.lit("}")))
+    return _read(spark, sf_dir, "labels").select("doc_id", K.to_line(K.embed(own, F.expr(_SOURCE))).alias("line"))
+
+
+_DRAW = lambda p, j: f"((({p} % 2147483648) * 2654435761 + 42) % 4294967296 + ({j}) * 40503) % 4294967296 % (({j}) + 1)"
+_FS = f"""WITH b AS (SELECT item_id, row_number() OVER (ORDER BY {_H.replace("doc_id", "item_id")}, item_id) - 1 AS place FROM benchmark), n AS (SELECT count(*) AS n FROM benchmark),
+ a AS (SELECT doc_id, n, {_DRAW("doc_id", "n - 3")} AS x0, {_DRAW("doc_id", "n - 2")} AS t1, {_DRAW("doc_id", "n - 1")} AS t2 FROM documents, n),
+ c AS (SELECT *, CASE WHEN t1 = x0 THEN n - 2 ELSE t1 END AS x1 FROM a), d AS (SELECT *, CASE WHEN t2 IN (x0, x1) THEN n - 1 ELSE t2 END AS x2 FROM c),
+ s AS (SELECT doc_id, 0 AS shot, x0 AS place FROM d UNION ALL SELECT doc_id, 1, x1 FROM d UNION ALL SELECT doc_id, 2, x2 FROM d)"""
+
+
+@query("few_shot", _FS + " SELECT doc_id, CAST(shot AS INT) AS shot, item_id FROM s JOIN b ON s.place = b.place")
+def few_shot(spark, sf_dir):
+    return P.few_shot(_read(spark, sf_dir, "documents").select("doc_id"), "doc_id", _read(spark, sf_dir, "benchmark").select("item_id"), "item_id", 3)
+
+
+_RAW = "CASE doc_id % 4 WHEN 0 THEN '{\"resps\": [[\"' || lang || '\"]]}' WHEN 1 THEN '{\"resps\": [\"' || lang || lang || '\"]}' WHEN 2 THEN '{\"resps\": []}' ELSE 'no json' END"
+
+
+@query("first_responses", "WITH s AS (SELECT coalesce(source, '') AS file, doc_id, CASE doc_id % 4 WHEN 0 THEN lang WHEN 1 THEN lang || lang END AS said FROM documents) SELECT file, arg_min(said, doc_id) AS first_response, CAST(length(arg_min(said, doc_id)) AS BIGINT) AS first_chars, count(*) AS n, avg(length(said)) AS mean_chars FROM s WHERE said <> '' GROUP BY file")
+def first_responses(spark, sf_dir):
+    d = _read(spark, sf_dir, "documents")
+    return L.first_responses(d.select(F.coalesce("source", F.lit("")).alias("file"), F.col("doc_id").alias("line_no"), F.expr(_RAW).alias("raw")))
