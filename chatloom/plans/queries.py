@@ -14,6 +14,7 @@ from chatloom.operators import datasets as D
 from chatloom.operators import logs as L
 from chatloom.operators import open_keys as K
 from chatloom.operators import sampling as P
+from chatloom.sources import trainer as R
 
 LETTER = "chr(65 + CAST(conv_id % 5 AS INT))"
 LABEL = f"CASE WHEN conv_id % 7 = 0 THEN NULL ELSE {LETTER} END"
@@ -426,3 +427,19 @@ _RAW = "CASE doc_id % 4 WHEN 0 THEN '{\"resps\": [[\"' || lang || '\"]]}' WHEN 1
 def first_responses(spark, sf_dir):
     d = _read(spark, sf_dir, "documents")
     return L.first_responses(d.select(F.coalesce("source", F.lit("")).alias("file"), F.col("doc_id").alias("line_no"), F.expr(_RAW).alias("raw")))
+
+
+def _states(spark, sf_dir):
+    path = "'/m/' || event_type || '/checkpoint-' || event_id || '/trainer_state.json' AS path"
+    log = "array(named_struct('step', event_id, 'loss', CASE WHEN event_id % 3 <> 0 THEN value END, 'eval_loss', CASE WHEN event_id % 3 <> 1 THEN value END)) AS log_history"
+    return _read(spark, sf_dir, "events").selectExpr(path, log)
+
+
+@query("loss_points", "WITH e AS (SELECT '/m/' || event_type || '/checkpoint-' || event_id || '/trainer_state.json' AS path, event_id AS step, value FROM events WHERE value IS NOT NULL) SELECT path, step, 'loss' AS series, value FROM e WHERE step % 3 <> 0 UNION ALL SELECT path, step, 'eval_loss', value FROM e WHERE step % 3 <> 1")
+def loss_points(spark, sf_dir):
+    return R.loss_points(_states(spark, sf_dir))
+
+
+@query("latest_states", "SELECT '/m/' || event_type AS model, '/m/' || event_type || '/checkpoint-' || max(event_id) || '/trainer_state.json' AS path FROM events GROUP BY event_type")
+def latest_states(spark, sf_dir):
+    return R.latest_states(_states(spark, sf_dir)).select("model", "path")

@@ -46,3 +46,17 @@ def classify_lines(lines: DataFrame) -> DataFrame:
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One object per line, nulls written."""
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
+
+
+def replace_jsonl(df: DataFrame, path: str, backup: str) -> None:
+    """Write ``df``, which may read ``path``, in its place; what was there moves to ``backup``, which must not exist. The
+    new rows are complete beside it before anything moves."""
+    spark = df.sparkSession
+    place = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    fs = place(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(place(backup)):
+        raise FileExistsError(backup)
+    beside = f"{path.rstrip('/')}.new"
+    write_jsonl(df, beside)
+    if not (fs.rename(place(path), place(backup)) and fs.rename(place(beside), place(path))):
+        raise OSError(f"could not move {beside} to {path}")
