@@ -60,3 +60,35 @@ def first_responses(lines: DataFrame) -> DataFrame:
         stops.alias("stops"),
     )
     return per_file.filter("NOT stops AND n > 0").select("file", "first_response", F.length("first_response").cast("long").alias("first_chars"), "n", "mean_chars")
+
+
+# What an error line looks like after a traceback, and without one.
+RAISED = "(Error|Exception|ChildFailedError)"
+FAILED = "ERROR:|Error:|FAILED|exit code: [1-9]"
+
+
+def error_lines(lines: DataFrame) -> DataFrame:
+    """(file, line_no from 1, value) to file, error: the last error after the first traceback, else "N:" and the first line
+    that tells of a failure, else UNKNOWN."""
+    v, at = F.col("value"), F.col("line_no")
+    began = lines.filter(v.contains("Traceback")).groupBy("file").agg(F.min("line_no").alias("began"))
+    x = lines.join(began, "file", "left")
+    raised, failed = v.rlike(RAISED) & (at >= F.col("began")), v.rlike(FAILED)
+    last = F.max_by("value", F.when(raised, at))
+    first = F.min_by(F.concat(at.cast("string"), F.lit(":"), v), F.when(failed, at))
+    return x.groupBy("file").agg(F.coalesce(last, first, F.lit("UNKNOWN")).alias("error"))
+
+
+def first_tables(lines: DataFrame, header: str = r"^\|\s*Tasks\s*\|") -> DataFrame:
+    """The lines of each file's first table: from its header on, up to the first line that is no table row."""
+    head = lines.filter(F.col("value").rlike(header)).groupBy("file").agg(F.min("line_no").alias("h"))
+    x = lines.join(head, "file").filter("line_no >= h")
+    end = x.filter(~F.col("value").startswith("|")).groupBy("file").agg(F.min("line_no").alias("e"))
+    return x.join(end, "file", "left").filter("e IS NULL OR line_no < e").select("file", "line_no", "value")
+
+
+def missing_keys(rows: DataFrame, keys: list[str], raw: str = "raw") -> DataFrame:
+    """key, missing: how many rows lack the key; a null under the key is not a lack."""
+    there = F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>"))
+    counts = rows.agg(*[F.count_if(~F.array_contains(there, k)).alias(k) for k in keys])
+    return counts.unpivot([], keys, "key", "missing")

@@ -443,3 +443,17 @@ def loss_points(spark, sf_dir):
 @query("latest_states", "SELECT '/m/' || event_type AS model, '/m/' || event_type || '/checkpoint-' || max(event_id) || '/trainer_state.json' AS path FROM events GROUP BY event_type")
 def latest_states(spark, sf_dir):
     return R.latest_states(_states(spark, sf_dir)).select("model", "path")
+
+
+_ERR = "SELECT event_type AS file, event_id + 1 AS line_no, CASE WHEN event_type = 'click' AND event_id % 301 = 0 THEN 'Traceback' WHEN event_id % 307 = 0 THEN 'ValueError x' || event_id WHEN event_id % 311 = 0 THEN 'run FAILED' ELSE 'fine' END AS value FROM events"
+
+
+@query("error_lines", f"WITH l AS ({_ERR}), b AS (SELECT file, min(line_no) AS b FROM l WHERE value = 'Traceback' GROUP BY file) SELECT l.file, coalesce(arg_max(value, line_no) FILTER (WHERE value LIKE '%Error%' AND line_no >= b), arg_min(line_no || ':' || value, line_no) FILTER (WHERE value LIKE '%FAILED%'), 'UNKNOWN') AS error FROM l LEFT JOIN b ON l.file = b.file GROUP BY l.file")
+def error_lines(spark, sf_dir):
+    _read(spark, sf_dir, "events").createOrReplaceTempView("events")
+    return L.error_lines(spark.sql(_ERR))
+
+
+@query("missing_keys", f"WITH k AS (SELECT doc_id % 4 AS k FROM documents) SELECT 'doc_id' AS key, CAST(0 AS BIGINT) AS missing UNION ALL SELECT 'label', count(*) FILTER (WHERE k = 0) FROM k UNION ALL SELECT 'id', count(*) FROM k")
+def missing_keys(spark, sf_dir):
+    return L.missing_keys(_read(spark, sf_dir, "documents").select(F.expr(_OWN).alias("raw")), ["doc_id", "label", "id"])
