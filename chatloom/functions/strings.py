@@ -14,6 +14,13 @@ OPTION = r"(?i)Option\s*([1-5])"
 ANALYSIS = r"(?s)<\|channel\|>analysis<\|message\|>(.*?)(?:<\|end\|>|<\|start\|>|<\|channel\|>|\z)"
 FINAL = r"(?s)<\|channel\|>final<\|message\|>(.*?)(?:<\|end\|>|\z)"
 FINAL_MARK = "<|channel|>final<|message|>"
+#: Replaced one after the other, in this order.
+FALLBACK = {
+    "<|channel|>analysis<|message|>": "<think>\n",
+    "<|end|><|start|>assistant<|channel|>final<|message|>": "\n</think>\n\n",
+    "<|channel|>final<|message|>": "\n</think>\n\n",
+    "<|end|>": "",
+}
 OLD_START = r"(?i)<unused94>\s*(?:thought)?\s*"
 OLD_PAIR = r"(?s)^(.*?)(?i:<unused94>)\s*+(?i:thought)?+\s*+(.*?)(?i:<unused95>)(.*)\z"
 OLD_END = r"(?is)^(.*?)<unused95>(.*)\z"
@@ -67,6 +74,14 @@ def harmony_text(text: Column, reasoning: bool = True) -> Column:
     return F.when(harmony_valid(text), new).otherwise(text)
 
 
+def harmony_fallback(text: Column) -> Column:
+    """As harmony_text; where a channel is missing, what marks there are become think tags."""
+    loose = text
+    for mark, new in FALLBACK.items():
+        loose = F.replace(loose, F.lit(mark), F.lit(new))
+    return F.when(harmony_valid(text), harmony_text(text)).otherwise(strip(loose))
+
+
 def think_status(text: Column) -> Column:
     low = F.lower(text)
     start, end = low.contains("<unused94>"), low.contains("<unused95>")

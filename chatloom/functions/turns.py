@@ -59,6 +59,23 @@ def rewrite_assistants(conv: Column, value: Column) -> Column:
     return F.when(F.exists(conv, lambda t: _assistant_like(t["from"])), new).otherwise(F.concat(conv, F.array(turn(F.lit("assistant"), value))))
 
 
+def first_assistant_text(conv: Column) -> Column:
+    """What the first assistant-like turn says; empty without one."""
+    said = F.transform(F.filter(conv, lambda t: _assistant_like(t["from"])), lambda t: t["value"])
+    return F.coalesce(F.get(said, F.lit(0)), F.lit(""))
+
+
+def set_system(conv: Column, value: Column) -> Column:
+    """Overwrite the system turn before the answer; a conversation without one stays."""
+    at = system_index(conv)
+    return F.when(at.isNotNull(), set_value(conv, at, value)).otherwise(conv)
+
+
+def asked(question: Column, answer: Column, user: str = "user") -> Column:
+    """A conversation of one question and its answer."""
+    return F.array(turn(F.lit(user), question), turn(F.lit("assistant"), answer))
+
+
 def map_assistants(conv: Column, change: Callable[[Column], Column]) -> Column:
     return F.transform(conv, lambda t: turn(t["from"], F.when(_assistant_like(t["from"]), change(t["value"])).otherwise(t["value"])))
 

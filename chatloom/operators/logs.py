@@ -92,3 +92,13 @@ def missing_keys(rows: DataFrame, keys: list[str], raw: str = "raw") -> DataFram
     there = F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>"))
     counts = rows.agg(*[F.count_if(~F.array_contains(there, k)).alias(k) for k in keys])
     return counts.unpivot([], keys, "key", "missing")
+
+
+def with_results(reports: DataFrame, folders: DataFrame) -> DataFrame:
+    """Add ``job_id`` and ``folders`` (sorted paths of the result folders whose names end in _<job id>) to reports; no folders, no
+    job id or no match give an empty list. ``reports`` has file, ``folders`` has path; both meet in one join by job id."""
+    job = F.nullif(F.regexp_extract(F.substring_index("file", "/", -1), r"\.([0-9]+)\.", 1), F.lit(""))
+    of = F.nullif(F.regexp_extract("path", r"_([0-9]+)/?\z", 1), F.lit(""))
+    grouped = folders.select(of.alias("job_id"), "path").filter("job_id IS NOT NULL").groupBy("job_id").agg(F.sort_array(F.collect_set("path")).alias("folders"))
+    rows = reports.withColumn("job_id", job).join(grouped, "job_id", "left")
+    return rows.withColumn("folders", F.coalesce("folders", F.array().cast("array<string>")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chatloom.functions.strings import non_empty
+from chatloom.functions.strings import non_empty, strip
 
 # Keys that describe a row itself, and what the name of a label-like key holds.
 SKIP = (
@@ -28,6 +28,39 @@ def says_something(json: Column) -> Column:
     return ~empty
 
 
+def string_of(json: Column) -> Column:
+    """The text of a JSON string; null for any other JSON."""
+    return F.when(json.startswith('"'), F.try_variant_get(F.try_parse_json(json), "$", "string"))
+
+
+def integer_of(json: Column) -> Column:
+    """A whole number from a JSON text: numbers lose their fraction, true is 1, strings may have blanks around them and
+    underscores between digits; null for what is no whole number then."""
+    said = strip(string_of(json))
+    digits = F.when(said.rlike(r"^[+-]?[0-9]+(_[0-9]+)*\z"), F.replace(said, F.lit("_"), F.lit("")))
+    number = F.coalesce(json.try_cast("long"), json.try_cast("double").try_cast("long"))
+    return F.when(json.startswith('"'), digits.try_cast("long")).when(json == "true", 1).when(json == "false", 0).otherwise(number)
+
+
+def id_text(raw: Column) -> Column:
+    """The key ``id`` of a JSON object as text: numbers as they are written, null as None, booleans as True and False;
+    null if there is no such key."""
+    there = F.array_contains(F.json_object_keys(raw), "id")
+    said = F.get_json_object(raw, "$.id")
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(raw), "$.id", "variant"))
+    word = F.when(kind == "BOOLEAN", F.initcap(said)).otherwise(F.coalesce(F.from_json(raw, "id string")["id"], F.lit("None")))
+    return F.when(there, word)
+
+
+def pick_answer(row: Column, preferred: str = "") -> Column:
+    """The first string, be it empty, under the preferred key, distilled_answer, or distilled_answer_* in order of the
+    keys; empty if there is none."""
+    own = lambda k: string_of(F.try_element_at(row, F.lit(k)))
+    named = F.array_sort(F.map_entries(F.map_filter(row, lambda k, _: k.startswith("distilled_answer_"))))
+    strings = F.filter(F.transform(named, lambda e: string_of(e["value"])), lambda x: x.isNotNull())
+    return F.coalesce(own(preferred), own("distilled_answer"), F.get(strings, F.lit(0)), F.lit(""))
+
+
 def labels_of(row: Column) -> Column:
     return F.map_filter(row, lambda k, v: ~k.isin(*SKIP) & k.rlike(LABEL_LIKE) & says_something(v))
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatloom.functions import prompts as Q
 from chatloom.functions import strings as S
 from chatloom.functions import turns as T
 from chatloom.operators import datasets as D
@@ -457,3 +458,83 @@ def error_lines(spark, sf_dir):
 @query("missing_keys", f"WITH k AS (SELECT doc_id % 4 AS k FROM documents) SELECT 'doc_id' AS key, CAST(0 AS BIGINT) AS missing UNION ALL SELECT 'label', count(*) FILTER (WHERE k = 0) FROM k UNION ALL SELECT 'id', count(*) FROM k")
 def missing_keys(spark, sf_dir):
     return L.missing_keys(_read(spark, sf_dir, "documents").select(F.expr(_OWN).alias("raw")), ["doc_id", "label", "id"])
+
+
+_text = lambda x: "'" + x.replace(chr(10), "' || chr(10) || '") + "'"
+_LOOSE = "text"
+for _mark, _new in S.FALLBACK.items():
+    _LOOSE = f"replace({_LOOSE}, {_text(_mark)}, {_text(_new)})"
+
+
+@query("harmony_fallback", ASST + f" SELECT conv_id, turn, CASE WHEN {_VALID} THEN '<think>' || chr(10) || {_think} || chr(10) || '</think>' || chr(10) || chr(10) || {_final} ELSE {_strip(_LOOSE)} END AS text FROM a")
+def harmony_fallback(spark, sf_dir):
+    return answers(spark, sf_dir).select("conv_id", "turn", S.harmony_fallback(F.col("text")).alias("text"))
+
+
+_DA = """CASE doc_id % 5 WHEN 0 THEN '{"distilled_answer_b":"' || lang || '","distilled_answer_a":5}' WHEN 1 THEN '{"distilled_answer":"","distilled_answer_a":"x"}'
+ WHEN 2 THEN '{"mine":"' || lang || 'm","distilled_answer":"y"}' WHEN 3 THEN '{"mine":7,"distilled_answer_z":"z","distilled_answer_c":"c"}' ELSE '{"distilled_answer":null}' END"""
+
+
+@query("pick_answer", "SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN lang WHEN 2 THEN lang || 'm' WHEN 3 THEN 'c' ELSE '' END AS answer FROM documents")
+def pick_answer(spark, sf_dir):
+    row = K.entries(F.expr(_DA))
+    return _read(spark, sf_dir, "documents").select("doc_id", K.pick_answer(row, "mine").alias("answer"))
+
+
+_INDEX = """CASE doc_id % 7 WHEN 0 THEN '" ' || doc_id || ' "' WHEN 1 THEN doc_id || '.7' WHEN 2 THEN 'true' WHEN 3 THEN '"1_' || doc_id || '"' WHEN 4 THEN '"12.5"' WHEN 5 THEN 'null' ELSE '' || doc_id END"""
+
+
+@query("whole_indexes", "SELECT doc_id, CASE WHEN doc_id % 7 IN (0, 1, 6) THEN doc_id WHEN doc_id % 7 = 2 THEN 1 WHEN doc_id % 7 = 3 THEN CAST('1' || doc_id AS BIGINT) END AS source_index FROM documents")
+def whole_indexes(spark, sf_dir):
+    return _read(spark, sf_dir, "documents").select("doc_id", K.integer_of(F.expr(_INDEX)).alias("source_index"))
+
+
+_ID = """CASE doc_id % 5 WHEN 0 THEN '{"id": "' || lang || '"}' WHEN 1 THEN '{"id": ' || doc_id || '.0}' WHEN 2 THEN '{"id": null}' WHEN 3 THEN '{"id": true}' ELSE '{"x": 1}' END"""
+
+
+@query("id_texts", "SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN lang WHEN 1 THEN doc_id || '.0' WHEN 2 THEN 'None' WHEN 3 THEN 'True' END AS id FROM documents")
+def id_texts(spark, sf_dir):
+    return _read(spark, sf_dir, "documents").select("doc_id", K.id_text(F.expr(_ID)).alias("id"))
+
+
+@query("drop_empty_answers", CTE + ", b AS (SELECT conv_id, arg_min(CASE WHEN conv_id % 9 = 0 THEN ' ' ELSE text END, turn) FILTER (WHERE role = 'assistant') AS said, count(*) AS n FROM c GROUP BY conv_id) SELECT conv_id, n, said FROM b WHERE trim(said) <> ''")
+def drop_empty_answers(spark, sf_dir):
+    blank = T.map_assistants(F.col("conversations"), lambda v: F.when(F.col("conv_id") % 9 == 0, F.lit(" ")).otherwise(v))
+    c = chats(spark, sf_dir).withColumn("conversations", blank).withColumn("said", T.first_assistant_text(F.col("conversations")))
+    return c.filter(S.strip(F.col("said")) != "").select("conv_id", F.size("conversations").cast("long").alias("n"), "said")
+
+
+@query("set_system", CTE + IDX + " SELECT c.conv_id, c.turn, CASE WHEN i.s0 = c.turn AND (i.a IS NULL OR i.s0 < i.a) THEN 'Reasoning: low' ELSE c.text END AS text FROM c JOIN i ON c.conv_id = i.conv_id")
+def set_system(spark, sf_dir):
+    new = T.set_system(F.col("conversations"), F.lit("Reasoning: low"))
+    c = chats(spark, sf_dir).select("conv_id", F.posexplode(new).alias("turn", "t"))
+    return c.select("conv_id", F.col("turn").cast("long").alias("turn"), F.col("t.value").alias("text"))
+
+
+_RF, _RP = "'/logs/R-' || event_type || '.' || (event_id % 50) || '.err'", "'/results/m' || (page_id % 3) || '_' || (page_id % 40)"
+
+
+@query("report_results", f"WITH f AS (SELECT DISTINCT {_RP} AS path, '' || (page_id % 40) AS job_id FROM pages) SELECT event_id, '' || (event_id % 50) AS job_id, coalesce(p, '') AS folders FROM events LEFT JOIN (SELECT job_id, string_agg(path, ',' ORDER BY path) AS p FROM f GROUP BY job_id) g ON g.job_id = '' || (event_id % 50)")
+def report_results(spark, sf_dir):
+    reports = _read(spark, sf_dir, "events").selectExpr("event_id", f"{_RF} AS file")
+    found = L.with_results(reports, _read(spark, sf_dir, "pages").selectExpr(f"{_RP} AS path"))
+    return found.select("event_id", "job_id", F.array_join("folders", ",").alias("folders"))
+
+
+_NL = "chr(10)"
+
+
+@query("few_shot_prompts", _FS + f", t AS (SELECT s.doc_id, s.shot, '--- Example ' || (s.shot + 1) || ' ---' || {_NL} || '<question>' || b.item_id || {_NL} || '<answer>' || coalesce(m.text, '') || {_NL} || {_NL} AS x FROM s JOIN b ON s.place = b.place JOIN benchmark m ON m.item_id = b.item_id) SELECT doc_id, 'Examples:' || {_NL} || string_agg(x, '' ORDER BY shot) || 'Now one in ' || coalesce((SELECT lang FROM documents d WHERE d.doc_id = t.doc_id), '') || '.' AS prompt FROM t GROUP BY doc_id")
+def few_shot_prompts(spark, sf_dir):
+    docs, pool = _read(spark, sf_dir, "documents").select("doc_id", "lang"), _read(spark, sf_dir, "benchmark").select("item_id", "text")
+    drawn = P.few_shot(docs.select("doc_id"), "doc_id", pool.select("item_id"), "item_id", 3).join(pool, "item_id")
+    shot = F.struct("shot", F.struct(F.col("item_id").cast("string").alias("question"), F.col("text").alias("answer")).alias("e"))
+    shots = drawn.groupBy("doc_id").agg(F.sort_array(F.collect_list(shot)).alias("s"))
+    prompt = Q.fill("Examples:\n{examples}Now one in {lang}.", examples=Q.numbered_examples(F.col("s.e")), lang=F.col("lang"))
+    return docs.join(shots, "doc_id").select("doc_id", prompt.alias("prompt"))
+
+
+@query("long_prompts", "WITH t AS (SELECT doc_id, CAST(len(regexp_extract_all('Read this:' || chr(10) || coalesce(text, ''), '[^ \\t\\n\\v\\f\\r]+')) AS BIGINT) AS tokens FROM documents) SELECT doc_id, tokens, tokens * 4 > 3 * 512 AS long FROM t")
+def long_prompts(spark, sf_dir):
+    d = _read(spark, sf_dir, "documents").select("doc_id", Q.fill("Read this:\n{text}", text=F.col("text")).alias("prompt"))
+    return Q.with_tokens(d, "prompt", 512).drop("prompt")
