@@ -14,6 +14,7 @@ from chatloom.functions import turns as T
 from chatloom.operators import datasets as D
 from chatloom.operators import logs as L
 from chatloom.operators import open_keys as K
+from chatloom.operators import provenance as V
 from chatloom.operators import sampling as P
 from chatloom.sources import trainer as R
 
@@ -538,3 +539,40 @@ def few_shot_prompts(spark, sf_dir):
 def long_prompts(spark, sf_dir):
     d = _read(spark, sf_dir, "documents").select("doc_id", Q.fill("Read this:\n{text}", text=F.col("text")).alias("prompt"))
     return Q.with_tokens(d, "prompt", 512).drop("prompt")
+
+
+_REF = """CASE doc_id % 7 WHEN 0 THEN ' ' WHEN 1 THEN '{' WHEN 2 THEN '[1]' WHEN 3 THEN '{"distilled_source_path":" ","distilled_source_index":1}' WHEN 4 THEN
+ '{"distilled_source_path":"a","distilled_source_index":"x"}' ELSE '{"distilled_source_path":"f' || (doc_id % 4) || '","distilled_source_index":' || (doc_id % 90) || '}' END"""
+_KINDS = "CASE doc_id % 7 WHEN 0 THEN 'blank' WHEN 1 THEN 'invalid' WHEN 2 THEN 'non_object' WHEN 3 THEN 'source_path' WHEN 4 THEN 'source_index' ELSE 'good' END"
+
+
+def _references(spark, sf_dir):
+    return V.references(_read(spark, sf_dir, "documents").select("doc_id", F.expr(_REF).alias("raw")))
+
+
+@query("source_references", f"SELECT {_KINDS} AS reject, count(*) AS n, count(DISTINCT CASE WHEN doc_id % 7 > 4 THEN doc_id % 4 END) AS n_files FROM documents GROUP BY 1")
+def source_references(spark, sf_dir):
+    return _references(spark, sf_dir).groupBy(F.coalesce("reject", F.lit("good")).alias("reject")).agg(F.count("*").alias("n"), F.countDistinct("source_path").alias("n_files"))
+
+
+@query("source_lookup", """WITH w AS (SELECT DISTINCT 'f' || (doc_id % 4) AS path, doc_id % 90 AS line_no FROM documents WHERE doc_id % 7 > 4),
+ l AS (SELECT 'f' || (page_id % 3) AS path, page_id // 3 AS line_no FROM pages)
+ SELECT path, count(*) AS requested, count(*) FILTER (WHERE (path, line_no) IN (SELECT (path, line_no) FROM l)) AS found, path NOT IN (SELECT path FROM l) AS missing FROM w GROUP BY path""")
+def source_lookup(spark, sf_dir):
+    wanted = _references(spark, sf_dir).filter("reject IS NULL").select(F.col("source_path").alias("path"), F.col("source_index").alias("line_no"))
+    lines = _read(spark, sf_dir, "pages").selectExpr("'f' || (page_id % 3) AS path", "page_id div 3 AS line_no", "url AS raw")
+    return V.lookup_stats(lines, wanted)
+
+
+_OPEN = """CASE doc_id % 5 WHEN 0 THEN '{"id":"x' || doc_id || '","label_agreement":"pass"}' WHEN 1 THEN '{"id":7,"question_id":"q' || doc_id || '","label_agreement":5}'
+ WHEN 2 THEN '{"id":" ","distilled_source_path":"/a/b.jsonl","distilled_source_index":' || doc_id || '}' WHEN 3 THEN '{"answer_id":"a","label_agreement":""}'
+ ELSE '{"extra":1,"distilled_model":"m"}' END"""
+
+
+@query("target_rows", """SELECT doc_id, '{"conversations":null,"distilled_model":' || CASE WHEN doc_id % 5 = 4 THEN '"m"' ELSE 'null' END || ',"distilled_source_index":' ||
+ CASE WHEN doc_id % 5 = 2 THEN doc_id || ',"distilled_source_path":"/a/b.jsonl"' ELSE 'null,"distilled_source_path":null' END || ',"distilled_timestamp_utc":null,"id":"' ||
+ CASE doc_id % 5 WHEN 0 THEN 'x' || doc_id WHEN 1 THEN 'q' || doc_id WHEN 2 THEN 'b.jsonl:' || doc_id WHEN 3 THEN 'a' ELSE 'line:' || (doc_id + 1) END ||
+ '","label_agreement":"' || CASE WHEN doc_id % 5 = 0 THEN 'pass' ELSE 'unknown' END || '"}' AS line FROM documents""")
+def target_rows(spark, sf_dir):
+    rows = _read(spark, sf_dir, "documents").select("doc_id", K.entries(F.expr(_OPEN)).alias("row"))
+    return rows.select("doc_id", K.to_line(V.to_target(F.col("row"), F.col("doc_id") + 1)).alias("line"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from chatloom.functions.strings import strip
+
 CHAT_SCHEMA = "conversations array<struct<`from`:string,value:string>>, id string, label_letter string, label_text string, exact_match boolean, try_count int"
 
 
@@ -26,6 +28,25 @@ def read_chat(spark: SparkSession, path: str | list[str], limit: int | None = No
     return lines.filter(F.trim("raw") != "").select("path", "line_no", F.from_json("raw", CHAT_SCHEMA, {"mode": "FAILFAST"}).alias("row"), "raw").select("path", "line_no", "row.*", "raw")
 
 
+def read_list(spark: SparkSession, path: str) -> DataFrame:
+    """A list of datasets: pos and path of each line that is neither blank nor a # comment."""
+    lines = read_lines(spark, path).select(F.col("line_no").alias("pos"), F.trim("raw").alias("path"))
+    return lines.filter("path <> '' AND NOT startswith(path, '#')")
+
+
+def read_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """path, line_no and text of rows with a text; blank ends are cut, empty texts dropped."""
+    lines = read_lines(spark, path).filter(F.trim("raw") != "")
+    text = strip(F.from_json("raw", "text string", {"mode": "FAILFAST"})["text"])
+    return lines.select("path", "line_no", text.alias("text")).filter("text <> ''")
+
+
+def read_samples(spark: SparkSession, root: str) -> DataFrame:
+    """file, raw: the lines of all .jsonl files below ``root``."""
+    found = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").text(root)
+    return found.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("raw"))
+
+
 def classify_lines(lines: DataFrame) -> DataFrame:
     """Add ``reject``: blank, invalid, non_object, no_conversations, or null for good chat rows."""
     # Wrapped in an array, as text after a complete value is not an error to the parser otherwise.
@@ -48,6 +69,16 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
+def write_lines(df: DataFrame, path: str, new: str = "line", raw: str = "raw", mode: str = "errorifexists") -> None:
+    """In the order of line_no, the new line, or the old one as it was where there is none."""
+    df.orderBy("line_no").select(F.coalesce(new, raw).alias("value")).write.mode(mode).text(path)
+
+
+def write_summary(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """A one-row table as one JSON object, in one file."""
+    write_jsonl(df.coalesce(1), path, mode)
+
+
 def replace_jsonl(df: DataFrame, path: str, backup: str) -> None:
     """Write ``df``, which may read ``path``, in its place; what was there moves to ``backup``, which must not exist. The
     new rows are complete beside it before anything moves."""

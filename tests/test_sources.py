@@ -21,3 +21,23 @@ def test_replace_keeps_a_backup(spark, tmp_path):
     assert spark.read.json(path).count() == 2 and spark.read.json(backup).count() == 3
     with pytest.raises(FileExistsError):
         jsonl.replace_jsonl(spark.range(1), path, backup)
+
+
+def test_lists_documents_and_samples(spark, tmp_path):
+    (tmp_path / "list").write_text("# all\n/a\n\n  /b \n")
+    assert sorted(tuple(r) for r in jsonl.read_list(spark, str(tmp_path / "list")).collect()) == [(1, "/a"), (3, "/b")]
+    deep = tmp_path / "r" / "x" / "y"
+    deep.mkdir(parents=True)
+    (deep / "s.jsonl").write_text('{"text": " t\\u00a0"}\n\n{"text": " "}\n{"n": 1}\n')
+    (deep / "other.txt").write_text("no\n")
+    assert jsonl.read_samples(spark, str(tmp_path / "r")).count() == 4
+    docs = jsonl.read_documents(spark, str(deep / "s.jsonl")).collect()
+    assert [(r.line_no, r.text) for r in docs] == [(0, "t")]
+
+
+def test_old_lines_stay_where_there_is_no_new_one(spark, tmp_path):
+    rows = spark.createDataFrame([(2, "{", None), (0, "", None), (1, "a", "b")], "line_no long, raw string, line string")
+    jsonl.write_lines(rows, str(tmp_path / "out"))
+    assert [r.raw for r in jsonl.read_lines(spark, str(tmp_path / "out/*.txt")).orderBy("path", "line_no").collect()] == ["", "b", "{"]
+    jsonl.write_summary(spark.sql("SELECT 1 AS n, CAST(NULL AS STRING) AS note"), str(tmp_path / "sum"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "sum")).collect()] == ['{"n":1,"note":null}']
