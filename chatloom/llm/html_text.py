@@ -28,30 +28,40 @@ OFF_WORDS = frozenset(
     "modal overlay sidebar aside nav navbar navigation menu breadcrumb breadcrumbs pagination pager header masthead footer comment comments "
     "disqus respond reply replies share sharing social related recommended newsletter subscribe signup login search widget toolbar skip".split()
 )
-COMMENT_WORDS = frozenset("comment comments disqus respond reply replies".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+COMMENT_WORDS = frozenset("comment comments comment-list comment-body comments-area comment-respond disqus disqus_thread respond reply replies".split())
+#: Whole names that mark furniture even inside an article; there the other words may name what the text is about.
+FURNITURE = COMMENT_WORDS | frozenset(
+    "ad ads advert advertisement adsense adsbygoogle sponsored promo share share-buttons sharing social-share social-links newsletter "
+    "newsletter-signup related-posts related-articles breadcrumb breadcrumbs pagination cookie-banner cookie-notice cookie-consent skip-link".split()
+)
+ROLES = frozenset("navigation banner search complementary contentinfo dialog alertdialog menu menubar toolbar".split())
+PROSE = HEADINGS | frozenset("p section blockquote pre".split())
+BOXES = frozenset("div section ul ol dl table".split())
 SIGMA = 1.0
 _split_words = re.compile(r"[^a-z0-9]+").split
 
 
 class PageBlocks(HTMLParser):
-    """Blocks of a page, each [text, tags, region, off, heading]: region numbers the outermost article or main, 0 outside."""
+    """Blocks of a page, each [text, tags, region, off, heading, doubt, linked]: region numbers the outermost article or main
+    and doubt the outermost box with a word of OFF_WORDS as a part of a name (0 outside), linked counts characters in links."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[list] = []
-        self.open: list[tuple[str, bool, bool]] = []  # tag, switches text off, belongs to reader comments
-        self.off = self.depth = self.region = self.regions = self.tags = 0
+        self.open: list[tuple[str, bool, bool, int]] = []  # tag, switches text off, belongs to reader comments, doubt
+        self.off = self.depth = self.region = self.regions = self.tags = self.doubts = self.linked = 0
         self.parts: list[str] = []
 
     def cut(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            heading = any(t in HEADINGS for t, _, _ in self.open[-3:])
-            title = heading and self.depth and self.off == 1 and any(t == "header" for t, o, _ in self.open if o)
-            self.blocks.append([text, self.tags, self.region if self.depth else 0, self.off > 0 and not title, heading])
+            heading = any(x[0] in HEADINGS for x in self.open[-3:])
+            title = heading and self.depth and self.off == 1 and any(x[0] == "header" for x in self.open if x[1])
+            doubt = self.open[-1][3] if self.open else 0
+            self.blocks.append([text, self.tags, self.region if self.depth else 0, self.off > 0 and not title, heading, doubt, self.linked])
             self.tags = 0
-        self.parts = []
+        self.parts, self.linked = [], 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.tags += 1
@@ -63,26 +73,43 @@ class PageBlocks(HTMLParser):
             return
         if tag == "body":
             self._leave(lambda t: t == "head")
-        words = {w for k, v in attrs if v and k in ("class", "id", "role") for w in _split_words(v.lower())} if attrs else ()
-        comment = not COMMENT_WORDS.isdisjoint(words)
-        if tag in CONTAINERS and not comment and not any(c for _, _, c in self.open):
+        names, doubtful = self._names(tag, attrs) if attrs else ((), False)
+        comment = not COMMENT_WORDS.isdisjoint(names)
+        if tag in CONTAINERS and not comment and not any(x[2] for x in self.open):
             self._leave(lambda t: t not in CONTAINERS and t not in ("html", "body"))  # what was not closed before the article
             self.depth += 1
             if self.depth == 1:
                 self.regions += 1
                 self.region = self.regions
-            self.open.append((tag, False, False))
+            self.open.append((tag, False, False, self.open[-1][3] if self.open else 0))
             return
-        off = tag in NEVER or comment or (tag not in ("html", "body") and not OFF_WORDS.isdisjoint(words))
+        off_names = FURNITURE if self.depth or tag in PROSE else FURNITURE | OFF_WORDS
+        off = tag in NEVER or (tag not in ("html", "body") and not off_names.isdisjoint(names))
         if tag == "p":
             if self.open and self.open[-1][0] == "p":
                 self.open.pop()
-        self.open.append((tag, off, comment))
+        doubt = self.open[-1][3] if self.open else 0
+        if doubtful and not doubt:
+            self.doubts += 1
+            doubt = self.doubts
+        self.open.append((tag, off, comment, doubt))
         self.off += off
 
+    @staticmethod
+    def _names(tag: str, attrs: list) -> tuple[set[str], bool]:
+        """The names in class, id and role that may mark furniture, and whether a box leaves doubt. Ids of headings and of
+        sections are mostly the words of their titles, so they mark reader comments of sections at most."""
+        said = {k: set(v.lower().split()) for k, v in attrs if v and k in ("class", "id", "role")}
+        names = said.get("class", set()) | {n for n in said.get("role", ()) if n in ROLES}
+        ids = said.get("id", set())
+        if tag not in HEADINGS:
+            names |= ids & COMMENT_WORDS if tag == "section" else ids
+        parts = {w for v in said.values() for n in v for w in _split_words(n)} if tag in BOXES else set()
+        return names, not OFF_WORDS.isdisjoint(parts)
+
     def _leave(self, which) -> None:
-        for t, o, _ in self.open:
-            if which(t) and o:
+        for x in self.open:
+            if which(x[0]) and x[1]:
                 self.off -= 1
         self.open = [x for x in self.open if not which(x[0])]
 
@@ -92,7 +119,7 @@ class PageBlocks(HTMLParser):
             self.cut()
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
-                for t, o, _ in self.open[k:]:
+                for t, o, _, _ in self.open[k:]:
                     self.off -= o
                     self.depth -= t in CONTAINERS and not o
                 del self.open[k:]
@@ -102,6 +129,8 @@ class PageBlocks(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         self.parts.append(data)
+        if any(x[0] == "a" for x in self.open):
+            self.linked += len("".join(data.split()))
 
     def unknown_decl(self, data: str) -> None:
         pass
@@ -132,19 +161,35 @@ def threshold(values: list[float]) -> float:
     return (low + high) / 2
 
 
+def link_lists(blocks: list[list], hot: list[bool]) -> None:
+    """Switch off the boxes in doubt that have no block above the threshold and consist of links for the greater part."""
+    boxes: dict[int, list] = {}
+    for b, h in zip(blocks, hot, strict=True):
+        if b[5] and not b[3]:
+            box = boxes.setdefault(b[5], [0, 0, False])
+            box[0] += b[6]
+            box[1] += len("".join(b[0].split()))
+            box[2] |= h
+    for b in blocks:
+        if b[5] in boxes:
+            linked, chars, any_hot = boxes[b[5]]
+            b[3] |= not any_hot and 2 * linked > chars
+
+
 def main_text(html: str | None) -> str:
     """The article's blocks, each with single spaces, joined by two line feeds."""
     page = PageBlocks()
     page.feed(html or "")
     page.close()
     page.cut()
-    blocks = [b for b in page.blocks if not b[3]]
-    if not blocks:
+    if all(b[3] for b in page.blocks):
         return ""
     # In logarithms, as a few very long blocks would make a cluster of their own.
     ratios = smooth([math.log1p(len(b[0]) / max(1, b[1])) for b in page.blocks])
     bar = threshold(ratios)
     hot = [r >= bar and not b[3] for r, b in zip(ratios, page.blocks, strict=True)]
+    link_lists(page.blocks, hot)
+    blocks = [b for b in page.blocks if not b[3]]
     regions = {b[2] for b, h in zip(page.blocks, hot, strict=True) if h and b[2]} or {b[2] for b in blocks if b[2]}
     if regions:
         return "\n\n".join(b[0] for b in blocks if b[2] in regions)

@@ -269,6 +269,18 @@ def test_html(spark):
     assert {r.page_id: r.n_chars for r in html_text.page_report(d).collect()} == {1: len(html_text.main_text(page)), 2: 0}
 
 
+def test_html_keeps_article_text_under_slugs():
+    long = "Some words of the article that go on for a while. " * 8
+    body = [
+        "<h2 id='search-methods'>Search methods</h2>", "<h2 id=notice>Notice</h2>", f"<section id='related-work'><h3>Related work</h3><p>{long}</p></section>",
+        "<div class='social-impact'><p>Small.</p></div>", "<p class='notice'>Take note.</p>", "<section id='search'><p>Seek.</p></section>", f"<div class='login-guide'><p>{long}</p></div>",
+    ]
+    off = "<div class='ad'>buy</div><div class='share big'>tell</div><div id='comments'><p>me too</p></div><ul class='related-links'><li><a href=/1>One more</a></li><li><a href=/2>And two</a></li></ul>"
+    page = f"<body><article><div class='article-header'><h1>Title</h1></div><p>{long}</p>{''.join(body)}{off}<p>{long}</p></article></body>"
+    want = ["Title", long, "Search methods", "Notice", "Related work", long, "Small.", "Take note.", "Seek.", long, long]
+    assert html_text.main_text(page) == "\n\n".join(w.strip() for w in want)
+
+
 def test_chat_format_round_trip(spark):
     random.seed(3)
     bits = ["<|end|>", "\n", "\\", "<\\|", "[INST]", "[\\/INST]", "</s>", "<\\n>", "é", "word ", "<|start|>assistant\n", "<", "[", "|", "<s>", " a b c", "\\\\"]
