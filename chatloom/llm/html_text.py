@@ -2,7 +2,8 @@
 
 The standard library's streaming parser cuts a page into blocks and notes what each lies in. Per block (a page has no
 meaningful lines) the ratio of text to tags is smoothed with a Gaussian; two clusters of the smoothed ratios give the
-threshold. Regions with blocks above it are content, and a content region is kept whole, short blocks included.
+threshold. The innermost element with MOST of the blocks above it is the content and is kept whole, short blocks
+included; article and main elements are only a hint where to stop.
 """
 
 from __future__ import annotations
@@ -37,20 +38,24 @@ FURNITURE = COMMENT_WORDS | frozenset(
 )
 ROLES = frozenset("navigation banner search complementary contentinfo dialog alertdialog menu menubar toolbar".split())
 PROSE = HEADINGS | frozenset("p section blockquote pre".split())
+NODES = frozenset("body main article section div td center".split())
 BOXES = frozenset("div section ul ol dl table".split())
 SIGMA = 1.0
+MOST, HALF = 0.75, 0.5  # shares of the blocks above the threshold
 _split_words = re.compile(r"[^a-z0-9]+").split
 
 
 class PageBlocks(HTMLParser):
-    """Blocks of a page, each [text, tags, region, off, heading, doubt, linked]: region numbers the outermost article or main
-    and doubt the outermost box with a word of OFF_WORDS as a part of a name (0 outside), linked counts characters in links."""
+    """Blocks of a page, each [text, tags, node, off, heading, doubt, linked]: node numbers the innermost of NODES (0 outside),
+    doubt the boxes with a word of OFF_WORDS as a part of a name, linked counts characters in links. ``nodes`` has each
+    node's parent and tag."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[list] = []
-        self.open: list[tuple[str, bool, bool, int]] = []  # tag, switches text off, belongs to reader comments, doubt
-        self.off = self.depth = self.region = self.regions = self.tags = self.doubts = self.linked = 0
+        self.nodes: list[tuple[int, str]] = [(0, "")]
+        self.open: list[tuple[str, bool, bool, tuple[int, ...], int]] = []  # tag, switches text off, belongs to reader comments, doubt, node
+        self.off = self.depth = self.tags = self.doubts = self.linked = 0
         self.parts: list[str] = []
 
     def cut(self) -> None:
@@ -58,8 +63,8 @@ class PageBlocks(HTMLParser):
         if text:
             heading = any(x[0] in HEADINGS for x in self.open[-3:])
             title = heading and self.depth and self.off == 1 and any(x[0] == "header" for x in self.open if x[1])
-            doubt = self.open[-1][3] if self.open else 0
-            self.blocks.append([text, self.tags, self.region if self.depth else 0, self.off > 0 and not title, heading, doubt, self.linked])
+            doubt, node = self.open[-1][3:] if self.open else ((), 0)
+            self.blocks.append([text, self.tags, node, self.off > 0 and not title, heading, doubt, self.linked])
             self.tags = 0
         self.parts, self.linked = [], 0
 
@@ -76,25 +81,29 @@ class PageBlocks(HTMLParser):
         names, doubtful = self._names(tag, attrs) if attrs else ((), False)
         comment = not COMMENT_WORDS.isdisjoint(names)
         if tag in CONTAINERS and not comment and not any(x[2] for x in self.open):
-            self._leave(lambda t: t not in CONTAINERS and t not in ("html", "body"))  # what was not closed before the article
+            self._leave_off()  # what was not closed before the article
             self.depth += 1
-            if self.depth == 1:
-                self.regions += 1
-                self.region = self.regions
-            self.open.append((tag, False, False, self.open[-1][3] if self.open else 0))
+            self._push(tag, False, False, ())
             return
         off_names = FURNITURE if self.depth or tag in PROSE else FURNITURE | OFF_WORDS
         off = tag in NEVER or (tag not in ("html", "body") and not off_names.isdisjoint(names))
         if tag == "p":
             if self.open and self.open[-1][0] == "p":
                 self.open.pop()
-        doubt = self.open[-1][3] if self.open else 0
-        if doubtful and not doubt:
+        doubt = self.open[-1][3] if self.open else ()
+        if doubtful:
             self.doubts += 1
-            doubt = self.doubts
-        self.open.append((tag, off, comment, doubt))
+            doubt += (self.doubts,)
+        self._push(tag, off, comment, doubt)
         self.off += off
 
+    def _push(self, tag: str, off: bool, comment: bool, doubt: tuple[int, ...]) -> None:
+        node = self.open[-1][4] if self.open else 0
+        if tag in NODES:
+            self.nodes.append((node, tag if not comment else ""))
+            node = len(self.nodes) - 1
+        self.open.append((tag, off, comment, doubt, node))
+
     @staticmethod
     def _names(tag: str, attrs: list) -> tuple[set[str], bool]:
         """The names in class, id and role that may mark furniture, and whether a box leaves doubt. Ids of headings and of
@@ -113,13 +122,19 @@ class PageBlocks(HTMLParser):
                 self.off -= 1
         self.open = [x for x in self.open if not which(x[0])]
 
+    def _leave_off(self) -> None:
+        at = next((k for k, x in enumerate(self.open) if x[1]), len(self.open))
+        around = [x for x in self.open[:at] if x[0] not in INLINE and x[0] != "p"]
+        self.open = around + [x for x in self.open[at:] if x[0] in CONTAINERS and not x[1]]
+        self.off = 0
+
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
         if tag not in INLINE and tag != "br":
             self.cut()
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
-                for t, o, _, _ in self.open[k:]:
+                for t, o, *_ in self.open[k:]:
                     self.off -= o
                     self.depth -= t in CONTAINERS and not o
                 del self.open[k:]
@@ -165,15 +180,75 @@ def link_lists(blocks: list[list], hot: list[bool]) -> None:
     """Switch off the boxes in doubt that have no block above the threshold and consist of links for the greater part."""
     boxes: dict[int, list] = {}
     for b, h in zip(blocks, hot, strict=True):
-        if b[5] and not b[3]:
-            box = boxes.setdefault(b[5], [0, 0, False])
-            box[0] += b[6]
-            box[1] += len("".join(b[0].split()))
-            box[2] |= h
+        if not b[3]:
+            for k in b[5]:
+                box = boxes.setdefault(k, [0, 0, False])
+                box[0] += b[6]
+                box[1] += len("".join(b[0].split()))
+                box[2] |= h
+    lists = {k for k, (linked, chars, any_hot) in boxes.items() if not any_hot and 2 * linked > chars}
     for b in blocks:
-        if b[5] in boxes:
-            linked, chars, any_hot = boxes[b[5]]
-            b[3] |= not any_hot and 2 * linked > chars
+        b[3] |= not lists.isdisjoint(b[5])
+
+
+def content(page: PageBlocks, hot: list[bool]) -> list[int]:
+    """Places of the blocks of the content: the innermost node with MOST of the hot blocks, whole.
+
+    No step goes from an article or main further in, but to an article in it. Where several articles or mains share the
+    blocks and together have HALF of them, all of these are the content. Otherwise what lies right before and after the
+    node belongs to it, up to what is switched off, a list of links or a cold box in doubt."""
+    blocks, nodes = page.blocks, page.nodes
+    if not any(hot):
+        hot = [not b[3] for b in blocks]
+    votes = [0] * len(nodes)
+    for b, h in zip(blocks, hot, strict=True):
+        votes[b[2]] += h
+    for k in range(len(nodes) - 1, 0, -1):  # parents come before their children
+        votes[nodes[k][0]] += votes[k]
+    total, core = votes[0], 0
+
+    def under(k: int, top: int, tags=None) -> bool:
+        """Whether node k lies in top, with no other node of the tags between."""
+        while k > top:
+            k = nodes[k][0]
+            if tags and k > top and nodes[k][1] in tags:
+                return False
+        return k == top
+
+    for k in range(1, len(nodes)):
+        if votes[k] >= MOST * total and under(k, core):
+            if nodes[core][1] != "article" and (nodes[core][1] != "main" or nodes[k][1] == "article"):
+                core = k
+    if nodes[core][1] in CONTAINERS:
+        tops = {core}
+    else:
+        tops = {k for k in range(1, len(nodes)) if nodes[k][1] in CONTAINERS and under(k, core, CONTAINERS)}
+        if not tops or sum(votes[k] for k in tops) < HALF * votes[core]:
+            tops = {core}
+    inside = [False] * len(nodes)
+    for k in range(len(nodes)):
+        inside[k] = k in tops or (k > 0 and inside[nodes[k][0]])
+    at = [i for i, b in enumerate(blocks) if inside[b[2]]]
+    first, last = at[0], at[-1]
+    taken = set(at)
+    while first and blocks[first - 1][4] and not blocks[first - 1][3]:
+        first -= 1
+        taken.add(first)
+    if tops == {core} and nodes[core][1] not in CONTAINERS:
+
+        def ends(i: int) -> bool:
+            return not 0 <= i < len(blocks) or blocks[i][3] or (bool(blocks[i][5]) and not hot[i])
+
+        def linked(i: int) -> bool:
+            return 2 * blocks[i][6] > len("".join(blocks[i][0].split()))
+
+        for i, step in ((first, -1), (last, 1)):
+            i += step
+            # One linked block between others is a byline, a list of links has more or lies at the edge.
+            while not ends(i) and not (linked(i) and (ends(i + step) or linked(i + step))):
+                taken.add(i)
+                i += step
+    return sorted(i for i in taken if not blocks[i][3])
 
 
 def main_text(html: str | None) -> str:
@@ -189,18 +264,7 @@ def main_text(html: str | None) -> str:
     bar = threshold(ratios)
     hot = [r >= bar and not b[3] for r, b in zip(ratios, page.blocks, strict=True)]
     link_lists(page.blocks, hot)
-    blocks = [b for b in page.blocks if not b[3]]
-    regions = {b[2] for b, h in zip(page.blocks, hot, strict=True) if h and b[2]} or {b[2] for b in blocks if b[2]}
-    if regions:
-        return "\n\n".join(b[0] for b in blocks if b[2] in regions)
-    # No article element: from the first to the last block above the threshold, and headings right before.
-    at = [i for i, h in enumerate(hot) if h]
-    if not at:
-        return "\n\n".join(b[0] for b in blocks)
-    first = at[0]
-    while first and page.blocks[first - 1][4] and not page.blocks[first - 1][3]:
-        first -= 1
-    return "\n\n".join(b[0] for b in page.blocks[first : at[-1] + 1] if not b[3])
+    return "\n\n".join(page.blocks[i][0] for i in content(page, hot))
 
 
 def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:

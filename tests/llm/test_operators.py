@@ -281,6 +281,21 @@ def test_html_keeps_article_text_under_slugs():
     assert html_text.main_text(page) == "\n\n".join(w.strip() for w in want)
 
 
+def test_html_ratios_choose_the_content():
+    long = "Some words of the article that go on for a while. " * 8
+    said = long.strip()
+    nav = "<nav><a href=/>Home</a></nav>"
+    links = "<ul><li><a href=/1>One more</a></li><li><a href=/2>And two</a></li><li><a href=/3>Three</a></li></ul>"
+    bare = f"<body>{nav}<div class=page><h1>Head</h1><p>A lede.</p><p>By <a href=/ann>Ann Other</a></p><div class=text>{f'<p>{long}</p>' * 5}</div><p>The end.</p>{links}</div><footer>x</footer>"
+    assert html_text.main_text(bare) == "\n\n".join(["Head", "A lede.", "By Ann Other", *[said] * 5, "The end."])
+    teaser = f"<body>{nav}<div class=story><p>Lede.</p>{f'<p>{long}</p>' * 6}<p>End.</p></div>{links}<article><p>Read this too.</p></article>"
+    assert html_text.main_text(teaser) == "\n\n".join(["Lede.", *[said] * 6, "End."])
+    several = f"<body>{nav}" + "".join(f"<article>{x}</article>" for x in (f"<p>{long}</p>" * 2, "<p>Short.</p>", f"<p>{long}</p>" * 2)) + links
+    assert html_text.main_text(several) == "\n\n".join([said, said, "Short.", said, said])
+    sole = f"<body>{links}<main>{links}<article><p>Lede.</p>{f'<p>{long}</p>' * 3}<p>End.</p></article></main>"
+    assert html_text.main_text(sole) == "\n\n".join(["Lede.", *[said] * 3, "End."])
+
+
 def test_chat_format_round_trip(spark):
     random.seed(3)
     bits = ["<|end|>", "\n", "\\", "<\\|", "[INST]", "[\\/INST]", "</s>", "<\\n>", "é", "word ", "<|start|>assistant\n", "<", "[", "|", "<s>", " a b c", "\\\\"]
