@@ -4,12 +4,13 @@ Two interpolated models, toxic and ordinary, count five-character strings of the
 characters too). Both back off to the same continuation counts of shorter strings, pooled over the classes, so a rare
 expression is judged by the pieces it shares with known ones, and a string that neither class has says nothing. The
 log-likelihood ratio of a word, and of runs of words normalised by their length, are weighed by a logistic curve that is
-fitted on training rows the counts have not seen.
+cross-fitted: each training fold is measured by the counts of the others.
 """
 
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -18,15 +19,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import id_hash, small_batches
+from ._common import cut, id_hash, small_batches
 
 ORDER = 5
 DISCOUNT = 0.75
-#: Documented bounds: about so many labelled rows of each class are used, chosen by hash; so many strings are kept,
-#: the most frequent first.
+#: Documented bound: about so many labelled rows of each class are used, chosen by hash. All their strings count.
 MOST_ROWS = 10_000
-MOST_STRINGS = 1 << 20
 FOLDS = 5
+TRAINING = range(1, FOLDS)
 RUN = 24  # words of a run whose mean is taken
 SEED = 7
 _PAD, _STOP = "\x02" * (ORDER - 1), "\x03"
@@ -120,25 +120,44 @@ def kneser_ney_ratios(counts: dict[str, tuple[int, int]]) -> tuple[dict[str, flo
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, toxic) to counts of words by class, one row per word and batch."""
+    """(text, toxic, fold) to counts of words by class, one row per word, fold and batch."""
     for batch in batches:
         c = (Counter(), Counter())
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            c[1 if toxic else 0].update((text or "").lower().split())
-        words = list({*c[0], *c[1]})
+        for text, toxic, k in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            c[1 if toxic else 0].update((w, k) for w in (text or "").lower().split())
+        keys = list({*c[0], *c[1]})
         yield pa.record_batch(
-            [pa.array(words, pa.string()), pa.array([c[0][w] for w in words], pa.int64()), pa.array([c[1][w] for w in words], pa.int64())],
-            ["word", "n0", "n1"],
-        )
-
-
-def _string_counts(fit: DataFrame) -> DataFrame:
-    words = fit.select("text", "toxic").mapInArrow(_word_counts, "word string, n0 long, n1 long")
-    words = words.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+            [
+                pa.array([w for w, _ in keys], pa.string()), pa.array([k for _, k in keys], pa.int64()),
+                pa.array([c[0][x] for x in keys], pa.int64()), pa.array([c[1][x] for x in keys], pa.int64()),
+            ],
+            ["word", "fold", "n0", "n1"],
+        )
+
+
+def _string_counts(fit: DataFrame) -> tuple[list[str], np.ndarray]:
+    """All strings, and their counts by training fold and class."""
+    cells = [f"n{c}_{k}" for k in TRAINING for c in (0, 1)]
+    words = fit.select("text", "toxic", F.col("fold").cast("long")).mapInArrow(_word_counts, "word string, fold long, n0 long, n1 long")
+    words = words.groupBy("word").agg(*[F.sum(F.when(F.col("fold") == k, F.col(f"n{c}")).otherwise(0)).alias(f"n{c}_{k}") for k in TRAINING for c in (0, 1)])
     padded = words.withColumn("s", F.concat(F.lit(_PAD), "word", F.lit(_STOP)))
     at = F.explode(F.sequence(F.lit(1), F.char_length("s") - ORDER + 1))
     strings = padded.withColumn("at", at).groupBy(F.substring("s", F.col("at"), F.lit(ORDER)).alias("g"))
-    return strings.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    found, counts = [], array("q")
+    for row in strings.agg(*[F.sum(n).alias(n) for n in cells]).toLocalIterator():
+        found.append(row[0])
+        counts.extend(row[1:])
+    return found, np.frombuffer(counts, np.int64).reshape(len(found), len(TRAINING), 2) if found else np.zeros((0, len(TRAINING), 2), np.int64)
+
+
+def _ratios_without(strings: list[str], counts: np.ndarray, held: int | None) -> tuple[dict[str, float], dict[str, float]]:
+    """Ratios from the training folds other than ``held``; from all of them if these lack a class."""
+    n = counts.sum(1)
+    if held is not None:
+        others = n - counts[:, held - 1]
+        n = others if others.sum(0).all() else n
+    seen = np.flatnonzero(n.any(1))
+    return kneser_ney_ratios({strings[i]: (a, b) for i, (a, b) in zip(seen.tolist(), n[seen].tolist(), strict=True)})
 
 
 def _feature_rows(shared, kept: list[str]):
@@ -172,7 +191,8 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS):
     """Fit on labelled rows outside fold 0; returns a broadcast (string ratios, context ratios, logistic or None).
 
     A document with several labels is toxic if one says so. Without rows of both classes nothing can be learned: the
-    logistic is None. The last fold calibrates, the others are counted.
+    logistic is None. It is fitted on all training folds, each measured by the counts of the other ones (where these lack
+    a class, by all); the result has the counts of all.
     """
     small_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
@@ -183,19 +203,22 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS):
         return sc.broadcast(({}, {}, None))
     share = F.when(F.col("toxic") == 1, F.lit(min(1.0, most_rows / sizes[1]))).otherwise(F.lit(min(1.0, most_rows / sizes[0])))
     sample = marked.filter(F.col("h") < share * F.lit(float(1 << 63))).select("doc_id", "toxic", "fold")
-    # About 2 * most_rows rows of three numbers: broadcast whatever the corpus's size.
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    counted = _string_counts(rows.filter(f"fold <> {FOLDS - 1}")).orderBy(F.desc(F.col("n0") + F.col("n1")), "g").limit(MOST_STRINGS)
-    counts = {r["g"]: (r["n0"], r["n1"]) for r in counted.toLocalIterator()}
-    strings, contexts = kneser_ney_ratios(counts)
-    model = sc.broadcast((strings, contexts))
-    held = rows.filter(f"fold = {FOLDS - 1}").select("text", F.col("toxic").cast("int").alias("toxic"))
-    held = held.mapInArrow(_feature_rows(model, ["toxic"]), "toxic int, f0 double, f1 double, f2 double").collect()
-    y = np.array([r["toxic"] for r in held], float)
+    # About 2 * most_rows rows of three numbers: broadcast whatever the corpus's size. Their texts are read five times.
+    rows = cut(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"), "fold"))
+    found, counts = _string_counts(rows)
+    x, y = [], []
+    for k in TRAINING:
+        model = sc.broadcast(_ratios_without(found, counts, k))
+        held = rows.filter(F.col("fold") == k).select("text", "toxic").mapInArrow(_feature_rows(model, ["toxic"]), "toxic int, f0 double, f1 double, f2 double")
+        for r in held.toLocalIterator():
+            x.append((r["f0"], r["f1"], r["f2"]))
+            y.append(r["toxic"])
+        model.destroy()
+    order = sorted(range(len(y)), key=lambda i: (x[i], y[i]))  # the same sums in every run
     logistic = None
     if len(set(y)) == 2:
-        logistic = fit_logistic(np.array([[r["f0"], r["f1"], r["f2"]] for r in held]), y)
-    return sc.broadcast((strings, contexts, logistic))
+        logistic = fit_logistic(np.array([x[i] for i in order]), np.array([y[i] for i in order], float))
+    return sc.broadcast((*_ratios_without(found, counts, None), logistic))
 
 
 def score_documents(docs: DataFrame, model) -> DataFrame:

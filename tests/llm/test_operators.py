@@ -213,6 +213,30 @@ def test_toxicity_separates_planted_words(spark):
     assert all(0 <= r.score <= 1 for r in held)
 
 
+@pytest.mark.parametrize("folds", [(1, 2), (3, 3), (2,), (4,)])
+def test_toxicity_scores_wherever_the_toxic_labels_fall(spark, folds):
+    ids = iter(range(1000))
+    toxic = [next(i for i in ids if zlib.crc32(str(i).encode()) % 5 == f) for f in folds]
+    rows = [(i, "zzgrob zzgrobber zzgrobest" if i in toxic else f"plain word number {i} of many") for i in range(60)] + [(60, None), (2001, "zzgrob zzgrobber")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0, int(i in toxic)) for i in range(60)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.toxicity_report(d, labels).collect()}
+    assert got[2001] > 0 and got[2001] > max(got[i] for i in range(60) if i not in toxic)
+
+
+def test_toxicity_counts_all_strings(spark):
+    rows = [(k, "abc abd" if k % 2 else "xyz", k % 2, 1 + k % 4) for k in range(8)]
+    found, counts = toxicity._string_counts(spark.createDataFrame(rows, "doc_id long, text string, toxic int, fold int"))
+    want = defaultdict(lambda: [[0, 0] for _ in range(4)])
+    for _, text, c, k in rows:
+        for w in text.split():
+            s = "\x02" * 4 + w + "\x03"
+            for i in range(len(s) - 4):
+                want[s[i : i + 5]][k - 1][c] += 1
+    assert dict(zip(found, counts.tolist(), strict=True)) == want
+    assert not hasattr(toxicity, "MOST_STRINGS")
+
+
 def test_kneser_ney_probabilities_sum_to_one():
     strings, contexts = toxicity.kneser_ney_ratios({"aaaab": (3, 1), "aaaac": (0, 2), "baaab": (2, 0)})
     assert strings["aaaac"] > 0 > strings["baaab"] and set(contexts) == {"aaaa", "baaa"}
