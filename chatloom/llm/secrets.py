@@ -23,14 +23,13 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: A candidate is a maximal run over ALPHABET with a digit and a letter.
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
-#: Bits a window must reach, by the character class of the candidate.
+CLASSES = {"digits": "09", "lower": "af", "upper": "AF"}
+#: Bits a window must reach, by the character class of the window: hex of one case with digits and letters, or mixed.
 HEX_BITS, MIXED_BITS = 3.0, 3.75
-#: Strings that look random but are no secrets: placeholders, UUIDs, dotted or slashed words with a number, alphabets.
-ALLOWED = (
-    r"(?i)example|sample|dummy|placeholder|changeme|x{6,}|abcdefgh|0123456789"
-    r"|^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
-    r"|^[A-Za-z]+([/_=-]+([A-Za-z]+|[0-9]{1,4}))+$"
-)
+#: Strings that look random but are no secrets: UUIDs, dotted or slashed words with a number.
+ALLOWED = r"(?i)^[/_=-]*([0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}|[A-Za-z]+([/_=-]+([A-Za-z]+|[0-9]{1,4}))+)[/_=-]*$"
+#: Parts between separators that are none: placeholders, alphabets.
+ALLOWED_PART = r"(?i)[^/_=-]*(?:example|sample|dummy|placeholder|changeme|x{6,}|abcdefgh|0123456789)[^/_=-]*"
 
 
 def _spans(text: Column, pattern: str, rank: int, keep=None) -> Column:
@@ -56,16 +55,18 @@ def _spans(text: Column, pattern: str, rank: int, keep=None) -> Column:
 
 
 def _hot_part(s: Column, window: int) -> Column:
-    """struct<first, last>: from the first to the last position covered by windows that reach the class's entropy.
+    """struct<first, last>: from the first to the last position covered by windows that reach their class's entropy.
 
     Each step adds one character to the counts and takes one away; with g(c) = c*log2(c) kept as a running sum,
     a window's entropy is log2(w) - sum/w."""
-    bits = F.when(s.rlike(r"^[0-9a-f]+$|^[0-9A-F]+$"), F.lit(HEX_BITS)).otherwise(F.lit(MIXED_BITS))
     g = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 2)])
 
     def code(i: Column) -> Column:
         return F.instr(F.lit(ALPHABET), F.substring(s, i, F.lit(1))) - 1
 
+    def among(k: Column, first: str, last: str) -> Column:
+        return k.between(ALPHABET.index(first), ALPHABET.index(last)).cast("int")
+
     def step(acc: Column, i: Column) -> Column:
         new = code(i)
         old = F.when(i > window, code(i - window)).otherwise(F.lit(-1))
@@ -79,14 +80,19 @@ def _hot_part(s: Column, window: int) -> Column:
             F.get(g, had + 1) - F.get(g, had) + F.when(old >= 0, F.get(g, lost - 1) - F.get(g, lost)).otherwise(F.lit(0.0))
         )
         total = acc["total"] + change
+        digits, lower, upper = (acc[n] + among(new, *ends) - among(old, *ends) for n, ends in CLASSES.items())
+        is_hex = (digits > 0) & (digits < window) & ((digits + lower == window) | (digits + upper == window))
+        bits = F.when(is_hex, F.lit(HEX_BITS)).otherwise(F.lit(MIXED_BITS))
         hot = (i >= window) & (F.lit(math.log2(window)) - total / window >= bits)
         first = F.when(hot & (acc["first"] == 0), i - window + 1).otherwise(acc["first"])
         last = F.when(hot, i).otherwise(acc["last"])
-        return F.struct(counts.alias("counts"), total.alias("total"), first.alias("first"), last.alias("last"))
+        classes = [c.alias(n) for n, c in zip(CLASSES, (digits, lower, upper), strict=True)]
+        return F.struct(counts.alias("counts"), total.alias("total"), *classes, first.alias("first"), last.alias("last"))
 
     zero = F.struct(
         F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"),
         F.lit(0.0).alias("total"),
+        *[F.lit(0).alias(n) for n in CLASSES],
         F.lit(0).alias("first"),
         F.lit(0).alias("last"),
     )
@@ -94,9 +100,31 @@ def _hot_part(s: Column, window: int) -> Column:
     return F.struct(out["first"].alias("first"), out["last"].alias("last"))
 
 
-def _entropy_spans(text: Column, window: int) -> Column:
+def _pieces(x: Column, base: Column) -> Column:
+    """array<struct<start, match>>: what base spans and allowed parts leave of the candidate x."""
+    kind = "array<struct<start:int,match:string>>"
+    ends = lambda at, y: F.struct((at + y["start"]).alias("start"), (at + y["end"]).alias("end"))
+    near = F.filter(base, lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"]))
+    allowed = _spans(x["match"], ALLOWED_PART, 0)
+    out = F.sort_array(F.concat(F.transform(near, lambda y: ends(F.lit(0), y)), F.transform(allowed, lambda y: ends(x["start"], y))))
+
+    def piece(start: Column, end: Column) -> Column:
+        match = F.substring(x["match"], start - x["start"] + 1, end - start)
+        one = F.array(F.struct(start.alias("start"), match.alias("match"))).cast(kind)
+        return F.when(end > start, one).otherwise(F.array().cast(kind))
+
+    def step(acc: Column, y: Column) -> Column:
+        return F.struct(F.greatest(acc["at"], y["end"]).alias("at"), F.concat(acc["out"], piece(acc["at"], y["start"])).cast(kind).alias("out"))
+
+    left = F.aggregate(out, F.struct(x["start"].alias("at"), F.array().cast(kind).alias("out")), step)
+    return F.concat(left["out"], piece(left["at"], x["end"]))
+
+
+def _entropy_spans(text: Column, base: Column, window: int) -> Column:
     found = _spans(text, CANDIDATE, KINDS.index("entropy"), lambda m: ~m.rlike(ALLOWED))
-    hot = F.transform(found, lambda x: F.struct(x["start"].alias("start"), _hot_part(x["match"], window).alias("hot")))
+    pieces = F.flatten(F.transform(found, lambda x: _pieces(x, base)))
+    pieces = F.filter(pieces, lambda x: (F.char_length(x["match"]) >= window) & ~x["match"].rlike(ALLOWED))
+    hot = F.transform(pieces, lambda x: F.struct(x["start"].alias("start"), _hot_part(x["match"], window).alias("hot")))
     hot = F.filter(hot, lambda x: x["hot"]["first"] > 0)
     return F.transform(
         hot,
@@ -119,9 +147,9 @@ def _joined(spans: Column) -> Column:
 def scan_secrets(df: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
     """Add ``secret_base`` and ``secret_spans`` (arrays of struct<start, rank, end>; rank indexes KINDS) to ``df``.
 
-    Base spans are the whole matches of the three rules whose value is long enough. Entropy spans are the parts of
-    candidate strings whose windows reach the entropy of their character class; a candidate on the allow-list gives
-    none, nor does one that overlaps a base span. Null and empty texts have no spans; all columns and rows stay.
+    Base spans are the whole matches of the three rules whose value is long enough. What these and the parts on the
+    allow-list leave of a candidate string is searched piece by piece: entropy spans are the parts whose windows reach
+    the entropy of their own characters' class. Null and empty texts have no spans; all columns and rows stay.
     """
     t = text_or_empty(F.col(text))
     base = F.concat(
@@ -131,10 +159,7 @@ def scan_secrets(df: DataFrame, text: str = "text", window: int = WINDOW) -> Dat
     )
     bare = lambda x: F.struct(x["start"].alias("start"), x["rank"].alias("rank"), x["end"].alias("end"))
     df = df.withColumn("secret_base", F.sort_array(F.transform(base, bare)))
-    extra = F.filter(
-        _entropy_spans(t, window),
-        lambda e: ~F.exists("secret_base", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"])),
-    )
+    extra = _entropy_spans(t, F.col("secret_base"), window)
     return df.withColumn("secret_spans", F.sort_array(F.concat("secret_base", extra)))
 
 

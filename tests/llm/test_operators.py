@@ -65,6 +65,27 @@ def test_entropy_spans_and_allow_list(spark):
     assert secrets.redact_secrets(d).first().text == t.replace("AbC9dEf2GhI5jKl8MnO1pQr4StU7", "[SECRET]")
 
 
+def test_entropy_by_window_beside_base_spans_and_allowed_parts(spark):
+    key, digest = "wJ4lrXUtnFEM1bK7MDENGqbPxRfiCYzK3yVtQ8sH", "9f86d081884c7d659a2feaa0c55ad015"
+    cases = {
+        f"KEY={digest.upper()}": digest.upper(), f"id={digest[:20]}": digest[:20], f"AKIA{'Q7' * 8}/{key}": key, f"{digest}_{key}": key,
+        f"{key}_{digest}": key, f"sample_key={key}": key, f"{key}/example": key,
+    }
+    clean = ["order-12345678901234567890", "a0123456789012345678901", "example_placeholder/some-path-name-here-2020", f"{digest}/some-path-name-here-2020"]
+    texts = [*cases, *clean]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.secret_report(d).collect()}
+    said = {r.doc_id: r.text for r in secrets.redact_secrets(d).collect()}
+    for i, t in enumerate(texts):
+        spans = [x.split(":")[1:] for x in got[i].split(",") if x.startswith("entropy")]
+        if t in cases:
+            at = t.index(cases[t])
+            assert any(int(a) <= at and int(b) >= at + len(cases[t]) for a, b in spans), (t, got[i])
+            assert cases[t] not in said[i]
+        else:
+            assert not spans, (t, got[i])
+
+
 @pytest.mark.parametrize("broadcast", [line_dedup.MOST_BROADCAST, 0])
 def test_line_dedup_equals_brute_force(spark, monkeypatch, broadcast):
     monkeypatch.setattr(line_dedup, "MOST_BROADCAST", broadcast)
