@@ -16,18 +16,37 @@ def last_line(pattern: str, group: int = 0) -> Column:
     return F.max_by(F.when(v.rlike(pattern), F.regexp_extract(v, pattern, group)), F.when(v.rlike(pattern), F.col("line_no")))
 
 
+# What a training error looks like, the gravest class first.
+CLASSES = {
+    "OOM": r"(?i)cudnn_status_alloc_failed|cublas_status_alloc_failed|out of memory",
+    "NAN": r"(?i)\bnan\b|loss is nan|nan loss",
+    "FILES": r"(?i)too many open files|errno 24",
+    "FINISHED": r"(?i)training finished|training completed",
+}
+
+
 def summarise(lines: DataFrame) -> DataFrame:
+    """One row per file; error_line is the first line that shows the class, null for IDK."""
+    v, at = F.col("value"), F.col("line_no")
+    pretrained = F.min_by("value", F.when(v.contains("pretrained="), at))
+    times = F.when(v.rlike("(?i)elapsed"), F.regexp_extract_all("value", F.lit("[0-9]{2}:[0-9]{2}:[0-9]{2}"), F.lit(0)))
+    last_time = F.try_element_at(times, F.lit(-1))
     s = lines.groupBy("file").agg(
         last_line(r"Exit code: ([0-9]+)", 1).alias("exit_code"),
         first_line(r"MODEL_PATH=(.*)", 1).alias("model_path"),
-        last_line(r"elapsed.*?([0-9]{2}:[0-9]{2}:[0-9]{2})", 1).alias("elapsed"),
-        first_line(r"(?i)out of memory.*").alias("oom"),
-        first_line(r"(?i)(?<![a-z])nan(?![a-z]).*").alias("nan"),
+        pretrained.alias("pretrained"),
+        F.max_by(last_time, F.when(last_time.isNotNull(), at)).alias("elapsed"),
+        *[F.min_by("value", F.when(v.rlike(pattern), at)).alias(name) for name, pattern in CLASSES.items()],
         F.count("*").alias("n_lines"),
     )
     status = F.when(F.col("exit_code") == "0", "COMPLETED").when(F.col("exit_code").isNotNull(), "FAILED").otherwise("UNKNOWN")
-    kind = F.when(F.col("oom").isNotNull(), "OOM").when(F.col("nan").isNotNull(), "NAN").when(status == "COMPLETED", "FINISHED").otherwise("IDK")
-    return s.select("file", status.alias("status"), kind.alias("error_class"), "exit_code", F.coalesce("model_path", F.lit("UNKNOWN")).alias("model_path"), "elapsed", "n_lines")
+    kind = F.coalesce(*[F.when(F.col(name).isNotNull(), name) for name in CLASSES], F.lit("IDK"))
+    # A line without a value after pretrained= is given whole.
+    named = F.coalesce(F.nullif(F.regexp_extract("pretrained", r".*pretrained=([^, ]+)", 1), F.lit("")), F.col("pretrained"))
+    model = F.coalesce(F.nullif(F.coalesce("model_path", named), F.lit("")), F.lit("UNKNOWN"))
+    return s.select(
+        "file", status.alias("status"), kind.alias("error_class"), F.coalesce(*CLASSES).alias("error_line"), "exit_code", model.alias("model_path"), "elapsed", "n_lines"
+    )
 
 
 def bins(df: DataFrame, x: str, y: str, width: int, height: int) -> DataFrame:

@@ -343,7 +343,7 @@ _LS = f"""WITH l AS ({_LOG}), s AS (SELECT file, arg_max(regexp_extract(value, '
 @query("log_summary", _LS + " SELECT file, status, CASE WHEN oom THEN 'OOM' WHEN nan THEN 'NAN' WHEN status = 'COMPLETED' THEN 'FINISHED' ELSE 'IDK' END AS error_class, exit_code, coalesce(model_path, 'UNKNOWN') AS model_path, elapsed, n_lines FROM t")
 def log_summary(spark, sf_dir):
     _read(spark, sf_dir, "events").createOrReplaceTempView("events")
-    return L.summarise(spark.sql(_LOG))
+    return L.summarise(spark.sql(_LOG)).drop("error_line")
 
 
 @query("invalid_rate", "WITH d AS (SELECT CASE WHEN doc_id % 3 = 0 THEN '[Invalid] ' || text || '[invalid]' ELSE text END AS t FROM documents) SELECT CAST(sum(len(regexp_extract_all(t, '(?i)\\[invalid\\]'))) AS BIGINT) AS invalid, count(*) AS lines, sum(len(regexp_extract_all(t, '(?i)\\[invalid\\]'))) * 100.0::DOUBLE / count(*) AS pct FROM d")
