@@ -48,8 +48,15 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.conversation_report(table(spark, sf_dir, "conversations"))
 
 
-#: SQL twins. The other operators are held against brute force in the tests: SQL has no form of them.
-ORACLE: dict[str, str] = {}
+#: SQL twins. op8's is its definition as windows by the normalised text. The size and target columns of op3, the windows of
+#: op9, the numbering of op5 and the base columns of op1 could have one but have none yet; the rest of op1, op2's one-word
+#: edits, op4's parser, op6's components, op7's models and op10's escapes are held against brute force in the tests.
+ORACLE: dict[str, str] = {
+    "op8_exact_dedup": r"""WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS norm FROM documents),
+ r AS (SELECT doc_id, chars, norm, count(*) OVER (PARTITION BY norm) AS n, first_value(doc_id) OVER w AS keep_id, first_value(chars) OVER w AS best
+ FROM d WINDOW w AS (PARTITION BY norm ORDER BY chars DESC, doc_id NULLS LAST))
+SELECT doc_id, keep_id, n AS group_size, chars = best AND doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256 FROM r""",
+}
 
 QUERIES = {
     f.__name__: f

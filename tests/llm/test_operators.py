@@ -10,7 +10,9 @@ import pytest
 
 import corpus_pipeline
 from chatloom.llm import chat_format, decontaminate, exact_dedup, html_text, jaccard_join, line_dedup, mixing, secrets, sharding, toxicity
-from chatloom.llm.queries import QUERIES
+from chatloom.llm.queries import ORACLE, QUERIES
+from oracle import rows as result_rows
+from oracle import twin
 
 SF = "/root/testdata/sf0.001"
 LONG = " ".join(f"word{i}" for i in range(3000))
@@ -277,6 +279,11 @@ def test_exact_dedup(spark, docs, odd):
     assert exact_dedup.radix_groups(odd).count() == len(ODD)
 
 
+@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
+def test_exact_dedup_equals_its_sql_twin(spark, sf):
+    assert result_rows(QUERIES["op8_exact_dedup"](spark, sf)) == twin(ORACLE["op8_exact_dedup"], sf)
+
+
 def test_decontamination(spark, docs):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet").unionAll(spark.createDataFrame([(900, "word1 Word2"), (901, None), (902, "?!"), (903, LONG)], "item_id long, text string"))
     d = docs.select("doc_id", "text").unionAll(spark.createDataFrame([(-1, "word1, word2 x"), (-2, None), (-3, LONG[100:9000])], "doc_id long, text string"))
