@@ -21,9 +21,9 @@ FALLBACK = {
     "<|channel|>final<|message|>": "\n</think>\n\n",
     "<|end|>": "",
 }
-OLD_START = r"(?i)<unused94>\s*(?:thought)?\s*"
-OLD_PAIR = r"(?s)^(.*?)(?i:<unused94>)\s*+(?i:thought)?+\s*+(.*?)(?i:<unused95>)(.*)\z"
-OLD_END = r"(?is)^(.*?)<unused95>(.*)\z"
+OLD_START = rf"(?i)<unused94>{_W}*(?:thought)?{_W}*"
+OLD_FIRST = rf"(?s)^(.*?)(?i:<unused94>){_W}*+(?i:thought)?+{_W}*+(.*)\z"
+OLD_END = "<unused95>"
 DIFFICULTY = r"(?i)difficulty(?:\s+level)?:?\**:?\s*([1-5])(?![0-9])"
 RELEVANCE = r"(?i)relevance:?\**:?\s*([1-5])(?![0-9])"
 RECOMMENDATION = r"(?i)recommendation:?\**:?\s*(Keep|Revise|Discard)"
@@ -82,35 +82,44 @@ def harmony_fallback(text: Column) -> Column:
     return F.when(harmony_valid(text), harmony_text(text)).otherwise(strip(loose))
 
 
+def _old_parts(text: Column) -> tuple[Column, Column, Column]:
+    """Whether an old start tag is there, what stands before the first one, and what behind it."""
+    return text.rlike(OLD_START), F.regexp_extract(text, OLD_FIRST, 1), F.regexp_extract(text, OLD_FIRST, 2)
+
+
 def think_status(text: Column) -> Column:
-    low = F.lower(text)
-    start, end = low.contains("<unused94>"), low.contains("<unused95>")
+    start, _, after = _old_parts(text)
+    end = text.contains(OLD_END)
     return (
         F.when(text == "", STATUSES[0])
         .when(~start & ~end, STATUSES[1])
-        .when(text.rlike(OLD_PAIR), STATUSES[2])
-        .when(end & ~start, STATUSES[3])
+        .when(start & after.contains(OLD_END), STATUSES[2])
+        .when(~start, STATUSES[3])
         .when(start, STATUSES[4])
     )
 
 
 def think_text(text: Column) -> Column:
-    """Old reasoning tags become think tags; what is missing of a pair is added."""
+    """Old reasoning tags become think tags: the first pair, or all up to the first end tag, or every start tag with the
+    end added if it has none. End tags behind the first one go."""
     nl = F.lit("\n")
-
-    def built(prefix: Column, body: Column, answer: Column) -> Column:
-        tail = lambda c: F.regexp_replace(c, r"\n+\z", "")
-        head = F.when(tail(prefix) != "", F.concat(tail(prefix), nl)).otherwise(F.lit(""))
-        rest = F.regexp_replace(answer, r"^\n+", "")
-        return F.concat(head, F.lit("<think>\n"), strip_newlines(body), F.lit("\n</think>"), F.when(rest != "", F.concat(nl, rest)).otherwise(F.lit("")))
-
-    part = lambda p, k: F.regexp_extract(text, p, k)
-    start = r"(?s)^(.*?)(?i:<unused94>)\s*+(?i:thought)?+\s*+(.*)\z"
+    _, before, after = _old_parts(text)
+
+    def built(said: Column) -> Column:
+        """What stands before the first end tag as reasoning, the rest as answer."""
+        body = F.substring_index(said, OLD_END, 1)
+        answer = F.ltrim(F.replace(F.substring(said, F.char_length(body) + len(OLD_END) + 1, F.char_length(said)), F.lit(OLD_END), F.lit("")), nl)
+        tail = F.when(answer != "", F.concat(nl, answer)).otherwise(F.lit(""))
+        return F.concat(F.lit("<think>\n"), F.trim(body, nl), F.lit("\n</think>"), tail)
+
+    head = F.when(before != "", F.concat(F.rtrim(before, nl), nl)).otherwise(F.lit(""))
+    opened = F.regexp_replace(text, OLD_START, "<think>\n")
+    closed = F.when(opened.contains("</think>"), opened).otherwise(F.concat(F.rtrim(opened, nl), F.lit("\n</think>")))
     status = think_status(text)
     return (
-        F.when(status == STATUSES[2], built(part(OLD_PAIR, 1), part(OLD_PAIR, 2), part(OLD_PAIR, 3)))
-        .when(status == STATUSES[3], built(F.lit(""), part(OLD_END, 1), part(OLD_END, 2)))
-        .when(status == STATUSES[4], F.when(F.lower(text).contains("<unused95>"), F.concat(part(start, 1), built(F.lit(""), part(start, 2), F.lit("")))).otherwise(built(part(start, 1), part(start, 2), F.lit(""))))
+        F.when(status == STATUSES[2], F.concat(head, built(after)))
+        .when(status == STATUSES[3], built(text))
+        .when(status == STATUSES[4], closed)
         .otherwise(text)
     )
 
@@ -151,6 +160,12 @@ def index_letter(c: Column) -> Column:
     return F.when(c.between(0, 25), F.chr(c + 65))
 
 
+def json_index_letter(json: Column) -> Column:
+    """As index_letter from a JSON text: whole numbers, and true and false as 1 and 0; null for any other JSON."""
+    number = F.when(json == "true", 1).when(json == "false", 0).when(json.rlike(r"^-?[0-9]+\z"), json.try_cast("int"))
+    return index_letter(number)
+
+
 def non_empty(c: Column) -> Column:
     """Trimmed text; null for blank, none, null and nan."""
     s = strip(c)

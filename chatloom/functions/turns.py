@@ -76,10 +76,24 @@ def asked(question: Column, answer: Column, user: str = "user") -> Column:
     return F.array(turn(F.lit(user), question), turn(F.lit("assistant"), answer))
 
 
+def first_value(conv: Column, index: Column) -> Column:
+    """The text at a place that may be null."""
+    return F.get(F.transform(conv, lambda t: t["value"]), index)
+
+
 def map_assistants(conv: Column, change: Callable[[Column], Column]) -> Column:
     return F.transform(conv, lambda t: turn(t["from"], F.when(_assistant_like(t["from"]), change(t["value"])).otherwise(t["value"])))
 
 
+def map_with_status(conv: Column, change: Callable[[Column], Column], status: Callable[[Column], Column]) -> Column:
+    """struct<conversations, status>: all assistant turns changed, and the status of the last one's text; no_assistant_turn
+    without one, no_conversations for null. A null text counts as the text None."""
+    said = lambda v: F.coalesce(v, F.lit("None"))
+    found = F.transform(F.filter(conv, lambda t: _assistant_like(t["from"])), lambda t: status(said(t["value"])))
+    told = F.when(conv.isNull(), "no_conversations").otherwise(F.coalesce(F.try_element_at(found, F.lit(-1)), F.lit("no_assistant_turn")))
+    return F.struct(map_assistants(conv, lambda v: change(said(v))).alias("conversations"), told.alias("status"))
+
+
 def map_roles(conv: Column, aliases: dict[str, str] = ROLE_ALIASES) -> Column:
     def name(role: Column) -> Column:
         out = role

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from chatloom.functions.strings import index_letter, letter_of, non_empty
+from chatloom.functions.strings import index_letter, letter_of, non_empty, strip
+from chatloom.functions.turns import assistant_index, first_value, user_index
+from chatloom.operators.sampling import arithmetic_hash, few_shot
 
 
 def condensed_letter(abc: Column, answer_idx: Column, label: Column, idx: Column) -> Column:
@@ -40,11 +46,6 @@ def enrich(rows: DataFrame, source: DataFrame, keys: list[str], labels: list[str
     return out.select(*rows.columns, *[F.col(f"_{c}").alias(c) for c in labels], lookup.alias("lookup"))
 
 
-def arithmetic_hash(id_col: Column, seed: int) -> Column:
-    """32 bits from an integer id, the same in any SQL engine."""
-    return (F.pmod(id_col, F.lit(1 << 31)) * 2654435761 + seed) % (1 << 32)
-
-
 def smallest(df: DataFrame, rank: Column, n: int, tie: str, buckets: int = 4096) -> DataFrame:
     """Add ``chosen``: exactly the n rows of smallest (rank, tie). Counts by bucket leave only the boundary bucket to order."""
     x = df.withColumn("_r", rank).withColumn("_b", F.expr(f"_r div {(1 << 32) // buckets}"))
@@ -76,21 +77,28 @@ def accuracy(df: DataFrame, *by: str) -> DataFrame:
     return df.groupBy(*by).agg(labeled.alias("labeled"), correct.alias("correct"), F.try_divide(correct * 100.0, labeled).alias("pct"))
 
 
+def with_defaults(df: DataFrame) -> DataFrame:
+    """No match and no tries where nothing is said."""
+    return df.withColumns({"exact_match": F.coalesce("exact_match", F.lit(False)), "try_count": F.coalesce("try_count", F.lit(0))})
+
+
 def pending(df: DataFrame, attempt: int, resume: bool = False) -> Column:
+    """Whether a row is tried: all in the first attempt unless resumed, else labelled rows without a match."""
     first = F.lit(attempt == 1 and not resume)
     wrong = ~F.coalesce("exact_match", F.lit(False)) & (F.coalesce("label_letter", F.lit("")) != "")
     return first | wrong
 
 
-def generate(df: DataFrame, make, prompt: str = "prompt", out: str = "output") -> DataFrame:
-    """Batch generation: ``make`` maps a list of prompts to a list of texts, batch by batch in Python workers."""
-    schema = df.schema.add(out, "string")
+def generate(df: DataFrame, make: Callable[[list], list], prompt: str = "prompt", out: str = "output") -> DataFrame:
+    """Batch generation: ``make`` maps a list of prompts to a list of texts, batch by batch in Python workers. Each text stays
+    with its row, so nothing is joined by position."""
 
-    def run(frames):
-        for f in frames:
-            yield f.assign(**{out: make(f[prompt].tolist())})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = pa.array(make(b.column(b.schema.names.index(prompt)).to_pylist()), pa.string())
+            yield pa.record_batch([*b.columns, texts], [*b.schema.names, out])
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, StructType([*df.schema.fields, StructField(out, StringType())]))
 
 
 def retry_rounds(df: DataFrame, answer, match, rounds: int, resume: bool = False) -> DataFrame:
@@ -107,3 +115,70 @@ def retry_rounds(df: DataFrame, answer, match, rounds: int, resume: bool = False
             }
         ).drop("_todo")
     return df
+
+
+def distill(
+    df: DataFrame, make: Callable[[list, int], list], match: Callable[[Column, Column], Column], rounds: int, folder: str, resume: bool = False
+) -> DataFrame:
+    """Up to ``rounds`` attempts of a generator at the rows that are pending and have a ``prompt``; it ends early when there
+    are none. ``make(prompts, attempt)`` gives the texts. Rows need value, label_letter, exact_match, try_count; the others
+    stay. The whole table is written to ``folder`` after every attempt, where lost work begins again: the last one is
+    returned."""
+    spark, df = df.sparkSession, with_defaults(df)
+    for attempt in range(1, rounds + 1):
+        todo = pending(df, attempt, resume) & F.col("prompt").isNotNull()
+        if df.filter(todo).isEmpty():
+            break
+        tried = generate(df.filter(todo), lambda prompts, n=attempt: make(prompts, n), out="_new").withColumn("value", strip(F.col("_new"))).drop("_new")
+        tried = tried.withColumns({"exact_match": match(F.col("value"), F.col("label_letter")), "try_count": F.lit(attempt)})
+        path = f"{folder}/attempt-{attempt}"
+        df.filter(~todo).unionByName(tried).write.parquet(path)
+        df = spark.read.parquet(path)
+    return df
+
+
+def not_failed(df: DataFrame) -> DataFrame:
+    """Rows whose label agreement is anything but fail, null included."""
+    return df.filter(~F.col("label_agreement").eqNullSafe(F.lit("fail")))
+
+
+def qa_pools(rows: DataFrame) -> DataFrame:
+    """question, answer, labeled of the rows of conversations that ask and answer; labelled and other pairs are two pools."""
+    conv = F.col("conversations")
+    user, asst = user_index(conv), assistant_index(conv)
+    asked = rows.filter(user.isNotNull() & asst.isNotNull())
+    said = [strip(first_value(conv, i)).alias(n) for i, n in ((user, "question"), (asst, "answer"))]
+    return asked.select(*[c for c in rows.columns if c != "conversations"], *said, (F.coalesce("label_letter", F.lit("")) != "").alias("labeled"))
+
+
+def pool_prompts(pools: DataFrame, pair_id: str, ratio: float, k: int = 5, seed: int = 42) -> DataFrame:
+    """labeled, prompt, shot and the pairs' columns: int(n * ratio) prompts for each pool of n pairs, each with min(k, n)
+    different pairs of it. A pool without pairs is an error."""
+    out = None
+    sizes = {r["labeled"]: r["count"] for r in pools.groupBy("labeled").count().collect()}
+    for labeled in (True, False):
+        if not sizes.get(labeled):
+            raise ValueError(f"no {'labelled' if labeled else 'unlabelled'} pairs")
+        prompts = pools.sparkSession.range(int(sizes[labeled] * ratio)).withColumnRenamed("id", "prompt")
+        drawn = few_shot(prompts, "prompt", pools.filter(F.col("labeled") == labeled), pair_id, k, seed)
+        out = drawn if out is None else out.unionByName(drawn)
+    return out
+
+
+def expected_pairs(documents: DataFrame, each: int = 10, limit: int = 0) -> DataFrame:
+    """How many documents there are and how many pairs they should give: ``each`` of every document, or the limit."""
+    n = F.count("*")
+    return documents.agg(n.alias("documents"), (F.lit(limit).cast("long") if limit else n * each).alias("expected"))
+
+
+def enrichment_totals(merged: DataFrame) -> DataFrame:
+    """Over rows with added and overwritten: how many there are, and what they got."""
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0).cast("long"))
+    return merged.agg(F.count("*").alias("rows_enriched"), total("added").alias("fields_added"), total("overwritten").alias("fields_overwritten"))
+
+
+def condense_counts(rows: DataFrame) -> DataFrame:
+    """Counters over condensed rows: label_letter, label_text, source_path, source_index."""
+    none = F.col("label_letter").isNull() & F.col("label_text").isNull()
+    said = {"with_letter": "label_letter", "with_text": "label_text", "with_path": "source_path", "with_index": "source_index"}
+    return rows.agg(F.count("*").alias("written"), *[F.count(c).alias(n) for n, c in said.items()], F.count_if(none).alias("without_label"))

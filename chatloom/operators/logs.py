@@ -49,6 +49,10 @@ def summarise(lines: DataFrame) -> DataFrame:
     )
 
 
+def completed(summary: DataFrame) -> DataFrame:
+    return summary.filter("status = 'COMPLETED'")
+
+
 def bins(df: DataFrame, x: str, y: str, width: int, height: int) -> DataFrame:
     """Grid cells of a series. A flat series has one row of cells."""
     low_x, high_x, low_y, high_y = df.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()

@@ -12,6 +12,16 @@ SKIP = (
     "conversations", "id", "split", "question_type", "task", "label_agreement", "distilled_model", "distilled_source_index",
     "distilled_source_path", "distilled_timestamp_utc", "distilled_prompt_used", "distilled_finish_reason", "distilled_error",
 )
+#: Label keys that come first, in this order.
+CORE = (
+    "true_label", "true_answer_text", "true_label_idx", "true_rationale", "label", "answer", "answer_id", "source_answer_idx", "has_label", "label_type",
+    "label_match_mode", "label_join_status", "label_source_split",
+)
+#: Fields that condensing leaves out.
+ORIGINAL = (
+    "answer_id", "question_id", "question_type", "split", "task", "true_label", "true_label_abc", "true_label_idx", "true_answer_text", "true_rationale",
+    "source_answer_idx", "label_type", "has_label", "label_match_mode", "label_join_status",
+)
 LABEL_LIKE = r"(?i)(label|answer|rationale|target|gold|correct)"
 
 
@@ -65,6 +75,10 @@ def labels_of(row: Column) -> Column:
     return F.map_filter(row, lambda k, v: ~k.isin(*SKIP) & k.rlike(LABEL_LIKE) & says_something(v))
 
 
+def without(row: Column, keys: tuple = ORIGINAL) -> Column:
+    return F.map_filter(row, lambda k, _: ~k.isin(*keys))
+
+
 def all_but_skipped(row: Column) -> Column:
     return F.map_filter(row, lambda k, _: ~k.isin(*SKIP))
 
@@ -99,7 +113,13 @@ def embed(row: Column, source_raw: Column, payload: bool = True, raw: bool = Tru
     return row
 
 
-def to_line(row: Column) -> Column:
-    """The entries as one JSON object, keys in order."""
-    parts = F.transform(F.array_sort(F.map_entries(row)), lambda e: F.concat(quoted(e["key"]), F.lit(":"), e["value"]))
+def to_line(row: Column, first: tuple = ()) -> Column:
+    """The entries as one JSON object: the keys in ``first`` as listed there, then the others in order."""
+    entries_ = F.map_entries(row)
+    if first:
+        place = lambda k: F.array_position(F.array(*[F.lit(x) for x in first]), k)
+        ranked = F.transform(entries_, lambda e: F.struct(F.when(place(e["key"]) > 0, place(e["key"])).otherwise(len(first) + 1).alias("at"), e["key"].alias("key"), e["value"].alias("value")))
+    else:
+        ranked = entries_
+    parts = F.transform(F.array_sort(ranked), lambda e: F.concat(quoted(e["key"]), F.lit(":"), e["value"]))
     return F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))

@@ -5,6 +5,8 @@ The tables hold no markup, so both sides inject the same one with portable SQL e
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from chatloom.operators import open_keys as K
 from chatloom.operators import provenance as V
 from chatloom.operators import sampling as P
 from chatloom.sources import trainer as R
+from chatloom.sources.scratch import scratch_dir
 
 LETTER = "chr(65 + CAST(conv_id % 5 AS INT))"
 LABEL = f"CASE WHEN conv_id % 7 = 0 THEN NULL ELSE {LETTER} END"
@@ -31,7 +34,7 @@ CTE = f"WITH c AS (SELECT conv_id, turn, role, {MARKED} AS text, {LABEL} AS labe
 ASST = CTE + ", a AS (SELECT * FROM c WHERE role = 'assistant')"
 RUBRIC = """CASE WHEN doc_id % 5 = 4 THEN text ELSE '**Difficulty level:** ' || CAST(1 + doc_id % 6 AS VARCHAR(9)) || chr(10) || '- **Clinical relevance:** ' ||
  CAST(1 + doc_id % 5 AS VARCHAR(9)) || chr(10) || '**Overall Recommendation:** ' || CASE WHEN doc_id % 3 = 0 THEN 'keep' WHEN doc_id % 3 = 1 THEN 'Revise' ELSE '[Keep' END ||
- chr(10) || '**Feedback:** ' || substr(text, 1, 40) END"""
+ chr(10) || '**Feedback:** ' || text END"""
 BLOCKS = "CASE WHEN doc_id % 3 = 0 THEN text ELSE '<qa><question>' || lang || '</question><answer>' || source || '</answer></qa> x <QA><question>q2</question><answer>' || CASE WHEN doc_id % 2 = 0 THEN '' ELSE lang END || '</answer></QA>' END"
 SINGLE = "'<|channel|>final<|message|>old<|channel|>final<|message|><question>' || lang || CASE WHEN doc_id % 2 = 0 THEN '</question><answer>' ELSE '--- Answer ---' END || source || '</answer>'"
 
@@ -107,23 +110,54 @@ def harmony_invalid_count(spark, sf_dir):
     return answers(spark, sf_dir).agg(F.count("*").alias("rows_seen"), F.count_if(~S.harmony_valid(F.col("text"))).alias("invalid"))
 
 
-_STATUS = """CASE WHEN text = '' THEN 'empty' WHEN text NOT LIKE '%<unused9%' THEN 'no_legacy_tags' WHEN text LIKE '%<unused94>%<unused95>%' THEN 'paired_rewritten'
- WHEN text LIKE '%<unused95>%' THEN 'end_only_wrapped' ELSE 'start_only_closed' END"""
-_nl = lambda e: f"trim({e}, chr(10))"
-_THINK = f"""CASE WHEN conv_id % 6 = 2 THEN '<think>' || chr(10) || {_nl("regexp_replace(regexp_extract(text, '(?s)^<unused94>thought(.*?)<unused95>', 1), '^[ \\n\\t\\r\\f\\v]+', '')")} || chr(10) || '</think>' || chr(10) || 'Answer: B.'
- WHEN conv_id % 6 = 3 THEN '<think>' || chr(10) || {_nl("split_part(text, '<unused95>', 1)")} || chr(10) || '</think>' || chr(10) || '**B. x**'
- WHEN conv_id % 6 = 4 THEN '<think>' || chr(10) || {_nl("ltrim(substr(text, 11))")} || chr(10) || '</think>' ELSE text END"""
+#: Every way in which old tags stand in a text, by conversation.
+OLD_TAGS = """CASE CAST(conv_id % 15 AS INT) WHEN 0 THEN text WHEN 1 THEN '' WHEN 2 THEN '<unused94>thought' || chr(10) || text || '<unused95>' || chr(10) || 'Answer: B.'
+ WHEN 3 THEN text || '<unused95>' || '**B. x**' WHEN 4 THEN '<unused94>' || text WHEN 5 THEN '<unused94>' || text || '<unused95>b<unused95>c'
+ WHEN 6 THEN 'a<UNUSED94> Thought' || chr(10) || chr(10) || text || chr(10) || '<unused95>' || chr(10) || chr(10) || 'x' WHEN 7 THEN '<unused94>' || text || '<unused94>b'
+ WHEN 8 THEN 'abc<unused94>' || text || chr(10) || chr(10) WHEN 9 THEN '<unused94>' || text || '</think>' WHEN 10 THEN '<unused95>x<unused94>' || text
+ WHEN 11 THEN chr(10) || '<unused94>' || text || '<UNUSED95>' WHEN 12 THEN chr(10) || chr(10) || '<unused94>' || text || '<unused95>' || chr(10)
+ WHEN 13 THEN chr(10) || text || '<unused95>a<unused95>' || chr(10) ELSE text || chr(10) || '<unused94> ' || chr(10) || '<unused95>' END"""
+_OLD = rf"(?i)<unused94>{_STRIP}*(?:thought)?{_STRIP}*"
+_PARTS = rf"(?s)^(.*?)(?i:<unused94>){_STRIP}*(?i:thought)?{_STRIP}*(.*)\z"
+_THINK = f"""p AS (SELECT *, regexp_matches(text, '{_OLD}') AS st, contains(text, '<unused95>') AS en, regexp_extract(text, '{_PARTS}', 1) AS pre, regexp_extract(text, '{_PARTS}', 2) AS post FROM o),
+ s AS (SELECT *, CASE WHEN text = '' THEN 'empty' WHEN NOT st AND NOT en THEN 'no_legacy_tags' WHEN st AND contains(post, '<unused95>') THEN 'paired_rewritten' WHEN NOT st THEN 'end_only_wrapped'
+ ELSE 'start_only_closed' END AS status, regexp_replace(text, '{_OLD}', '<think>' || chr(10), 'g') AS opened, CASE WHEN st THEN post ELSE text END AS said FROM p),
+ e AS (SELECT *, strpos(said, '<unused95>') AS spot, ltrim(replace(substr(said, strpos(said, '<unused95>') + 10), '<unused95>', ''), chr(10)) AS answer FROM s),
+ f AS (SELECT *, '<think>' || chr(10) || trim(substr(said, 1, spot - 1), chr(10)) || chr(10) || '</think>' || CASE WHEN answer <> '' THEN chr(10) || answer ELSE '' END AS built FROM e),
+ t AS (SELECT * EXCLUDE (text), CASE status WHEN 'paired_rewritten' THEN CASE WHEN pre <> '' THEN rtrim(pre, chr(10)) || chr(10) ELSE '' END || built WHEN 'end_only_wrapped' THEN built
+ WHEN 'start_only_closed' THEN CASE WHEN contains(opened, '</think>') THEN opened ELSE rtrim(opened, chr(10)) || chr(10) || '</think>' END ELSE text END AS text FROM f)"""
+_TAGGED = f"WITH o AS (SELECT conv_id, turn, {OLD_TAGS} AS text FROM conversations WHERE role = 'assistant'), {_THINK}"
+
+
+def _tagged(spark, sf_dir):
+    return _read(spark, sf_dir, "conversations").filter("role = 'assistant'").selectExpr("conv_id", "turn", f"{OLD_TAGS} AS text")
 
 
-@query("think_tags", ASST + f" SELECT conv_id, turn, {_STATUS} AS status, {_THINK} AS text FROM a")
+@query("think_tags", _TAGGED + " SELECT conv_id, turn, status, text FROM t")
 def think_tags(spark, sf_dir):
     t = F.col("text")
-    return answers(spark, sf_dir).select("conv_id", "turn", S.think_status(t).alias("status"), S.think_text(t).alias("text"))
+    return _tagged(spark, sf_dir).select("conv_id", "turn", S.think_status(t).alias("status"), S.think_text(t).alias("text"))
 
 
-@query("think_status_counts", ASST + f" SELECT {_STATUS} AS status, count(*) AS n FROM a GROUP BY 1")
+@query("think_status_counts", _TAGGED + " SELECT status, count(*) AS n FROM t GROUP BY 1")
 def think_status_counts(spark, sf_dir):
-    return answers(spark, sf_dir).groupBy(S.think_status(F.col("text")).alias("status")).agg(F.count("*").alias("n"))
+    return _tagged(spark, sf_dir).groupBy(S.think_status(F.col("text")).alias("status")).agg(F.count("*").alias("n"))
+
+
+_ROLE = "CASE WHEN role = 'assistant' AND conv_id % 11 = 0 THEN 'tool' WHEN role = 'assistant' AND conv_id % 4 = 0 THEN ' GPT' ELSE role END"
+_ROWS = f"""WITH o AS (SELECT conv_id, turn, {_ROLE} AS role, CASE WHEN conv_id % 13 = 0 THEN 'None' WHEN role = 'assistant' THEN {OLD_TAGS} ELSE text END AS text FROM conversations), {_THINK},
+ l AS (SELECT conv_id, turn, role, lower(trim(role)) IN ('assistant', 'gpt', 'model') AS asst, status, text FROM t)"""
+
+
+@query("think_rows", _ROWS + """ SELECT l.conv_id, coalesce(arg_max(l.status, l.turn) FILTER (WHERE asst), 'no_assistant_turn') AS status,
+ string_agg(l.role || ':' || CASE WHEN asst THEN l.text WHEN l.conv_id % 13 = 0 THEN '' ELSE o.text END, '|' ORDER BY l.turn) AS said FROM l JOIN o ON l.conv_id = o.conv_id AND l.turn = o.turn GROUP BY l.conv_id""")
+def think_rows(spark, sf_dir):
+    text = F.expr(f"CASE WHEN conv_id % 13 = 0 THEN NULL WHEN role = 'assistant' THEN {OLD_TAGS} ELSE text END")
+    turn = F.struct("turn", F.struct(F.expr(_ROLE).alias("from"), text.alias("value")).alias("t"))
+    rows = _read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("ts"))
+    row = rows.select("conv_id", T.map_with_status(F.col("ts.t"), S.think_text, S.think_status).alias("r"))
+    said = F.transform("r.conversations", lambda t: F.concat(t["from"], F.lit(":"), F.coalesce(t["value"], F.lit(""))))
+    return row.select("conv_id", "r.status", F.array_join(said, "|").alias("said"))
 
 
 _LAST = f"upper(regexp_extract_all(text, '{S.ANSWER}', 1)[-1])"
@@ -161,9 +195,9 @@ def reward_accuracy(spark, sf_dir):
     return answers(spark, sf_dir).select("conv_id", "turn", S.reward_accuracy(F.col("text"), F.col("label_letter")).alias("reward"))
 
 
-@query("reward_format", ASST + f", t AS (SELECT conv_id, turn, {_THINK} AS text FROM a) SELECT conv_id, turn, CASE WHEN contains(text, '<think>') AND contains(text, '</think>') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS reward FROM t")
+@query("reward_format", _TAGGED + " SELECT conv_id, turn, CASE WHEN contains(text, '<think>') AND contains(text, '</think>') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS reward FROM t")
 def reward_format(spark, sf_dir):
-    return answers(spark, sf_dir).select("conv_id", "turn", S.reward_format(S.think_text(F.col("text"))).alias("reward"))
+    return _tagged(spark, sf_dir).select("conv_id", "turn", S.reward_format(S.think_text(F.col("text"))).alias("reward"))
 
 
 @query("rewrite_assistants", CTE + " SELECT conv_id, string_agg(role || ':' || CASE WHEN role = 'assistant' THEN 'new' ELSE text END, '|' ORDER BY turn) || CASE WHEN count(*) FILTER (WHERE role = 'assistant') = 0 THEN '|assistant:new' ELSE '' END AS said FROM c GROUP BY conv_id")
@@ -217,6 +251,16 @@ def eval_by_try(spark, sf_dir):
     return _compared(spark, sf_dir).groupBy(F.coalesce(F.col("quality").cast("string"), F.lit("Unknown")).alias("try_count")).agg(*_AGGS())
 
 
+_TRY = "CASE WHEN doc_id % 9 = 0 THEN 'Unknown' ELSE CAST(1 + doc_id % 8 AS VARCHAR(9)) END"
+
+
+@query("eval_recommendations", _D + f", e AS (SELECT {_TRY} AS try_count, {_EF}, upper({_REC}[1]) || lower({_REC}[2:]) AS recommendation FROM d) SELECT try_count, recommendation, count(*) AS n FROM e WHERE eval_difficulty IS NOT NULL AND eval_relevance IS NOT NULL AND recommendation IS NOT NULL GROUP BY 1, 2")
+def eval_recommendations(spark, sf_dir):
+    """How often each recommendation is given, by try count."""
+    rated = _evaluated(spark, sf_dir).filter("eval_difficulty IS NOT NULL AND eval_relevance IS NOT NULL AND eval_recommendation IS NOT NULL")
+    return rated.groupBy(F.expr(_TRY).alias("try_count"), F.col("eval_recommendation").alias("recommendation")).agg(F.count("*").alias("n"))
+
+
 _PAIRS = _D + f", p AS (SELECT doc_id, unnest(list_zip(regexp_extract_all(blocks, '{S.QA}', 1), regexp_extract_all(blocks, '{S.QA}', 2))) AS z FROM d)"
 _qz, _az = _strip("z[1]"), _strip("z[2]")
 
@@ -257,12 +301,6 @@ def condense_labels(spark, sf_dir):
     return _condensed(spark, sf_dir)
 
 
-@query("condense_stats", _CL + " SELECT count(*) AS written, count(label_letter) AS with_letter, count(label_text) AS with_text, count(*) FILTER (WHERE label_letter IS NULL AND label_text IS NULL) AS without_label FROM c")
-def condense_stats(spark, sf_dir):
-    none = F.col("label_letter").isNull() & F.col("label_text").isNull()
-    return _condensed(spark, sf_dir).agg(F.count("*").alias("written"), F.count("label_letter").alias("with_letter"), F.count("label_text").alias("with_text"), F.count_if(none).alias("without_label"))
-
-
 _SR = "WITH n AS (SELECT source AS path, count(*) AS n FROM documents GROUP BY source), r AS (SELECT path, CAST(sum(n) OVER (ORDER BY path) AS BIGINT) - n AS range_start, CAST(sum(n) OVER (ORDER BY path) AS BIGINT) - 1 AS range_end FROM n)"
 
 
@@ -281,6 +319,33 @@ def range_attribution(spark, sf_dir):
     return D.attribute_rows(_read(spark, sf_dir, "documents").select("doc_id"), _ranges(spark, sf_dir), "doc_id")
 
 
+@query("condense_stats", _CL + _SR.replace("WITH n AS", ", n AS") + " SELECT count(*) AS written, count(label_letter) AS with_letter, count(label_text) AS with_text, count(path) AS with_path, count(path) AS with_index, count(*) FILTER (WHERE label_letter IS NULL AND label_text IS NULL) AS without_label FROM c LEFT JOIN r ON c.doc_id BETWEEN range_start AND range_end")
+def condense_stats(spark, sf_dir):
+    rows = D.attribute_rows(_condensed(spark, sf_dir), _ranges(spark, sf_dir), "doc_id")
+    return D.condense_counts(rows.withColumnRenamed("path", "source_path"))
+
+
+_JSON_INDEX = "CASE CAST(doc_id % 8 AS INT) WHEN 0 THEN 'true' WHEN 1 THEN 'false' WHEN 2 THEN '\"1\"' WHEN 3 THEN '2.0' WHEN 4 THEN 'null' WHEN 5 THEN '-1' ELSE '' || doc_id % 31 END"
+
+
+@query("index_letters", "SELECT doc_id, CASE WHEN doc_id % 8 = 0 THEN 'B' WHEN doc_id % 8 = 1 THEN 'A' WHEN doc_id % 8 > 5 AND doc_id % 31 < 26 THEN chr(65 + CAST(doc_id % 31 AS INT)) END AS letter FROM documents")
+def index_letters(spark, sf_dir):
+    return _read(spark, sf_dir, "documents").select("doc_id", S.json_index_letter(F.expr(_JSON_INDEX)).alias("letter"))
+
+
+_LABELLED = "'{\"doc_id\":' || doc_id || ',\"split\":\"train\",\"my_label\":2,\"true_label\":\"b\",\"gold\":3,\"label\":1,\"question_id\":4,\"answer\":null}'"
+
+
+@query("drop_label_fields", "SELECT doc_id, '{\"answer\":null,\"doc_id\":' || doc_id || ',\"gold\":3,\"label\":1,\"my_label\":2}' AS line FROM documents")
+def drop_label_fields(spark, sf_dir):
+    return _read(spark, sf_dir, "documents").select("doc_id", K.to_line(K.without(K.entries(F.expr(_LABELLED)))).alias("line"))
+
+
+@query("core_labels_first", "SELECT doc_id, '{\"true_label\":\"b\",\"label\":1,\"gold\":3,\"my_label\":2}' AS line FROM documents")
+def core_labels_first(spark, sf_dir):
+    return _read(spark, sf_dir, "documents").select("doc_id", K.to_line(K.labels_of(K.entries(F.expr(_LABELLED))), K.CORE).alias("line"))
+
+
 _EN = "WITH e AS (SELECT d.doc_id, quality, toxic, CASE WHEN l.doc_id IS NULL THEN 'source_lookup_miss' WHEN quality IS NULL AND toxic IS NULL THEN 'source_row_without_labels' ELSE 'enriched' END AS lookup FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"
 
 
@@ -309,13 +374,13 @@ def reject_reasons(spark, sf_dir):
     return lines.groupBy(F.coalesce("reject", F.lit("good")).alias("reject")).agg(F.count("*").alias("n"))
 
 
-@query("fallback_id", "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN url WHEN page_id % 3 = 1 THEN regexp_extract(url, '([^/]*)$', 1) || ':' || page_id ELSE 'line:' || (page_id + 1) END AS id FROM pages")
+_PAGE_ROW = """CASE CAST(page_id % 3 AS INT) WHEN 0 THEN '{"id":"' || url || '"}' WHEN 1 THEN '{"id":" ","distilled_source_path":"' || url || '","distilled_source_index":' || page_id || '}' ELSE '{"id":7}' END"""
+
+
+@query("fallback_id", "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN url WHEN page_id % 3 = 1 THEN regexp_extract(url, '([^/]+)/*$', 1) || ':' || page_id ELSE 'line:' || (page_id + 1) END AS id FROM pages")
 def fallback_id(spark, sf_dir):
-    p = _read(spark, sf_dir, "pages")
-    own = F.expr("CASE WHEN page_id % 3 = 0 THEN url ELSE ' ' END")
-    path = F.when(F.col("page_id") % 3 == 1, F.col("url"))
-    by_path = F.concat(F.element_at(F.split(path, "/"), -1), F.lit(":"), F.col("page_id"))
-    return p.select("page_id", F.coalesce(F.when(S.strip(own) != "", own), by_path, F.concat(F.lit("line:"), F.col("page_id") + 1)).alias("id"))
+    row = K.entries(F.expr(_PAGE_ROW))
+    return _read(spark, sf_dir, "pages").select("page_id", V.row_id(row, F.col("page_id") + 1).alias("id"))
 
 
 @query("mix_union", "SELECT 'chat' AS dataset, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM conversations UNION ALL SELECT 'completion', count(*), CAST(sum(length(text)) AS BIGINT) FROM documents UNION ALL SELECT 'exam', count(*), CAST(sum(length(text)) AS BIGINT) FROM benchmark")
@@ -333,17 +398,43 @@ def val_split(spark, sf_dir):
     return D.smallest(d, D.arithmetic_hash(F.col("doc_id"), 42), d.count() // 20, "doc_id").withColumnRenamed("chosen", "held_out")
 
 
-_LOG = "SELECT event_type AS file, event_id AS line_no, CASE WHEN event_id % 501 = 0 THEN 'Exit code: ' || CAST(event_id % 2 AS VARCHAR(9)) WHEN event_id % 503 = 0 THEN 'CUDA out of memory' WHEN event_id % 97 = 0 THEN 'elapsed 00:01:' || CAST(10 + event_id % 50 AS VARCHAR(9)) WHEN event_id % 499 = 0 THEN 'MODEL_PATH=/m/' || CAST(event_id AS VARCHAR(9)) ELSE 'finance nan' || props END AS value FROM events"
+_LOG = """SELECT event_type || '-' || (event_id % 40) AS file, event_id AS line_no, CASE WHEN j = 2 AND event_id % 8 = 7 THEN 'CUBLAS_STATUS_ALLOC_FAILED' WHEN j = 3 AND event_id % 8 = 0 THEN 'CUDA out of memory'
+ WHEN j = 4 AND event_id % 8 = 1 THEN 'loss NaN.' WHEN j = 4 AND event_id % 8 = 2 THEN 'OSError: Too many open files' WHEN j = 5 AND event_id % 8 IN (1, 2, 3, 4) THEN 'Training completed ' || event_id
+ WHEN j = 6 AND event_id % 5 < 2 THEN 'Exit code: ' || (event_id % 5) WHEN j = 7 AND event_id % 4 = 1 THEN 'MODEL_PATH=/m/' || event_id WHEN j = 8 AND event_id % 4 IN (1, 2) THEN 'args pretrained=/p/' || event_id || ',dtype=x'
+ WHEN j = 9 AND event_id % 10 = 0 THEN '00:01:' || (10 + event_id % 50) || ' elapsed' WHEN j = 10 AND event_id % 10 IN (0, 5) THEN 'Elapsed: 01:00:00 then 02:00:' || (10 + event_id % 50) ELSE 'finance ' || props END AS value
+ FROM (SELECT *, CAST(floor(event_id / 40) AS BIGINT) % 11 AS j FROM events)"""
+_TIME = "[0-9]{2}:[0-9]{2}:[0-9]{2}"
+_CLASS = lambda p: f"arg_min(value, line_no) FILTER (WHERE regexp_matches(value, '{p}'))"
 _LS = f"""WITH l AS ({_LOG}), s AS (SELECT file, arg_max(regexp_extract(value, 'Exit code: ([0-9]+)', 1), line_no) FILTER (WHERE value LIKE 'Exit code: %') AS exit_code,
- arg_min(substr(value, 12), line_no) FILTER (WHERE value LIKE 'MODEL_PATH=%') AS model_path, arg_max(substr(value, 9), line_no) FILTER (WHERE value LIKE 'elapsed%') AS elapsed,
- bool_or(value LIKE '%out of memory%') AS oom, bool_or(regexp_matches(value, '(?i)(^|[^a-z])nan([^a-z]|$)')) AS nan, count(*) AS n_lines FROM l GROUP BY file),
- t AS (SELECT *, CASE WHEN exit_code = '0' THEN 'COMPLETED' WHEN exit_code IS NOT NULL THEN 'FAILED' ELSE 'UNKNOWN' END AS status FROM s)"""
+ arg_min(substr(value, 12), line_no) FILTER (WHERE value LIKE 'MODEL_PATH=%') AS named, arg_min(regexp_extract(value, 'pretrained=([^, ]+)', 1), line_no) FILTER (WHERE value LIKE '%pretrained=%') AS pretrained,
+ arg_max(regexp_extract_all(value, '{_TIME}')[-1], line_no) FILTER (WHERE value ILIKE '%elapsed%') AS elapsed, {_CLASS("(?i)alloc_failed|out of memory")} AS oom, {_CLASS("(?i)(^|[^a-z0-9_])nan([^a-z0-9_]|$)")} AS nan,
+ {_CLASS("(?i)too many open files")} AS files, {_CLASS("(?i)training completed")} AS finished, count(*) AS n_lines FROM l GROUP BY file),
+ t AS (SELECT file, CASE WHEN exit_code = '0' THEN 'COMPLETED' WHEN exit_code IS NOT NULL THEN 'FAILED' ELSE 'UNKNOWN' END AS status, CASE WHEN oom IS NOT NULL THEN 'OOM' WHEN nan IS NOT NULL THEN 'NAN'
+ WHEN files IS NOT NULL THEN 'FILES' WHEN finished IS NOT NULL THEN 'FINISHED' ELSE 'IDK' END AS error_class, coalesce(oom, nan, files, finished) AS error_line, exit_code,
+ coalesce(named, pretrained, 'UNKNOWN') AS model_path, elapsed, n_lines FROM s)"""
 
 
-@query("log_summary", _LS + " SELECT file, status, CASE WHEN oom THEN 'OOM' WHEN nan THEN 'NAN' WHEN status = 'COMPLETED' THEN 'FINISHED' ELSE 'IDK' END AS error_class, exit_code, coalesce(model_path, 'UNKNOWN') AS model_path, elapsed, n_lines FROM t")
-def log_summary(spark, sf_dir):
+def _summary(spark, sf_dir):
     _read(spark, sf_dir, "events").createOrReplaceTempView("events")
-    return L.summarise(spark.sql(_LOG)).drop("error_line")
+    return L.summarise(spark.sql(_LOG))
+
+
+@query("log_summary", _LS + " SELECT * FROM t")
+def log_summary(spark, sf_dir):
+    return _summary(spark, sf_dir)
+
+
+@query("completed_reports", _LS + " SELECT file, model_path FROM t WHERE status = 'COMPLETED'")
+def completed_reports(spark, sf_dir):
+    return L.completed(_summary(spark, sf_dir)).select("file", "model_path")
+
+
+_TABLE = "CASE WHEN event_id % 97 = 0 THEN '|Tasks  |n|' WHEN event_id % 97 IN (1, 2) THEN '|t|' || event_id || '|' WHEN event_id % 97 = 50 THEN '|late|' ELSE 'x' END"
+
+
+@query("first_tables", f"WITH l AS (SELECT event_id // 500 AS file, event_id AS line_no, {_TABLE} AS value FROM events), h AS (SELECT file, min(line_no) AS h FROM l WHERE value LIKE '|Tasks%' GROUP BY file), e AS (SELECT l.file, h, min(line_no) FILTER (WHERE line_no > h AND value NOT LIKE '|%') AS e FROM l JOIN h ON l.file = h.file GROUP BY l.file, h) SELECT l.file, line_no, value FROM l JOIN e ON l.file = e.file WHERE line_no >= h AND (e IS NULL OR line_no < e)")
+def first_tables(spark, sf_dir):
+    return L.first_tables(_read(spark, sf_dir, "events").selectExpr("event_id div 500 AS file", "event_id AS line_no", f"{_TABLE} AS value"))
 
 
 @query("invalid_rate", "WITH d AS (SELECT CASE WHEN doc_id % 3 = 0 THEN '[Invalid] ' || text || '[invalid]' ELSE text END AS t FROM documents) SELECT CAST(sum(len(regexp_extract_all(t, '(?i)\\[invalid\\]'))) AS BIGINT) AS invalid, count(*) AS lines, sum(len(regexp_extract_all(t, '(?i)\\[invalid\\]'))) * 100.0::DOUBLE / count(*) AS pct FROM d")
@@ -369,6 +460,72 @@ def retry_rounds(spark, sf_dir):
     return D.retry_rounds(rows, _stub, S.answer_matches, 8).select("conv_id", "exact_match", "try_count")
 
 
+def _make(prompts: list, attempt: int) -> list:
+    """A stand-in for a model: the letter moves on with every attempt."""
+    return [f" Answer: {'ABCDE'[(len(p) + attempt) % 5]}\n" for p in prompts]
+
+
+@query("distill_rounds", CTE + IDX + """, q AS (SELECT i.conv_id, length(c.text) AS n, i.conv_id % 5 AS want, c.label_letter FROM i LEFT JOIN c ON c.conv_id = i.conv_id AND c.turn = i.u WHERE i.conv_id % 10 <> 9),
+ k AS (SELECT *, CASE WHEN label_letter IS NULL THEN 1 WHEN (want - n % 5 + 5) % 5 = 0 THEN 5 ELSE (want - n % 5 + 5) % 5 END AS tries FROM q)
+ SELECT conv_id, CASE WHEN tries > 3 THEN 3 ELSE tries END AS try_count, CASE WHEN label_letter IS NOT NULL THEN tries <= 3 END AS exact_match,
+ 'Answer: ' || substr('ABCDE', CAST((n + CASE WHEN tries > 3 THEN 3 ELSE tries END) % 5 + 1 AS INT), 1) AS value FROM k
+ UNION ALL SELECT conv_id, 0, false, NULL FROM i WHERE conv_id % 10 = 9""")
+def distill_rounds(spark, sf_dir):
+    """Three attempts of a generator; conversations without a user turn are never tried."""
+    conv = F.col("conversations")
+    prompt = F.when(F.col("conv_id") % 10 != 9, T.first_value(conv, T.user_index(conv)))
+    none = {t: F.lit(None).cast(t) for t in ("string", "boolean", "int")}
+    rows = chats(spark, sf_dir).select("conv_id", "label_letter", prompt.alias("prompt"), none["string"].alias("value"), none["boolean"].alias("exact_match"), none["int"].alias("try_count"))
+    done = D.distill(rows, _make, S.answer_matches, 3, f"{scratch_dir(spark)}/chatloom-{uuid.uuid4().hex}")
+    return done.select("conv_id", "try_count", "exact_match", "value")
+
+
+_POOL = CTE + IDX + f", p AS (SELECT q.conv_id, {_strip('q.text')} AS question, {_strip('w.text')} AS answer, q.label_letter IS NOT NULL AS labeled FROM i JOIN c q ON q.conv_id = i.conv_id AND q.turn = i.u JOIN c w ON w.conv_id = i.conv_id AND w.turn = i.a)"
+
+
+def _pools(spark, sf_dir):
+    return D.qa_pools(chats(spark, sf_dir).select("conv_id", "conversations", "label_letter"))
+
+
+@query("qa_pools", _POOL + " SELECT * FROM p")
+def qa_pools(spark, sf_dir):
+    return _pools(spark, sf_dir).drop("label_letter")
+
+
+_DRAW1 = lambda j: f"((((prompt % 2147483648) * 2654435761 + 42) % 4294967296 + ({j}) * 40503) % 4294967296) % (({j}) + 1)"
+
+
+@query("pool_prompts", _POOL + f""", n AS (SELECT *, row_number() OVER (PARTITION BY labeled ORDER BY ((conv_id % 2147483648) * 2654435761 + 42) % 4294967296, conv_id) - 1 AS place, count(*) OVER (PARTITION BY labeled) AS n FROM p),
+ r AS (SELECT labeled, n, unnest(range(CAST(floor(n * 1.5) AS BIGINT))) AS prompt FROM (SELECT DISTINCT labeled, n FROM n)), d AS (SELECT *, {_DRAW1("n - 2")} AS x0, {_DRAW1("n - 1")} AS t1 FROM r),
+ s AS (SELECT labeled, prompt, 0 AS shot, x0 AS place FROM d UNION ALL SELECT labeled, prompt, 1, CASE WHEN t1 = x0 THEN n - 1 ELSE t1 END FROM d)
+ SELECT s.labeled, prompt, shot, conv_id FROM s JOIN n ON s.labeled = n.labeled AND s.place = n.place""")
+def pool_prompts(spark, sf_dir):
+    return D.pool_prompts(_pools(spark, sf_dir), "conv_id", 1.5, 2).select("labeled", "prompt", "shot", "conv_id")
+
+
+@query("expected_pairs", "SELECT count(*) AS documents, count(*) * 10 AS expected FROM documents WHERE text IS NOT NULL")
+def expected_pairs(spark, sf_dir):
+    return D.expected_pairs(_read(spark, sf_dir, "documents").filter("text IS NOT NULL"))
+
+
+_AGREED = "CASE CAST(doc_id % 4 AS INT) WHEN 0 THEN 'fail' WHEN 1 THEN 'pass' WHEN 2 THEN 'unknown' END"
+
+
+@query("not_failed", f"SELECT doc_id FROM documents WHERE {_AGREED} IS DISTINCT FROM 'fail'")
+def not_failed(spark, sf_dir):
+    return D.not_failed(_read(spark, sf_dir, "documents").withColumn("label_agreement", F.expr(_AGREED))).select("doc_id")
+
+
+@query("durations", "SELECT event_id, lpad('' || CAST(floor(event_id * 7 / 3600) AS BIGINT), CAST(greatest(2, length('' || CAST(floor(event_id * 7 / 3600) AS BIGINT))) AS INT), '0') || ':' || lpad('' || CAST(floor(event_id * 7 / 60) AS BIGINT) % 60, 2, '0') || ':' || lpad('' || (event_id * 7) % 60, 2, '0') AS took FROM events")
+def durations(spark, sf_dir):
+    return _read(spark, sf_dir, "events").select("event_id", S.duration(F.col("event_id") * 7).alias("took"))
+
+
+@query("safe_tags", "SELECT page_id, regexp_replace(regexp_replace(lower(regexp_extract('/m/_' || replace(url, 'e', ' É'), '([^/]*)$', 1)), '[^a-z0-9_.-]', '_', 'g'), '^_|_$', '', 'g') AS tag FROM pages")
+def safe_tags(spark, sf_dir):
+    return _read(spark, sf_dir, "pages").select("page_id", S.safe_tag(F.concat(F.lit("/m/_"), F.replace("url", F.lit("e"), F.lit(" É")))).alias("tag"))
+
+
 @query("clean_accuracy", CTE + IDX + f", a AS (SELECT c.* FROM c JOIN i ON c.conv_id = i.conv_id AND c.turn = i.a) SELECT count(*) FILTER (WHERE coalesce(label_letter, '') <> '') AS labeled, count(*) FILTER (WHERE {_MATCH}) AS correct, count(*) FILTER (WHERE NOT ({_VALID})) AS invalid FROM a")
 def clean_accuracy(spark, sf_dir):
     """The whole cleaning plan: find the answer, turn channels into think tags, drop system turns, count."""
@@ -576,3 +733,23 @@ _OPEN = """CASE doc_id % 5 WHEN 0 THEN '{"id":"x' || doc_id || '","label_agreeme
 def target_rows(spark, sf_dir):
     rows = _read(spark, sf_dir, "documents").select("doc_id", K.entries(F.expr(_OPEN)).alias("row"))
     return rows.select("doc_id", K.to_line(V.to_target(F.col("row"), F.col("doc_id") + 1)).alias("line"))
+
+
+@query("target_rows_logprobs", """SELECT doc_id, '{"conversations":[],"distilled_model":null,"distilled_source_index":null,"distilled_source_path":null,"distilled_timestamp_utc":null,"distilled_token_logprobs":' ||
+ CASE WHEN doc_id % 2 = 0 THEN '[-0.5]' ELSE 'null' END || ',"id":"d' || doc_id || '","label_agreement":"unknown"}' AS line FROM documents""")
+def target_rows_logprobs(spark, sf_dir):
+    row = K.entries(F.expr("""'{"id":"d' || doc_id || '","conversations":[],"x":1' || CASE WHEN doc_id % 2 = 0 THEN ',"distilled_token_logprobs":[-0.5]}' ELSE '}' END"""))
+    line = K.to_line(V.to_target(row, F.col("doc_id") + 1, V.TARGET_WITH_LOGPROBS))
+    return _read(spark, sf_dir, "documents").select("doc_id", line.alias("line"))
+
+
+@query("enrich_totals", _OK + " SELECT count(*) AS rows_enriched, coalesce(CAST(sum(CASE WHEN k = 0 THEN 2 ELSE 1 END) AS BIGINT), 0) AS fields_added, coalesce(CAST(sum(CASE WHEN k = 2 AND q <> 0 THEN 1 ELSE 0 END) AS BIGINT), 0) AS fields_overwritten FROM e")
+def enrich_totals(spark, sf_dir):
+    return D.enrichment_totals(_merged(spark, sf_dir, False))
+
+
+@query("copy_all_fields", """SELECT doc_id, '{"doc_id":' || doc_id || ',"gold_answer":' || coalesce(toxic, 0) || ',"label":' || coalesce(quality, 0) || ',"note":1}' AS line FROM labels""")
+def copy_all_fields(spark, sf_dir):
+    own = K.entries(F.concat(F.lit('{"doc_id":'), "doc_id", F.lit(',"label":"old"}')))
+    m = K.merge(own, K.all_but_skipped(K.entries(F.expr(_SOURCE))))
+    return _read(spark, sf_dir, "labels").select("doc_id", K.to_line(m["merged"]).alias("line"))

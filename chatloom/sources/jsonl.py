@@ -22,9 +22,9 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_chat(spark: SparkSession, path: str | list[str], limit: int | None = None) -> DataFrame:
-    """Strict scan: blank lines are skipped, a bad line fails; ``limit`` counts physical lines."""
+    """Strict scan: blank lines are skipped, a bad line fails; ``limit`` counts physical lines, and None and 0 are none."""
     lines = read_lines(spark, path)
-    lines = lines if limit is None else lines.filter(F.col("line_no") < limit)
+    lines = lines.filter(F.col("line_no") < limit) if limit else lines
     return lines.filter(F.trim("raw") != "").select("path", "line_no", F.from_json("raw", CHAT_SCHEMA, {"mode": "FAILFAST"}).alias("row"), "raw").select("path", "line_no", "row.*", "raw")
 
 
