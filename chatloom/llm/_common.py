@@ -2,35 +2,38 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatloom.sources.scratch import scratch_dir
+
 #: Words between the six ASCII white-space characters, as a Java pattern.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; only where it is unset (tests), a folder of our own."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = spark.conf.get("chatloom.scratch.dir", None)
-    if not shared:
-        shared = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("chatloom.scratch.dir", shared)
-    return shared.rstrip("/")
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back: the lineage ends there, and lost
     executors cost no recomputation of what came before."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/chatloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.cut_path = path
+    return back
+
+
+def drop(*tables: DataFrame) -> None:
+    """Remove tables that ``cut`` wrote. Whatever was made of them must have been written since, or lost executors could
+    not make it again."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.cut_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,7 +54,24 @@ def id_hash(seed: int, *cols: str | Column) -> Column:
     return F.xxhash64(F.lit(seed), *cols).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Let Python tasks get rows in batches that fit beside the JVM even if all texts are very long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+@contextmanager
+def small_batches(spark: SparkSession, size: int = 8 << 20) -> Iterator[None]:
+    """Let Python tasks of the jobs that run inside get about so many bytes at once, so that what they make of these fits
+    beside the JVM. The session's setting comes back afterwards."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def free_names(df: DataFrame, *names: str) -> tuple[str, ...]:
+    """The names, with as many underscores as keep them apart from the columns of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return tuple(out)
