@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 PIECE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -24,6 +25,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 _BYTE = mix((np.arange(1, 257, dtype=np.uint64)) * np.uint64(_BASE))
+_BYTE[65:91] = _BYTE[97:123]  # A-Z count as a-z
 
 
 def _power_tables(n: int) -> list[np.ndarray]:
@@ -46,23 +48,31 @@ NOT_WORD[:128] = [not chr(b).isalnum() for b in range(128)]
 
 
 class Words:
-    """The words of a few texts, A-Z in lower case: ``data``, ``start`` and ``end`` in it, ``hash``, and for text number i
-    the words first[i] to first[i + 1]."""
-
-    def __init__(self, texts: list[bytes], separators: np.ndarray):
-        self.data = (b" ".join(texts) + b" ").lower()
-        buf = np.frombuffer(self.data, np.uint8)
-        sep = np.concatenate([[True], separators[buf]])
-        turn = np.flatnonzero(sep[1:] != sep[:-1])
-        self.start, self.end = turn[0::2], turn[1::2]
+    """The words of a few texts: ``start`` and ``end`` in ``data``, ``hash``, and for text number i the words first[i] to
+    first[i + 1]. ``data`` holds the texts one after the other, text i from at[i] to at[i + 1]."""
+
+    def __init__(self, data: bytes | np.ndarray, at: np.ndarray, separators: np.ndarray):
+        buf = np.frombuffer(data, np.uint8)
+        self.data = buf
+        inside = np.zeros(len(buf) + 2, bool)
+        inside[1:-1] = ~separators[buf]
+        begins, ends = inside[1:] & ~inside[:-1], inside[:-1] & ~inside[1:]
+        # Where a text begins, the word before it ends.
+        edge = at[1:-1]
+        both = edge[inside[edge] & inside[edge + 1]]
+        begins[both] = ends[both] = True
+        self.start, self.end = np.flatnonzero(begins), np.flatnonzero(ends)
         powers, inverse = _power_tables(len(buf))
         sums = np.zeros(len(buf) + 1, np.uint64)
         np.cumsum(_BYTE[buf] * powers[: len(buf)], out=sums[1:])
         raw = (sums[self.end] - sums[self.start]) * inverse[self.start]
         self.hash = mix(raw + (self.end - self.start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-        at = np.cumsum([0] + [len(t) + 1 for t in texts])
         self.first = np.searchsorted(self.start, at)
 
+    @classmethod
+    def of(cls, texts: list[bytes], separators: np.ndarray) -> Words:
+        return cls(b"".join(texts), np.cumsum([0, *map(len, texts)]), separators)
+
     def grams(self, n: int) -> np.ndarray:
         """Hashes of n consecutive words from each word on; those over the end of a text mean nothing."""
         m = max(0, len(self.hash) - n + 1)
@@ -72,38 +82,62 @@ class Words:
         return mix(total)
 
     def gram_text(self, i: int, n: int) -> bytes:
-        return b" ".join(self.data[self.start[j] : self.end[j]] for j in range(i, i + n))
-
-
-def pieces(texts: list) -> Iterator[tuple[int, list[bytes]]]:
-    """(number of the first text, texts as UTF-8), about PIECE bytes at a time; None is empty."""
-    begin, size, part = 0, 0, []
-    for i, t in enumerate(texts):
-        raw = t if isinstance(t, bytes) else (t or "").encode()
-        if part and size + len(raw) > PIECE:
-            yield begin, part
-            begin, size, part = i, 0, []
-        part.append(raw)
-        size += len(raw)
-    if part:
-        yield begin, part
-
-
-def shingle_sets(texts: list, k: int) -> Iterator[np.ndarray]:
+        return b" ".join(self.data[self.start[j] : self.end[j]].tobytes().lower() for j in range(i, i + n))
+
+
+def pieces(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(number of the first text, bytes of some texts, where each begins and the last ends) for a column of strings, about
+    PIECE bytes or one text at a time, as they lie in memory; null is empty."""
+    if texts.null_count:
+        texts = texts.fill_null("")
+    if len(texts) == 0:
+        return
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    begin = 0
+    while begin < len(texts):
+        end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + PIECE, "right")) - 1)
+        yield begin, data[offsets[begin] : offsets[end]], offsets[begin : end + 1] - offsets[begin]
+        begin = end
+
+
+def _short(hashes: np.ndarray) -> np.ndarray:
+    """All words of a text as one shingle."""
+    h = np.uint64(0)
+    with np.errstate(over="ignore"):
+        for x in hashes:
+            h = h * np.uint64(_BASE) + x
+        h += np.uint64(len(hashes))
+    return mix(np.array([h], np.uint64))
+
+
+def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
     """For each text its sorted distinct k-word shingles as uint64; all words as one if they are fewer; none if none."""
-    for _, part in pieces(texts):
-        w = Words(part, SPACES)
-        grams = w.grams(k)
-        for i in range(len(part)):
-            a, b = w.first[i], w.first[i + 1]
+    for _, data, at in pieces(texts):
+        w = Words(data, at, SPACES)
+        grams, first = w.grams(k), w.first.tolist()
+        for a, b in zip(first[:-1], first[1:], strict=True):
             if b - a >= k:
-                yield np.unique(grams[a : b - k + 1])
+                s = grams[a : b - k + 1]  # its part of the piece, sorted in place
+                s.sort()
+                new = np.empty(len(s), bool)
+                new[0] = True
+                np.not_equal(s[1:], s[:-1], out=new[1:])
+                yield s[new]
             elif b > a:
-                short = np.uint64(0)
-                with np.errstate(over="ignore"):
-                    for h in w.hash[a:b]:
-                        short = short * np.uint64(_BASE) + h
-                    short += np.uint64(b - a)
-                yield mix(np.array([short], np.uint64))
+                yield _short(w.hash[a:b])
             else:
                 yield np.empty(0, np.uint64)
+
+
+def shingles(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
+    """The shingles of all texts, piece by piece, repeated ones too."""
+    for _, data, at in pieces(texts):
+        w = Words(data, at, SPACES)
+        inside = np.ones(len(w.hash), bool)
+        for d in range(1, k):  # the last words of a text begin no shingle
+            inside[w.first[1:][w.first[1:] - d >= w.first[:-1]] - d] = False
+        n = np.diff(w.first)
+        few = np.flatnonzero((n > 0) & (n < k))
+        grams = w.grams(k)
+        yield np.concatenate([grams[inside[: len(grams)]], *[_short(w.hash[w.first[i] : w.first[i + 1]]) for i in few]])

@@ -13,13 +13,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import cut, small_batches
+from ._common import cut, free_names
 from ._wordhash import NOT_WORD, Words, pieces
 
 WINDOW = 10
+ADDED = ("mask", "items", "n_words", "n_hit")
 #: Windows in one broadcast set: at about 250 bytes a window, 125 MB in a worker.
 MOST_WINDOWS = 500_000
-FILTER_BITS = 22
 
 
 def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -27,10 +27,10 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, part in pieces(batch.column(1).to_pylist()):
-                w, ids = Words(part, NOT_WORD), batch.column(0).slice(begin).to_pylist()
+            for begin, data, at in pieces(batch.column(1)):
+                w, ids = Words(data, at, NOT_WORD), batch.column(0).slice(begin).to_pylist()
                 rows = []
-                for i in range(len(part)):
+                for i in range(len(at) - 1):
                     a, b = int(w.first[i]), int(w.first[i + 1])
                     n = min(window, b - a)
                     if n:
@@ -44,7 +44,8 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
 
 
 class WindowSet:
-    """Windows of one block, for lookup by hash and check by words."""
+    """Windows of one block, for lookup by hash and check by words. ``lengths`` has for each number of words a filter of
+    the hashes' first bits and the windows by hash."""
 
     def __init__(self, rows: list[tuple[int, bytes, list[str]]]):
         self.lengths: dict[int, tuple[np.ndarray, dict[int, dict[bytes, list[str]]]]] = {}
@@ -53,27 +54,32 @@ class WindowSet:
             mine = [(bytes(r[1]), list(r[2])) for r in rows if r[0] == n]
             for k in range(0, len(mine), 10_000):
                 part = mine[k : k + 10_000]
-                w = Words([x[0] for x in part], NOT_WORD)
+                w = Words.of([x[0] for x in part], NOT_WORD)
                 for (words, items), h in zip(part, w.grams(n)[w.first[:-1]], strict=True):
                     by_hash.setdefault(int(h), {})[words] = items
-            seen = np.zeros(1 << FILTER_BITS, bool)
-            seen[np.array(list(by_hash), np.uint64) >> np.uint64(64 - FILTER_BITS)] = True
+            seen = np.zeros(1 << min(22, max(10, len(by_hash).bit_length() + 4)), bool)
+            seen[np.array(list(by_hash), np.uint64) >> _beyond(seen)] = True
             self.lengths[n] = (seen, by_hash)
 
 
-def _scan(batches: Iterator[pa.RecordBatch], windows: WindowSet, has_earlier: bool) -> Iterator[pa.RecordBatch]:
-    """Append mask (a bit per word, empty if no hit), items and n_words, joined with those of an earlier block."""
+def _beyond(seen: np.ndarray) -> np.uint64:
+    return np.uint64(65 - len(seen).bit_length())
+
+
+def _scan(batches: Iterator[pa.RecordBatch], windows: WindowSet, added: tuple, has_earlier: bool) -> Iterator[pa.RecordBatch]:
+    """Append mask (a bit per word, empty if no hit), items, n_words and n_hit under the names ``added``, joined with those
+    of an earlier block."""
     for batch in batches:
         names = batch.schema.names
         masks, items, counts = [], [], []
-        earlier = (batch.column(names.index("mask")).to_pylist(), batch.column(names.index("items")).to_pylist()) if has_earlier else None
-        for begin, part in pieces(batch.column(names.index("text")).to_pylist()):
-            w = Words(part, NOT_WORD)
+        earlier = [batch.column(names.index(a)).to_pylist() for a in added[:2]] if has_earlier else None
+        for begin, data, place in pieces(batch.column(names.index("text"))):
+            w = Words(data, place, NOT_WORD)
             hit = np.zeros(len(w.hash) + 1, np.int32)
-            found: list[set[str]] = [set() for _ in part]
+            found: list[set[str]] = [set() for _ in place[1:]]
             for n, (seen, by_hash) in windows.lengths.items():
                 g = w.grams(n)
-                at = np.flatnonzero(seen[g >> np.uint64(64 - FILTER_BITS)])
+                at = np.flatnonzero(seen[g >> _beyond(seen)])
                 if not len(at):
                     continue
                 doc = np.searchsorted(w.first, at, "right") - 1
@@ -85,7 +91,7 @@ def _scan(batches: Iterator[pa.RecordBatch], windows: WindowSet, has_earlier: bo
                         hit[i + n] -= 1
                         found[d].update(ids)
             is_hit = np.cumsum(hit[:-1]) > 0
-            for i in range(len(part)):
+            for i in range(len(found)):
                 bits = is_hit[w.first[i] : w.first[i + 1]]
                 ids = found[i]
                 if earlier and earlier[0][begin + i]:
@@ -94,53 +100,59 @@ def _scan(batches: Iterator[pa.RecordBatch], windows: WindowSet, has_earlier: bo
                 masks.append(np.packbits(bits).tobytes() if bits.any() else b"")
                 items.append(sorted(ids))
                 counts.append((len(bits), int(bits.sum())))
-        kept = [(n, batch.column(k)) for k, n in enumerate(names) if n not in ("mask", "items", "n_words", "n_hit")]
-        added = [
-            ("mask", pa.array(masks, pa.binary())),
-            ("items", pa.array(items, pa.list_(pa.string()))),
-            ("n_words", pa.array([c[0] for c in counts], pa.int64())),
-            ("n_hit", pa.array([c[1] for c in counts], pa.int64())),
+        kept = [(n, batch.column(k)) for k, n in enumerate(names) if n not in added]
+        new = [
+            pa.array(masks, pa.binary()),
+            pa.array(items, pa.list_(pa.string())),
+            pa.array([c[0] for c in counts], pa.int64()),
+            pa.array([c[1] for c in counts], pa.int64()),
         ]
-        yield pa.record_batch([a for _, a in kept + added], [n for n, _ in kept + added])
+        yield pa.record_batch([*[a for _, a in kept], *new], [*[n for n, _ in kept], *added])
 
 
 def mark_contamination(docs: DataFrame, benchmark: DataFrame, most_windows: int = MOST_WINDOWS) -> DataFrame:
-    """``docs`` (with ``text``) plus mask, items, n_words, n_hit. Null texts have no words; an empty benchmark hits
-    nothing; a null item_id is ignored. A column of ``docs`` named like one of the four is replaced."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    out = docs.drop("mask", "items", "n_words", "n_hit")
+    """``docs`` (with ``text``) plus mask, items, n_words, n_hit; where ``docs`` has columns of these names, the new ones get
+    underscores behind theirs. Null texts have no words; an empty benchmark hits nothing; a null item_id is ignored;
+    repeated rows are told alike."""
+    return _marked(docs, benchmark, free_names(docs, *ADDED), most_windows)
+
+
+def _marked(docs: DataFrame, benchmark: DataFrame, added: tuple, most_windows: int = MOST_WINDOWS) -> DataFrame:
+    spark, out = docs.sparkSession, docs
     windows = cut(benchmark_windows(benchmark))
     blocks = max(1, -(-windows.count() // most_windows))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
-    schema += ", mask binary, items array<string>, n_words bigint, n_hit bigint"
+    schema += ", {} binary, {} array<string>, {} bigint, {} bigint".format(*added)
     for b in range(blocks):
         block = windows.filter(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b)
-        shared = spark.sparkContext.broadcast([tuple(r) for r in block.toLocalIterator()])
-        out = out.mapInArrow(_scanner(shared, b > 0), schema)
+        # Built once here and once more in each worker, not in each task.
+        shared = spark.sparkContext.broadcast(WindowSet([tuple(r) for r in block.toLocalIterator()]))
+        out = out.mapInArrow(_scanner(shared, added, b > 0), schema)
         if b + 1 < blocks:
             out = cut(out)
+            shared.destroy()
     return out
 
 
-def _scanner(shared, has_earlier: bool):
+def _scanner(shared, added: tuple, has_earlier: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _scan(batches, WindowSet(shared.value), has_earlier)
+        return _scan(batches, shared.value, added, has_earlier)
 
     return run
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents") -> DataFrame:
     """``docs`` without what the benchmark holds: hit documents go, or (remove="spans") only the hit words with
-    what stands between them, and the columns stay as they were."""
-    marked, names = mark_contamination(docs, benchmark), docs.columns
+    what stands between them. All columns, whatever their names, and all other rows stay as they were; null texts and
+    an empty benchmark have no hits."""
+    added = free_names(docs, *ADDED)
+    marked, names = _marked(docs, benchmark, added), docs.columns
     if remove == "documents":
-        return marked.filter("n_hit = 0").select(*docs.columns)
+        return marked.filter(F.col(added[3]) == 0).drop(*added)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            k = batch.schema.names.index("text")
-            texts, masks = batch.column(k).to_pylist(), batch.column("mask").to_pylist()
+            texts, masks = batch.column("text").to_pylist(), batch.column(added[0]).to_pylist()
             for i, m in enumerate(masks):
                 if m:
                     texts[i] = _without(texts[i].encode(), m)
@@ -151,7 +163,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
 
 
 def _without(raw: bytes, mask: bytes) -> str:
-    w = Words([raw], NOT_WORD)
+    w = Words.of([raw], NOT_WORD)
     bits = np.concatenate([[0], np.unpackbits(np.frombuffer(mask, np.uint8), count=len(w.start)), [0]]).astype(np.int8)
     turn = np.flatnonzero(np.diff(bits))
     out, at = [], 0
@@ -162,6 +174,7 @@ def _without(raw: bytes, mask: bytes) -> str:
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row per document; null texts have no words. Columns besides doc_id and text are ignored."""
     marked = mark_contamination(docs.select("doc_id", "text"), benchmark)
     return marked.select(
         "doc_id",

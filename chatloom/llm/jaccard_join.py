@@ -2,11 +2,11 @@
 
 A document's set holds its distinct word shingles. In an order with rare shingles first, two sets with Jaccard >= t
 share one of their first n - ceil(t*n) + 1 shingles. Documents with equal sets are one unit, units with equal prefix and
-size one group; groups meet on prefix shingles, pairs of groups are filtered by size, position and overlap, and the
-pairs that remain are expanded to units and verified on whole sets.
+size one group; groups meet on prefix shingles, pairs of groups are filtered by size and by how much of their prefixes
+they share, and the pairs that remain are expanded to units and verified on whole sets.
 
-What is wanted are components. So links are looked for in rounds. In the first, each unit is verified against one pivot of
-the groups it shares shingles with, which is linear in the number of shingles and joins nearly all copies. Then only pairs
+What is wanted are components. So links are looked for in rounds. In the first ones, each group is compared with one pivot
+of those it shares shingles with, which is linear in the number of shingles and joins nearly all copies. Then only pairs
 of groups from different components are looked at, completely: no link between components is lost, and large groups of
 near copies are never paired up with themselves.
 """
@@ -14,6 +14,7 @@ near copies are never paired up with themselves.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,30 +23,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._common import cut, small_batches
+from ._common import cut, drop, small_batches
 from ._components import components
-from ._wordhash import shingle_sets
+from ._wordhash import shingle_sets, shingles
 
 WORDS = 5
-#: Shingle counts are kept in 2**SKETCH_BITS counters: 4 MB, whatever the corpus's size. They only order shingles; any
-#: order gives the same links.
-SKETCH_BITS = 20
+#: Shingles are counted in 2**bits counters, about one for PER_COUNTER shingles within these bounds. Counts only order
+#: shingles; any order gives the same links. Broadcast as one byte a counter (their logarithms): 16 MB at most.
+LEAST_BITS, MOST_BITS, PER_COUNTER = 16, 24, 128
 BLOCKS = 64
-#: From this count on, a shingle's postings are split over SALTS lists.
-HOT, SALTS = 1_000, 32
+STEPS = 8  # of a count's logarithm, per doubling
+#: A shingle's postings are split over several lists so that a list has about HOT entries, or 8 times what an average counter
+#: shows where that is more.
+HOT = 1_000
 PIVOT_ROUNDS = 3
-#: Shingles with at least FEW groups are hot in the last step, where a group's list of them has at most LIST entries.
-FEW, LIST = 16, 256
-#: Pairs of ids up to this number (16 MB) are broadcast to the scan that makes their sets; more are joined by shuffle.
+#: Up to so many pairs of postings for each posting, or where a pivot brings few links, the last step takes over. That
+#: step is complete, so this changes the time only.
+FEW_PAIRS = 8
+#: Ids up to this number (16 MB) are broadcast to the scan of what belongs to them; more are joined by shuffle.
 MOST_BROADCAST = 1_000_000
 
 
-def _count_shingles(k: int):
+def _count_shingles(k: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
+        counts = np.zeros(1 << bits, np.uint32)
         for batch in batches:
-            for s in shingle_sets(batch.column(0).to_pylist(), k):
-                np.add.at(counts, s >> np.uint64(64 - SKETCH_BITS), 1)
+            for s in shingles(batch.column(0), k):
+                np.add.at(counts, s >> np.uint64(64 - bits), 1)
         parts = counts.reshape(BLOCKS, -1)
         yield pa.record_batch([pa.array(range(BLOCKS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["block", "counts"])
 
@@ -53,58 +57,82 @@ def _count_shingles(k: int):
 
 
 def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sum what arrives, block by block; memory is that of the blocks, however many tasks sent counts."""
+    """Sum what arrives, block by block, and keep logarithms; memory is that of the blocks, however many tasks sent counts."""
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
-        for block, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            part = np.frombuffer(raw, np.uint32)
+        for block, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            part = np.frombuffer(raw.as_buffer(), np.uint32)
             sums[block] = sums[block] + part if block in sums else part.astype(np.uint64)
-    keys = list(sums)
-    yield pa.record_batch([pa.array(keys, pa.int32()), pa.array([sums[b].tobytes() for b in keys], pa.binary())], ["block", "counts"])
+    for block, s in sums.items():
+        levels = np.minimum(np.ceil(STEPS * np.log2(np.maximum(s, 1))), 255).astype(np.uint8)
+        yield pa.record_batch([pa.array([block], pa.int32()), pa.array([levels.tobytes()], pa.binary())], ["block", "levels"])
+
+
+def shingle_levels(docs: DataFrame, k: int) -> tuple[np.ndarray, float]:
+    """STEPS times the logarithm of how often each counter's shingles occur, rounded up; the average of the counters."""
+    # About a word for every six bytes. It only sizes the counters.
+    words = (docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0) / 6
+    bits = min(MOST_BITS, max(LEAST_BITS, round(math.log2(words / PER_COUNTER + 1))))
+    # Each task sends its counters, so it should see some words for each of them.
+    texts = docs.select("text").coalesce(max(1, round(words / (4 << bits))))
+    parts = texts.mapInArrow(_count_shingles(k, bits), "block int, counts binary")
+    rows = parts.repartition("block").mapInArrow(_add_counts, "block int, levels binary").collect()
+    total = np.zeros((BLOCKS, (1 << bits) // BLOCKS), np.uint8)
+    for r in rows:
+        total[r["block"]] = np.frombuffer(r["levels"], np.uint8)
+    return total.reshape(-1), words / (1 << bits)
 
 
-def shingle_counts(docs: DataFrame, k: int) -> np.ndarray:
-    parts = docs.select("text").mapInArrow(_count_shingles(k), "block int, counts binary")
-    rows = parts.repartition("block").mapInArrow(_add_counts, "block int, counts binary").collect()
-    total = np.zeros((BLOCKS, (1 << SKETCH_BITS) // BLOCKS), np.uint64)
-    for r in rows:
-        total[r["block"]] += np.frombuffer(r["counts"], np.uint64)
-    return np.minimum(total.reshape(-1), 0xFFFFFFFF).astype(np.uint32)
+def _digest(s: np.ndarray) -> bytes:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
-def _prefixes(shared, k: int, percent: int):
-    """doc_id, text to doc_id, n, digest of the set, digest of the prefix, the prefix in order, how many of it are not hot."""
+def _prefixes(shared, k: int, percent: int, hot: float):
+    """doc_id, text to doc_id, n, digest of the set, digest of the prefix, the prefix in order, and for its last shingles,
+    the hot ones, over how many lists their postings go."""
+    bar = STEPS * math.log2(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value
+        levels = shared.value
+        bits = len(levels).bit_length() - 1
+        lists = np.ceil(2.0 ** (np.arange(256) / STEPS) / hot).astype(np.int32)
         for batch in batches:
-            n, whole, first, prefix, cold = [], [], [], [], []
-            for s in shingle_sets(batch.column(1).to_pylist(), k):
-                often = counts[s >> np.uint64(64 - SKETCH_BITS)]
+            n, whole, first, prefix, parts = [], [], [], [], []
+            for s in shingle_sets(batch.column(1), k):
+                often = levels[s >> np.uint64(64 - bits)]
                 order = np.argsort(often, kind="stable")  # s is sorted, so ties are in the order of the hashes
-                p = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
-                head = s[order[:p]]
+                p = _prefix_length(len(s), percent) if len(s) else 0
+                head, often = s[order[:p]], often[order[:p]]
                 n.append(len(s))
-                whole.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                first.append(hashlib.blake2b(head.tobytes(), digest_size=16).digest())
+                whole.append(_digest(s))
+                first.append(_digest(head))
                 prefix.append(head.view(np.int64))
-                cold.append(int((often[order[:p]] < HOT).sum()))
-            lengths = np.cumsum([0] + [len(p) for p in prefix])
-            lists = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate([*prefix, np.empty(0, np.int64)])))
+                parts.append(lists[often[often > bar]])
             yield pa.record_batch(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(whole, pa.binary()), pa.array(first, pa.binary()), lists, pa.array(cold, pa.int32())],
-                ["doc_id", "n", "whole", "first", "prefix", "cold"],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(whole, pa.binary()), pa.array(first, pa.binary()), _list_array(prefix, np.int64), _list_array(parts, np.int32)],
+                ["doc_id", "n", "whole", "first", "prefix", "parts"],
             )
 
     return run
 
 
-def _sets(k: int, ids: list[str]):
+def _prefix_length(n: int, percent: int) -> int:
+    return n - -(-percent * n // 100) + 1
+
+
+def _list_array(values: list[np.ndarray], kind: type) -> pa.ListArray:
+    lengths = np.cumsum([0] + [len(v) for v in values])
+    return pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate([*values, np.empty(0, kind)])))
+
+
+def _sets(k: int):
+    """id, digest of the wanted set, text to id and set; a text with another set (of a repeated doc_id) gives no row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(len(ids)).to_pylist()
-            sets = pa.array([s.tobytes() for s in shingle_sets(texts, k)], pa.binary())
-            yield pa.record_batch([*[batch.column(i) for i in range(len(ids))], sets], [*ids, "shingles"])
+            ids, whole = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            kept = [(i, s.tobytes()) for i, w, s in zip(ids, whole, shingle_sets(batch.column(2), k), strict=True) if _digest(s) == w]
+            yield pa.record_batch([pa.array([i for i, _ in kept], pa.int64()), pa.array([s for _, s in kept], pa.binary())], ["id", "shingles"])
 
     return run
 
@@ -113,148 +141,206 @@ def _similar(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                s = np.concatenate([x, y])
+                s.sort()
+                both = int((s[1:] == s[:-1]).sum())
+                keep.append(both > 0 and 100 * both >= percent * (len(s) - both))
             yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def verify(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of ids whose whole sets are similar. Only the documents in pairs are read into sets, and the sets
-    of a meet those of b in one shuffle by b; skewed b are split by adaptive execution."""
+def _small(ids: DataFrame) -> DataFrame:
+    """``ids``, a table cut before, to be broadcast if it has at most MOST_BROADCAST rows."""
+    return F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
+
+
+def verify(docs: DataFrame, units: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of units whose whole sets are similar. One scan turns the documents in pairs into sets; the
+    set of a goes to that of b, and skewed units are split by adaptive execution. ``units`` has unit, doc_id, whole."""
     pairs = cut(pairs.distinct())
-    hint = F.broadcast if pairs.count() <= MOST_BROADCAST else lambda x: x
-    text = docs.select(F.col("doc_id"), "text")
-    left = text.join(hint(pairs), text["doc_id"] == pairs["a"]).select("a", "b", "text").mapInArrow(_sets(k, ["a", "b"]), "a long, b long, shingles binary")
-    seconds = pairs.select(F.col("b").alias("id")).distinct()
-    right = text.join(hint(seconds), text["doc_id"] == seconds["id"]).select("id", "text").mapInArrow(_sets(k, ["id"]), "id long, shingles binary")
-    met = left.join(right.select(F.col("id").alias("b"), F.col("shingles").alias("other")), "b").select("a", "b", "shingles", "other")
-    return cut(met.mapInArrow(_similar(percent), "a long, b long"))
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("unit")).distinct()
+    ids = cut(units.select("unit", F.col("doc_id").alias("_d"), "whole").join(ids, "unit", "left_semi"))
+    texts = docs.join(_small(ids), docs["doc_id"] == ids["_d"]).select("unit", "whole", "text")
+    sets = cut(texts.mapInArrow(_sets(k), "id long, shingles binary"))
+    if sets.count() > ids.count():  # rows that repeat doc_id and text
+        repeated, sets = sets, cut(sets.dropDuplicates(["id"]))
+        drop(repeated)
+    left = pairs.join(sets.select(F.col("id").alias("a"), "shingles"), "a")
+    met = left.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("other")), "b").select("a", "b", "shingles", "other")
+    found = cut(met.mapInArrow(_similar(percent), "a long, b long"))
+    drop(pairs, ids, sets)
+    return found
+
+
+def _prefix(n: Column, percent: int) -> Column:
+    """As _prefix_length, in whole numbers."""
+    return n - F.floor((n * percent + 99) / 100) + 1
 
 
 def _needed(n: Column, m: Column, percent: int) -> Column:
-    """The least overlap of similar sets of sizes n and m."""
-    return F.ceil((n + m) * F.lit(percent) / F.lit(100.0 + percent) - F.lit(1e-9))
+    """How many shingles the prefixes of similar sets of sizes n and m share at least: the least overlap of the sets, less
+    what can stand behind the prefixes."""
+    overlap = F.ceil((n + m) * F.lit(percent) / F.lit(100.0 + percent) - F.lit(1e-9))
+    return F.greatest(overlap - F.greatest(n - _prefix(n, percent), m - _prefix(m, percent)), F.lit(1))
 
 
 def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """(sizes, comps): doc_id and n of every document; doc_id and comp of those that belong to a component of several.
+    """(members, comps): doc_id, n, unit and the unit's ``least`` doc_id of every row of ``docs``; unit and component_id of
+    the units that are linked with others. A row without a unit (no words, or a null doc_id) is linked with nothing.
 
-    Ids must be long. Documents without words, and those with a null doc_id, are linked with nothing. Rows that repeat a
-    doc_id are one document, linked if any of their texts is.
-    """
-    spark = docs.sparkSession
-    small_batches(spark)
+    Ids must be long (others are cast). Rows that repeat a doc_id are one document, linked if any of their texts is."""
+    with small_batches(docs.sparkSession):
+        return _linked(docs, k, percent)
+
+
+def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    sc = docs.sparkSession.sparkContext
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counts = spark.sparkContext.broadcast(shingle_counts(docs, k))
-    schema = "doc_id long, n long, whole binary, first binary, prefix array<long>, cold int"
-    made = cut(docs.mapInArrow(_prefixes(counts, k, percent), schema))
-    sizes = made.select("doc_id", "n")
+    counted, average = shingle_levels(docs, k)
+    levels = sc.broadcast(counted)
+    schema = "doc_id long, n long, whole binary, first binary, prefix array<long>, parts array<int>"
+    made = docs.mapInArrow(_prefixes(levels, k, percent, max(HOT, 8 * average)), schema)
+    made = cut(made.withColumn("row", F.monotonically_increasing_id()))
+    levels.destroy()
     some = made.filter("n > 0 AND doc_id IS NOT NULL")
 
-    # Units: equal sets. Groups: equal prefix and size; the group's id is its smallest unit.
-    units = some.groupBy("n", "first", "whole").agg(F.min("doc_id").alias("unit"))
-    copies = some.select("doc_id", "n", "first", "whole").join(units, ["n", "first", "whole"]).filter("doc_id <> unit")
-    copies = cut(copies.select(F.col("doc_id").alias("a"), F.col("unit").alias("b")))
+    # Units: equal sets, named by one of their rows. Groups: equal prefix and size, named by their smallest unit.
+    units = some.groupBy("whole").agg(F.min(F.struct("row", "doc_id", "n", "first")).alias("head"), F.min("doc_id").alias("least"))
+    units = cut(units.select(F.col("head.row").alias("unit"), "whole", "head.doc_id", "head.n", "head.first", "least"))
+    members = made.select("row", "doc_id", "n", "whole").join(units.select("whole", "unit", "least"), "whole", "left")
+    members = cut(members.select("row", "doc_id", "n", *[F.when(F.col("doc_id").isNotNull(), F.col(c)).alias(c) for c in ("unit", "least")]))
     of_group = units.groupBy("n", "first").agg(F.min("unit").alias("gid"), F.count("*").alias("units"))
-    grouped = cut(units.join(of_group, ["n", "first"]).select("unit", "gid", "n", "units"))
-    heads = made.join(grouped.filter("unit = gid").select(F.col("gid").alias("doc_id")), "doc_id", "left_semi")
-    groups = cut(heads.select(F.col("doc_id").alias("gid"), "n", "prefix", "cold").dropDuplicates(["gid"]))
+    grouped = cut(units.select("unit", "n", "first").join(of_group, ["n", "first"]).select("unit", "gid", "n", "units"))
+    others = members.filter("row <> unit").select("row").unionAll(grouped.filter("unit <> gid").select("unit"))
+    others = cut(others)
+    groups = made.filter("doc_id IS NOT NULL").join(_small(others), "row", "left_anti").select(F.col("row").alias("gid"), "n", "prefix", "parts")
 
     # Postings: a group at each shingle of its prefix; those that no other group has drop out here.
-    salt = F.when(F.col("pos") >= F.col("cold"), F.pmod(F.xxhash64("gid"), F.lit(SALTS))).otherwise(F.lit(-1).cast("long"))
-    posts = groups.select("gid", "cold", F.posexplode("prefix").alias("pos", "token")).select("token", salt.alias("salt"), "gid")
-    at = Window.partitionBy("token", "salt")
-    posts = posts.withColumns({"c": F.count("*").over(at), "pivot": F.min("gid").over(at)}).filter("c > 1 OR salt >= 0")
-    posts = cut(posts.select("token", "salt", "gid", "pivot"))
-
-    def best(pairs: DataFrame) -> DataFrame:
-        """Of each group's pivots the one it shares most shingles with."""
-        c = pairs.filter("gid <> pivot").groupBy("gid", "pivot").count()
-        return c.groupBy("gid").agg(F.max(F.struct("count", F.col("pivot"))).alias("m")).select("gid", F.col("m.pivot").alias("pivot"))
-
-    def to_units(pairs: DataFrame) -> DataFrame:
-        """Units of the group against the head of the pivot group."""
-        return pairs.join(grouped.select("gid", "unit"), "gid").select(F.col("unit").alias("a"), F.col("pivot").alias("b"))
-
-    lists = posts.filter("salt >= 0").groupBy("token", "pivot").agg(F.first("salt"))
-    over_salts = lists.withColumn("least", F.min("pivot").over(Window.partitionBy("token"))).filter("pivot <> least")
-    start = to_units(best(posts.select("gid", "pivot"))).unionAll(over_salts.select(F.col("pivot").alias("a"), F.col("least").alias("b")))
+    at_part = F.col("pos") - F.size("prefix") + F.size("parts")
+    list_of = F.when(at_part >= 0, F.pmod(F.xxhash64("gid"), F.get("parts", at_part))).otherwise(F.lit(-1).cast("long"))
+    posts = groups.select("gid", "n", "prefix", "parts", F.posexplode("prefix").alias("pos", "token")).select("token", list_of.alias("list"), "gid", "n")
+    at = Window.partitionBy("token", "list")
+    posts = posts.withColumns({"c": F.count("*").over(at), "pivot": F.min("gid").over(at)}).filter("c > 1 OR list >= 0")
+    posts = cut(posts.select("token", "list", "gid", "n", "pivot"))
+    drop(made, others)
+
+    # A doc_id with several texts links them.
+    several = members.filter("unit IS NOT NULL").groupBy("doc_id").agg(F.min("unit").alias("b"), F.max("unit").alias("most")).filter("b < most")
+    links = members.join(several.select("doc_id", "b"), "doc_id").select(F.col("unit").alias("a"), "b").filter("a <> b")
+    sizes = grouped.filter("unit = gid").select(F.col("gid").alias("pivot"), F.col("n").alias("m"))
+
+    def best(tried: DataFrame) -> DataFrame:
+        """(a, b): units of a group against the head of one of its pivots, the one it shares most shingles with of those
+        it shares enough with."""
+        c = tried.filter("gid <> pivot").groupBy("gid", "pivot").agg(F.count("*").alias("c"), F.first("n").alias("n"))
+        c = c.join(sizes, "pivot").filter(_close("n", "m", percent) & (F.col("c") >= _needed(F.col("n"), F.col("m"), percent)))
+        chosen = c.groupBy("gid").agg(F.max(F.struct("c", F.col("pivot"))).alias("x")).select("gid", F.col("x.pivot").alias("b"))
+        return chosen.join(grouped.select("gid", "unit"), "gid").select(F.col("unit").alias("a"), "b")
+
+    over_lists = posts.filter("list >= 0").groupBy("token", "pivot").agg(F.first("list"))
+    over_lists = over_lists.withColumn("least", F.min("pivot").over(Window.partitionBy("token"))).select(F.col("pivot").alias("a"), F.col("least").alias("b"))
+    start = best(posts).unionAll(over_lists.filter("a <> b"))
     start = start.unionAll(grouped.filter("unit <> gid").select(F.col("unit").alias("a"), F.col("gid").alias("b")))
-    links = verify(docs, start, k, percent).unionAll(copies)
+    comps = components(verify(docs, units, start, k, percent).unionAll(links))
 
-    def state() -> tuple[DataFrame, DataFrame, DataFrame]:
-        """Components of units so far, of groups (low and high differ if its units' do), and the postings that still see two."""
-        comps = components(links)
+    def state() -> tuple[DataFrame, DataFrame, bool, tuple]:
+        """Components of units so far, the postings at shingles that still see two (low and high differ if a group's units
+        do), whether these make so few pairs that another pivot would save nothing, and the tables behind that."""
         of_unit = grouped.join(comps.withColumnRenamed("id", "unit"), "unit", "left").withColumn("comp", F.coalesce("comp", "unit"))
-        of_unit = cut(of_unit.select("unit", "gid", "n", "units", "comp"))
+        of_unit = cut(of_unit)
         ranges = of_unit.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-        seen = posts.select("token", "gid").join(ranges, "gid")
-        several = seen.groupBy("token").agg(F.min("low").alias("x"), F.max("high").alias("y"), F.count("*").alias("c")).filter("x < y AND c > 1")
-        return comps, of_unit, cut(seen.join(several.select("token"), "token", "left_semi"))
-
-    comps, of_unit, open_posts = state()
+        seen = posts.select("token", "gid", "n").join(ranges, "gid")
+        tally = seen.groupBy("token").agg(F.min("low").alias("x"), F.max("high").alias("y"), F.count("*").alias("c")).filter("x < y AND c > 1")
+        seen = cut(seen.join(tally.select("token"), "token", "left_semi"))
+        of_comp = seen.groupBy("token", F.when(F.col("low") == F.col("high"), F.col("low")).alias("low"))
+        of_comp = of_comp.agg(F.count("*").alias("count"), F.min("n").alias("least"), F.max("n").alias("most"))
+        sizes_of = (F.min("least").alias("least"), F.max("most").alias("most"))
+        majors = of_comp.groupBy("token").agg(F.sum("count").alias("c"), *sizes_of, F.max(F.when(F.col("low").isNotNull(), F.struct("count", "low"))).alias("m"))
+        minors = F.col("c") - F.coalesce("m.count", F.lit(0))
+        majors = cut(majors.select("token", F.col("m.low").alias("major"), "least", "most", "c", minors.alias("minors")))
+        total = majors.agg(F.sum("c").alias("posts"), F.sum(F.col("c").cast("double") * F.col("minors")).alias("pairs")).first()
+        wide = seen.join(majors.select("token", "major", "least", "most"), "token")
+        return of_unit, wide, (total["pairs"] or 0) <= FEW_PAIRS * (total["posts"] or 0), (seen, majors)
+
+    of_unit, open_posts, few, tables = state()
     for r in range(1, PIVOT_ROUNDS):
-        if open_posts.isEmpty():
+        if few:
             break
         # Another pivot for each shingle: first the group with most open shingles, as the one with fewest edits is nearest to
         # all others; then by a hash that changes with the round.
         ranked = open_posts.join(open_posts.groupBy("gid").agg(F.count("*").alias("much")), "gid")
         rank = F.struct((-F.col("much") if r == 1 else F.xxhash64("gid", F.lit(r))).alias("h"), F.col("gid").alias("pivot"), F.col("low").alias("pl"))
         pivots = ranked.groupBy("token").agg(F.min(rank).alias("p"))
-        tried = open_posts.join(pivots, "token").filter("low <> p.pl").select("gid", F.col("p.pivot").alias("pivot"))
-        found = verify(docs, to_units(best(tried)), k, percent)
-        if found.isEmpty():
-            continue
-        links = links.unionAll(found)
-        comps, of_unit, open_posts = state()
-    rest = _remaining_pairs(open_posts, groups, of_unit, percent)
-    found = verify(docs, rest, k, percent)
-    if not found.isEmpty():
-        comps = components(links.unionAll(found))
-    return sizes, comps.select(F.col("id").alias("doc_id"), "comp")
-
-
-def _remaining_pairs(open_posts: DataFrame, groups: DataFrame, of_unit: DataFrame, percent: int) -> DataFrame:
+        tried = open_posts.join(pivots, "token").filter("low <> p.pl").select("gid", "n", F.col("p.pivot").alias("pivot"))
+        tried = cut(best(tried))
+        found = verify(docs, units, tried, k, percent)
+        comps, before = _joined(comps, of_unit, found), (of_unit, *tables)
+        of_unit, open_posts, few, tables = state()
+        few |= found.count() * 10 < tried.count()
+        drop(tried, found, *before)
+    found = verify(docs, units, _remaining_pairs(open_posts, of_unit, percent), k, percent)
+    comps = _joined(comps, of_unit, found)
+    drop(posts, of_unit, *tables)
+
+    # A component's name is its smallest doc_id.
+    of_comp = comps.withColumnRenamed("id", "unit").join(units.select("unit", "least"), "unit")
+    names = of_comp.groupBy("comp").agg(F.min("least").alias("component_id"))
+    return members, cut(comps.join(names, "comp").select(F.col("id").alias("unit"), "component_id"))
+
+
+def _joined(comps: DataFrame, of_unit: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (id, comp) of units after more links between them: only the components that these join are looked at."""
+    comp = of_unit.select("unit", "comp")
+    between = links.join(comp.toDF("a", "ca"), "a").join(comp.toDF("b", "cb"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    moved = components(between).toDF("comp", "now")
+    new = comp.join(moved, "comp").select(F.col("unit").alias("id"), F.col("now").alias("comp"))
+    return cut(comps.join(new, "id", "left_anti").unionAll(new))
+
+
+def _close(n: str, m: str, percent: int) -> Column:
+    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+
+
+def _remaining_pairs(open_posts: DataFrame, of_unit: DataFrame, percent: int) -> DataFrame:
     """All pairs of units (a, b) of different components that the size and overlap filters let pass.
 
-    Similar sets share enough shingles within their prefixes, as what stands behind the prefixes is bounded by size. All
-    those shingles are among the open postings, so they are counted there. For shingles with few groups each pair is
-    a row; for the others a pair is one row, at the first common shingle, with the overlap of the groups' short lists of such
-    shingles. Each shingle's most common component stands on one side, the others on both, so that a large component is
-    paired with what is outside it, never with itself."""
+    Similar sets share enough shingles within their prefixes, and all those are among the open postings, so they are
+    counted there. A group with fewer of them than the sizes around it call for has no such pair; groups of one size and
+    component with the same open shingles meet others as one. Postings meet by shingle and range of sizes. Each shingle's
+    most common component stands on one side, the others on both, so that a large component is paired with what is
+    outside it, never with itself."""
     mixed = F.col("low") != F.col("high")
-    tally = open_posts.groupBy("token", F.when(~mixed, F.col("low")).alias("low")).count()
-    tokens = tally.groupBy("token").agg(F.sum("count").alias("c"), F.max(F.when(F.col("low").isNotNull(), F.struct("count", "low"))).alias("m"))
-    tokens = tokens.select("token", (F.col("c") >= FEW).alias("hot"), F.col("m.low").alias("major"))
-    full = open_posts.join(tokens, "token").join(groups.select("gid", "n", F.size("prefix").alias("p")), "gid")
-    full = cut(full.withColumn("minor", mixed | F.coalesce(F.col("low") != F.col("major"), F.lit(True))))
-    hot_lists = full.groupBy("gid").agg(F.count_if("hot").alias("hots"), F.count_if(~F.col("hot")).alias("cool"))
-    full = full.join(hot_lists, "gid").withColumn("big", F.col("hots") > LIST)
-    lists = full.filter("hot AND NOT big").groupBy("gid").agg(F.sort_array(F.collect_list("token")).alias("list"))
-    names = ("token", "gid", "low", "high", "n", "p", "minor", "hot", "big", "cool")
-    side = lambda df, s, *more: df.select(*[F.col(c).alias(f"{c}_{s}") for c in (*names, *more)])
-    n, m = F.col("n_x"), F.col("n_y")
-    need = _needed(n, m, percent) - F.greatest(n - F.col("p_x"), m - F.col("p_y"))
+    of_group = open_posts.groupBy("gid", "n", "low", "high").agg(
+        F.count("*").alias("c"), F.min("least").alias("least"), F.max("most").alias("most"), F.sort_array(F.collect_list("token")).alias("tokens")
+    )
+    n = F.col("n")
+    least = F.greatest("least", F.ceil(n * percent / 100))
+    most = F.least("most", F.floor(n * 100 / percent))
+    # What is needed falls on both sides of n, so the ends of the range call for least, rounding aside.
+    enough = F.least(_needed(n, least, percent), _needed(n, most, percent)) - 1
+    alike = ["h1", "h2", "n", "low", "own"]
+    hashes = [F.xxhash64("tokens").alias("h1"), F.xxhash64(F.lit(1), "tokens").alias("h2")]
+    of_group = cut(of_group.filter(F.col("c") >= enough).select("gid", "n", "low", *hashes, F.when(mixed, F.col("gid")).otherwise(-1).alias("own")))
+    members = cut(of_group.join(of_group.groupBy(*alike).agg(F.min("gid").alias("sid")), alike).select("sid", "gid"))
+    open_posts = open_posts.join(members.filter("sid = gid").select("gid"), "gid", "left_semi")
+    band = F.floor(F.log("n") / math.log(100 / percent)).cast("int")
+    full = open_posts.withColumns({"minor": mixed | F.coalesce(F.col("low") != F.col("major"), F.lit(True)), "band": band}).drop("major", "least", "most")
+    x = full.filter("minor").select(*[F.col(c).alias(f"{c}_x") for c in ("token", "gid", "low", "high", "n")], F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)])).alias("band_x"))
+    y = full.select(*[F.col(c).alias(f"{c}_y") for c in full.columns])
     meet = (
         (F.col("token_x") == F.col("token_y"))
+        & (F.col("band_x") == F.col("band_y"))
         & (~F.col("minor_y") | (F.col("gid_x") < F.col("gid_y")))
         & ((F.col("low_x") != F.col("low_y")) | (F.col("low_x") != F.col("high_x")) | (F.col("low_y") != F.col("high_y")))
-        & (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
+        & _close("n_x", "n_y", percent)
     )
-    pair = [F.least("gid_x", "gid_y").alias("g"), F.greatest("gid_x", "gid_y").alias("h"), need.alias("need")]
-    each = side(full, "x").filter("minor_x").join(side(full, "y"), meet & (~F.col("hot_x") | F.col("big_x") | F.col("big_y")))
-    each = each.groupBy(*pair).agg(F.count("*").alias("shared"))
-    short = full.filter("hot AND NOT big").join(lists, "gid")
-    both = F.array_intersect("list_x", "list_y")
-    enough = F.size(both) + F.least("cool_x", "cool_y") >= need
-    first = side(short, "x", "list").filter("minor_x").join(side(short, "y", "list"), meet & (F.get(both, F.lit(0)) == F.col("token_x")) & enough)
-    first = first.select(*pair, F.size(both).cast("long").alias("shared")).distinct()
-    pairs = each.unionAll(first).groupBy("g", "h").agg(F.sum("shared").alias("s"), F.first("need").alias("need")).filter("s >= need").select("g", "h")
-    u = of_unit.select("gid", "unit", "comp")
+    need = _needed(F.col("n_x"), F.col("n_y"), percent)
+    pairs = x.join(y, meet).groupBy(F.least("gid_x", "gid_y").alias("g"), F.greatest("gid_x", "gid_y").alias("h"))
+    pairs = pairs.agg(F.count("*").alias("shared"), F.first(need).alias("need")).filter("shared >= need").select("g", "h")
+    u = of_unit.join(members, "gid").select("sid", "unit", "comp")
     a, b = u.toDF("g", "a", "ca"), u.toDF("h", "b", "cb")
     across = pairs.join(a, "g").join(b, "h").filter("ca <> cb").select("a", "b")
     # Within a group whose units fell into several components.
@@ -262,17 +348,20 @@ def _remaining_pairs(open_posts: DataFrame, groups: DataFrame, of_unit: DataFram
     main = split.groupBy("gid", "comp").count().groupBy("gid").agg(F.max(F.struct("count", "comp")).alias("m")).select("gid", F.col("m.comp").alias("main"))
     split = split.join(main, "gid").select("gid", "unit", "comp", "main")
     c, d = split.filter("comp <> main").select("gid", F.col("unit").alias("a"), F.col("comp").alias("ca")), split.select("gid", F.col("unit").alias("b"), F.col("comp").alias("cb"))
-    return across.unionAll(c.join(d, "gid").filter("ca <> cb").select("a", "b")).distinct()
+    return across.unionAll(c.join(d, "gid").filter("ca <> cb").select("a", "b"))
 
 
 def component_report(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id (null for a null doc_id)."""
-    sizes, comps = jaccard_components(docs)
-    return sizes.join(comps, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"))
+    """One row per row of ``docs``: doc_id, n_shingles, component_id (null for a null doc_id). Null and empty texts have no
+    shingles and are linked with nothing; other columns are ignored."""
+    members, comps = jaccard_components(docs)
+    return members.join(comps, "unit", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "least", "doc_id").alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """One document of each component stays: that with the smallest doc_id."""
-    _, comps = jaccard_components(docs)
-    gone = comps.filter("doc_id <> comp").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each component stays: that with the smallest doc_id (all its rows, if it is repeated). Equal sets
+    are a component too. Rows with a null doc_id and documents without words stay; so do all columns."""
+    members, comps = jaccard_components(docs)
+    gone = members.join(comps, "unit", "left").filter(F.col("doc_id") != F.coalesce("component_id", "least")).select(F.col("doc_id").alias("id"))
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.join(gone, F.col("row.doc_id").cast("long") == F.col("id"), "left_anti").select("row.*")
