@@ -52,7 +52,7 @@ def hash_thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
     """Per source: ``copies`` that all its rows get, and ``below``: rows whose first LEVELS * LEVEL_BITS hash bits are
     less get one more. ``rows`` has source, size and hash. Only the boundary bucket of a source is refined."""
     copies = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
-    state = targets.withColumn("copies", copies).withColumn("need", F.col("target") - F.col("copies") * F.col("source_size"))
+    state = cut(targets).withColumn("copies", copies).withColumn("need", F.col("target") - F.col("copies") * F.col("source_size"))
     state = state.withColumn("prefix", F.lit(0).cast("long"))
     for level in range(1, LEVELS + 1):
         old = state.select(F.col("source").alias("s"), "prefix", "need")
@@ -72,22 +72,26 @@ def hash_thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
             F.coalesce("edge.bucket", F.lit(0).cast("long")).alias("prefix"),
             F.col("edge.in_it").alias("in_it"),
         )
+        state = cut(state)  # one row per source
     # The last bucket holds one row, or rows of one hash: in if that comes nearer to the target.
     nearer = F.coalesce(F.col("in_it") < 2 * F.col("need"), F.lit(False)).cast("long")
     return state.select("source", "source_size", "target", "copies", (F.col("prefix") + nearer).alias("below"))
 
 
 def plan_mix(sized: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
-    """The table of thresholds for ``sized``: rows of source, size, hash."""
+    """The table of thresholds for ``sized``: rows of source, size, hash, read LEVELS + 1 times, so a table of its own."""
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     return hash_thresholds(sized, source_targets(sizes, weights, share, cap))
 
 
 def with_copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Add source_size, target and ``copies`` (how often the row is taken) to rows with source and hash."""
-    p = plan.select(F.col("source").alias("_s"), "source_size", "target", F.col("copies").alias("_c"), "below")
-    more = (_bucket(LEVELS) < F.col("below")).cast("int")
-    return rows.join(p, rows["source"].eqNullSafe(p["_s"]), "left").withColumn("copies", F.col("_c") + more).drop("_s", "_c", "below")
+    """Rows with source and hash, as ``row`` (a struct of all columns), with source_size, target and ``copies``: how often
+    the row is taken."""
+    p = plan.select(F.col("source").alias("s"), "source_size", "target", F.col("copies").alias("all_get"), "below")
+    more = (F.shiftright("row.hash", HASH_BITS - LEVEL_BITS * LEVELS) < F.col("below")).cast("int")
+    rows = rows.select(F.struct("*").alias("row"))
+    joined = rows.join(p, F.col("row.source").eqNullSafe(F.col("s")), "left")
+    return joined.select("row", "source_size", "target", (F.col("all_get") + more).alias("copies"))
 
 
 def mix_hash() -> Column:
@@ -99,11 +103,15 @@ def mix_report(docs: DataFrame) -> DataFrame:
     null texts and texts without words have size 0; a null source is a source. Texts are read once."""
     sized = cut(docs.select("doc_id", "source", word_count().alias("size"), mix_hash().alias("hash")))
     done = with_copies(sized, cut(plan_mix(sized.select("source", "size", "hash"))))
-    return done.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    return done.select("row.doc_id", "row.size", "source_size", "target", (F.col("row.size") * F.col("copies")).alias("taken"))
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
-    """The mix itself: each document as often as it is taken, with the columns of ``docs``."""
-    plan = cut(plan_mix(docs.select("source", word_count().alias("size"), mix_hash().alias("hash"))))
-    taken = with_copies(docs.withColumn("hash", mix_hash()), plan).filter("copies > 0")
-    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    """The mix itself: each document as often as it is taken, with the columns of ``docs``, whatever their names. Null texts
+    and texts without words have size 0 and are taken as often as their hash says; an empty table stays empty. Only sizes
+    and hashes are looked at for the plan; the documents are read once and not shuffled."""
+    sized = cut(docs.select("source", word_count().alias("size"), mix_hash().alias("hash")))
+    plan = cut(plan_mix(sized))
+    row = F.struct(F.struct("*").alias("doc"), "source", mix_hash().alias("hash"))
+    taken = with_copies(docs.select(row.alias("x")).select("x.*"), plan).filter("copies > 0")
+    return taken.select("row.doc", F.explode(F.sequence(F.lit(1), "copies"))).select("doc.*")
