@@ -11,62 +11,65 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import id_hash, text_or_empty
+from ._common import free_names, id_hash, text_or_empty
 
 SEED = 5
 N_SHARDS = 40
-
-
-def _parts(rows: int) -> int:
-    """Number of buckets: 20,000 rows in each, up to a million in each when there are very many rows."""
-    return max(1, -(-rows // min(max(rows // 4096, 20_000), 1_000_000)))
+#: A bucket holds about so many rows, and so many bytes of text, at most.
+BUCKET_ROWS, BUCKET_BYTES = 4_000, 16 << 20
 
 
 def interleave_shards(df: DataFrame, n_shards: int = N_SHARDS, source: str = "source", key: Column | None = None, seed: int = SEED) -> DataFrame:
-    """Add ``shard`` (0 to n_shards - 1) and ``slot`` (gapless from 0 within the shard) to ``df``.
+    """Add ``shard`` (0 to n_shards - 1) and ``slot`` (gapless from 0 within the shard) to ``df``. Where ``df`` has columns of
+    these names, the new ones are ``shard_`` and ``slot_``; all columns stay.
 
     Law: the shards' numbers of rows differ by one at most. ``key`` orders the rows of a source (default: a seeded
-    hash of doc_id); rows that agree in it are ordered by the columns of ``df``, so repeated rows are
-    interchangeable. A null source is a source of its own. An empty table stays empty. Copies of a text are not kept
-    together: a group of copies larger than a shard could not be.
+    hash of the whole row); rows that agree in it are ordered by the columns of ``df``, so rows that are the same
+    throughout are interchangeable. A null source is a source of its own, null texts and ids are values like others. An empty
+    table stays empty. Copies of a text are not kept together: a group of copies larger than a shard could not be.
 
-    Two scans read only the columns that key and source need; the rows themselves are shuffled twice.
+    The rows themselves are shuffled twice, in buckets of bounded rows and bytes.
     """
-    h = F.abs(F.coalesce(key if key is not None else id_hash(seed, "doc_id"), F.lit(0))).cast("long")
-    base = df.withColumns({"_h": h, "_none": F.col(source).isNull(), "_s": F.coalesce(F.col(source).cast("string"), F.lit(""))})
-    total = df.count()
-    parts = _parts(total)
-    bucket = F.expr(f"shiftright(shiftright(_h, 31) * {parts}L, 32)")
-    base = base.withColumn("_b", bucket)
-    counts = base.groupBy("_none", "_s", "_b").agg(F.count("*").alias("_n"))
-    of_source = Window.partitionBy("_none", "_s")
+    shard, slot = free_names(df, "shard", "slot")
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    h = F.abs(F.coalesce(key if key is not None else id_hash(seed, *hashed), F.lit(0))).cast("long")
+    of = F.col(f"`{source}`")
+    base = df.select(F.struct("*").alias("row"), h.alias("h"), of.isNull().alias("none"), F.coalesce(of.cast("string"), F.lit("")).alias("s"))
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)).cast("long") for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    size = df.agg(F.count("*").alias("n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(f"b{k}") for k, c in enumerate(texts)]).first()
+    total, parts = size["n"], max(1, -(-size["n"] // BUCKET_ROWS), -(-sum(size[1:]) // BUCKET_BYTES))
+    bucket = F.expr(f"shiftright(shiftright(h, 31) * {parts}L, 32)")
+    base = base.withColumn("b", bucket)
+    counts = base.groupBy("none", "s", "b").agg(F.count("*").alias("n"))
+    of_source = Window.partitionBy("none", "s")
     counts = counts.select(
-        "_none", "_s", "_b",
-        (F.sum("_n").over(of_source.orderBy("_b")) - F.col("_n")).alias("_before"),
-        F.sum("_n").over(of_source).alias("_all"),
+        "none", "s", "b",
+        (F.sum("n").over(of_source.orderBy("b")) - F.col("n")).alias("before"),
+        F.sum("n").over(of_source).alias("all"),
     )
-    ties = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    rank = F.row_number().over(Window.partitionBy("_none", "_s", "_b").orderBy("_h", *[F.col(f"`{c}`") for c in ties]))
-    ranked = base.join(counts, ["_none", "_s", "_b"]).withColumn("_k", (rank + F.col("_before")).cast("long"))
+    ties = [F.col(f"row.`{f.name}`") for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    rank = F.row_number().over(Window.partitionBy("none", "s", "b").orderBy("h", *ties))
+    ranked = base.join(counts, ["none", "s", "b"]).withColumn("k", (rank + F.col("before")).cast("long"))
     # Fractional rank (2k - 1) / 2n; its bucket of `parts` in whole numbers, so that the offsets below are exact.
-    ranked = ranked.withColumn("_f", (2 * F.col("_k") - 1) / (2 * F.col("_all")))
-    ranked = ranked.withColumn("_p", F.expr(f"((2 * _k - 1) * {parts}L) div (2 * _all)"))
-    sizes = base.groupBy("_none", "_s").agg(F.count("*").alias("_all"))
+    ranked = ranked.withColumn("f", (2 * F.col("k") - 1) / (2 * F.col("all")))
+    ranked = ranked.withColumn("p", F.expr(f"((2 * k - 1) * {parts}L) div (2 * all)"))
+    sizes = base.groupBy("none", "s").agg(F.count("*").alias("all"))
     starts = (
-        sizes.withColumn("_p", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
-        .groupBy("_p")
-        .agg(F.sum(F.expr(f"(2 * _all * _p + {parts - 1}L) div {2 * parts}L")).alias("_start"))
+        sizes.withColumn("p", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+        .groupBy("p")
+        .agg(F.sum(F.expr(f"(2 * all * p + {parts - 1}L) div {2 * parts}L")).alias("start"))
     )
-    place = F.row_number().over(Window.partitionBy("_p").orderBy("_f", "_none", "_s")) - 1
-    dealt = ranked.join(starts, "_p").withColumn("_at", place + F.col("_start"))
+    place = F.row_number().over(Window.partitionBy("p").orderBy("f", "none", "s")) - 1
     n = max(total, 1)
-    dealt = dealt.withColumn("shard", F.expr(f"cast((_at * {n_shards}L) div {n}L as int)"))
-    dealt = dealt.withColumn("slot", F.expr(f"_at - (shard * {n}L + {n_shards - 1}L) div {n_shards}L"))
-    return dealt.select(*[F.col(f"`{c}`") for c in df.columns], "shard", "slot")
+    dealt = ranked.join(starts, "p").withColumn("at", place + F.col("start"))
+    dealt = dealt.withColumn("shard", F.expr(f"cast((at * {n_shards}L) div {n}L as int)"))
+    dealt = dealt.withColumn("slot", F.expr(f"at - (shard * {n}L + {n_shards - 1}L) div {n_shards}L"))
+    return dealt.select("row.*", F.col("shard").alias(shard), F.col("slot").alias(slot))
 
 
 def shard_report(docs: DataFrame) -> DataFrame:
-    """Where each document goes. The text is reduced to size and checksum before anything is shuffled."""
+    """Where each document goes; null texts count as empty, other columns are ignored. The text is reduced to size and
+    checksum before anything is shuffled."""
     raw = text_or_empty("text").cast("binary")
     narrow = docs.select("doc_id", "source", (F.octet_length(raw) + 16).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"))
     return interleave_shards(narrow).select(
