@@ -1,7 +1,8 @@
 """Line dedup by a deletion-neighbourhood join.
 
 Two lines are the same when their words are, white space and case aside, and near when one word added, removed or
-replaced turns one into the other. A near pair agrees after at most one deletion on either side, so equal variants
+replaced turns one into the other and that is little enough of the longer one: a similarity of 80 percent by default, so
+with five words or more. A near pair agrees after at most one deletion on either side, so equal variants
 (the line itself and the line without each of its words) find all pairs. Before variants are made, lines that share
 neither half with another line are put aside: one edit leaves the first or the second half of both lines equal, so
 this loses no pair, and most lines end there.
@@ -18,8 +19,8 @@ from ._common import cut, text_or_empty
 GAPS = r"[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*|\x20[\x20\x09\x0B-\x0D]+"
 #: A line with words, from its first word on.
 LINE = r"[^\x20\x09-\x0D][^\x0A]*"
-#: Shorter lines are compared exactly only; with one edit most of them would be near.
-MIN_WORDS = 5
+#: Least similarity of near lines: 100 less the share of the longer line's words that an edit changes.
+PERCENT = 80
 #: Keys up to this number (16 MB) are broadcast to the second scan of the texts; more are joined by shuffle.
 MOST_BROADCAST = 1_000_000
 
@@ -66,12 +67,13 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
 
 
-def line_decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
+def line_decisions(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(lines, fates): every line's place and key, and for each distinct line that has copies or is near an earlier one
     its first place and whether it goes altogether. Rows of ``docs`` that repeat doc_id and text count as one document.
 
     Texts are scanned twice: once for keys, once for the lines that may be near another. All else moves keys."""
-    halves = _halves(F.col("n") >= min_words)
+    longest = -(-100 // (100 - percent))  # words of the longer line of a near pair, at least
+    halves = _halves(F.col("n") >= longest - 1)
     keyed = cut(text_lines(docs).select("pos", "k1", "k2", *[c.alias(h) for h, c in halves.items()]))
     lines = keyed.select("pos", "k1", "k2")
     distinct = cut(keyed.groupBy("k1", "k2").agg(F.min("pos").alias("first"), F.count("*").alias("copies"), *[F.min(h).alias(h) for h in halves]))
@@ -81,7 +83,7 @@ def line_decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFra
     likely = sides.join(_small(shared), "half", "left_semi").groupBy("k1", "k2").agg(F.max("front").alias("front"), F.max(~F.col("front")).alias("back"))
     texts = text_lines(docs).join(_small(cut(likely)), ["k1", "k2"])
     texts = texts.groupBy("k1", "k2").agg(*[F.min(c).alias(d) for c, d in (("pos", "first"), ("line", "line"), ("n", "n"), ("front", "front"), ("back", "back"))])
-    near = _near_lines(cut(texts))
+    near = _near_lines(cut(texts), longest)
     fates = (
         distinct.join(near.withColumn("near", F.lit(True)), ["k1", "k2"], "left")
         .filter("copies > 1 OR near")
@@ -90,7 +92,7 @@ def line_decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFra
     return lines, cut(fates)
 
 
-def _near_lines(lines: DataFrame) -> DataFrame:
+def _near_lines(lines: DataFrame, longest: int) -> DataFrame:
     """Keys of the lines that are one word away from an earlier line.
 
     Lines that lack the same word of the same variant differ in that word alone; a variant that is itself a line is one
@@ -100,7 +102,9 @@ def _near_lines(lines: DataFrame) -> DataFrame:
     """
     low = F.expr("n div 2").cast("int")
     begin, end = F.when(F.col("back"), 0).otherwise(low), F.when(F.col("front"), F.col("n").cast("int")).otherwise(F.col("n").cast("int") - low) - 1
-    v = lines.select("k1", "k2", "line", "n", F.explode(F.concat(F.array(F.lit(-1)), F.sequence(begin, end))).alias("i"))
+    # A line of one word less than the longest is near longer ones only, so it stands for itself.
+    places = F.when(F.col("n") >= longest, F.sequence(begin, end)).otherwise(F.array().cast("array<int>"))
+    v = lines.select("k1", "k2", "line", "n", F.explode(F.concat(F.array(F.lit(-1)), places)).alias("i"))
     v = v.withColumn("vk", F.when(F.col("i") < 0, F.xxhash64("line")).otherwise(F.xxhash64(_words_less("line", "n", F.col("i")))))
     v = cut(v.select("k1", "k2", "i", "vk"))
     shared = cut(v.groupBy("vk").agg(F.count("*").alias("c")).filter("c > 1").select("vk"))
@@ -135,18 +139,23 @@ def within_one_word(a: str, b: str) -> Column:
     return (F.abs(F.size(x) - F.size(y)) <= 1) & (common(x, y) + common(F.reverse(x), F.reverse(y)) >= most - 1)
 
 
-def line_report(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Per document: its lines with words, those dropped as copies of an earlier line, those near an earlier line, and
-    the numbers of the dropped lines (counted from 0 over all its lines). Documents without words have none. Earlier
-    means smaller doc_id (null first), then text hash, then line number."""
-    lines, fates = line_decisions(docs, min_words)
+def _per_document(docs: DataFrame, percent: int) -> DataFrame:
+    """doc_id, th (hash of the text), and the numbers of lines dropped as copies, as near ones, and all of them."""
+    lines, fates = line_decisions(docs, percent)
     told = lines.join(_small(fates), ["k1", "k2"]).filter(F.col("near") | (F.col("first") != F.col("pos")))
-    per_doc = (
+    return (
         told.select("pos.doc_id", "pos.th", "pos.line_no", "near")
         .groupBy("doc_id", "th")
         .agg(F.collect_set(F.when(~F.col("near"), F.col("line_no"))).alias("copies"), F.collect_set(F.when(F.col("near"), F.col("line_no"))).alias("nears"))
-        .select("doc_id", "th", "copies", "nears", F.array_join(F.sort_array(F.concat("copies", "nears")), ",").alias("dropped"))
+        .select("doc_id", "th", "copies", "nears", F.sort_array(F.concat("copies", "nears")).alias("dropped"))
     )
+
+
+def line_report(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Per document: its lines with words, those dropped as copies of an earlier line, those near an earlier line, and
+    the numbers of the dropped lines (counted from 0 over all its lines). Documents without words have none; a null text
+    is empty. Earlier means smaller doc_id (null first), then text hash, then line number."""
+    per_doc = _per_document(docs, percent)
     none = F.lit(0).cast("long")
     t = text_or_empty("text")
     keys = docs.select("doc_id", F.xxhash64(t).alias("th"), F.regexp_count(t, F.lit(LINE)).cast("long").alias("n_lines"))
@@ -155,12 +164,16 @@ def line_report(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         keys["doc_id"],
         "n_lines",
         *[F.coalesce(F.size(c).cast("long"), none).alias(d) for c, d in (("copies", "n_copies"), ("nears", "n_near"))],
-        F.coalesce("dropped", F.lit("")).alias("dropped"),
+        F.coalesce(F.array_join("dropped", ","), F.lit("")).alias("dropped"),
     )
 
 
-def drop_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` without the dropped lines; doc_id must tell the documents apart. Null texts stay null."""
-    gone = line_report(docs, min_words).select(F.col("doc_id").alias("_d"), F.split("dropped", ",").alias("_gone"))
-    kept = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("_gone", i.cast("string")))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_d"]), "left").withColumn("text", F.array_join(kept, "\n")).select(*docs.columns)
+def drop_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``docs`` without the dropped lines; all rows and columns stay. Null texts stay null, rows that repeat doc_id and text
+    lose the same lines."""
+    gone = _per_document(docs, percent).select("doc_id", "th", "dropped")
+    rows = docs.select(F.struct("*").alias("row"))
+    met = rows.join(gone, F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64(text_or_empty("row.text")) == F.col("th")), "left")
+    kept = F.filter(F.split("row.text", "\n", -1), lambda _, i: ~F.array_contains("dropped", i))
+    text = F.when(F.col("dropped").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n"))
+    return met.select(*[(text if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
