@@ -26,8 +26,9 @@ def radix_groups(df: DataFrame, text: Column | None = None) -> DataFrame:
     """``df`` must have doc_id; the result has doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical without white space; null counts as empty. The row with the most code points
-    stays, of those the one with the smallest doc_id (a null doc_id comes last). Rows that repeat both are kept or dropped
-    together. One row comes out for each that goes in; an empty table gives none.
+    stays, of those the one with the smallest doc_id (of any type that has an order; a null doc_id comes last). Rows that
+    repeat both are kept or dropped together. One row comes out for each that goes in, without its other columns; an empty
+    table gives none.
     """
     raw = text if text is not None else F.col("text")
     norm = normalised(raw)
@@ -44,7 +45,7 @@ def radix_groups(df: DataFrame, text: Column | None = None) -> DataFrame:
             {"digit": F.substring("rest", 1, digit), "ended": F.octet_length("rest") <= digit, "rest": F.expr(f"substring(rest, {digit + 1})")}
         )
         groups = here.groupBy("gid", "digit", "ended").agg(
-            F.count("*").alias("n"), F.max(F.struct("chars", F.bitwise_not("doc_id").alias("neg"))).alias("best")
+            F.count("*").alias("n"), F.min(F.struct((-F.col("chars")).alias("less"), F.col("doc_id").isNull().alias("none"), "doc_id")).alias("best")
         )
         groups = cut(groups.filter("n > 1").withColumn("next", F.monotonically_increasing_id()))
         # The groups grow with the corpus, so they are never broadcast, also where they happen to be few.
@@ -58,9 +59,9 @@ def radix_groups(df: DataFrame, text: Column | None = None) -> DataFrame:
         done.append(
             over.select(
                 "doc_id",
-                F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.bitwise_not("best.neg")).alias("keep_id"),
+                F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),
                 F.coalesce("n", F.lit(1).cast("long")).alias("group_size"),
-                (F.col("n").isNull() | ((F.col("chars") == F.col("best.chars")) & F.bitwise_not("doc_id").eqNullSafe(F.col("best.neg")))).alias("kept"),
+                (F.col("n").isNull() | ((F.col("chars") == -F.col("best.less")) & F.col("doc_id").eqNullSafe(F.col("best.doc_id")))).alias("kept"),
                 F.lower(F.hex("sha")).alias("text_sha256"),
             )
         )
@@ -71,6 +72,8 @@ def radix_groups(df: DataFrame, text: Column | None = None) -> DataFrame:
 
 
 def drop_exact_copies(df: DataFrame) -> DataFrame:
-    """``df`` without the documents whose text another document keeps; doc_id must tell the documents apart."""
-    gone = radix_groups(df).filter(~F.col("kept")).select("doc_id").distinct()
-    return df.join(gone, "doc_id", "left_anti")
+    """``df`` without the documents whose text another document keeps; doc_id must tell the documents apart. Rows with a
+    null doc_id and all columns stay."""
+    gone = radix_groups(df).filter(~F.col("kept")).select(F.col("doc_id").alias("id")).distinct()
+    rows = df.select(F.struct("*").alias("row"))
+    return rows.join(gone, F.col("row.doc_id") == F.col("id"), "left_anti").select("row.*")
