@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import cut, id_hash, small_batches
+from ._common import cut, free_names, id_hash, small_batches
 
 ORDER = 5
 DISCOUNT = 0.75
@@ -70,8 +70,9 @@ class WordRatios(dict):
         return float(sums[-1] / len(r)), float(runs.max()), float(top)
 
 
-def kneser_ney_ratios(counts: dict[str, tuple[int, int]]) -> tuple[dict[str, float], dict[str, float]]:
-    """From counts of strings by class (ordinary, toxic): log ratios of seen strings and of contexts of unseen ones.
+def kneser_ney(counts: dict[str, tuple[int, int]]):
+    """(p, back) from counts of strings by class (0 ordinary, 1 toxic): p(c, hx) is the probability of x after h, back(c, h)
+    the share of it that is left to shorter strings.
 
     P_c(x | h) = max(n_c(hx) - D, 0) / n_c(h) + D * kinds_c(h) / n_c(h) * Q(x | h'), with Q shared: the same recursion
     on numbers of distinct preceding characters, over both classes, down to a uniform start.
@@ -110,21 +111,26 @@ def kneser_ney_ratios(counts: dict[str, tuple[int, int]]) -> tuple[dict[str, flo
                 k_h[c][g[:-1]] += 1
     back = lambda c, h: DISCOUNT * k_h[c][h] / n_h[c][h] if h in n_h[c] else 1.0
 
-    def p(c: int, g: str, n: int) -> float:
-        h = g[:-1]
+    def p(c: int, g: str) -> float:
+        h, n = g[:-1], counts[g][c] if g in counts else 0
         return (max(n - DISCOUNT, 0) / n_h[c][h] if h in n_h[c] else 0.0) + back(c, h) * q(g[1:])
 
-    strings = {g: math.log(p(1, g, n[1]) / p(0, g, n[0])) for g, n in counts.items()}
-    contexts = {h: math.log(back(1, h) / back(0, h)) for h in {*n_h[0], *n_h[1]}}
-    return strings, contexts
+    return p, back
+
+
+def kneser_ney_ratios(counts: dict[str, tuple[int, int]]) -> tuple[dict[str, float], dict[str, float]]:
+    """Log ratios, toxic to ordinary, of seen strings and of contexts of unseen ones."""
+    p, back = kneser_ney(counts)
+    strings = {g: math.log(p(1, g) / p(0, g)) for g in counts}
+    return strings, {h: math.log(back(1, h) / back(0, h)) for h in {g[:-1] for g in counts}}
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text, toxic, fold) to counts of words by class, one row per word, fold and batch."""
     for batch in batches:
         c = (Counter(), Counter())
-        for text, toxic, k in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            c[1 if toxic else 0].update((w, k) for w in (text or "").lower().split())
+        for text, toxic, k in zip(*(batch.column(i) for i in range(3)), strict=True):
+            c[1 if toxic.as_py() else 0].update((w, k.as_py()) for w in (text.as_py() or "").lower().split())
         keys = list({*c[0], *c[1]})
         yield pa.record_batch(
             [
@@ -164,7 +170,7 @@ def _feature_rows(shared, kept: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratios = WordRatios(*shared.value[:2])
         for batch in batches:
-            rows = [ratios.features(t) for t in batch.column(batch.schema.names.index("text")).to_pylist()]
+            rows = [ratios.features(t.as_py()) for t in batch.column("text")]
             cols = [pa.array([r[k] for r in rows], pa.float64()) for k in range(3)]
             yield pa.record_batch([*[batch.column(c) for c in kept], *cols], [*kept, "f0", "f1", "f2"])
 
@@ -194,7 +200,11 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS):
     logistic is None. It is fitted on all training folds, each measured by the counts of the other ones (where these lack
     a class, by all); the result has the counts of all.
     """
-    small_batches(docs.sparkSession)
+    with small_batches(docs.sparkSession):
+        return _trained(docs, labels, most_rows)
+
+
+def _trained(docs: DataFrame, labels: DataFrame, most_rows: int):
     sc = docs.sparkSession.sparkContext
     marked = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marked = marked.filter(fold() != 0).withColumns({"fold": fold(), "h": id_hash(SEED, "doc_id")})
@@ -222,32 +232,42 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS):
 
 
 def score_documents(docs: DataFrame, model) -> DataFrame:
-    """``docs`` plus ``score``, from ``text`` alone; 0 where nothing could be learned. Null counts as empty."""
-    kept = [f for f in docs.schema.fields if f.name != "score"]
+    """``docs`` plus ``score``, from ``text`` alone; 0 where nothing could be learned. Null counts as empty. Where
+    ``docs`` has a column of that name, the new one is ``score_``."""
+    return _scored(docs, model, *free_names(docs, "score"))
+
+
+def _scored(docs: DataFrame, model, added: str) -> DataFrame:
+    kept = docs.schema.fields
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         strings, contexts, logistic = model.value
         ratios = WordRatios(strings, contexts)
         for batch in batches:
-            texts = batch.column(names.index("text")).to_pylist()
+            texts = batch.column(names.index("text"))
             scores = np.zeros(len(texts))
-            if logistic is not None and texts:
+            if logistic is not None and len(texts):
                 mean, scale, w = logistic
-                x = (np.array([ratios.features(t) for t in texts]) - mean) / scale
+                x = (np.array([ratios.features(t.as_py()) for t in texts]) - mean) / scale
                 scores = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -500, 500)))
-            yield pa.record_batch([*[batch.column(k) for k in range(len(names))], pa.array(scores)], [*names, "score"])
+            yield pa.record_batch([*[batch.column(k) for k in range(len(names))], pa.array(scores)], [*names, added])
 
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], "score double"])
-    return docs.select(*[F.col(f"`{n}`") for n in names]).mapInArrow(run, schema)
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], f"{added} double"])
+    return docs.mapInArrow(run, schema)
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row per document. A null doc_id is not held out."""
+    """One row per row of ``docs``, in terms of doc_id and text alone. A null doc_id is not held out; null and empty texts get
+    the score of a text without words; without labels of both classes all scores are 0."""
     scored = score_documents(docs.select("doc_id", "text"), train(docs, labels))
     held_out = F.coalesce(fold() == 0, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return score_documents(docs, train(docs, labels)).filter("score < 0.5").select(*docs.columns)
+    """``docs`` without the rows whose text scores 0.5 or more. All columns, whatever their names, and all other rows stay,
+    null and empty texts among them unless the labels speak against texts without words; without labels of both classes
+    all rows stay."""
+    (score,) = free_names(docs, "score")
+    return _scored(docs, train(docs, labels), score).filter(F.col(score) < 0.5).drop(score)
