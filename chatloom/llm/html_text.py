@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import small_batches
+from ._common import free_names
 
 # Elements by their role in a page, and words in class, id or role that mark a part as not the article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -46,16 +47,20 @@ _split_words = re.compile(r"[^a-z0-9]+").split
 
 
 class PageBlocks(HTMLParser):
-    """Blocks of a page, each [text, tags, node, off, heading, doubt, linked]: node numbers the innermost of NODES (0 outside),
-    doubt the boxes with a word of OFF_WORDS as a part of a name, linked counts characters in links. ``nodes`` has each
-    node's parent and tag."""
+    """Blocks of a page, each [text, tags, node, off, heading, doubt, linked]: node numbers the innermost of NODES (0
+    outside), off tells that it lies in furniture, doubt numbers the innermost box with a word of OFF_WORDS as a part of a
+    name (0 outside), linked counts characters in links. ``nodes`` has each node's parent and tag, ``doubts`` each box's
+    outer box."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[list] = []
         self.nodes: list[tuple[int, str]] = [(0, "")]
-        self.open: list[tuple[str, bool, bool, tuple[int, ...], int]] = []  # tag, switches text off, belongs to reader comments, doubt, node
-        self.off = self.depth = self.tags = self.doubts = self.linked = 0
+        self.doubts = [0]
+        self.open: list[tuple[str, bool, bool, int, int]] = []  # tag, switches text off, belongs to reader comments, doubt, node
+        self.names: Counter[str] = Counter()  # of open elements
+        self.scopes: list[Counter[str]] = [Counter()]  # the same, of those from each open article or main on
+        self.off = self.comments = self.depth = self.tags = self.linked = 0
         self.parts: list[str] = []
 
     def cut(self) -> None:
@@ -63,7 +68,7 @@ class PageBlocks(HTMLParser):
         if text:
             heading = any(x[0] in HEADINGS for x in self.open[-3:])
             title = heading and self.depth and self.off == 1 and any(x[0] == "header" for x in self.open if x[1])
-            doubt, node = self.open[-1][3:] if self.open else ((), 0)
+            doubt, node = self.open[-1][3:] if self.open else (0, 0)
             self.blocks.append([text, self.tags, node, self.off > 0 and not title, heading, doubt, self.linked])
             self.tags = 0
         self.parts, self.linked = [], 0
@@ -76,33 +81,58 @@ class PageBlocks(HTMLParser):
             return
         if tag in VOID:
             return
-        if tag == "body":
-            self._leave(lambda t: t == "head")
+        if tag == "body" and self.names["head"]:
+            self._reopen([x for x in self.open if x[0] != "head"])
         names, doubtful = self._names(tag, attrs) if attrs else ((), False)
         comment = not COMMENT_WORDS.isdisjoint(names)
-        if tag in CONTAINERS and not comment and not any(x[2] for x in self.open):
+        if tag in CONTAINERS and not comment and not self.comments:
             self._leave_off()  # what was not closed before the article
-            self.depth += 1
-            self._push(tag, False, False, ())
+            self._push(tag, False, False, 0)
             return
         off_names = FURNITURE if self.depth or tag in PROSE else FURNITURE | OFF_WORDS
         off = tag in NEVER or (tag not in ("html", "body") and not off_names.isdisjoint(names))
         if tag == "p":
             if self.open and self.open[-1][0] == "p":
-                self.open.pop()
-        doubt = self.open[-1][3] if self.open else ()
+                self._pop()
+        doubt = self.open[-1][3] if self.open else 0
         if doubtful:
-            self.doubts += 1
-            doubt += (self.doubts,)
+            self.doubts.append(doubt)
+            doubt = len(self.doubts) - 1
         self._push(tag, off, comment, doubt)
-        self.off += off
 
-    def _push(self, tag: str, off: bool, comment: bool, doubt: tuple[int, ...]) -> None:
+    def _push(self, tag: str, off: bool, comment: bool, doubt: int) -> None:
         node = self.open[-1][4] if self.open else 0
         if tag in NODES:
             self.nodes.append((node, tag if not comment else ""))
             node = len(self.nodes) - 1
-        self.open.append((tag, off, comment, doubt, node))
+        self._open((tag, off, comment, doubt, node))
+
+    def _open(self, x: tuple[str, bool, bool, int, int]) -> None:
+        self.open.append(x)
+        self.off += x[1]
+        self.comments += x[2]
+        self.names[x[0]] += 1
+        if x[0] in CONTAINERS:
+            self.depth += not x[1]
+            self.scopes.append(Counter())
+        self.scopes[-1][x[0]] += 1
+
+    def _pop(self) -> None:
+        x = self.open.pop()
+        self.off -= x[1]
+        self.comments -= x[2]
+        self.names[x[0]] -= 1
+        if x[0] in CONTAINERS:
+            self.depth -= not x[1]
+            self.scopes.pop()
+        else:
+            self.scopes[-1][x[0]] -= 1
+
+    def _reopen(self, kept: list) -> None:
+        while self.open:
+            self._pop()
+        for x in kept:
+            self._open(x)
 
     @staticmethod
     def _names(tag: str, attrs: list) -> tuple[set[str], bool]:
@@ -116,35 +146,24 @@ class PageBlocks(HTMLParser):
         parts = {w for v in said.values() for n in v for w in _split_words(n)} if tag in BOXES else set()
         return names, not OFF_WORDS.isdisjoint(parts)
 
-    def _leave(self, which) -> None:
-        for x in self.open:
-            if which(x[0]) and x[1]:
-                self.off -= 1
-        self.open = [x for x in self.open if not which(x[0])]
-
     def _leave_off(self) -> None:
         at = next((k for k, x in enumerate(self.open) if x[1]), len(self.open))
         around = [x for x in self.open[:at] if x[0] not in INLINE and x[0] != "p"]
-        self.open = around + [x for x in self.open[at:] if x[0] in CONTAINERS and not x[1]]
-        self.off = 0
+        self._reopen(around + [x for x in self.open[at:] if x[0] in CONTAINERS and not x[1]])
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
         if tag not in INLINE and tag != "br":
             self.cut()
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
-                for t, o, *_ in self.open[k:]:
-                    self.off -= o
-                    self.depth -= t in CONTAINERS and not o
-                del self.open[k:]
-                return
-            if self.open[k][0] in CONTAINERS and tag not in ("html", "body"):
-                return  # a stray end tag does not close the article
+        # A stray end tag does not close the article.
+        if self.names[tag] if tag in ("html", "body") else self.scopes[-1][tag]:
+            while self.open[-1][0] != tag:
+                self._pop()
+            self._pop()
 
     def handle_data(self, data: str) -> None:
         self.parts.append(data)
-        if any(x[0] == "a" for x in self.open):
+        if self.names["a"]:
             self.linked += len("".join(data.split()))
 
     def unknown_decl(self, data: str) -> None:
@@ -176,19 +195,27 @@ def threshold(values: list[float]) -> float:
     return (low + high) / 2
 
 
-def link_lists(blocks: list[list], hot: list[bool]) -> None:
+def link_lists(blocks: list[list], outer: list[int], hot: list[bool]) -> None:
     """Switch off the boxes in doubt that have no block above the threshold and consist of links for the greater part."""
-    boxes: dict[int, list] = {}
+    boxes = [[0, 0, False] for _ in outer]
     for b, h in zip(blocks, hot, strict=True):
         if not b[3]:
-            for k in b[5]:
-                box = boxes.setdefault(k, [0, 0, False])
-                box[0] += b[6]
-                box[1] += len("".join(b[0].split()))
-                box[2] |= h
-    lists = {k for k, (linked, chars, any_hot) in boxes.items() if not any_hot and 2 * linked > chars}
+            box = boxes[b[5]]
+            box[0] += b[6]
+            box[1] += len("".join(b[0].split()))
+            box[2] |= h
+    for k in range(len(outer) - 1, 0, -1):  # outer boxes come before inner ones
+        linked, chars, any_hot = boxes[k]
+        box = boxes[outer[k]]
+        box[0] += linked
+        box[1] += chars
+        box[2] |= any_hot
+    off = [False]
+    for k in range(1, len(outer)):
+        linked, chars, any_hot = boxes[k]
+        off.append(off[outer[k]] or (not any_hot and 2 * linked > chars))
     for b in blocks:
-        b[3] |= not lists.isdisjoint(b[5])
+        b[3] |= off[b[5]]
 
 
 def content(page: PageBlocks, hot: list[bool]) -> list[int]:
@@ -207,22 +234,22 @@ def content(page: PageBlocks, hot: list[bool]) -> list[int]:
         votes[nodes[k][0]] += votes[k]
     total, core = votes[0], 0
 
-    def under(k: int, top: int, tags=None) -> bool:
-        """Whether node k lies in top, with no other node of the tags between."""
-        while k > top:
-            k = nodes[k][0]
-            if tags and k > top and nodes[k][1] in tags:
-                return False
-        return k == top
+    # A node's descendants are numbered from it to its last one; around has its nearest article or main.
+    last_in, around = list(range(len(nodes))), [0] * len(nodes)
+    for k in range(len(nodes) - 1, 0, -1):
+        last_in[nodes[k][0]] = max(last_in[nodes[k][0]], last_in[k])
+    for k in range(1, len(nodes)):
+        parent = nodes[k][0]
+        around[k] = parent if nodes[parent][1] in CONTAINERS else around[parent]
 
     for k in range(1, len(nodes)):
-        if votes[k] >= MOST * total and under(k, core):
+        if votes[k] >= MOST * total and core <= k <= last_in[core]:
             if nodes[core][1] != "article" and (nodes[core][1] != "main" or nodes[k][1] == "article"):
                 core = k
     if nodes[core][1] in CONTAINERS:
         tops = {core}
     else:
-        tops = {k for k in range(1, len(nodes)) if nodes[k][1] in CONTAINERS and under(k, core, CONTAINERS)}
+        tops = {k for k in range(core + 1, last_in[core] + 1) if nodes[k][1] in CONTAINERS and around[k] <= core}
         if not tops or sum(votes[k] for k in tops) < HALF * votes[core]:
             tops = {core}
     inside = [False] * len(nodes)
@@ -237,7 +264,7 @@ def content(page: PageBlocks, hot: list[bool]) -> list[int]:
     if tops == {core} and nodes[core][1] not in CONTAINERS:
 
         def ends(i: int) -> bool:
-            return not 0 <= i < len(blocks) or blocks[i][3] or (bool(blocks[i][5]) and not hot[i])
+            return not 0 <= i < len(blocks) or blocks[i][3] or (blocks[i][5] > 0 and not hot[i])
 
         def linked(i: int) -> bool:
             return 2 * blocks[i][6] > len("".join(blocks[i][0].split()))
@@ -263,23 +290,23 @@ def main_text(html: str | None) -> str:
     ratios = smooth([math.log1p(len(b[0]) / max(1, b[1])) for b in page.blocks])
     bar = threshold(ratios)
     hot = [r >= bar and not b[3] for r, b in zip(ratios, page.blocks, strict=True)]
-    link_lists(page.blocks, hot)
+    link_lists(page.blocks, page.doubts, hot)
     return "\n\n".join(page.blocks[i][0] for i in content(page, hot))
 
 
 def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
     """``pages`` with ``text`` in place of ``html``: one row per page, an empty text where the page has no article
-    (also for null and empty pages). A column named text in ``pages`` is replaced."""
-    small_batches(pages.sparkSession)
-    kept = [f for f in pages.schema.fields if f.name not in (html, "text")]
-    rows = pages.select(*[F.col(f"`{f.name}`") for f in kept], F.col(html).alias("html"))
+    (also for null and empty pages). Where ``pages`` has a column named text, the new one is ``text_``."""
+    kept = [f for f in pages.schema.fields if f.name != html]
+    (text,) = free_names(pages.drop(html), "text")
+    rows = pages.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{html}`"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = pa.array([main_text(h.as_py()) for h in batch.column(len(kept))], pa.string())
-            yield pa.record_batch([*batch.columns[:-1], texts], [*batch.schema.names[:-1], "text"])
+            yield pa.record_batch([*batch.columns[:-1], texts], [*batch.schema.names[:-1], text])
 
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], "text string"])
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], f"{text} string"])
     return rows.mapInArrow(run, schema)
 
 
