@@ -48,14 +48,40 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.conversation_report(table(spark, sf_dir, "conversations"))
 
 
-#: SQL twins. op8's is its definition as windows by the normalised text. The size and target columns of op3, the windows of
-#: op9, the numbering of op5 and the base columns of op1 could have one but have none yet; the rest of op1, op2's one-word
-#: edits, op4's parser, op6's components, op7's models and op10's escapes are held against brute force in the tests.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
+_ALNUM = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+#: SQL twins: the definitions of the results, not the methods. The hashes that order op3's and op5's rows, op1's entropy spans,
+#: op4's parser, op7's models and op10's windows have no short SQL form; these are held against brute force in the tests.
 ORACLE: dict[str, str] = {
+    "op2_line_dedup": rf"""WITH t AS (SELECT doc_id, string_split(lower(regexp_replace(coalesce(text, ''), '[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*|\x20[\x20\x09\x0B-\x0D]+', ' ', 'g')), chr(10)) AS ls FROM documents),
+ l AS (SELECT doc_id, unnest(range(len(ls))) AS line_no, trim(unnest(ls), ' ') AS line FROM t), s AS (SELECT *, string_split(line, ' ') AS w FROM l WHERE line <> ''),
+ u AS (SELECT line, min((doc_id, line_no)) AS first, any_value(w) AS w FROM s GROUP BY line),
+ v AS (SELECT line, first, unnest(range(1, len(w) + 1)) AS i, unnest(list_transform(range(1, len(w) + 1), lambda i: array_to_string(w[:i - 1] || w[i + 1:], ' '))) AS vk FROM u WHERE len(w) >= 5),
+ g AS (SELECT vk, i, min(first) AS a FROM v GROUP BY vk, i),
+ dead AS (SELECT v.line FROM v JOIN g ON v.vk = g.vk AND v.i = g.i WHERE g.a < v.first UNION SELECT v.line FROM v JOIN u ON v.vk = u.line WHERE u.first < v.first
+ UNION SELECT u.line FROM v JOIN u ON v.vk = u.line WHERE v.first < u.first),
+ f AS (SELECT s.doc_id, s.line_no, s.line IN (SELECT line FROM dead) AS near, (s.doc_id, s.line_no) <> u.first AS copy FROM s JOIN u ON s.line = u.line),
+ d AS (SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE copy AND NOT near) AS c, count(*) FILTER (WHERE near) AS m, string_agg(line_no, ',' ORDER BY line_no) FILTER (WHERE near OR copy) AS gone FROM f GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n, 0) AS n_lines, coalesce(c, 0) AS n_copies, coalesce(m, 0) AS n_near, coalesce(gone, '') AS dropped FROM t LEFT JOIN d ON t.doc_id = d.doc_id""",
+    "op6_jaccard_join": rf"""WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+ s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+ n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id), p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+ l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+ r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a), m AS (SELECT a, min(b) AS b FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.b, d.doc_id)) AS component_id FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN m ON d.doc_id = m.a""",
     "op8_exact_dedup": r"""WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS norm FROM documents),
  r AS (SELECT doc_id, chars, norm, count(*) OVER (PARTITION BY norm) AS n, first_value(doc_id) OVER w AS keep_id, first_value(chars) OVER w AS best
  FROM d WINDOW w AS (PARTITION BY norm ORDER BY chars DESC, doc_id NULLS LAST))
 SELECT doc_id, keep_id, n AS group_size, chars = best AND doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256 FROM r""",
+    "op9_decontamination": rf"""WITH d AS (SELECT doc_id, {_ALNUM} AS w FROM documents), b AS (SELECT item_id, w, least(10, len(w)) AS n FROM (SELECT item_id, {_ALNUM} AS w FROM benchmark) WHERE len(w) > 0),
+ win AS (SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS g FROM b),
+ x AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS g FROM d JOIN (SELECT DISTINCT n FROM win) ON len(w) >= n),
+ h AS (SELECT x.doc_id, x.i, x.n, item_id FROM x JOIN win ON x.n = win.n AND x.g = win.g), q AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM h) GROUP BY doc_id),
+ k AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+ FROM d LEFT JOIN q ON d.doc_id = q.doc_id LEFT JOIN k ON d.doc_id = k.doc_id""",
 }
 
 QUERIES = {
