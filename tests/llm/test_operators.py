@@ -1,14 +1,18 @@
 """Each training-data operator against a brute-force version, on hand-made rows and on the smallest tables."""
 
 import hashlib
+import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import pytest
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from chatloom.llm import chat_format, decontaminate, exact_dedup, html_text, jaccard_join, line_dedup, mixing, secrets, sharding, toxicity
 from chatloom.llm.queries import ORACLE, QUERIES
 from oracle import rows as result_rows
@@ -67,6 +71,37 @@ def test_entropy_spans_and_allow_list(spark):
     assert secrets.redact_secrets(d).first().text == t.replace("AbC9dEf2GhI5jKl8MnO1pQr4StU7", "[SECRET]")
 
 
+def test_entropy_windows_equal_plain_python(spark):
+    random.seed(7)
+    kinds = [secrets.ALPHABET, "0123456789abcdef", "ABCDEF0123456789", "ab1", "a1" + secrets.ALPHABET[:12]]
+    texts = ["".join(random.choice(k) for _ in range(random.randint(1, 90))) for k in kinds for _ in range(50)]
+    w, want = secrets.WINDOW, {}
+    for i, t in enumerate(texts):
+        first = last = 0
+        for end in range(w, len(t) + 1):
+            part = t[end - w : end]
+            bits = -sum(part.count(c) / w * math.log2(part.count(c) / w) for c in set(part))
+            digits = sum(c.isdigit() for c in part)
+            one_case = digits + sum(c in "abcdef" for c in part) == w or digits + sum(c in "ABCDEF" for c in part) == w
+            if bits >= (secrets.HEX_BITS if one_case and 0 < digits < w else secrets.MIXED_BITS) - 1e-7:
+                first, last = first or end - w + 1, end
+        want[i] = (first, last)
+    d = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    assert {r.i: tuple(r.hot) for r in d.select("i", secrets._hot_part(F.col("t"), w).alias("hot")).collect()} == want
+    assert any(a for a, _ in want.values())
+
+
+def test_long_strings_take_time_in_proportion(spark):
+    random.seed(8)
+    long = "".join(random.choice(secrets.ALPHABET) for _ in range(300_000))
+    texts = [long, "password=abcdef12 " * 10_000, "ab-1/" * 50_000, "a1" + "bcd" * 100_000, "x" * 300_000]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    began = time.time()
+    got = {r.doc_id: r for r in secrets.secret_report(d).collect()}
+    assert time.time() - began < 60
+    assert got[0].spans and got[1].n_assign == 10_000 and not got[2].spans and not got[4].spans
+
+
 def test_entropy_by_window_beside_base_spans_and_allowed_parts(spark):
     key, digest = "wJ4lrXUtnFEM1bK7MDENGqbPxRfiCYzK3yVtQ8sH", "9f86d081884c7d659a2feaa0c55ad015"
     cases = {
@@ -98,7 +133,7 @@ def test_line_dedup_equals_brute_force(spark, monkeypatch, broadcast):
 
     def near(a, b):
         p, q = sorted((a, b), key=len)
-        if len(q) - len(p) > 1 or p == q or min(len(p), len(q)) < line_dedup.MIN_WORDS:
+        if len(q) - len(p) > 1 or p == q or 100 * (len(q) - 1) < line_dedup.PERCENT * len(q):
             return False
         return any(q[:i] + q[i + 1 :] == (p if len(p) < len(q) else p[:i] + p[i + 1 :]) for i in range(len(q)))
 
@@ -146,6 +181,31 @@ def test_mixing(spark, docs, odd):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, mixing.mix_report(docs.repartition(7)).collect()))
 
 
+def test_columns_of_any_name_survive(spark, docs):
+    """Every name that an operator or a stage adds or uses inside, as a column of the table."""
+    names = """shard slot shard_ slot_ row h none s b n k f p at before all start size bucket copies copy hash target source_size below prefix need in_it taken doc x
+        score score_ held_out predicted mask items n_words n_hit mask_ words text_ _d unit comp gid whole first parts list pivot a id shingles _gone least component_id
+        secret_base secret_spans base spans _t dropped n_lines line_no _gone_ th clean kept group_size keep_id digit rest sha chars""".split()
+    d = docs.filter("doc_id < 60").withColumns({n: F.concat(F.lit(n), "doc_id") for n in names})
+    want = {r.doc_id: r for r in d.collect()}
+    labels, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("labels", "benchmark"))
+    made = {
+        "toxic": toxicity.drop_toxic(d, labels), "near": jaccard_join.drop_near_copies(d), "decont": decontaminate.decontaminate(d, bench),
+        "spans": decontaminate.decontaminate(d, bench, "spans"), "mix": mixing.mix_documents(d), "exact": exact_dedup.drop_exact_copies(d),
+        "lines": line_dedup.drop_lines(d), "redact": secrets.redact_secrets(d),
+    }
+    for name, out in made.items():
+        assert out.columns == d.columns, name
+        rows = out.collect()
+        assert rows and all(tuple(r[c] for c in names) == tuple(want[r.doc_id][c] for c in names) for r in rows), name
+    for f in (sharding.interleave_shards, lambda x: toxicity.score_documents(x, toxicity.train(x, labels)), lambda x: decontaminate.mark_contamination(x, bench), secrets.scan_secrets):
+        out = f(d)
+        assert out.columns[: len(d.columns)] == d.columns and len(set(out.columns)) == len(out.columns)
+        assert all(tuple(r[c] for c in names) == tuple(want[r.doc_id][c] for c in names) for r in out.collect())
+    for f in (secrets.secret_report, line_dedup.line_report, mixing.mix_report, sharding.shard_report, jaccard_join.component_report, exact_dedup.radix_groups):
+        assert sorted(map(str, f(d).collect())) == sorted(map(str, f(d.select("doc_id", "text", "source")).collect()))
+
+
 def test_source_targets_equal_repeated_sharing(spark):
     sizes = {"a": 10, "b": 1000, "c": 300, "d": 5, None: 400}
     d = spark.createDataFrame([(k, v) for k, v in sizes.items()], "source string, source_size long")
@@ -175,8 +235,21 @@ def test_sharding(spark, docs, odd):
     crc = {r.doc_id: zlib.crc32((r.text or "").encode()) for r in docs.collect()}
     assert all(r.text_crc32 == crc[r.doc_id] for r in rows)
     assert sorted(map(str, rows)) == sorted(map(str, sharding.shard_report(docs.repartition(5)).collect()))
-    few = sharding.interleave_shards(odd.drop("shard"), 3)
-    assert sorted(Counter(r.shard for r in few.collect()).values()) == [3, 3, 3]
+    few = sharding.interleave_shards(odd, 3)
+    assert few.columns == [*odd.columns, "shard_", "slot"] and {r.shard for r in few.collect()} == {None, 9}
+    assert sorted(Counter(r.shard_ for r in few.collect()).values()) == [3, 3, 3]
+    assert Counter(map(str, few.select(*odd.columns).collect())) == Counter(map(str, odd.collect()))
+
+
+def test_every_shard_has_the_mixture(spark, monkeypatch):
+    rows = [(i, "x" * (i % 7), ("a", "a", "a", "b", None, "c", "a")[i % 7], i // 3) for i in range(1500)] + [(None, "x", "a", 0)] * 100 + [(3, None, None, 0)] * 50
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string, n long")
+    for bucket in (40, 100_000):
+        monkeypatch.setattr(sharding, "BUCKET_ROWS", bucket)
+        got = Counter((r.source, r.shard) for r in sharding.interleave_shards(d, 7).collect())
+        for s in ("a", "b", "c", None):
+            n = sum(1 for r in rows if r[2] == s)
+            assert all(abs(got[s, k] - n / 7) < 2 for k in range(7)), s
 
 
 def sets_of(rows):
@@ -215,9 +288,22 @@ def test_jaccard_components(spark, docs, monkeypatch):
     d = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute_components(rows)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.component_report(d).collect()} == want
-    for name, value in (("HOT", 5), ("FEW", 4), ("LIST", 3), ("PIVOT_ROUNDS", 1), ("MOST_BROADCAST", 0)):
-        monkeypatch.setattr(jaccard_join, name, value)
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.component_report(d).collect()} == want
+    for changed in ({"HOT": 5, "FEW_PAIRS": 0, "MOST_BROADCAST": 0}, {"HOT": 3, "LEAST_BITS": 6, "MOST_BITS": 7, "PIVOT_ROUNDS": 1}):
+        with monkeypatch.context() as m:
+            for name, value in changed.items():
+                m.setattr(jaccard_join, name, value)
+            assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.component_report(d).collect()} == want
+    kept = jaccard_join.drop_near_copies(d.selectExpr("*", "doc_id AS unit", "text AS component_id", "1 AS _gone", "2 AS least")).collect()
+    assert {r.doc_id for r in kept} == {c for _, c in want.values()} and all(r.unit == r.doc_id and r["_gone"] == 1 for r in kept)
+
+
+def test_jaccard_of_repeated_ids(spark):
+    """A doc_id with several texts links what they are linked with; repeated rows count once."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(5, a), (9, a + " more"), (5, b), (7, b + " more"), (7, b + " more"), (8, c), (8, c), (None, a), (4, None), (3, "")]
+    got = sorted(jaccard_join.component_report(spark.createDataFrame(rows, "doc_id long, text string")).collect(), key=str)
+    want = [(5, 36, 5), (9, 37, 5), (5, 36, 5), (7, 37, 5), (7, 37, 5), (8, 36, 8), (8, 36, 8), (None, 36, None), (4, 0, 4), (3, 0, 3)]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
 def test_toxicity_separates_planted_words(spark):
@@ -261,8 +347,15 @@ def test_toxicity_counts_all_strings(spark):
 
 
 def test_kneser_ney_probabilities_sum_to_one():
-    strings, contexts = toxicity.kneser_ney_ratios({"aaaab": (3, 1), "aaaac": (0, 2), "baaab": (2, 0)})
-    assert strings["aaaac"] > 0 > strings["baaab"] and set(contexts) == {"aaaa", "baaa"}
+    counts = {"aaaab": (3, 1), "aaaac": (0, 2), "baaab": (2, 0), "abcab": (1, 5), "bcaba": (0, 1), "cabab": (4, 0)}
+    strings, contexts = toxicity.kneser_ney_ratios(counts)
+    assert strings["aaaac"] > 0 > strings["baaab"] and set(contexts) == {"aaaa", "baaa", "abca", "bcab", "caba"}
+    p, back = toxicity.kneser_ney(counts)
+    for h in ("aaaa", "baaa", "abca", "bcab", "caba", "cccc", "zabc"):
+        for c in (0, 1):
+            # The characters that end some string, and all others together.
+            assert sum(p(c, h + x) for x in "abc?") == pytest.approx(1)
+            assert h in contexts or back(c, h) == 1
 
 
 def test_exact_dedup(spark, docs, odd):
@@ -279,9 +372,10 @@ def test_exact_dedup(spark, docs, odd):
     assert exact_dedup.radix_groups(odd).count() == len(ODD)
 
 
+@pytest.mark.parametrize("name", sorted(ORACLE))
 @pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
-def test_exact_dedup_equals_its_sql_twin(spark, sf):
-    assert result_rows(QUERIES["op8_exact_dedup"](spark, sf)) == twin(ORACLE["op8_exact_dedup"], sf)
+def test_query_equals_its_sql_twin(spark, name, sf):
+    assert result_rows(QUERIES[name](spark, sf)) == twin(ORACLE[name], sf)
 
 
 def test_decontamination(spark, docs):
@@ -333,6 +427,23 @@ def test_html_keeps_article_text_under_slugs():
     assert html_text.main_text(page) == "\n\n".join(w.strip() for w in want)
 
 
+def test_html_takes_time_in_proportion():
+    n = 50_000
+    pages = ["<div>" * n + "</b>" * n + "x", "<div class='ad-x'>" * n + "<a>x</a>" * n, "<div>x" * n, "<b><article>" + "<div>" * n + "</b>" * n + "x", "<p>" + "x<i>" * n]
+    began = time.time()
+    assert all(html_text.main_text(p) for p in pages)
+    assert time.time() - began < 30
+
+
+def test_html_columns_and_empty_tables(spark):
+    schema = "page_id long, url string, html string, text string, n_chars int"
+    page = "<body><article><p>Said &amp; done.</p></article>"
+    out = html_text.extract_text(spark.createDataFrame([(1, "u", page, "mine", 5), (None, None, "", None, None)], schema))
+    assert out.columns == ["page_id", "url", "text", "n_chars", "text_"]
+    assert sorted(map(tuple, out.collect()), key=str) == [(1, "u", "mine", 5, "Said & done."), (None, None, None, None, "")]
+    assert html_text.page_report(spark.createDataFrame([], schema)).count() == 0
+
+
 def test_html_ratios_choose_the_content():
     long = "Some words of the article that go on for a while. " * 8
     said = long.strip()
