@@ -1,22 +1,25 @@
 """Benchmark decontamination: a broadcast hash set of the benchmark's word windows, scanned over every document.
 
-The set is broadcast only up to a checked number of windows; a larger benchmark is taken in blocks, one scan each. Hash
-hits are verified on the words themselves.
+The set is broadcast only up to a checked number of windows; a larger benchmark is taken in blocks, one scan of the texts
+each, whose hits are brought together by row. Hash hits are verified on the words themselves.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import cut, free_names
+from ._common import cut, free_names, text_or_empty
 from ._wordhash import NOT_WORD, Words, pieces
 
 WINDOW = 10
+#: The words that NOT_WORD parts, as a Java pattern; A-Z belong to them in either case.
+WORD_PATTERN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 ADDED = ("mask", "items", "n_words", "n_hit")
 #: Windows in one broadcast set: at about 250 bytes a window, 125 MB in a worker.
 MOST_WINDOWS = 500_000
@@ -66,14 +69,12 @@ def _beyond(seen: np.ndarray) -> np.uint64:
     return np.uint64(65 - len(seen).bit_length())
 
 
-def _scan(batches: Iterator[pa.RecordBatch], windows: WindowSet, added: tuple, has_earlier: bool) -> Iterator[pa.RecordBatch]:
-    """Append mask (a bit per word, empty if no hit), items, n_words and n_hit under the names ``added``, joined with those
-    of an earlier block."""
+def _scan(batches: Iterator[pa.RecordBatch], windows: WindowSet, added: tuple) -> Iterator[pa.RecordBatch]:
+    """Append mask (a bit per word, empty if no hit), items, n_words and n_hit under the names ``added``."""
     for batch in batches:
         names = batch.schema.names
         masks, items, counts = [], [], []
-        earlier = [batch.column(names.index(a)).to_pylist() for a in added[:2]] if has_earlier else None
-        for begin, data, place in pieces(batch.column(names.index("text"))):
+        for _, data, place in pieces(batch.column("text")):
             w = Words(data, place, NOT_WORD)
             hit = np.zeros(len(w.hash) + 1, np.int32)
             found: list[set[str]] = [set() for _ in place[1:]]
@@ -93,21 +94,24 @@ def _scan(batches: Iterator[pa.RecordBatch], windows: WindowSet, added: tuple, h
             is_hit = np.cumsum(hit[:-1]) > 0
             for i in range(len(found)):
                 bits = is_hit[w.first[i] : w.first[i + 1]]
-                ids = found[i]
-                if earlier and earlier[0][begin + i]:
-                    bits = bits | np.unpackbits(np.frombuffer(earlier[0][begin + i], np.uint8), count=len(bits)).astype(bool)
-                    ids |= set(earlier[1][begin + i])
                 masks.append(np.packbits(bits).tobytes() if bits.any() else b"")
-                items.append(sorted(ids))
+                items.append(sorted(found[i]))
                 counts.append((len(bits), int(bits.sum())))
-        kept = [(n, batch.column(k)) for k, n in enumerate(names) if n not in added]
         new = [
             pa.array(masks, pa.binary()),
             pa.array(items, pa.list_(pa.string())),
             pa.array([c[0] for c in counts], pa.int64()),
             pa.array([c[1] for c in counts], pa.int64()),
         ]
-        yield pa.record_batch([*[a for _, a in kept], *new], [*[n for n, _ in kept], *added])
+        yield pa.record_batch([*batch.columns, *new], [*names, *added])
+
+
+def _any_bit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id, masks of one document from several blocks, items to id, mask, items, n_hit."""
+    for batch in batches:
+        masks = [np.bitwise_or.reduce([np.frombuffer(m, np.uint8) for m in x]) for x in batch.column(1).to_pylist()]
+        hits = pa.array([int(np.unpackbits(m).sum()) for m in masks], pa.int64())
+        yield pa.record_batch([batch.column(0), pa.array([m.tobytes() for m in masks], pa.binary()), batch.column(2), hits], ["id", "mask", "items", "n_hit"])
 
 
 def mark_contamination(docs: DataFrame, benchmark: DataFrame, most_windows: int = MOST_WINDOWS) -> DataFrame:
@@ -118,25 +122,43 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, most_windows: int
 
 
 def _marked(docs: DataFrame, benchmark: DataFrame, added: tuple, most_windows: int = MOST_WINDOWS) -> DataFrame:
-    spark, out = docs.sparkSession, docs
+    spark = docs.sparkSession
     windows = cut(benchmark_windows(benchmark))
     blocks = max(1, -(-windows.count() // most_windows))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
-    schema += ", {} binary, {} array<string>, {} bigint, {} bigint".format(*added)
-    for b in range(blocks):
-        block = windows.filter(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b)
+    told = "{} binary, {} array<string>, {} bigint, {} bigint"
+
+    def scan(rows: DataFrame, block: int, names: tuple):
+        mine = windows.filter(F.pmod(F.xxhash64("words"), F.lit(blocks)) == block)
         # Built once here and once more in each worker, not in each task.
-        shared = spark.sparkContext.broadcast(WindowSet([tuple(r) for r in block.toLocalIterator()]))
-        out = out.mapInArrow(_scanner(shared, added, b > 0), schema)
-        if b + 1 < blocks:
-            out = cut(out)
-            shared.destroy()
-    return out
+        shared = spark.sparkContext.broadcast(WindowSet([tuple(r) for r in mine.toLocalIterator()]))
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+        return rows.mapInArrow(_scanner(shared, names), f"{schema}, {told.format(*names)}"), shared
+
+    if blocks == 1:
+        return scan(docs, 0, added)[0]
+    # The documents are written once; each block reads their texts and leaves only what it hits.
+    rows = cut(docs.select(F.monotonically_increasing_id().alias("id"), F.struct("*").alias("row")))
+    hits = []
+    for b in range(blocks):
+        found, shared = scan(rows.select("id", F.col("row.text").alias("text")), b, ADDED)
+        hits.append(cut(found.filter("n_hit > 0").select("id", "mask", "items")))
+        shared.destroy()
+    of_row = reduce(DataFrame.unionAll, hits).groupBy("id")
+    # One mask and one list of items from each block at most.
+    of_row = of_row.agg(F.collect_list("mask").alias("masks"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    merged = cut(of_row.mapInArrow(_any_bit, "id long, mask binary, items array<string>, n_hit long"))
+    values = (
+        F.coalesce("mask", F.lit(b"")),
+        F.coalesce("items", F.array().cast("array<string>")),
+        F.regexp_count(text_or_empty("row.text"), F.lit(WORD_PATTERN)).cast("long"),
+        F.coalesce("n_hit", F.lit(0).cast("long")),
+    )
+    return rows.join(merged, "id", "left").select("row.*", *[v.alias(n) for v, n in zip(values, added, strict=True)])
 
 
-def _scanner(shared, added: tuple, has_earlier: bool):
+def _scanner(shared, added: tuple):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _scan(batches, shared.value, added, has_earlier)
+        return _scan(batches, shared.value, added)
 
     return run
 
