@@ -39,7 +39,7 @@ def fold() -> Column:
 class WordRatios(dict):
     """Word to log P(word | toxic) - log P(word | ordinary), worked out when first asked for."""
 
-    LONGEST, MOST = 64, 200_000
+    LONGEST, MOST = 64, 100_000
 
     def __init__(self, strings: dict[str, float], contexts: dict[str, float]):
         super().__init__()
@@ -118,11 +118,14 @@ def kneser_ney(counts: dict[str, tuple[int, int]]):
     return p, back
 
 
-def kneser_ney_ratios(counts: dict[str, tuple[int, int]]) -> tuple[dict[str, float], dict[str, float]]:
-    """Log ratios, toxic to ordinary, of seen strings and of contexts of unseen ones."""
+def kneser_ney_ratios(counts: dict[str, tuple[int, int]], wanted: list[str] | None = None) -> tuple[dict[str, float], dict[str, float]]:
+    """Log ratios, toxic to ordinary, of seen strings and of contexts of unseen ones; only those that the strings ``wanted``
+    need, if they are given."""
     p, back = kneser_ney(counts)
-    strings = {g: math.log(p(1, g) / p(0, g)) for g in counts}
-    return strings, {h: math.log(back(1, h) / back(0, h)) for h in {g[:-1] for g in counts}}
+    wanted = counts if wanted is None else wanted
+    seen = {g[:-1] for g in counts}
+    strings = {g: math.log(p(1, g) / p(0, g)) for g in wanted if g in counts}
+    return strings, {h: math.log(back(1, h) / back(0, h)) for h in {g[:-1] for g in wanted} if h in seen}
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,13 +160,15 @@ def _string_counts(fit: DataFrame) -> tuple[list[str], np.ndarray]:
 
 
 def _ratios_without(strings: list[str], counts: np.ndarray, held: int | None) -> tuple[dict[str, float], dict[str, float]]:
-    """Ratios from the training folds other than ``held``; from all of them if these lack a class."""
-    n = counts.sum(1)
+    """Ratios from the training folds other than ``held``, as its own strings need them; from all of them if these lack a
+    class."""
+    n, wanted = counts.sum(1), None
     if held is not None:
+        wanted = [strings[i] for i in np.flatnonzero(counts[:, held - 1].any(1)).tolist()]
         others = n - counts[:, held - 1]
         n = others if others.sum(0).all() else n
     seen = np.flatnonzero(n.any(1))
-    return kneser_ney_ratios({strings[i]: (a, b) for i, (a, b) in zip(seen.tolist(), n[seen].tolist(), strict=True)})
+    return kneser_ney_ratios({strings[i]: (a, b) for i, (a, b) in zip(seen.tolist(), n[seen].tolist(), strict=True)}, wanted)
 
 
 def _feature_rows(shared, kept: list[str]):
