@@ -11,7 +11,7 @@ from ._common import cut
 def components(links: DataFrame) -> DataFrame:
     """(a, b) links to (id, comp): comp is the smallest id reachable. Each round is joins and aggregates over links and
     ids, written to the shared folder; the number of rounds grows with the logarithm of the longest chain."""
-    both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct()
+    both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b")
     edges = cut(both)
     label = cut(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("comp")))
     while True:

@@ -36,7 +36,7 @@ STEPS = 8  # of a count's logarithm, per doubling
 #: A shingle's postings are split over several lists so that a list has about HOT entries, or 8 times what an average counter
 #: shows where that is more.
 HOT = 1_000
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 2
 #: Up to so many pairs of postings for each posting, or where a pivot brings few links, the last step takes over. That
 #: step is complete, so this changes the time only.
 FEW_PAIRS = 8
@@ -270,7 +270,7 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
         if few:
             break
         # Another pivot for each shingle: first the group with most open shingles, as the one with fewest edits is nearest to
-        # all others; then by a hash that changes with the round.
+        # all others; in later rounds by a hash that changes.
         ranked = open_posts.join(open_posts.groupBy("gid").agg(F.count("*").alias("much")), "gid")
         rank = F.struct((-F.col("much") if r == 1 else F.xxhash64("gid", F.lit(r))).alias("h"), F.col("gid").alias("pivot"), F.col("low").alias("pl"))
         pivots = ranked.groupBy("token").agg(F.min(rank).alias("p"))
