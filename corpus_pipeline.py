@@ -18,9 +18,15 @@ from chatloom.llm.sharding import interleave_shards
 from chatloom.llm.toxicity import drop_toxic
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """This application's setting: what Python tasks get at once fits in executors of 3 GB with two tasks each."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.5 or more go. Null and empty texts stay unless labels speak against texts without words;
     without labels of both classes all documents stay."""
+    _small_batches(spark)
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
@@ -32,6 +38,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go; null and empty texts hold none, and an empty benchmark has none."""
+    _small_batches(spark)
     return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
