@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, exact_dedup, html_text, jaccard_join, line_dedup, mixing, secrets, sharding, toxicity
+from . import chat_format, decontaminate, exact_dedup, html_text, jaccard_join, line_dedup, mixing, secrets, sharding, source_audit, toxicity
 from ._common import table
 
 
@@ -48,7 +48,12 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.conversation_report(table(spark, sf_dir, "conversations"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.divergence(table(spark, sf_dir, "documents"))
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LOWER_X = "translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
 _ALNUM = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -82,6 +87,19 @@ SELECT doc_id, keep_id, n AS group_size, chars = best AND doc_id IS NOT DISTINCT
  k AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY doc_id)
 SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
  FROM d LEFT JOIN q ON d.doc_id = q.doc_id LEFT JOIN k ON d.doc_id = k.doc_id""",
+    "op11_source_divergence": rf"""WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: {_LOWER_X}) AS w FROM documents),
+ o AS (SELECT lang, source, unnest(w) AS term FROM d), t AS (SELECT lang, unnest(list_distinct(w)) AS term FROM d),
+ k AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(*) >= 10), v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+ c AS (SELECT lang, source, term, count(*) AS c FROM o JOIN k USING (lang, term) GROUP BY lang, source, term),
+ g AS (SELECT lang, source, coalesce(sum(c), 0) + 2 * coalesce(any_value(v), 0) AS d FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) LEFT JOIN v USING (lang) GROUP BY lang, source),
+ l AS (SELECT lang, term, sum(c) AS c, sum(sum(c)) OVER (PARTITION BY lang) + 2 * any_value(v) AS d FROM c JOIN v USING (lang) GROUP BY lang, term),
+ p AS (SELECT g.lang, g.source, k.term, coalesce(c, 0) AS n, CAST(1 + 1000000000 * (CAST(coalesce(c, 0) AS HUGEINT) + 2) // CAST(d AS HUGEINT) AS BIGINT) AS p FROM g JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+ q AS (SELECT lang, term, CAST(1 + 1000000000 * (CAST(c AS HUGEINT) + 2) // CAST(d AS HUGEINT) AS BIGINT) AS q FROM l),
+ s AS (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+ a AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN s ON s.lang = x.lang AND s.source = x.source AND s.item = y.source),
+ b AS (SELECT p.lang, p.source, 'term' AS part, p.term AS item, (p - q) * (p - q) // (p + q) AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM (SELECT * FROM a UNION ALL SELECT * FROM b))
+SELECT * FROM r WHERE part = 'pair' OR rank <= 10""",
 }
 
 QUERIES = {
@@ -89,5 +107,6 @@ QUERIES = {
     for f in (
         op1_secret_scans, op2_line_dedup, op3_mix_sources, op4_html_extraction, op5_sharding,
         op6_jaccard_join, op7_toxicity, op8_exact_dedup, op9_decontamination, op10_chat_format,
+        op11_source_divergence,
     )
 }
