@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, exact_dedup, html_text, jaccard_join, line_dedup, mixing, secrets, sharding, source_audit, toxicity
+from . import chat_format, collocations, decontaminate, exact_dedup, html_text, jaccard_join, line_dedup, mixing, secrets, sharding, source_audit, toxicity
 from ._common import table
 
 
@@ -52,6 +52,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.divergence(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _LOWER_X = "translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
@@ -100,6 +104,18 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_item
  b AS (SELECT p.lang, p.source, 'term' AS part, p.term AS item, (p - q) * (p - q) // (p + q) AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
  r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM (SELECT * FROM a UNION ALL SELECT * FROM b))
 SELECT * FROM r WHERE part = 'pair' OR rank <= 10""",
+    "op13_collocations": rf"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+ w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p), m AS (SELECT unnest([1, 2, 3, 4, 5]) AS m),
+ g AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase FROM w JOIN m ON len(w) >= m),
+ f AS (SELECT lang, m, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100), t AS (SELECT lang, count(*) AS n FROM g WHERE m = 1 GROUP BY lang),
+ c AS (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM f WHERE m > 1),
+ s AS (SELECT c.lang, c.m, c.phrase, c.a, k, x.a AS l, y.a AS r, n, (CAST(1000 AS HUGEINT) * c.a * n) // (CAST(x.a AS HUGEINT) * y.a) AS score
+ FROM c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[:k], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ') JOIN t ON t.lang = c.lang),
+ b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM s),
+ i AS (SELECT lang, a, unnest(list_transform(range(1, m - j + 2), lambda i: array_to_string(w[i:i + j - 1], ' '))) AS phrase FROM (SELECT lang, m, a, string_split(phrase, ' ') AS w, unnest(range(2, m)) AS j FROM f WHERE m > 2)),
+ o AS (SELECT * FROM b WHERE nth = 1 AND NOT EXISTS (SELECT 1 FROM i WHERE i.lang = b.lang AND i.phrase = b.phrase AND i.a >= b.a)),
+ r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 2000""",
 }
 
 QUERIES = {
@@ -107,6 +123,6 @@ QUERIES = {
     for f in (
         op1_secret_scans, op2_line_dedup, op3_mix_sources, op4_html_extraction, op5_sharding,
         op6_jaccard_join, op7_toxicity, op8_exact_dedup, op9_decontamination, op10_chat_format,
-        op11_source_divergence,
+        op11_source_divergence, op13_collocations,
     )
 }

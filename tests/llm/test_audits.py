@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from chatloom.llm import source_audit
+from chatloom.llm import _quotient, collocations, source_audit
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, term string, rank int"
@@ -68,3 +68,61 @@ def test_galloping_and_prices():
     big = np.array([0, 1, 9 * 10**9, 7 * 10**12])
     total = int(big.sum()) + 8
     assert source_audit.prices(big, total).tolist() == [1 + 10**9 * (int(c) + 2) // total for c in big]
+
+
+def plain_collocations(docs, least=100, most=5, top=2000):
+    found, total = defaultdict(Counter), Counter()
+    for text, lang in docs:
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            total[lang or "und"] += len(w)
+            found[lang or "und"].update(tuple(w[i : i + m]) for m in range(1, most + 1) for i in range(len(w) - m + 1))
+    out = set()
+    for lang, f in found.items():
+        often = {p: a for p, a in f.items() if a >= least and len(p) > 1}
+        inside = defaultdict(int)
+        for p, a in often.items():
+            for m in range(2, len(p)):
+                for i in range(len(p) - m + 1):
+                    inside[p[i : i + m]] = max(inside[p[i : i + m]], a)
+        n = total[lang]
+        rows = []
+        for p, a in often.items():
+            if inside[p] < a:
+                score, k = min((1000 * a * n // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+                rows.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        out |= {(lang, i + 1, p.decode(), -a, left, right, n, -s) for i, (s, a, p, left, right) in enumerate(sorted(rows)[:top])}
+    return out
+
+
+def test_collocations_equal_plain_python(spark):
+    random.seed(5)
+    words = ["New", "york", "é", "日本", "a", "b", "c-d", "it's", "x"]
+    docs = [("".join(random.choice(words) + random.choice([" ", " ", " ", "\t", "  ", ". ", ",", "\n"]) for _ in range(random.choice([0, 1, 4, 50]))), random.choice(["en", "de", None])) for _ in range(120)]
+    docs += [("a b New york x", "en")] * 40 + [(None, "fr"), (" . ;\n", "fr"), ("a b c d e f g", "es"), ("b a " * 20_000, "long")]
+    df = spark.createDataFrame([(i, *d, "clash", 7) for i, d in enumerate(docs)], "doc_id long, text string, lang string, term string, n int").repartition(3)
+    fields = "lang rank phrase a l r n score".split()
+    for least, most_ids, top in ((5, 1 << 22, 2000), (3, 8, 2000), (100, 3, 2)):
+        rows = [tuple(r[f] for f in fields) for r in collocations.collocations(df, least, top=top, most_ids=most_ids).collect()]
+        assert len(rows) == len(set(rows)) and set(rows) == plain_collocations(docs, least, top=top)
+    assert collocations.collocations(df.limit(0)).count() == 0 and collocations.collocations(df, 10**6).count() == 0
+
+
+def test_counting_filters_are_lossless():
+    rng = np.random.default_rng(2)
+    for bits in (1, 8, 13):
+        keys = rng.integers(0, 1 << 63, 5000, dtype=np.uint64)
+        keys[:40] = np.arange(40)
+        keys = np.concatenate([keys, keys[:300], np.repeat(keys[7], 70_000)])
+        counter = _quotient.ShardedCounter(bits, held=2000)
+        filters = [f for part in np.array_split(keys, 50) for f in counter.add(part)] + list(counter.rest())
+        shards = defaultdict(list)
+        for shard, raw in filters:
+            shards[shard].append(_quotient.unpack(raw, shard, bits))
+        got = Counter()
+        for parts in shards.values():
+            k, n = _quotient.merged(iter(parts), held=500)
+            assert (np.diff(k.astype(object)) > 0).all()
+            got.update(dict(zip(_quotient.unmix(k).tolist(), n.tolist(), strict=True)))
+        assert got == Counter(keys.tolist())
