@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, collocations, decontaminate, exact_dedup, html_text, jaccard_join, line_dedup, mixing, secrets, sharding, source_audit, toxicity
+from . import chat_format, collocations, decontaminate, exact_dedup, html_text, jaccard_join, license_scan, line_dedup, mixing, secrets, sharding, source_audit, toxicity
 from ._common import table
 
 
@@ -52,6 +52,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.divergence(table(spark, sf_dir, "documents"))
 
 
+def op12_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_report(table(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,8 @@ _LOWER_X = "translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwx
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
 _ALNUM = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+_TEMPLATES = ", ".join(f"({i}, '{name}', '{text}', {base})" for i, (name, text, base) in enumerate(license_scan.default_templates()))
+
 #: SQL twins: the definitions of the results, not the methods. The hashes that order op3's and op5's rows, op1's entropy spans,
 #: op4's parser, op7's models and op10's windows have no short SQL form; these are held against brute force in the tests.
 ORACLE: dict[str, str] = {
@@ -104,6 +110,18 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_item
  b AS (SELECT p.lang, p.source, 'term' AS part, p.term AS item, (p - q) * (p - q) // (p + q) AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
  r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM (SELECT * FROM a UNION ALL SELECT * FROM b))
 SELECT * FROM r WHERE part = 'pair' OR rank <= 10""",
+    "op12_license_scans": rf"""WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_ALNUM} AS w FROM documents),
+ t AS (SELECT id, label, base, w, len(w) AS size, CASE WHEN len(w) >= 4 THEN 4 ELSE 2 END AS k FROM (SELECT id, label, base, string_split(text, ' ') AS w FROM (VALUES {_TEMPLATES}) v(id, label, text, base))),
+ tg AS (SELECT * EXCLUDE (w), unnest(range(0, size - k + 1)) AS j, unnest(list_transform(range(1, size - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g FROM t),
+ dg AS (SELECT row, k, unnest(range(0, len(w) - k + 1)) AS i, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g FROM d JOIN (VALUES (2), (4)) v(k) ON len(w) >= k),
+ h AS (SELECT DISTINCT row, id, label, base, size, tg.k, i - j AS diag, j FROM dg JOIN tg ON dg.g = tg.g AND dg.k = tg.k),
+ x AS (SELECT *, diag - lag(diag) OVER (PARTITION BY row, id ORDER BY diag) > CASE WHEN base THEN 0 ELSE least(3, size // 4) END AS apart FROM (SELECT DISTINCT row, id, base, size, diag FROM h)),
+ y AS (SELECT row, id, diag, sum(CASE WHEN coalesce(apart, true) THEN 1 ELSE 0 END) OVER (PARTITION BY row, id ORDER BY diag) AS span FROM x),
+ c AS (SELECT row, id, label, base, size, span, diag, unnest(range(j, j + k)) AS p FROM h JOIN y USING (row, id, diag)),
+ s AS (SELECT row, label, base, min(diag) AS place, count(DISTINCT p) / size AS share FROM c GROUP BY row, id, label, base, size, span)
+SELECT any_value(doc_id) AS doc_id, any_value(len(w)) AS n_words, count(*) FILTER (WHERE base) AS n_base, min(place) FILTER (WHERE base) AS first_word, max(place) FILTER (WHERE base) AS last_word,
+ coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base), '') AS base_labels, coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base OR share >= 0.6), '') AS labels, coalesce(max(share), 0.0::DOUBLE) AS score
+ FROM d LEFT JOIN s USING (row) GROUP BY row""",
     "op13_collocations": rf"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
  w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p), m AS (SELECT unnest([1, 2, 3, 4, 5]) AS m),
  g AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase FROM w JOIN m ON len(w) >= m),
@@ -123,6 +141,6 @@ QUERIES = {
     for f in (
         op1_secret_scans, op2_line_dedup, op3_mix_sources, op4_html_extraction, op5_sharding,
         op6_jaccard_join, op7_toxicity, op8_exact_dedup, op9_decontamination, op10_chat_format,
-        op11_source_divergence, op13_collocations,
+        op11_source_divergence, op12_license_scans, op13_collocations,
     )
 }

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from chatloom.llm import _quotient, collocations, source_audit
+from chatloom.llm import _quotient, collocations, license_scan, source_audit
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, term string, rank int"
@@ -126,3 +126,34 @@ def test_counting_filters_are_lossless():
             assert (np.diff(k.astype(object)) > 0).all()
             got.update(dict(zip(_quotient.unmix(k).tolist(), n.tolist(), strict=True)))
         assert got == Counter(keys.tolist())
+
+
+def test_license_phrases_equal_plain_python(spark):
+    random.seed(9)
+    parts = ["GNU General Public License", "cc by", "CC-BY-NC", "MIT\nLicense", "apache License,", "the", "gnu general", "ccé by", "K by", "mit", "license", "by"]
+    texts = [random.choice([" ", "--", "\x00"]).join(random.choices(parts, k=random.choice([0, 1, 2, 30]))) for _ in range(80)] + [None, "", "...", "cc by " * 30_000]
+    docs = [(i // 2, t, "clash", 1, "w") for i, t in enumerate(texts)] + [(None, "MIT license", "clash", 1, "w")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, template string, row int, words string").repartition(3)
+    want = Counter()
+    for d, t, *_ in docs:
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+        at = [(i, name) for name, p in license_scan.PHRASES for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
+        places = [i for i, _ in at]
+        want[d, len(w), len(at), min(places, default=None), max(places, default=None), ",".join(sorted({n for _, n in at}))] += 1
+    got = license_scan.license_report(df).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in got) == want
+    assert all(r.score == 1 for r in got if r.n_base) and all(set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) for r in got)
+    assert license_scan.license_report(df.limit(0)).count() == 0
+
+
+def test_license_notices_with_edits_and_two_in_one_text(spark):
+    notice = {name: text.split() for name, text, base in license_scan.default_templates() if name in ("isc", "bsd", "unlicense", "mpl-2.0")}
+    changed = notice["isc"][:12] + ["put", "in"] + notice["isc"][12:20] + notice["isc"][21:]
+    texts = [" ".join(["so"] * 40 + changed + ["end"] * 5), " ".join(notice["bsd"] + ["x"] * 9 + notice["unlicense"]), " ".join(notice["mpl-2.0"][:12]), "Licensed under CC BY-NC 4.0.", " ".join(notice["bsd"][::-1])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.license_report(df).collect()}
+    assert [got[i].labels for i in range(5)] == ["isc", "bsd,unlicense", "", "cc-by,cc-by-nc", ""]
+    assert 0.8 < got[0].score < 1 and got[1].score == 1 and 0 < got[2].score < 0.6 and got[4].score == 0
+    span = [r for r in license_scan.license_spans(df).collect() if r.doc_id == 0 and r.label == "isc"]
+    assert len(span) == 1 and 37 <= span[0].first_word <= 43
