@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from chatloom.functions.strings import index_letter, letter_of, non_empty, strip
 from chatloom.functions.turns import assistant_index, first_value, user_index
@@ -122,19 +123,56 @@ def distill(
 ) -> DataFrame:
     """Up to ``rounds`` attempts of a generator at the rows that are pending and have a ``prompt``; it ends early when there
     are none. ``make(prompts, attempt)`` gives the texts. Rows need value, label_letter, exact_match, try_count; the others
-    stay. The whole table is written to ``folder`` after every attempt, where lost work begins again: the last one is
-    returned."""
+    stay.
+
+    ``folder`` is the log of one run: attempt-N holds what attempt N had in hand, apart by whether the row is tried again,
+    so a row is written once more only while it is open. Started again over the same folder, a run goes on after the last
+    attempt that was written whole and removes what was half written; attempts that are done are not generated again. The
+    folder must not serve another input."""
     spark, df = df.sparkSession, with_defaults(df)
+    mark = "open_"
+    while mark in df.columns:
+        mark += "_"
+    schema = StructType([*df.schema.fields, StructField(mark, IntegerType())])
+    done = whole_attempts(spark, folder)
+
+    def written(attempt: int) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{folder}/attempt-{attempt}")
+
+    last = 0
     for attempt in range(1, rounds + 1):
-        todo = pending(df, attempt, resume) & F.col("prompt").isNotNull()
-        if df.filter(todo).isEmpty():
-            break
-        tried = generate(df.filter(todo), lambda prompts, n=attempt: make(prompts, n), out="_new").withColumn("value", strip(F.col("_new"))).drop("_new")
-        tried = tried.withColumns({"exact_match": match(F.col("value"), F.col("label_letter")), "try_count": F.lit(attempt)})
-        path = f"{folder}/attempt-{attempt}"
-        df.filter(~todo).unionByName(tried).write.parquet(path)
-        df = spark.read.parquet(path)
-    return df
+        if attempt not in done:
+            todo = pending(df, attempt, resume) & F.col("prompt").isNotNull()
+            if df.filter(todo).isEmpty():
+                break
+            tried = generate(df.filter(todo), lambda prompts, n=attempt: make(prompts, n), out="_new").withColumn("value", strip(F.col("_new"))).drop("_new")
+            tried = tried.withColumns({"exact_match": match(F.col("value"), F.col("label_letter")), "try_count": F.lit(attempt)})
+            now = df.filter(~todo).unionByName(tried.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in df.schema.fields]))
+            again = pending(now, attempt + 1) & F.col("prompt").isNotNull()
+            now.withColumn(mark, again.cast("int")).write.partitionBy(mark).parquet(f"{folder}/attempt-{attempt}")
+        last = attempt
+        df = written(attempt).filter(F.col(mark) == 1).drop(mark)
+    if not last:
+        return df
+    out = written(last).drop(mark)
+    for attempt in range(1, last):
+        out = out.unionAll(written(attempt).filter(F.col(mark) == 0).drop(mark))
+    return out
+
+
+def whole_attempts(spark: SparkSession, folder: str) -> set[int]:
+    """Numbers of the attempts below ``folder`` that were written whole, from the first without a gap. Every other attempt's
+    folder is removed."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {int(p.getPath().getName().removeprefix("attempt-")): p.getPath() for p in (fs.listStatus(root) if fs.exists(root) else []) if re.fullmatch(r"attempt-\d+", p.getPath().getName())}
+    whole: set[int] = set()
+    for n in sorted(found):
+        if n == len(whole) + 1 and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(found[n], "_SUCCESS")):
+            whole.add(n)
+        else:
+            fs.delete(found[n], True)
+    return whole
 
 
 def not_failed(df: DataFrame) -> DataFrame:

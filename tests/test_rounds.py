@@ -34,6 +34,48 @@ def test_distill_stops_early_and_writes_every_attempt(spark, tmp_path):
     assert {r.id: r.try_count for r in resumed.collect()} == {1: 1, 2: 0, 3: 4, 4: 1}
 
 
+def test_distill_goes_on_after_a_crash(spark, tmp_path):
+    rows = [(k, "p" if k % 9 else None, "ABCDE"[k % 5] if k % 7 else None, "old", k == 18, None, k) for k in range(60)]
+    df = spark.createDataFrame(rows, ROWS).withColumnRenamed("extra", "open_")
+
+    def make(prompts, attempt):
+        return [f"Answer: {'ABCDE'[attempt % 5]}" for _ in prompts]
+
+    def dies(prompts, attempt):
+        if attempt == 3:
+            raise RuntimeError("lost")
+        return make(prompts, attempt)
+
+    def counts(prompts, attempt):
+        (tmp_path / f"asked-{attempt}").touch()
+        return make(prompts, attempt)
+
+    def told(out):
+        return sorted(map(tuple, out.collect()), key=str)
+
+    want = told(D.distill(df, make, S.answer_matches, 4, str(tmp_path / "whole")))
+    assert len(want) == 60
+    folder = tmp_path / "run"
+    with pytest.raises(Exception, match="lost"):
+        D.distill(df, dies, S.answer_matches, 4, str(folder))
+    half = folder / "attempt-3"
+    half.mkdir(exist_ok=True)
+    (half / "part-0.parquet").write_text("half written")
+    (folder / "attempt-9").mkdir()
+    assert told(D.distill(df, counts, S.answer_matches, 4, str(folder))) == want
+    asked = sorted(p.name for p in tmp_path.glob("asked-*"))
+    assert asked == ["asked-3", "asked-4"]
+    # A run that is done only reads; a longer one goes on.
+    assert told(D.distill(df, dies, S.answer_matches, 4, str(folder))) == want
+    assert sorted(p.name for p in folder.iterdir()) == [f"attempt-{k}" for k in (1, 2, 3, 4)]
+    longer = D.distill(df, make, S.answer_matches, 8, str(folder))
+    assert longer.filter("label_letter IS NOT NULL AND prompt IS NOT NULL AND NOT exact_match").isEmpty() and longer.columns == df.columns
+    # What is written shrinks with the rows that are still tried.
+    sizes = [spark.read.parquet(str(folder / f"attempt-{k}")).count() for k in (1, 2, 3)]
+    assert sizes[0] == 60 and sizes[0] > sizes[1] > sizes[2]
+    assert D.distill(df.limit(0), make, S.answer_matches, 4, str(tmp_path / "none")).count() == 0
+
+
 def test_pools_must_not_be_empty(spark):
     pools = spark.createDataFrame([(1, "q", "a", True)], "id int, question string, answer string, labeled boolean")
     with pytest.raises(ValueError, match="unlabelled"):
