@@ -21,11 +21,39 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return raw.join(blocks, ["path", "block"]).select("path", (F.col("at") - F.col("first") + F.col("before")).alias("line_no"), "raw")
 
 
-def read_chat(spark: SparkSession, path: str | list[str], limit: int | None = None) -> DataFrame:
-    """Strict scan: blank lines are skipped, a bad line fails; ``limit`` counts physical lines, and None and 0 are none."""
+def ordered_head(rows: DataFrame, n: int, chunk: int = 1 << 16) -> DataFrame:
+    """The first ``n`` rows by (path, line_no), whatever filters went before. Rows are counted by chunks of lines, sums over the
+    chunks tell which ones are needed, and only the one at the border is ranked row by row: nothing is sorted as a whole.
+    ``n`` of 0 or less gives none."""
+    if n <= 0:
+        return rows.filter(F.lit(False))
+    of = rows.withColumn("_chunk", F.expr(f"line_no div {chunk}"))
+    counts = of.groupBy("path", "_chunk").agg(F.count("*").alias("_n"))
+    # Sums inside each file, then over the files: neither has a window over all chunks.
+    files = counts.groupBy("path").agg(F.sum("_n").alias("_all"))
+    files = files.withColumn("_files", F.sum("_all").over(Window.orderBy("path")) - F.col("_all")).drop("_all")
+    inside = F.sum("_n").over(Window.partitionBy("path").orderBy("_chunk")) - F.col("_n")
+    before = counts.withColumn("_inside", inside).join(files, "path").select("path", "_chunk", "_n", (F.col("_files") + F.col("_inside")).alias("_before"))
+    kept = of.join(before.filter(F.col("_before") < n), ["path", "_chunk"])
+    whole = F.col("_before") + F.col("_n") <= n
+    border = kept.filter(~whole).withColumn("_at", F.row_number().over(Window.partitionBy("path", "_chunk").orderBy("line_no")))
+    border = border.filter(F.col("_before") + F.col("_at") <= n).drop("_at")
+    return kept.filter(whole).unionByName(border).select(*rows.columns)
+
+
+def read_chat(spark: SparkSession, path: str | list[str], limit: int | None = None, limit_of: str = "lines") -> DataFrame:
+    """Strict scan: blank lines are skipped, a bad line fails. ``limit_of`` says what ``limit`` counts, as the scripts differ:
+    ``lines`` counts physical lines of each file, blank ones too, and 0 gives no row; ``rows`` counts rows over all files,
+    and 0 is no limit. None is no limit in either."""
+    if limit_of not in ("lines", "rows"):
+        raise ValueError(f"limit_of={limit_of!r}: lines or rows")
     lines = read_lines(spark, path)
-    lines = lines.filter(F.col("line_no") < limit) if limit else lines
-    return lines.filter(F.trim("raw") != "").select("path", "line_no", F.from_json("raw", CHAT_SCHEMA, {"mode": "FAILFAST"}).alias("row"), "raw").select("path", "line_no", "row.*", "raw")
+    if limit is not None and limit_of == "lines":
+        lines = lines.filter(F.col("line_no") < limit)
+    lines = lines.filter(F.trim("raw") != "")
+    if limit and limit_of == "rows":
+        lines = ordered_head(lines, limit)
+    return lines.select("path", "line_no", F.from_json("raw", CHAT_SCHEMA, {"mode": "FAILFAST"}).alias("row"), "raw").select("path", "line_no", "row.*", "raw")
 
 
 def read_list(spark: SparkSession, path: str) -> DataFrame:
@@ -34,11 +62,13 @@ def read_list(spark: SparkSession, path: str) -> DataFrame:
     return lines.filter("path <> '' AND NOT startswith(path, '#')")
 
 
-def read_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """path, line_no and text of rows with a text; blank ends are cut, empty texts dropped."""
+def read_documents(spark: SparkSession, path: str | list[str], limit: int | None = None) -> DataFrame:
+    """path, line_no and text of rows with a text; blank ends are cut, empty texts dropped. ``limit`` counts the rows that
+    are left, in the files' order; None and 0 are no limit."""
     lines = read_lines(spark, path).filter(F.trim("raw") != "")
     text = strip(F.from_json("raw", "text string", {"mode": "FAILFAST"})["text"])
-    return lines.select("path", "line_no", text.alias("text")).filter("text <> ''")
+    found = lines.select("path", "line_no", text.alias("text")).filter("text <> ''")
+    return ordered_head(found, limit) if limit else found
 
 
 def read_samples(spark: SparkSession, root: str) -> DataFrame:

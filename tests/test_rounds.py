@@ -100,10 +100,27 @@ def test_logs_of_a_folder(spark, tmp_path):
     assert times == sorted(times, key=lambda r: (r.mtime, r.file))
 
 
-def test_limit_of_zero_is_none(spark, tmp_path):
+def test_three_kinds_of_limits(spark, tmp_path):
     (tmp_path / "x.jsonl").write_text('{"id": "1"}\n\n{"id": "2"}\n')
     path = str(tmp_path / "x.jsonl")
-    assert [jsonl.read_chat(spark, path, n).count() for n in (None, 0, 1, 2, 3)] == [2, 2, 1, 1, 2]
+    assert [jsonl.read_chat(spark, path, n).count() for n in (None, 0, 1, 2, 3)] == [2, 0, 1, 1, 2]
+    assert [jsonl.read_chat(spark, path, n, "rows").count() for n in (None, 0, 1, 2, 3)] == [2, 2, 1, 2, 2]
+    with pytest.raises(ValueError):
+        jsonl.read_chat(spark, path, 1, "bytes")
+    (tmp_path / "d.jsonl").write_text('{"text": " "}\n{"text": "a"}\n\n{"no": 1}\n{"text": " b "}\n{"text": "c"}\n')
+    docs = str(tmp_path / "d.jsonl")
+    told = [sorted(r.text for r in jsonl.read_documents(spark, docs, n).collect()) for n in (None, 0, 1, 2, 9)]
+    assert told == [["a", "b", "c"], ["a", "b", "c"], ["a"], ["a", "b"], ["a", "b", "c"]]
+
+
+def test_ordered_head_in_file_order(spark):
+    rows = [(p, i, f"{p}{i}") for p in "ba" for i in range(0, 500, 3)]
+    df = spark.createDataFrame(rows, "path string, line_no long, raw string").repartition(7)
+    order = [r[2] for r in sorted(rows)]
+    for n in (0, 1, 10, 11, 166, 167, 168, 200, 333, 334, 999):
+        assert sorted(r.raw for r in jsonl.ordered_head(df, n, chunk=32).collect()) == sorted(order[:n])
+    plan = jsonl.ordered_head(df, 10)._jdf.queryExecution().toString()
+    assert "rangepartitioning" not in plan and "TakeOrdered" not in plan
 
 
 def test_status_of_the_last_assistant_turn(spark):
