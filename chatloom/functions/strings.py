@@ -192,3 +192,30 @@ def duration(seconds: Column) -> Column:
 def safe_tag(path: Column) -> Column:
     base = F.regexp_replace(F.lower(F.substring_index(path, "/", -1)), r"[^a-z0-9_.-]", "_")
     return F.regexp_replace(base, r"^_|_\z", "")
+
+
+#: ASCII characters that are neither letters nor digits, and what they become in a key: they come after all letters, but
+#: the tilde, which comes before the end of a name.
+_SIGNS = "".join(chr(b) for b in range(1, 128) if not chr(b).isalnum() and chr(b) != "~")
+_AFTER = "".join(chr(0x100 + ord(c)) for c in _SIGNS)
+
+
+def _version_key(c: Column) -> Column:
+    def part(run: Column) -> Column:
+        digits = F.regexp_replace(F.regexp_extract(run, "([0-9]*)$", 1), "^0+", "")
+        text = F.translate(F.regexp_extract(run, "^[^0-9]*", 0), _SIGNS + "~", _AFTER + "\x01")
+        return F.concat(text, F.lit("\x02"), F.lpad(F.char_length(digits).cast("string"), 9, "0"), digits)
+
+    # The last match is empty, so that every key ends in the end of a text.
+    return F.array_join(F.transform(F.regexp_extract_all(c, F.lit("[^0-9]*[0-9]*"), F.lit(0)), part), "")
+
+
+def natural_key(c: Column) -> Column:
+    """A text whose byte order is the natural order of names: runs of digits compare as numbers of any length, letters come
+    before other signs, a tilde before the end. Endings like .tar.gz count only where the rest is the same, names that
+    differ in leading zeros alone are ordered by their bytes, and null stays null. For ASCII names this is version sort;
+    other characters compare by code point, after the signs."""
+    ending = F.regexp_extract(c, r"((?:\.[A-Za-z~][A-Za-z0-9~]*)*)$", 1)
+    stem = F.substring(c, F.lit(1), F.char_length(c) - F.char_length(ending))
+    hidden = F.when(c == "", "0").when(c == ".", "1").when(c == "..", "2").when(c.startswith("."), "3").otherwise("4")
+    return F.concat(hidden, _version_key(stem), F.lit("\x00"), _version_key(c), F.lit("\x00"), c)

@@ -65,6 +65,25 @@ def bins(df: DataFrame, x: str, y: str, width: int, height: int) -> DataFrame:
     return cells.groupBy("bin_x", "bin_y").agg(F.count("*").alias("n"))
 
 
+def plot_lines(df: DataFrame, x: str, y: str, width: int = 80, height: int = 20, mark: str = "•") -> DataFrame:
+    """The series as a text drawing: (line_no, line), ``height`` lines between two borders, the highest value on top, with the
+    highest, middle and lowest value in front. Null points are left out; without any point there is no line."""
+    points = df.select(F.col(x).alias("x"), F.col(y).cast("double").alias("y")).dropna()
+    low, high = points.agg(F.min("y"), F.max("y")).first()
+    if low is None:
+        return df.sparkSession.createDataFrame([], "line_no int, line string")
+    high += 1e-9 if low == high else 0.0
+    cells = bins(points, "x", "y", width, height)
+    marks = cells.groupBy((F.lit(height) - F.col("bin_y")).alias("line_no")).agg(F.collect_set("bin_x").alias("at"))
+    # From here on there are height rows of width cells at most.
+    drawn = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.when(F.array_contains("at", i), mark).otherwise(" ")), "")
+    label = F.when(F.col("line_no") == 1, f"{high:.2f}").when(F.col("line_no") == height, f"{low:.2f}").when(F.col("line_no") == height // 2 + 1, f"{(high + low) / 2:.2f}").otherwise("")
+    rows = df.sparkSession.range(1, height + 1).select(F.col("id").cast("int").alias("line_no")).join(F.broadcast(marks), "line_no", "left")
+    inside = rows.select("line_no", F.concat(F.lpad(label, F.greatest(F.lit(5), F.char_length(label)), " "), F.lit("│"), F.coalesce(drawn, F.lit(" " * width)), F.lit("│")).alias("line"))
+    border = df.sparkSession.createDataFrame([(0, "   ┌" + "─" * width + "┐"), (height + 1, "   └" + "─" * width + "┘")], "line_no int, line string")
+    return inside.unionAll(border)
+
+
 def first_responses(lines: DataFrame) -> DataFrame:
     """(file, line_no, raw) JSON samples to one row per file with responses: the first one, its length, the number and the
     mean length of all. A file whose line 0 is an object without a response counts as having none."""
