@@ -56,6 +56,16 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _of_events(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    """A SELECT over the table events, without leaving a view in the session."""
+    name = f"events_{uuid.uuid4().hex}"
+    _read(spark, sf_dir, "events").createTempView(name)
+    try:
+        return spark.sql(text.replace("FROM events", f"FROM {name}"))
+    finally:
+        spark.catalog.dropTempView(name)
+
+
 def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "conversations").selectExpr("conv_id", "turn", "role", f"{MARKED} AS text", f"{LABEL} AS label_letter", "1 + conv_id % 8 AS try_count")
 
@@ -246,12 +256,12 @@ def eval_labeled_vs_unlabeled(spark, sf_dir):
     return _compared(spark, sf_dir).groupBy("has_label").agg(*_AGGS())
 
 
-@query("eval_by_try", _EV + f" SELECT coalesce(CAST(quality AS VARCHAR), 'Unknown') AS try_count, {_AVG} FROM f GROUP BY 1")
-def eval_by_try(spark, sf_dir):
-    return _compared(spark, sf_dir).groupBy(F.coalesce(F.col("quality").cast("string"), F.lit("Unknown")).alias("try_count")).agg(*_AGGS())
+_TRY = "CASE WHEN doc_id % 9 = 0 THEN 'Unknown' ELSE CAST(1 + doc_id % 8 AS VARCHAR(9)) END"
 
 
-_TRY = "CASE WHEN doc_id % 9 = 0 THEN 'Unknown' ELSE CAST(1 + doc_id % 8 AS VARCHAR(9)) END"
+@query("eval_by_try", _EV + f" SELECT {_TRY} AS try_count, {_AVG} FROM f GROUP BY 1")
+def eval_by_try(spark, sf_dir):
+    return _compared(spark, sf_dir).groupBy(F.expr(_TRY).alias("try_count")).agg(*_AGGS())
 
 
 @query("eval_recommendations", _D + f", e AS (SELECT {_TRY} AS try_count, {_EF}, upper({_REC}[1]) || lower({_REC}[2:]) AS recommendation FROM d) SELECT try_count, recommendation, count(*) AS n FROM e WHERE eval_difficulty IS NOT NULL AND eval_relevance IS NOT NULL AND recommendation IS NOT NULL GROUP BY 1, 2")
@@ -333,15 +343,20 @@ def index_letters(spark, sf_dir):
     return _read(spark, sf_dir, "documents").select("doc_id", S.json_index_letter(F.expr(_JSON_INDEX)).alias("letter"))
 
 
-_LABELLED = "'{\"doc_id\":' || doc_id || ',\"split\":\"train\",\"my_label\":2,\"true_label\":\"b\",\"gold\":3,\"label\":1,\"question_id\":4,\"answer\":null}'"
+_TRUE = """CASE WHEN doc_id % 3 = 0 THEN ',"true_label":"b"' WHEN doc_id % 3 = 1 THEN ',"true_label":[1,"c"]' ELSE '' END"""
+_GOLD = "CASE WHEN doc_id % 2 = 0 THEN '{\"a\":1.5}' ELSE '\"' || lang || '\"' END"
+_LABELLED = f"""'{{"doc_id":' || doc_id || ',"split":"train"' || CASE WHEN doc_id % 5 < 3 THEN ',"my_label":' || doc_id % 7 ELSE '' END || {_TRUE} || CASE WHEN doc_id % 4 = 0 THEN ',"gold":' || {_GOLD} || ',"label":true' ELSE ',"label":' || doc_id % 11 || ',"gold":' || {_GOLD} END
+ || ',"question_id":4,"answer":' || CASE WHEN doc_id % 2 = 0 THEN 'null' ELSE '[]' END || '}}'"""
+_LABEL = "CASE WHEN doc_id % 4 = 0 THEN 'true' ELSE CAST(doc_id % 11 AS VARCHAR(9)) END"
+_MINE = """CASE WHEN doc_id % 5 < 3 THEN ',"my_label":' || doc_id % 7 ELSE '' END"""
 
 
-@query("drop_label_fields", "SELECT doc_id, '{\"answer\":null,\"doc_id\":' || doc_id || ',\"gold\":3,\"label\":1,\"my_label\":2}' AS line FROM documents")
+@query("drop_label_fields", f"""SELECT doc_id, '{{"answer":' || CASE WHEN doc_id % 2 = 0 THEN 'null' ELSE '[]' END || ',"doc_id":' || doc_id || ',"gold":' || {_GOLD} || ',"label":' || {_LABEL} || {_MINE} || '}}' AS line FROM documents""")
 def drop_label_fields(spark, sf_dir):
     return _read(spark, sf_dir, "documents").select("doc_id", K.to_line(K.without(K.entries(F.expr(_LABELLED)))).alias("line"))
 
 
-@query("core_labels_first", "SELECT doc_id, '{\"true_label\":\"b\",\"label\":1,\"gold\":3,\"my_label\":2}' AS line FROM documents")
+@query("core_labels_first", f"""SELECT doc_id, '{{' || substr({_TRUE} || ',"label":' || {_LABEL} || CASE WHEN doc_id % 2 = 0 THEN '' ELSE ',"answer":[]' END || ',"gold":' || {_GOLD} || {_MINE}, 2) || '}}' AS line FROM documents""")
 def core_labels_first(spark, sf_dir):
     return _read(spark, sf_dir, "documents").select("doc_id", K.to_line(K.labels_of(K.entries(F.expr(_LABELLED))), K.CORE).alias("line"))
 
@@ -415,8 +430,7 @@ _LS = f"""WITH l AS ({_LOG}), s AS (SELECT file, arg_max(regexp_extract(value, '
 
 
 def _summary(spark, sf_dir):
-    _read(spark, sf_dir, "events").createOrReplaceTempView("events")
-    return L.summarise(spark.sql(_LOG))
+    return L.summarise(_of_events(spark, sf_dir, _LOG))
 
 
 @query("log_summary", _LS + " SELECT * FROM t")
@@ -609,8 +623,7 @@ _ERR = "SELECT event_type AS file, event_id + 1 AS line_no, CASE WHEN event_type
 
 @query("error_lines", f"WITH l AS ({_ERR}), b AS (SELECT file, min(line_no) AS b FROM l WHERE value = 'Traceback' GROUP BY file) SELECT l.file, coalesce(arg_max(value, line_no) FILTER (WHERE value LIKE '%Error%' AND line_no >= b), arg_min(line_no || ':' || value, line_no) FILTER (WHERE value LIKE '%FAILED%'), 'UNKNOWN') AS error FROM l LEFT JOIN b ON l.file = b.file GROUP BY l.file")
 def error_lines(spark, sf_dir):
-    _read(spark, sf_dir, "events").createOrReplaceTempView("events")
-    return L.error_lines(spark.sql(_ERR))
+    return L.error_lines(_of_events(spark, sf_dir, _ERR))
 
 
 @query("missing_keys", f"WITH k AS (SELECT doc_id % 4 AS k FROM documents) SELECT 'doc_id' AS key, CAST(0 AS BIGINT) AS missing UNION ALL SELECT 'label', count(*) FILTER (WHERE k = 0) FROM k UNION ALL SELECT 'id', count(*) FROM k")

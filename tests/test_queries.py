@@ -1,6 +1,7 @@
 import pytest
 from oracle import rows, twin
 
+from chatloom.plans import training  # noqa: F401
 from chatloom.plans.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
