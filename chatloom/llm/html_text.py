@@ -28,7 +28,7 @@ CONTAINERS = frozenset(("article", "main"))
 OFF_WORDS = frozenset(
     "ad ads advert advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice alert popup "
     "modal overlay sidebar aside nav navbar navigation menu breadcrumb breadcrumbs pagination pager header masthead footer comment comments "
-    "disqus respond reply replies share sharing social related recommended newsletter subscribe signup login search widget toolbar skip".split()
+    "disqus respond reply replies share sharing social related recommended teaser teasers newsletter subscribe signup login search widget toolbar skip".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 COMMENT_WORDS = frozenset("comment comments comment-list comment-body comments-area comment-respond disqus disqus_thread respond reply replies".split())
@@ -60,16 +60,18 @@ class PageBlocks(HTMLParser):
         self.open: list[tuple[str, bool, bool, int, int]] = []  # tag, switches text off, belongs to reader comments, doubt, node
         self.names: Counter[str] = Counter()  # of open elements
         self.scopes: list[Counter[str]] = [Counter()]  # the same, of those from each open article or main on
-        self.off = self.comments = self.depth = self.tags = self.linked = 0
+        self.loose: list[int] = []  # places in open of what an article or main does not stay in: inline, p, switched off
+        self.off_tags: list[str] = []
+        self.comments = self.depth = self.tags = self.linked = 0
         self.parts: list[str] = []
 
     def cut(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
             heading = any(x[0] in HEADINGS for x in self.open[-3:])
-            title = heading and self.depth and self.off == 1 and any(x[0] == "header" for x in self.open if x[1])
+            title = heading and self.depth and self.off_tags == ["header"]
             doubt, node = self.open[-1][3:] if self.open else (0, 0)
-            self.blocks.append([text, self.tags, node, self.off > 0 and not title, heading, doubt, self.linked])
+            self.blocks.append([text, self.tags, node, bool(self.off_tags) and not title, heading, doubt, self.linked])
             self.tags = 0
         self.parts, self.linked = [], 0
 
@@ -108,8 +110,11 @@ class PageBlocks(HTMLParser):
         self._open((tag, off, comment, doubt, node))
 
     def _open(self, x: tuple[str, bool, bool, int, int]) -> None:
+        if x[1] or x[0] in INLINE or x[0] == "p":
+            self.loose.append(len(self.open))
         self.open.append(x)
-        self.off += x[1]
+        if x[1]:
+            self.off_tags.append(x[0])
         self.comments += x[2]
         self.names[x[0]] += 1
         if x[0] in CONTAINERS:
@@ -119,7 +124,10 @@ class PageBlocks(HTMLParser):
 
     def _pop(self) -> None:
         x = self.open.pop()
-        self.off -= x[1]
+        if self.loose and self.loose[-1] == len(self.open):
+            self.loose.pop()
+        if x[1]:
+            self.off_tags.pop()
         self.comments -= x[2]
         self.names[x[0]] -= 1
         if x[0] in CONTAINERS:
@@ -128,8 +136,9 @@ class PageBlocks(HTMLParser):
         else:
             self.scopes[-1][x[0]] -= 1
 
-    def _reopen(self, kept: list) -> None:
-        while self.open:
+    def _reopen(self, kept: list, upto: int = 0) -> None:
+        """Put ``kept`` in the place of what is open from ``upto`` on."""
+        while len(self.open) > upto:
             self._pop()
         for x in kept:
             self._open(x)
@@ -147,9 +156,15 @@ class PageBlocks(HTMLParser):
         return names, not OFF_WORDS.isdisjoint(parts)
 
     def _leave_off(self) -> None:
-        at = next((k for k, x in enumerate(self.open) if x[1]), len(self.open))
-        around = [x for x in self.open[:at] if x[0] not in INLINE and x[0] != "p"]
-        self._reopen(around + [x for x in self.open[at:] if x[0] in CONTAINERS and not x[1]])
+        """Close what an article or main does not stay in, and with furniture all inside it but open articles. What comes before
+        the first such element is not looked at, so every element is moved once at most."""
+        if not self.loose:
+            return
+        low = self.loose[0]
+        tail = self.open[low:]
+        at = next((k for k, x in enumerate(tail) if x[1]), len(tail))
+        around = [x for x in tail[:at] if x[0] not in INLINE and x[0] != "p"]
+        self._reopen(around + [x for x in tail[at:] if x[0] in CONTAINERS and not x[1]], low)
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
