@@ -3,8 +3,8 @@
 Two interpolated models, toxic and ordinary, count five-character strings of the training words (word ends are
 characters too). Both back off to the same continuation counts of shorter strings, pooled over the classes, so a rare
 expression is judged by the pieces it shares with known ones, and a string that neither class has says nothing. The
-log-likelihood ratio of a word, and of runs of words normalised by their length, are weighed by a logistic curve that is
-cross-fitted: each training fold is measured by the counts of the others.
+log-likelihood ratio of a word, of runs of words normalised by their length, and the share of words that tell, are weighed
+by a logistic curve that is cross-fitted: each training fold is measured by the counts of the others.
 """
 
 from __future__ import annotations
@@ -28,6 +28,11 @@ MOST_ROWS = 10_000
 FOLDS = 5
 TRAINING = range(1, FOLDS)
 RUN = 24  # words of a run whose mean is taken
+#: Ratios from which a word counts as telling; the share of such words shows texts whose few toxic words stand apart.
+TELLING = (1.2, 2.0, 3.0)
+SMOOTH = 10  # words without a say that every text has besides, against chance in short ones
+FEATURES = [f"f{i}" for i in range(3 + len(TELLING))]
+PIECE = 1000  # characters of a word that are counted at once
 SEED = 7
 _PAD, _STOP = "\x02" * (ORDER - 1), "\x03"
 
@@ -57,17 +62,19 @@ class WordRatios(dict):
             self[word] = total
         return total
 
-    def features(self, text: str | None) -> tuple[float, float, float]:
-        """Mean ratio of all words, highest mean of a run of words, and the mean of the two highest words."""
+    def features(self, text: str | None) -> tuple[float, ...]:
+        """Mean ratio of all words, highest mean of a run of words, the mean of the two highest words, and the roots of the
+        shares of words from each of TELLING on."""
         words = (text or "").lower().split()
         if not words:
-            return 0.0, 0.0, 0.0
+            return (0.0,) * len(FEATURES)
         r = np.fromiter(map(self.__getitem__, words), np.float64, len(words))
         n = min(RUN, len(r))
         sums = np.concatenate([[0.0], np.cumsum(r)])
         runs = (sums[n:] - sums[:-n]) / n
         top = np.partition(r, len(r) - 2)[-2:].mean() if len(r) > 1 else r[0] / 2
-        return float(sums[-1] / len(r)), float(runs.max()), float(top)
+        shares = [math.sqrt(np.count_nonzero(r > t) / (len(r) + SMOOTH)) for t in TELLING]
+        return float(sums[-1] / len(r)), float(runs.max()), float(top), *shares
 
 
 def kneser_ney(counts: dict[str, tuple[int, int]]):
@@ -129,27 +136,34 @@ def kneser_ney_ratios(counts: dict[str, tuple[int, int]], wanted: list[str] | No
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, toxic, fold) to counts of words by class, one row per word, fold and batch."""
+    """(text, toxic, fold) to counts of words by class, one row per piece of a word, fold and batch. A word goes with its
+    ends; a long one in pieces that overlap, so that each of its strings is in one of them."""
+
+    def pieces(word: str) -> Iterator[str]:
+        s = f"{_PAD}{word}{_STOP}"
+        for i in range(0, len(s) - ORDER + 1, PIECE):
+            yield s[i : i + PIECE + ORDER - 1]
+
     for batch in batches:
         c = (Counter(), Counter())
         for text, toxic, k in zip(*(batch.column(i) for i in range(3)), strict=True):
-            c[1 if toxic.as_py() else 0].update((w, k.as_py()) for w in (text.as_py() or "").lower().split())
+            fold_ = k.as_py()
+            c[1 if toxic.as_py() else 0].update((x, fold_) for w in (text.as_py() or "").lower().split() for x in pieces(w))
         keys = list({*c[0], *c[1]})
         yield pa.record_batch(
             [
                 pa.array([w for w, _ in keys], pa.string()), pa.array([k for _, k in keys], pa.int64()),
                 pa.array([c[0][x] for x in keys], pa.int64()), pa.array([c[1][x] for x in keys], pa.int64()),
             ],
-            ["word", "fold", "n0", "n1"],
+            ["s", "fold", "n0", "n1"],
         )
 
 
 def _string_counts(fit: DataFrame) -> tuple[list[str], np.ndarray]:
     """All strings, and their counts by training fold and class."""
     cells = [f"n{c}_{k}" for k in TRAINING for c in (0, 1)]
-    words = fit.select("text", "toxic", F.col("fold").cast("long")).mapInArrow(_word_counts, "word string, fold long, n0 long, n1 long")
-    words = words.groupBy("word").agg(*[F.sum(F.when(F.col("fold") == k, F.col(f"n{c}")).otherwise(0)).alias(f"n{c}_{k}") for k in TRAINING for c in (0, 1)])
-    padded = words.withColumn("s", F.concat(F.lit(_PAD), "word", F.lit(_STOP)))
+    words = fit.select("text", "toxic", F.col("fold").cast("long")).mapInArrow(_word_counts, "s string, fold long, n0 long, n1 long")
+    padded = words.groupBy("s").agg(*[F.sum(F.when(F.col("fold") == k, F.col(f"n{c}")).otherwise(0)).alias(f"n{c}_{k}") for k in TRAINING for c in (0, 1)])
     at = F.explode(F.sequence(F.lit(1), F.char_length("s") - ORDER + 1))
     strings = padded.withColumn("at", at).groupBy(F.substring("s", F.col("at"), F.lit(ORDER)).alias("g"))
     found, counts = [], array("q")
@@ -176,8 +190,8 @@ def _feature_rows(shared, kept: list[str]):
         ratios = WordRatios(*shared.value[:2])
         for batch in batches:
             rows = [ratios.features(t.as_py()) for t in batch.column("text")]
-            cols = [pa.array([r[k] for r in rows], pa.float64()) for k in range(3)]
-            yield pa.record_batch([*[batch.column(c) for c in kept], *cols], [*kept, "f0", "f1", "f2"])
+            cols = [pa.array([r[k] for r in rows], pa.float64()) for k in range(len(FEATURES))]
+            yield pa.record_batch([*[batch.column(c) for c in kept], *cols], [*kept, *FEATURES])
 
     return run
 
@@ -224,9 +238,9 @@ def _trained(docs: DataFrame, labels: DataFrame, most_rows: int):
     x, y = [], []
     for k in TRAINING:
         model = sc.broadcast(_ratios_without(found, counts, k))
-        held = rows.filter(F.col("fold") == k).select("text", "toxic").mapInArrow(_feature_rows(model, ["toxic"]), "toxic int, f0 double, f1 double, f2 double")
+        held = rows.filter(F.col("fold") == k).select("text", "toxic").mapInArrow(_feature_rows(model, ["toxic"]), "toxic int, " + ", ".join(f"{f} double" for f in FEATURES))
         for r in held.toLocalIterator():
-            x.append((r["f0"], r["f1"], r["f2"]))
+            x.append(tuple(r[f] for f in FEATURES))
             y.append(r["toxic"])
         model.destroy()
     order = sorted(range(len(y)), key=lambda i: (x[i], y[i]))  # the same sums in every run
