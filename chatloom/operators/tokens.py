@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
@@ -119,20 +119,6 @@ def with_token_counts(df: DataFrame, most: int, text: str = "text", ranks: str =
     return df.withColumn("tokens", count(F.col(text))).withColumn("long", F.col("tokens") * 4 > 3 * most)
 
 
-def turn_pieces(turns: Column, train: tuple[str, ...] = ("assistant",), before: str = "<|{}|>\n", after: str = "<|end|>\n") -> Column:
-    """array<struct<text, loss>> of a conversation (array<struct<from, value>>): each turn's opening, its text, its end. Loss is
-    on the texts of the roles in ``train`` and on the ends behind them, from which a model learns to stop. Null is empty."""
-    first, _, second = before.partition("{}")
-
-    def pieces(t: Column) -> Column:
-        role = F.coalesce(t["from"], F.lit(""))
-        loss = role.isin(*train)
-        said = [(F.concat(F.lit(first), role, F.lit(second)), F.lit(False)), (F.coalesce(t["value"], F.lit("")), loss), (F.lit(after), loss)]
-        return F.array(*[F.struct(x.alias("text"), y.alias("loss")) for x, y in said])
-
-    return F.coalesce(F.flatten(F.transform(turns, pieces)), F.array().cast("array<struct<text:string,loss:boolean>>"))
-
-
 def masked(sizes: np.ndarray, spans: np.ndarray, loss: np.ndarray) -> np.ndarray:
     """Whether each token has loss: all of its bytes lie in pieces that have it. ``sizes`` are the tokens' bytes in order,
     ``spans`` those of the pieces. A token over the border of a piece without loss has none."""
@@ -146,7 +132,7 @@ def masked(sizes: np.ndarray, spans: np.ndarray, loss: np.ndarray) -> np.ndarray
 
 
 def with_token_masks(df: DataFrame, pieces: str, ranks: str = RANKS) -> DataFrame:
-    """``df`` plus token_ids and token_loss, arrays of one length, for a column of ``turn_pieces``. The pieces are one text to
+    """``df`` plus token_ids and token_loss, arrays of one length, for a column of pieces as ``templates.pieces`` makes them. The pieces are one text to
     the tokens, so that a token may cross their borders; see ``masked`` for what it counts as then. Null gives empty arrays."""
     shared = df.sparkSession.sparkContext.broadcast(read_ranks(df.sparkSession, ranks))
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions import strings as S
+from chatloom.functions import templates as TP
 from chatloom.functions import turns as T
 from chatloom.operators import datasets as D
 from chatloom.operators import logs as L
@@ -15,6 +16,7 @@ from chatloom.operators import packing as P
 from chatloom.operators import tokens as K
 from chatloom.plans.queries import _read, chats, query
 from chatloom.sources import jsonl, logs
+from chatloom.sources import line_store as N
 from chatloom.sources import mixture as M
 from chatloom.sources import versions as V
 from chatloom.sources.scratch import scratch_dir
@@ -62,7 +64,7 @@ def token_counts(spark, sf_dir):
 @query("token_masks", None)
 def token_masks(spark, sf_dir):
     """Tokens of every conversation, and how many of them have loss."""
-    masked = K.with_token_masks(chats(spark, sf_dir).select("conv_id", K.turn_pieces(F.col("conversations")).alias("pieces")), "pieces")
+    masked = K.with_token_masks(chats(spark, sf_dir).select("conv_id", TP.pieces(TP.TEMPLATES["chatml"], F.col("conversations")).alias("pieces")), "pieces")
     return masked.select("conv_id", F.size("token_ids").cast("long").alias("tokens"), F.size(F.filter("token_loss", lambda x: x)).cast("long").alias("with_loss"))
 
 
@@ -145,6 +147,29 @@ def lines_by_number(spark, sf_dir):
     return back.join(before, "path").select((F.col("line_no") + F.col("before")).alias("line_no"), "raw")
 
 
+@query("stored_lines", "SELECT doc_id, text AS raw FROM documents WHERE doc_id % 7 = 3 AND trim(text) <> ''")
+def stored_lines(spark, sf_dir):
+    """Texts looked up by file and line number in a store of all lines."""
+    path, store = _folder(spark), _folder(spark)
+    jsonl.write_jsonl(_read(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    N.build(spark, path, store, chunk=64)
+    wanted = jsonl.read_lines(spark, path).filter(F.from_json("raw", "doc_id long")["doc_id"] % 7 == 3).select("path", "line_no")
+    row = F.from_json("raw", "doc_id long, text string")
+    return N.look_up(spark, store, wanted).select(row["doc_id"].alias("doc_id"), row["text"].alias("raw")).filter("trim(raw) <> ''")
+
+
+_TURNS = "WITH t AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS nth, count(*) OVER (PARTITION BY conv_id) AS n, role, coalesce(text, '') AS text FROM conversations WHERE role <> 'system')"
+
+
+@query("rendered_chats", _TURNS + """ SELECT conv_id, string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn) AS chatml,
+ string_agg(CASE WHEN role = 'assistant' THEN '<|start|>assistant<|channel|>final<|message|>' ELSE '<|start|>' || role || '<|message|>' END || text || CASE WHEN role = 'assistant' AND nth = n THEN '<|return|>' ELSE '<|end|>' END, '' ORDER BY turn) AS harmony FROM t GROUP BY conv_id""")
+def rendered_chats(spark, sf_dir):
+    """Conversations as two model families write them, without system turns."""
+    turns = F.sort_array(F.collect_list(F.struct("turn", F.struct(F.col("role").alias("from"), F.col("text").alias("value")).alias("t"))))
+    rows = _read(spark, sf_dir, "conversations").filter("role <> 'system'").groupBy("conv_id").agg(turns.alias("ts")).select("conv_id", F.col("ts.t").alias("c"))
+    return rows.select("conv_id", *[TP.render(TP.TEMPLATES[n], F.col("c")).alias(n) for n in ("chatml", "harmony")])
+
+
 @query("listed_paths", "SELECT doc_id AS pos, '/data/' || lang || '/' || doc_id AS path FROM documents WHERE doc_id % 3 = 0")
 def listed_paths(spark, sf_dir):
     """Lists of datasets, one for each language, with comments and blank lines; the number of a line is in its comment."""

@@ -111,13 +111,35 @@ def write_summary(df: DataFrame, path: str, mode: str = "errorifexists") -> None
 
 def replace_jsonl(df: DataFrame, path: str, backup: str) -> None:
     """Write ``df``, which may read ``path``, in its place; what was there moves to ``backup``, which must not exist. The
-    new rows are complete beside it before anything moves."""
+    new rows are complete beside it before anything moves. A folder cannot be moved over another, so this takes two moves;
+    after a crash between them ``finish_replace`` makes the second. ``versions.publish`` has no such gap."""
     spark = df.sparkSession
-    place = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
-    fs = place(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, place = _files(spark, path)
     if fs.exists(place(backup)):
         raise FileExistsError(backup)
     beside = f"{path.rstrip('/')}.new"
+    if fs.exists(place(beside)) and fs.exists(place(path)):
+        fs.delete(place(beside), True)  # of a run that ended before anything moved
     write_jsonl(df, beside)
-    if not (fs.rename(place(path), place(backup)) and fs.rename(place(beside), place(path))):
-        raise OSError(f"could not move {beside} to {path}")
+    _move(fs, place(path), place(backup))
+    _move(fs, place(beside), place(path))
+
+
+def finish_replace(spark: SparkSession, path: str, backup: str) -> bool:
+    """After a crash of ``replace_jsonl``: make the move that is missing, if one is; whether there was one."""
+    fs, place = _files(spark, path)
+    beside = f"{path.rstrip('/')}.new"
+    if fs.exists(place(path)) or not fs.exists(place(backup)) or not fs.exists(place(f"{beside}/_SUCCESS")):
+        return False
+    _move(fs, place(beside), place(path))
+    return True
+
+
+def _files(spark: SparkSession, path: str):
+    place = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    return place(path).getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _move(fs, old, new) -> None:
+    if not fs.rename(old, new):
+        raise OSError(f"could not move {old.toString()} to {new.toString()}")

@@ -9,20 +9,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatloom.functions.templates import TEMPLATES, pieces
 from chatloom.functions.turns import map_roles, turn
+from chatloom.operators.datasets import smallest
 from chatloom.operators.packing import pack
-from chatloom.operators.tokens import RANKS, turn_pieces, with_token_masks
+from chatloom.operators.tokens import RANKS, with_token_masks
 from chatloom.sources.jsonl import read_lines
 
 # The keys of a dataset and the kinds there are; other keys are errors, as a misspelled one would be ignored else.
-KINDS = {"chat_template": "chat", "completion": "completion", "user_defined.default": "preference"}
+KINDS = {"chat_template": "chat", "axolotl.integrations.kd.chat_template": "chat", "completion": "completion", "user_defined.default": "preference", "custom": "prompt"}
 COMMON = ("path", "ds_type", "type")
 KEYS = {
-    "chat": ("field_messages", "message_property_mappings", "roles"),
+    "chat": ("field_messages", "message_property_mappings", "roles", "logprobs_field", "temperature"),
     "completion": ("field",),
     "preference": ("field_prompt", "field_chosen", "field_rejected"),
+    "prompt": ("field_prompt",),
 }
-COLUMNS = "dataset pos line_no kind conversations text prompt chosen rejected".split()
+COLUMNS = "dataset pos line_no kind conversations text prompt chosen rejected logprobs".split()
 
 
 @dataclass(frozen=True)
@@ -41,6 +44,9 @@ class Mixture:
     packing: bool = False
     train_on_inputs: bool = False
     shuffle: bool = True
+    #: Rows kept back for validation: a share below 1, or a number of rows.
+    validation: float = 0.0
+    template: str = "chatml"
 
 
 def substitute(text: str, variables: dict[str, str]) -> str:
@@ -77,9 +83,17 @@ def compile_mixture(config: dict) -> Mixture:
         packing=bool(config.get("sample_packing", Mixture.packing)),
         train_on_inputs=bool(config.get("train_on_inputs", Mixture.train_on_inputs)),
         shuffle=bool(config.get("shuffle_merged_datasets", Mixture.shuffle)),
+        validation=float(config.get("val_set_size") or 0),
+        template=_template(config.get("chat_template", Mixture.template)),
     )
 
 
+def _template(name: str) -> str:
+    if name not in TEMPLATES:
+        raise ValueError(f"chat_template {name!r}: one of {', '.join(sorted(TEMPLATES))}")
+    return name
+
+
 def _source(d: dict, at: int) -> Source:
     kind = KINDS.get(d.get("type"))
     if kind is None or d.get("ds_type", "json") != "json" or not d.get("path"):
@@ -90,6 +104,8 @@ def _source(d: dict, at: int) -> Source:
         return Source(d["path"], kind, {"text": d.get("field", "text")})
     if kind == "preference":
         return Source(d["path"], kind, {n: d.get(f"field_{n}", n) for n in ("prompt", "chosen", "rejected")})
+    if kind == "prompt":
+        return Source(d["path"], kind, {"prompt": d.get("field_prompt", "prompt")})
     named = d.get("message_property_mappings") or {}
     if unknown := sorted(set(named) - {"role", "content"}):
         raise ValueError(f"dataset {at}: unknown message properties {', '.join(unknown)}")
@@ -99,6 +115,8 @@ def _source(d: dict, at: int) -> Source:
             if roles.setdefault(alias, name) != name:
                 raise ValueError(f"dataset {at}: {alias} is {roles[alias]} and {name}")
     fields = {"messages": d.get("field_messages", "messages"), "role": named.get("role", "role"), "content": named.get("content", "content")}
+    if "logprobs_field" in d:
+        fields["logprobs"] = d["logprobs_field"]
     return Source(d["path"], kind, fields, roles)
 
 
@@ -111,6 +129,7 @@ def read_source(spark: SparkSession, source: Source, at: int) -> DataFrame:
     f = source.fields
     if source.kind == "chat":
         schema = f"{_quoted(f['messages'])} array<struct<{_quoted(f['role'])}:string,{_quoted(f['content'])}:string>>"
+        schema += f", {_quoted(f['logprobs'])} string" if "logprobs" in f else ""  # as JSON, whatever it holds
     else:
         schema = ", ".join(f"{_quoted(n)} string" for n in dict.fromkeys(f.values()))
     lines = read_lines(spark, source.path).filter(F.trim("raw") != "")
@@ -139,16 +158,29 @@ def shuffle_key(seed: int = 42) -> Column:
     return F.xxhash64(F.lit(seed), "pos", "dataset", "line_no")
 
 
+def split_validation(rows: DataFrame, mixture: Mixture, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """(training, validation) rows of a mixture: exactly the share or number of rows that it keeps back, by a seeded hash."""
+    total = rows.count()
+    n = round(total * mixture.validation) if mixture.validation < 1 else int(mixture.validation)
+    if n >= total > 0:
+        raise ValueError(f"{n} rows for validation, of {total}")
+    place = F.concat_ws(":", "pos", "dataset", "line_no")
+    named = rows.withColumn("place_", place).withColumnRenamed("chosen", "answer_")  # chosen is what smallest adds
+    marked = smallest(named, F.xxhash64(F.lit(seed), place).bitwiseAND(F.lit(0xFFFFFFFF)), n, "place_")
+    back = [F.col("answer_").alias(c) if c == "chosen" else F.col(c) for c in rows.columns]
+    return marked.filter("NOT chosen").select(*back), marked.filter("chosen").select(*back)
+
+
 def training_rows(spark: SparkSession, mixture: Mixture, ranks: str = RANKS, seed: int = 42) -> DataFrame:
     """COLUMNS plus token_ids, token_loss, tokens, pack, begin: what the trainer reads. Chat rows have loss on assistant turns
-    (everywhere with train_on_inputs), completions on all tokens, preferences on what was chosen. Rows longer than the
+    (everywhere with train_on_inputs), completions on all tokens, preferences on what was chosen, prompts nowhere. Rows longer than the
     context have no pack; without sample packing every other row is a pack of its own. Empty rows have none."""
     rows = read_mixture(spark, mixture)
 
     def piece(c: str, loss: bool) -> Column:
         return F.struct(F.coalesce(F.col(c), F.lit("")).alias("text"), F.lit(loss or mixture.train_on_inputs).alias("loss"))
 
-    chat = turn_pieces(F.col("conversations"))
+    chat = F.when(F.size("conversations") > 0, pieces(TEMPLATES[mixture.template], F.col("conversations")))
     if mixture.train_on_inputs:
         chat = F.transform(chat, lambda p: F.struct(p["text"].alias("text"), F.lit(True).alias("loss")))
     other = F.when(F.col("kind") == "completion", F.array(piece("text", True))).otherwise(F.array(piece("prompt", False), piece("chosen", True)))

@@ -23,6 +23,30 @@ def test_replace_keeps_a_backup(spark, tmp_path):
         jsonl.replace_jsonl(spark.range(1), path, backup)
 
 
+def test_a_replacement_is_finished_after_a_crash(spark, tmp_path, monkeypatch):
+    path, backup = str(tmp_path / "rows"), str(tmp_path / "old")
+    jsonl.write_jsonl(spark.range(3), path)
+    moved, move = [], jsonl._move
+
+    def crash_at(n):
+        def once(fs, old, new):
+            if len(moved) == n:
+                raise KeyboardInterrupt
+            moved.append(new)
+            move(fs, old, new)
+
+        return once
+
+    for n, left in ((0, 3), (1, 2)):
+        moved.clear()
+        with monkeypatch.context() as m, pytest.raises(KeyboardInterrupt):
+            m.setattr(jsonl, "_move", crash_at(n))
+            jsonl.replace_jsonl(spark.read.schema("id long").json(path).filter("id > 0"), path, backup)
+        assert jsonl.finish_replace(spark, path, backup) == (n == 1)
+        assert spark.read.json(path).count() == left and not jsonl.finish_replace(spark, path, backup)
+    assert spark.read.json(backup).count() == 3
+
+
 def test_lists_documents_and_samples(spark, tmp_path):
     (tmp_path / "list").write_text("# all\n/a\n\n  /b \n")
     assert sorted(tuple(r) for r in jsonl.read_list(spark, str(tmp_path / "list")).collect()) == [(1, "/a"), (3, "/b")]

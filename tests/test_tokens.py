@@ -7,6 +7,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
+from chatloom.functions import templates as T
 from chatloom.operators import tokens as K
 
 
@@ -72,7 +73,7 @@ def test_masks_equal_brute_force(spark, ranks):
     for i in range(60):
         turns = [(random.choice(["user", "assistant", "system", None]), random.choice(["ok", " the end", "", None, "日本 é", "line\n\n", "x" * 30])) for _ in range(random.randint(0, 6))]
         rows.append((i, turns if i else None))
-    df = spark.createDataFrame(rows, "id int, c array<struct<`from`:string,value:string>>").withColumn("pieces", K.turn_pieces(F.col("c"), before="{}: ", after="\n"))
+    df = spark.createDataFrame(rows, "id int, c array<struct<`from`:string,value:string>>").withColumn("pieces", T.pieces(T.ChatTemplate("{role}: ", "\n"), F.col("c")))
     for r in K.with_token_masks(df, "pieces").collect():
         owner = [p.loss for p in r.pieces for _ in p.text.encode()]
         text = "".join(p.text for p in r.pieces)
