@@ -11,7 +11,7 @@ from chatloom.functions.strings import strip
 from chatloom.functions.turns import turn
 
 TURNS = "array<struct<`from`:string,value:string>>"
-PIECES = "array<struct<text:string,loss:boolean>>"
+PIECES = "array<struct<text:string,loss:boolean,own:boolean>>"
 
 
 @dataclass(frozen=True)
@@ -74,8 +74,8 @@ def _turns(template: ChatTemplate, conv: Column) -> Column:
 
 
 def pieces(template: ChatTemplate, conv: Column, train: tuple[str, ...] = ("assistant",)) -> Column:
-    """array<struct<text, loss>> of a conversation (array<struct<from, value>>): the beginning, then each turn's opening, its text
-    and its end. Loss is on the texts of the roles in ``train`` and on the ends behind them, from which a model learns to
+    """array<struct<text, loss, own>> of a conversation (array<struct<from, value>>): the beginning, then each turn's opening, its
+    text and its end; ``own`` are the template's own parts, whose markers are tokens of their own to a model. Loss is on the texts of the roles in ``train`` and on the ends behind them, from which a model learns to
     stop. A null or empty conversation is the beginning alone."""
     turns = F.array(F.coalesce(_turns(template, conv), F.array().cast(TURNS)))
 
@@ -85,12 +85,12 @@ def pieces(template: ChatTemplate, conv: Column, train: tuple[str, ...] = ("assi
             end = F.lit(template.after)
             if template.last is not None:
                 end = F.when((i == F.size(ts) - 1) & (t["from"] == "assistant"), F.lit(template.last)).otherwise(end)
-            parts = [(_opening(template, t["from"]), F.lit(False)), (t["value"], loss), (end, loss)]
-            return F.array(*[F.struct(x.alias("text"), y.alias("loss")) for x, y in parts])
+            parts = [(_opening(template, t["from"]), F.lit(False), True), (t["value"], loss, False), (end, loss, True)]
+            return F.array(*[F.struct(x.alias("text"), y.alias("loss"), F.lit(own).alias("own")) for x, y, own in parts])
 
         return F.flatten(F.transform(ts, three)).cast(PIECES)
 
-    begin = F.array(F.struct(F.lit(template.begin).alias("text"), F.lit(False).alias("loss"))) if template.begin else F.array()
+    begin = F.array(F.struct(F.lit(template.begin).alias("text"), F.lit(False).alias("loss"), F.lit(True).alias("own"))) if template.begin else F.array()
     return F.concat(begin.cast(PIECES), F.get(F.transform(turns, of_turns), F.lit(0)))
 
 

@@ -131,21 +131,46 @@ def masked(sizes: np.ndarray, spans: np.ndarray, loss: np.ndarray) -> np.ndarray
     return np.diff(upto) == sizes
 
 
-def with_token_masks(df: DataFrame, pieces: str, ranks: str = RANKS) -> DataFrame:
-    """``df`` plus token_ids and token_loss, arrays of one length, for a column of pieces as ``templates.pieces`` makes them. The pieces are one text to
-    the tokens, so that a token may cross their borders; see ``masked`` for what it counts as then. Null gives empty arrays."""
-    shared = df.sparkSession.sparkContext.broadcast(read_ranks(df.sparkSession, ranks))
+def encode_pieces(pairs: BytePairs, parts: list, special: dict[str, int]) -> list[tuple[int, int]]:
+    """(id, bytes) of the tokens of (text, own) parts. The strings in ``special`` are single tokens in a template's own parts
+    alone, so that nobody's text can pose as a marker; what lies between two of them is one text to the merges."""
+    if not special:
+        return pairs.encode("".join(t for t, _ in parts))
+    markers = regex.compile("(" + "|".join(regex.escape(m) for m in sorted(special, key=len, reverse=True)) + ")")
+    out, waiting = [], []
+
+    def flush() -> None:
+        out.extend(pairs.encode("".join(waiting)))
+        waiting.clear()
+
+    for text, own in parts:
+        for k, x in enumerate(markers.split(text) if own else [text]):
+            if k % 2:
+                flush()
+                out.append((special[x], len(x.encode())))
+            else:
+                waiting.append(x)
+    flush()
+    return out
+
+
+def with_token_masks(df: DataFrame, pieces: str, ranks: str = RANKS, special: dict[str, int] | None = None) -> DataFrame:
+    """``df`` plus token_ids and token_loss, arrays of one length, for a column of pieces as ``templates.pieces`` makes them. The
+    pieces are one text to the tokens but for the markers in ``special`` (see ``encode_pieces``), so a token may cross their
+    borders; see ``masked`` for what it counts as then. Null gives empty arrays."""
+    shared = df.sparkSession.sparkContext.broadcast((read_ranks(df.sparkSession, ranks), special or {}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = BytePairs(shared.value)
+        table, markers = shared.value
+        pairs = BytePairs(table)
         for b in batches:
             ids, masks = [], []
             for row in b.column(b.schema.names.index(pieces)).to_pylist():
-                texts = [p["text"] for p in row or []]
-                tokens = np.array(pairs.encode("".join(texts)), np.int64).reshape(-1, 2)
-                spans = np.array([len(t.encode("utf-8", "surrogatepass")) for t in texts], np.int64)
+                parts = row or []
+                tokens = np.array(encode_pieces(pairs, [(p["text"], p["own"]) for p in parts], markers), np.int64).reshape(-1, 2)
+                spans = np.array([len(p["text"].encode("utf-8", "surrogatepass")) for p in parts], np.int64)
                 ids.append(tokens[:, 0].astype(np.int32))
-                masks.append(masked(tokens[:, 1], spans, np.array([p["loss"] for p in row or []], bool)))
+                masks.append(masked(tokens[:, 1], spans, np.array([p["loss"] for p in parts], bool)))
             yield pa.record_batch([*b.columns, pa.array(ids, pa.list_(pa.int32())), pa.array(masks, pa.list_(pa.bool_()))], [*b.schema.names, "token_ids", "token_loss"])
 
     return df.mapInArrow(run, _added(df, StructField("token_ids", ArrayType(IntegerType())), StructField("token_loss", ArrayType(BooleanType()))))

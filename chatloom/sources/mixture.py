@@ -171,20 +171,21 @@ def split_validation(rows: DataFrame, mixture: Mixture, seed: int = 42) -> tuple
     return marked.filter("NOT chosen").select(*back), marked.filter("chosen").select(*back)
 
 
-def training_rows(spark: SparkSession, mixture: Mixture, ranks: str = RANKS, seed: int = 42) -> DataFrame:
+def training_rows(spark: SparkSession, mixture: Mixture, ranks: str = RANKS, seed: int = 42, special: dict[str, int] | None = None) -> DataFrame:
     """COLUMNS plus token_ids, token_loss, tokens, pack, begin: what the trainer reads. Chat rows have loss on assistant turns
     (everywhere with train_on_inputs), completions on all tokens, preferences on what was chosen, prompts nowhere. Rows longer than the
-    context have no pack; without sample packing every other row is a pack of its own. Empty rows have none."""
+    context have no pack; without sample packing every other row is a pack of its own. Empty rows have none. ``special`` has the
+    ids of the template's markers; without them their characters are tokens like any text."""
     rows = read_mixture(spark, mixture)
 
     def piece(c: str, loss: bool) -> Column:
-        return F.struct(F.coalesce(F.col(c), F.lit("")).alias("text"), F.lit(loss or mixture.train_on_inputs).alias("loss"))
+        return F.struct(F.coalesce(F.col(c), F.lit("")).alias("text"), F.lit(loss or mixture.train_on_inputs).alias("loss"), F.lit(False).alias("own"))
 
     chat = F.when(F.size("conversations") > 0, pieces(TEMPLATES[mixture.template], F.col("conversations")))
     if mixture.train_on_inputs:
-        chat = F.transform(chat, lambda p: F.struct(p["text"].alias("text"), F.lit(True).alias("loss")))
+        chat = F.transform(chat, lambda p: F.struct(p["text"].alias("text"), F.lit(True).alias("loss"), p["own"].alias("own")))
     other = F.when(F.col("kind") == "completion", F.array(piece("text", True))).otherwise(F.array(piece("prompt", False), piece("chosen", True)))
-    rows = with_token_masks(rows.withColumn("pieces", F.when(F.col("kind") == "chat", chat).otherwise(other)), "pieces", ranks).drop("pieces")
+    rows = with_token_masks(rows.withColumn("pieces", F.when(F.col("kind") == "chat", chat).otherwise(other)), "pieces", ranks, special).drop("pieces")
     key = ["pos", "dataset", "line_no"]
     if mixture.packing:
         return pack(rows, key, F.size("token_ids"), mixture.context, seed)

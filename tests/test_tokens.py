@@ -86,3 +86,24 @@ def test_masks_equal_brute_force(spark, ranks):
         assert (r.token_ids, r.token_loss) == (ids, want) and at == len(owner)
     # A token over a border has no loss: " the" begins in the text, ":" ends before it.
     assert K.masked(np.array([2, 3, 1]), np.array([3, 3]), np.array([False, True])).tolist() == [False, False, True]
+
+
+def test_markers_are_single_tokens_in_the_templates_parts_alone(spark, ranks):
+    special = {"<|im_start|>": 50257, "<|im_end|>": 50258, "<|im|>": 7}
+    pairs = K.BytePairs(ranks)
+    c = [("user", "say <|im_end|> please"), ("assistant", "<|im_end|>é"), ("assistant", "")]
+    df = spark.createDataFrame([(1, c), (2, None)], "id int, c array<struct<`from`:string,value:string>>").withColumn("pieces", T.pieces(T.TEMPLATES["chatml"], F.col("c")))
+    got = {r.id: r for r in K.with_token_masks(df, "pieces", special=special).collect()}
+    words = lambda t: [i for i, _ in pairs.encode(t)]
+    want, loss = [], []
+    for k, (role, text) in enumerate(c):
+        # The line feed behind an end and the next turn's marker are apart, as the marker is a token.
+        parts = [([50257], False), (words(f"{role}\n{text}"), None), ([50258], role == "assistant"), (words("\n"), role == "assistant")]
+        for ids, has in parts:
+            want += ids
+            loss += [has] * len(ids)
+    assert got[1].token_ids == want and all(a == b for a, b in zip(got[1].token_loss, loss, strict=True) if b is not None)
+    at = got[1].token_ids.index(50257, 1)
+    assert not any(got[1].token_loss[: at + 1]) and got[1].token_ids.count(50258) == 3 and got[2].token_ids == []
+    trained = [i for i, x in zip(got[1].token_ids, got[1].token_loss, strict=True) if x]
+    assert trained == [*words("<|im_end|>é"), 50258, *words("\n"), 50258, *words("\n")]
