@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._common import cut, free_names, id_hash, small_batches
+from ._wordhash import mix
 
 ORDER = 5
 DISCOUNT = 0.75
@@ -41,26 +42,77 @@ def fold() -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS))
 
 
+Packed = tuple[np.ndarray, np.ndarray]
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+
+
+def _hashes(codes: np.ndarray, n: int) -> np.ndarray:
+    """64-bit hashes of the n characters from each place on (along the last axis)."""
+    m = codes.shape[-1] - n + 1
+    h = np.zeros((*codes.shape[:-1], m), np.uint64)
+    for j in range(n):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + codes[..., j : j + m] + np.uint64(1)
+    return mix(h)
+
+
+def packed(values: dict[str, float]) -> Packed:
+    """Sorted hashes of strings of one length, and their values: 16 bytes a string where a worker holds them."""
+    if not values:
+        return np.empty(0, np.uint64), np.empty(0)
+    n = len(next(iter(values)))
+    keys = _hashes(_codes("".join(values)).reshape(len(values), n), n)[:, 0]
+    order = np.argsort(keys)
+    return keys[order], np.fromiter(values.values(), np.float64, len(values))[order]
+
+
+def _found(table: Packed, keys: np.ndarray, other: np.ndarray | float) -> np.ndarray:
+    known, values = table
+    if not len(known):
+        return np.broadcast_to(np.float64(other), keys.shape) if np.isscalar(other) else other
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return np.where(known[at] == keys, values[at], other)
+
+
 class WordRatios(dict):
-    """Word to log P(word | toxic) - log P(word | ordinary), worked out when first asked for."""
+    """Word to log P(word | toxic) - log P(word | ordinary), worked out when first asked for; strings and contexts of strings
+    as ``packed`` makes them."""
 
-    LONGEST, MOST = 64, 100_000
+    LONGEST, MOST, AT_ONCE = 64, 100_000, 1 << 18
 
-    def __init__(self, strings: dict[str, float], contexts: dict[str, float]):
+    def __init__(self, strings: Packed, contexts: Packed):
         super().__init__()
         self.strings, self.contexts = strings, contexts
 
-    def __missing__(self, word: str) -> float:
-        s, total = f"{_PAD}{word}{_STOP}", 0.0
-        for i in range(len(s) - ORDER + 1):
-            g = s[i : i + ORDER]
-            v = self.strings.get(g)
-            total += self.contexts.get(g[:-1], 0.0) if v is None else v
-        if len(word) <= self.LONGEST:
-            if len(self) >= self.MOST:
-                self.clear()
-            self[word] = total
-        return total
+    def work_out(self, words: list[str]) -> Iterator[float]:
+        """The words' ratios, about AT_ONCE characters at a time."""
+        begin = size = 0
+        for i, w in enumerate(words):
+            size += len(w) + ORDER
+            if size >= self.AT_ONCE or i == len(words) - 1:
+                part = words[begin : i + 1]
+                codes = _codes("".join(f"{_PAD}{x}{_STOP}" for x in part))
+                n = np.fromiter((len(x) + 1 for x in part), np.int64, len(part))  # strings of each word
+                first = np.concatenate([[0], np.cumsum(n)])
+                # Behind a word's strings are those that reach into the next one.
+                at = np.arange(first[-1]) + np.repeat(np.arange(len(part)) * (ORDER - 1), n)
+                value = _found(self.strings, _hashes(codes, ORDER)[at], _found(self.contexts, _hashes(codes, ORDER - 1)[at], 0.0))
+                yield from np.add.reduceat(value, first[:-1]).tolist()
+                begin, size = i + 1, 0
+
+    def of(self, words: list[str]) -> np.ndarray:
+        new = [w for w in dict.fromkeys(words) if w not in self]
+        if new and len(self) + len(new) > self.MOST:
+            self.clear()
+            new = list(dict.fromkeys(words))
+        self.update(zip(new, self.work_out(new), strict=True))
+        r = np.fromiter(map(self.__getitem__, words), np.float64, len(words))
+        for w in new:
+            if len(w) > self.LONGEST:
+                del self[w]
+        return r
 
     def features(self, text: str | None) -> tuple[float, ...]:
         """Mean ratio of all words, highest mean of a run of words, the mean of the two highest words, and the roots of the
@@ -68,7 +120,7 @@ class WordRatios(dict):
         words = (text or "").lower().split()
         if not words:
             return (0.0,) * len(FEATURES)
-        r = np.fromiter(map(self.__getitem__, words), np.float64, len(words))
+        r = self.of(words)
         n = min(RUN, len(r))
         sums = np.concatenate([[0.0], np.cumsum(r)])
         runs = (sums[n:] - sums[:-n]) / n
@@ -173,7 +225,7 @@ def _string_counts(fit: DataFrame) -> tuple[list[str], np.ndarray]:
     return found, np.frombuffer(counts, np.int64).reshape(len(found), len(TRAINING), 2) if found else np.zeros((0, len(TRAINING), 2), np.int64)
 
 
-def _ratios_without(strings: list[str], counts: np.ndarray, held: int | None) -> tuple[dict[str, float], dict[str, float]]:
+def _ratios_without(strings: list[str], counts: np.ndarray, held: int | None) -> tuple[Packed, Packed]:
     """Ratios from the training folds other than ``held``, as its own strings need them; from all of them if these lack a
     class."""
     n, wanted = counts.sum(1), None
@@ -182,7 +234,7 @@ def _ratios_without(strings: list[str], counts: np.ndarray, held: int | None) ->
         others = n - counts[:, held - 1]
         n = others if others.sum(0).all() else n
     seen = np.flatnonzero(n.any(1))
-    return kneser_ney_ratios({strings[i]: (a, b) for i, (a, b) in zip(seen.tolist(), n[seen].tolist(), strict=True)}, wanted)
+    return tuple(map(packed, kneser_ney_ratios({strings[i]: (a, b) for i, (a, b) in zip(seen.tolist(), n[seen].tolist(), strict=True)}, wanted)))
 
 
 def _feature_rows(shared, kept: list[str]):
@@ -229,7 +281,7 @@ def _trained(docs: DataFrame, labels: DataFrame, most_rows: int):
     marked = marked.filter(fold() != 0).withColumns({"fold": fold(), "h": id_hash(SEED, "doc_id")})
     sizes = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     if not (sizes.get(0) and sizes.get(1)):
-        return sc.broadcast(({}, {}, None))
+        return sc.broadcast((packed({}), packed({}), None))
     share = F.when(F.col("toxic") == 1, F.lit(min(1.0, most_rows / sizes[1]))).otherwise(F.lit(min(1.0, most_rows / sizes[0])))
     sample = marked.filter(F.col("h") < share * F.lit(float(1 << 63))).select("doc_id", "toxic", "fold")
     # About 2 * most_rows rows of three numbers: broadcast whatever the corpus's size. Their texts are read five times.

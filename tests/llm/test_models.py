@@ -59,9 +59,15 @@ def test_word_ratios_equal_the_plain_recursion():
             for i in range(len(s) - toxicity.ORDER + 1):
                 g = s[i : i + toxicity.ORDER]
                 counts[g] = tuple(counts.get(g, (0, 0))[k] + (k == c) for k in (0, 1))
-    ratios = toxicity.WordRatios(*toxicity.kneser_ney_ratios(counts))
-    for w in [*words[0][:15], *words[1][:15], *[make() for _ in range(20)], "zz", "abz"]:
-        assert ratios[w] == pytest.approx(plain_ratio(words, w), abs=1e-9), w
+    ratios = toxicity.WordRatios(*map(toxicity.packed, toxicity.kneser_ney_ratios(counts)))
+    asked = [*words[0][:15], *words[1][:15], *[make() for _ in range(20)], "zz", "abz", "z" * 70]
+    want = [plain_ratio(words, w) for w in asked]
+    for at_once, most in ((1 << 18, 100), (20, 10)):
+        ratios.AT_ONCE, ratios.MOST = at_once, most
+        assert ratios.of(asked).tolist() == pytest.approx(want, abs=1e-9)
+        assert "z" * 70 not in ratios
+    nothing = toxicity.WordRatios(toxicity.packed({}), toxicity.packed({}))
+    assert nothing.of(["a", "bc"]).tolist() == [0, 0]
 
 
 def test_a_long_labelled_word_takes_time_in_proportion(spark):
