@@ -128,7 +128,7 @@ def format_conversations(
 
 def read_back(windows: DataFrame) -> DataFrame:
     """Parse formatted windows: ``turns`` (array<struct<role, text>>, repeated turns left out) and ``targets``, the
-    unescaped texts under the loss mask."""
+    unescaped texts under the loss mask. No windows give no rows; a window without turns has empty lists."""
     pieces = F.filter(F.split("formatted", r"<\|end\|>\n", -1), lambda p: p.startswith(START))
     cut_at = lambda p: F.instr(p, F.lit("\n"))
     parsed = F.transform(
@@ -144,7 +144,8 @@ def read_back(windows: DataFrame) -> DataFrame:
 
 def conversation_report(conversations: DataFrame) -> DataFrame:
     """Per conversation what the formatted windows hold, read back from them. The digests need a conversation's text in
-    one place; it is assembled per window before that."""
+    one place; it is assembled per window before that. Null texts and roles are empty, turns of one
+    number are ordered by role and text; an empty table leaves the added conversation alone; other columns are ignored."""
     spark: SparkSession = conversations.sparkSession
     extra = spark.sql(
         "SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)"

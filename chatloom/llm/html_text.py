@@ -326,5 +326,7 @@ def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
 
 
 def page_report(pages: DataFrame) -> DataFrame:
+    """One row per row of ``pages``, repeated ones too: page_id, url, text, n_chars. Null and empty pages and such without an
+    article have an empty text and 0; null ids and urls stay; other columns are ignored; an empty table has no rows."""
     out = extract_text(pages.select("page_id", "url", "html"))
     return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

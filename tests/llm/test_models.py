@@ -7,7 +7,7 @@ from collections import Counter
 
 import pytest
 
-from chatloom.llm import html_text, toxicity
+from chatloom.llm import chat_format, html_text, toxicity
 
 
 def plain_ratio(words_by_class, word):
@@ -99,3 +99,10 @@ def test_deep_pages_take_time_in_proportion():
 def test_teasers_after_the_content_are_left_out():
     page = "<body><div id=main><h1>T</h1>" + "<p>A paragraph with some words in it, and more of them.</p>" * 3 + "</div><div class='teaser'><a href=x>Read this too</a></div></body>"
     assert html_text.main_text(page).endswith("more of them.")
+
+
+def test_no_conversations_leave_the_added_one(spark):
+    none = spark.createDataFrame([], "conv_id long, turn long, role string, text string, formatted string")
+    rows = chat_format.conversation_report(none).collect()
+    assert [(r.conv_id, r.n_turns) for r in rows] == [(-7, 2)]
+    assert html_text.page_report(spark.createDataFrame([(None, None, None)], "page_id long, url string, html string")).first().n_chars == 0
