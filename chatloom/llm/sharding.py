@@ -17,6 +17,25 @@ SEED = 5
 N_SHARDS = 40
 #: A bucket holds about so many rows, and so many bytes of text, at most.
 BUCKET_ROWS, BUCKET_BYTES = 4_000, 16 << 20
+#: Prefix sums over buckets are taken in blocks of so many.
+PREFIX_BLOCK = 4_096
+
+
+def _starts(sizes: DataFrame, parts: int) -> DataFrame:
+    """(p, start): how many rows stand before each of the ``parts`` buckets of the fractional ranks. A source of few rows
+    counts in the buckets it has rows in, so the table never has more rows than the documents, however many sources there
+    are; the prefix sums run over blocks of buckets, then over the blocks."""
+    few = F.col("all") < parts
+    before = lambda p: F.expr(f"(2 * all * ({p}) + {parts - 1}L) div {2 * parts}L")
+    each = sizes.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.least("all", F.lit(parts).cast("long")) - 1)))
+    p = F.when(few, F.expr(f"((2 * i + 1) * {parts}L) div (2 * all)")).otherwise(F.col("i"))
+    n = F.when(few, F.lit(1).cast("long")).otherwise(before("i + 1") - before("i"))
+    counts = each.select(p.alias("p"), n.alias("n")).groupBy("p").agg(F.sum("n").alias("n"))
+    counts = counts.withColumn("block", F.expr(f"p div {PREFIX_BLOCK}L"))
+    blocks = counts.groupBy("block").agg(F.sum("n").alias("in_block"))
+    blocks = blocks.select("block", (F.sum("in_block").over(Window.orderBy("block")) - F.col("in_block")).alias("earlier"))
+    within = F.sum("n").over(Window.partitionBy("block").orderBy("p")) - F.col("n")
+    return counts.withColumn("within", within).join(blocks, "block").select("p", (F.col("within") + F.col("earlier")).alias("start"))
 
 
 def interleave_shards(df: DataFrame, n_shards: int = N_SHARDS, source: str = "source", key: Column | None = None, seed: int = SEED) -> DataFrame:
@@ -54,11 +73,7 @@ def interleave_shards(df: DataFrame, n_shards: int = N_SHARDS, source: str = "so
     ranked = ranked.withColumn("f", (2 * F.col("k") - 1) / (2 * F.col("all")))
     ranked = ranked.withColumn("p", F.expr(f"((2 * k - 1) * {parts}L) div (2 * all)"))
     sizes = base.groupBy("none", "s").agg(F.count("*").alias("all"))
-    starts = (
-        sizes.withColumn("p", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
-        .groupBy("p")
-        .agg(F.sum(F.expr(f"(2 * all * p + {parts - 1}L) div {2 * parts}L")).alias("start"))
-    )
+    starts = _starts(sizes, parts)
     place = F.row_number().over(Window.partitionBy("p").orderBy("f", "none", "s")) - 1
     n = max(total, 1)
     dealt = ranked.join(starts, "p").withColumn("at", place + F.col("start"))
