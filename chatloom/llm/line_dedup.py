@@ -21,8 +21,6 @@ GAPS = r"[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*|\x20[\x20\x09\x0B-\x0D]+"
 LINE = r"[^\x20\x09-\x0D][^\x0A]*"
 #: Least similarity of near lines: 100 less the share of the longer line's words that an edit changes.
 PERCENT = 80
-#: Keys up to this number (16 MB) are broadcast to the second scan of the texts; more are joined by shuffle.
-MOST_BROADCAST = 1_000_000
 
 
 def _part(line: str, n: Column) -> Column:
@@ -40,16 +38,41 @@ def text_lines(docs: DataFrame) -> DataFrame:
     """One row per line with words: where it stands, its normal form ``line``, its number of words and the form's keys.
     Texts are hashed and put into normal form before they are split, so once each."""
     t = text_or_empty("text")
-    whole = docs.select("doc_id", F.xxhash64(t).alias("th"), F.lower(F.regexp_replace(t, GAPS, " ")).alias("clean"))
+    whole = docs.select("doc_id", F.xxhash64(t).alias("th"), _clean_lines(t).alias("lines"))
     return (
-        whole.select("doc_id", "th", F.posexplode(F.split("clean", "\n", -1)).alias("line_no", "raw"))
+        whole.select("doc_id", "th", F.posexplode("lines").alias("line_no", "raw"))
         .select(F.struct("doc_id", "th", "line_no").alias("pos"), F.trim("raw").alias("line"))
         .filter("line <> ''")
         .withColumns({"k1": F.xxhash64("line"), "k2": F.xxhash64(F.lit(7), "line")})
-        .withColumn("n", F.char_length("line") - F.char_length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
+        .withColumn("n", _words("line"))
     )
 
 
+def _clean_lines(text: Column) -> Column:
+    return F.split(F.lower(F.regexp_replace(text, GAPS, " ")), "\n", -1)
+
+
+def _words(line: str) -> Column:
+    """Number of words of a normal form."""
+    return F.char_length(line) - F.char_length(F.replace(F.col(line), F.lit(" "), F.lit(""))) + 1
+
+
+def _lines_at(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (with ``first``, the place of a line) plus the line's normal form and number of words, once for each row of
+    ``docs`` that is the same. Each document meets the list of its wanted lines, so only whole texts move, once; where
+    one line is in very many documents, its first place alone is looked up."""
+    rest = [c for c in wanted.columns if c != "first"]
+    per_doc = wanted.groupBy(F.col("first.doc_id").alias("of"), F.col("first.th").alias("oth")).agg(
+        F.collect_list(F.struct(F.col("first.line_no").alias("at"), *rest)).alias("wanted")
+    )
+    t = text_or_empty("text")
+    whole = docs.select("doc_id", F.xxhash64(t).alias("th"), _clean_lines(t).alias("lines"))
+    met = whole.join(per_doc, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("th") == F.col("oth")))
+    told = F.transform("wanted", lambda w: F.struct(w.at.alias("line_no"), *[w[c].alias(c) for c in rest], F.trim(F.get("lines", w.at)).alias("line")))
+    lines = met.select("doc_id", "th", F.inline(told))
+    return lines.select(F.struct("doc_id", "th", "line_no").alias("first"), *rest, "line", _words("line").alias("n"))
+
+
 def _halves(long_enough: Column) -> dict[str, Column]:
     """Keys of the first and second halves; of lines with an odd number of words, both ways to halve."""
     low, odd = F.expr("n div 2").cast("int"), F.col("n") % 2 == 1
@@ -62,11 +85,6 @@ def _halves(long_enough: Column) -> dict[str, Column]:
     }
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """``df``, a table cut before, to be broadcast if it has at most MOST_BROADCAST rows."""
-    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
-
-
 def line_decisions(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(lines, fates): every line's place and key, and for each distinct line that has copies or is near an earlier one
     its first place and whether it goes altogether. Rows of ``docs`` that repeat doc_id and text count as one document.
@@ -80,9 +98,9 @@ def line_decisions(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
     sides = [F.struct(F.lit(h.startswith("front")).alias("front"), F.col(h).alias("half")) for h in halves]
     sides = distinct.filter("front_low IS NOT NULL").select("k1", "k2", F.inline(F.array(*sides))).filter("half IS NOT NULL")
     shared = cut(sides.groupBy("half").agg(F.count("*").alias("c")).filter("c > 1").select("half"))
-    likely = sides.join(_small(shared), "half", "left_semi").groupBy("k1", "k2").agg(F.max("front").alias("front"), F.max(~F.col("front")).alias("back"))
-    texts = text_lines(docs).join(_small(cut(likely)), ["k1", "k2"])
-    texts = texts.groupBy("k1", "k2").agg(*[F.min(c).alias(d) for c, d in (("pos", "first"), ("line", "line"), ("n", "n"), ("front", "front"), ("back", "back"))])
+    likely = sides.join(shared, "half", "left_semi").groupBy("k1", "k2").agg(F.max("front").alias("front"), F.max(~F.col("front")).alias("back"))
+    wanted = distinct.select("k1", "k2", "first").join(likely, ["k1", "k2"])
+    texts = _lines_at(docs, wanted).groupBy("k1", "k2").agg(*[F.min(c).alias(c) for c in ("first", "line", "n", "front", "back")])
     near = _near_lines(cut(texts), longest)
     fates = (
         distinct.join(near.withColumn("near", F.lit(True)), ["k1", "k2"], "left")
@@ -108,7 +126,7 @@ def _near_lines(lines: DataFrame, longest: int) -> DataFrame:
     v = v.withColumn("vk", F.when(F.col("i") < 0, F.xxhash64("line")).otherwise(F.xxhash64(_words_less("line", "n", F.col("i")))))
     v = cut(v.select("k1", "k2", "i", "vk"))
     shared = cut(v.groupBy("vk").agg(F.count("*").alias("c")).filter("c > 1").select("vk"))
-    v = cut(v.join(_small(shared), "vk", "left_semi").join(lines.select("k1", "k2", "first"), ["k1", "k2"]))
+    v = cut(v.join(shared, "vk", "left_semi").join(lines.select("k1", "k2", "first"), ["k1", "k2"]))
     me = F.struct("first", "k1", "k2")
     same_place = v.groupBy("vk", "i").agg(F.min(me).alias("a"), F.count("*").alias("c")).filter("c > 1 AND i >= 0").drop("c")
     whole = F.col("i") < 0
@@ -142,7 +160,7 @@ def within_one_word(a: str, b: str) -> Column:
 def _per_document(docs: DataFrame, percent: int) -> DataFrame:
     """doc_id, th (hash of the text), and the numbers of lines dropped as copies, as near ones, and all of them."""
     lines, fates = line_decisions(docs, percent)
-    told = lines.join(_small(fates), ["k1", "k2"]).filter(F.col("near") | (F.col("first") != F.col("pos")))
+    told = lines.join(fates, ["k1", "k2"]).filter(F.col("near") | (F.col("first") != F.col("pos")))
     return (
         told.select("pos.doc_id", "pos.th", "pos.line_no", "near")
         .groupBy("doc_id", "th")

@@ -123,9 +123,16 @@ def test_entropy_by_window_beside_base_spans_and_allowed_parts(spark):
             assert not spans, (t, got[i])
 
 
-@pytest.mark.parametrize("broadcast", [line_dedup.MOST_BROADCAST, 0])
-def test_line_dedup_equals_brute_force(spark, monkeypatch, broadcast):
-    monkeypatch.setattr(line_dedup, "MOST_BROADCAST", broadcast)
+@pytest.fixture(params=["10m", "-1"])
+def broadcast_up_to(spark, request):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, request.param)
+    yield request.param
+    spark.conf.set(name, before)
+
+
+def test_line_dedup_equals_brute_force(spark, broadcast_up_to):
     random.seed(1)
     lines = [" ".join(random.choice("abc") for _ in range(random.choice([1, 4, 5, 6, 7]))) for _ in range(150)]
     texts = [(i, "\n".join(random.choice(lines) for _ in range(5))) for i in range(60)] + [(60, None), (61, "")]
@@ -252,6 +259,20 @@ def test_every_shard_has_the_mixture(spark, monkeypatch):
             assert all(abs(got[s, k] - n / 7) < 2 for k in range(7)), s
 
 
+def test_sharding_with_a_source_for_nearly_every_row(spark, monkeypatch):
+    """Sources with fewer rows than there are buckets, beside one with more; prefix sums over several blocks."""
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 20)
+    monkeypatch.setattr(sharding, "PREFIX_BLOCK", 4)
+    rows = [(i, "big" if i % 3 == 0 else f"s{i // 5}") for i in range(900)]
+    got = sharding.interleave_shards(spark.createDataFrame(rows, "doc_id long, source string"), 7).collect()
+    assert sorted(r.doc_id for r in got) == list(range(900))
+    n = Counter(source for _, source in rows)
+    order = sorted(((2 * k - 1) / (2 * n[s]), s) for s in n for k in range(1, n[s] + 1))
+    cuts = [-(-900 * k // 7) for k in range(8)]
+    assert [len([r for r in got if r.shard == k]) for k in range(7)] == [b - a for a, b in zip(cuts, cuts[1:])]
+    assert {(r.shard, r.slot): r.source for r in got} == {(k, i - cuts[k]): order[i][1] for k in range(7) for i in range(cuts[k], cuts[k + 1])}
+
+
 def sets_of(rows):
     out = {}
     for i, t in rows:
