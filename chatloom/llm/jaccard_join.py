@@ -180,10 +180,15 @@ def _prefix(n: Column, percent: int) -> Column:
     return n - F.floor((n * percent + 99) / 100) + 1
 
 
+def _overlap(n: Column, m: Column, percent: int) -> Column:
+    """How many shingles similar sets of sizes n and m share at least."""
+    return F.floor(((n + m) * percent + (99 + percent)) / (100 + percent))
+
+
 def _needed(n: Column, m: Column, percent: int) -> Column:
     """How many shingles the prefixes of similar sets of sizes n and m share at least: the least overlap of the sets, less
     what can stand behind the prefixes."""
-    overlap = F.ceil((n + m) * F.lit(percent) / F.lit(100.0 + percent) - F.lit(1e-9))
+    overlap = _overlap(n, m, percent)
     return F.greatest(overlap - F.greatest(n - _prefix(n, percent), m - _prefix(m, percent)), F.lit(1))
 
 
@@ -221,10 +226,10 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
     # Postings: a group at each shingle of its prefix; those that no other group has drop out here.
     at_part = F.col("pos") - F.size("prefix") + F.size("parts")
     list_of = F.when(at_part >= 0, F.pmod(F.xxhash64("gid"), F.get("parts", at_part))).otherwise(F.lit(-1).cast("long"))
-    posts = groups.select("gid", "n", "prefix", "parts", F.posexplode("prefix").alias("pos", "token")).select("token", list_of.alias("list"), "gid", "n")
+    posts = groups.select("gid", "n", "prefix", "parts", F.posexplode("prefix").alias("pos", "token")).select("token", list_of.alias("list"), "gid", "n", "pos")
     at = Window.partitionBy("token", "list")
     posts = posts.withColumns({"c": F.count("*").over(at), "pivot": F.min("gid").over(at)}).filter("c > 1 OR list >= 0")
-    posts = cut(posts.select("token", "list", "gid", "n", "pivot"))
+    posts = cut(posts.select("token", "list", "gid", "n", "pos", "pivot"))
     drop(made, others)
 
     # A doc_id with several texts links them.
@@ -252,7 +257,7 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
         of_unit = grouped.join(comps.withColumnRenamed("id", "unit"), "unit", "left").withColumn("comp", F.coalesce("comp", "unit"))
         of_unit = cut(of_unit)
         ranges = of_unit.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-        seen = posts.select("token", "gid", "n").join(ranges, "gid")
+        seen = posts.select("token", "gid", "n", "pos").join(ranges, "gid")
         tally = seen.groupBy("token").agg(F.min("low").alias("x"), F.max("high").alias("y"), F.count("*").alias("c")).filter("x < y AND c > 1")
         seen = cut(seen.join(tally.select("token"), "token", "left_semi"))
         of_comp = seen.groupBy("token", F.when(F.col("low") == F.col("high"), F.col("low")).alias("low"))
@@ -304,42 +309,55 @@ def _close(n: str, m: str, percent: int) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
+def _meetings(full: DataFrame, percent: int) -> DataFrame:
+    """(g, h, n_x, n_y): groups of different components, once for each shingle that can be the first one they share.
+
+    Behind the first shared shingle, in both sets, stands all else that they share, so it lies before the last places of an
+    overlap as large as their two sizes call for. What many unlinked texts share stands late in their order, behind what is
+    their own, and makes no rows. Postings meet by shingle and range of sizes. Each shingle's most common component stands
+    on one side, the others on both, so that a large component is paired with what is outside it, never with itself."""
+    band = F.floor(F.log("n") / math.log(100 / percent)).cast("int")
+    full = full.withColumns({"minor": (F.col("low") != F.col("high")) | F.coalesce(F.col("low") != F.col("major"), F.lit(True)), "band": band}).drop("major")
+    x = full.filter("minor").select(*[F.col(c).alias(f"{c}_x") for c in ("token", "sid", "low", "high", "n", "pos")], F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)])).alias("band_x"))
+    y = full.select(*[F.col(c).alias(f"{c}_y") for c in full.columns])
+    overlap = _overlap(F.col("n_x"), F.col("n_y"), percent)
+    meet = (
+        (F.col("token_x") == F.col("token_y"))
+        & (F.col("band_x") == F.col("band_y"))
+        & (~F.col("minor_y") | (F.col("sid_x") < F.col("sid_y")))
+        & ((F.col("low_x") != F.col("low_y")) | (F.col("low_x") != F.col("high_x")) | (F.col("low_y") != F.col("high_y")))
+        & _close("n_x", "n_y", percent)
+        & (F.col("pos_x") <= F.col("n_x") - overlap)
+        & (F.col("pos_y") <= F.col("n_y") - overlap)
+    )
+    return x.join(y, meet).select(F.least("sid_x", "sid_y").alias("g"), F.greatest("sid_x", "sid_y").alias("h"), "n_x", "n_y")
+
+
 def _remaining_pairs(open_posts: DataFrame, of_unit: DataFrame, percent: int) -> DataFrame:
     """All pairs of units (a, b) of different components that the size and overlap filters let pass.
 
     Similar sets share enough shingles within their prefixes, and all those are among the open postings, so they are
     counted there. A group with fewer of them than the sizes around it call for has no such pair; groups of one size and
-    component with the same open shingles meet others as one. Postings meet by shingle and range of sizes. Each shingle's
-    most common component stands on one side, the others on both, so that a large component is paired with what is
-    outside it, never with itself."""
+    component with the same open shingles meet others as one, each shingle at its first place in any of them."""
     mixed = F.col("low") != F.col("high")
     of_group = open_posts.groupBy("gid", "n", "low", "high").agg(
         F.count("*").alias("c"), F.min("least").alias("least"), F.max("most").alias("most"), F.sort_array(F.collect_list("token")).alias("tokens")
     )
     n = F.col("n")
-    least = F.greatest("least", F.ceil(n * percent / 100))
+    smallest = F.greatest("least", F.ceil(n * percent / 100))
     most = F.least("most", F.floor(n * 100 / percent))
     # What is needed falls on both sides of n, so the ends of the range call for least, rounding aside.
-    enough = F.least(_needed(n, least, percent), _needed(n, most, percent)) - 1
+    enough = F.least(_needed(n, smallest, percent), _needed(n, most, percent)) - 1
     alike = ["h1", "h2", "n", "low", "own"]
     hashes = [F.xxhash64("tokens").alias("h1"), F.xxhash64(F.lit(1), "tokens").alias("h2")]
-    of_group = cut(of_group.filter(F.col("c") >= enough).select("gid", "n", "low", *hashes, F.when(mixed, F.col("gid")).otherwise(-1).alias("own")))
+    of_group = cut(of_group.filter(F.col("c") >= enough).select("gid", "n", "low", *hashes, F.when(mixed, F.col("gid")).otherwise(-1).alias("own"), "tokens"))
     members = cut(of_group.join(of_group.groupBy(*alike).agg(F.min("gid").alias("sid")), alike).select("sid", "gid"))
-    open_posts = open_posts.join(members.filter("sid = gid").select("gid"), "gid", "left_semi")
-    band = F.floor(F.log("n") / math.log(100 / percent)).cast("int")
-    full = open_posts.withColumns({"minor": mixed | F.coalesce(F.col("low") != F.col("major"), F.lit(True)), "band": band}).drop("major", "least", "most")
-    x = full.filter("minor").select(*[F.col(c).alias(f"{c}_x") for c in ("token", "gid", "low", "high", "n")], F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)])).alias("band_x"))
-    y = full.select(*[F.col(c).alias(f"{c}_y") for c in full.columns])
-    meet = (
-        (F.col("token_x") == F.col("token_y"))
-        & (F.col("band_x") == F.col("band_y"))
-        & (~F.col("minor_y") | (F.col("gid_x") < F.col("gid_y")))
-        & ((F.col("low_x") != F.col("low_y")) | (F.col("low_x") != F.col("high_x")) | (F.col("low_y") != F.col("high_y")))
-        & _close("n_x", "n_y", percent)
-    )
-    need = _needed(F.col("n_x"), F.col("n_y"), percent)
-    pairs = x.join(y, meet).groupBy(F.least("gid_x", "gid_y").alias("g"), F.greatest("gid_x", "gid_y").alias("h"))
-    pairs = pairs.agg(F.count("*").alias("shared"), F.first(need).alias("need")).filter("shared >= need").select("g", "h")
+    # Places too late for the smallest set that a shingle has to offer are too late for all.
+    early = open_posts.filter(F.col("pos") <= n - _overlap(n, smallest, percent)).join(members, "gid")
+    early = early.groupBy("token", "sid").agg(F.min("pos").alias("pos"), *[F.first(c).alias(c) for c in ("n", "low", "high", "major")])
+    pairs = _meetings(early, percent).groupBy("g", "h").agg(F.first(_needed(F.col("n_x"), F.col("n_y"), percent)).alias("need"))
+    tokens = of_group.select(F.col("gid").alias("g"), "tokens")
+    pairs = pairs.join(tokens, "g").join(tokens.toDF("h", "others"), "h").filter(F.size(F.array_intersect("tokens", "others")) >= F.col("need")).select("g", "h")
     u = of_unit.join(members, "gid").select("sid", "unit", "comp")
     a, b = u.toDF("g", "a", "ca"), u.toDF("h", "b", "cb")
     across = pairs.join(a, "g").join(b, "h").filter("ca <> cb").select("a", "b")

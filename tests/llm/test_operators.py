@@ -327,6 +327,19 @@ def test_jaccard_of_repeated_ids(spark):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
+def test_jaccard_boilerplate_makes_no_pairs(spark, monkeypatch):
+    """Unlinked texts that share most of their words: no pair of them becomes a row (before: 31,600, one for each
+    shared shingle of the prefixes). One word changed inside still links."""
+    body = [f"b{i}" for i in range(104)]
+    rows = [(i, " ".join([*body, *(f"u{i}-{k}" for k in range(13))])) for i in range(80)]
+    rows += [(100 + i, " ".join([*body[:50], f"e{i}", *body[51:], *(f"u{i}-{k}" for k in range(13))])) for i in range(5)]
+    made, meetings = [], jaccard_join._meetings
+    monkeypatch.setattr(jaccard_join, "_meetings", lambda *a: made.append(meetings(*a).count()) or meetings(*a))
+    got = jaccard_join.component_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows)
+    assert made and sum(made) <= 5
+
+
 def test_toxicity_separates_planted_words(spark):
     random.seed(2)
     rows, labels = [], []
