@@ -14,6 +14,8 @@ from ._wordhash import Words, mix, pieces
 
 #: Rows and bytes of terms that a task sums up before it passes them on; a row takes about 40 bytes besides.
 HELD, HELD_BYTES = 1 << 20, 64 << 20
+#: Terms whose bytes are picked at once.
+STEP = 1 << 14
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -32,7 +34,11 @@ class _Terms:
 
     def bytes_of(self) -> tuple[np.ndarray, np.ndarray]:
         at = np.concatenate([[0], np.cumsum(self.size)])
-        return self.data[np.repeat(self.start - at[:-1], self.size) + np.arange(at[-1])], at
+        out = np.empty(int(at[-1]), np.uint8)
+        for a in range(0, len(self.size), STEP):  # 24 bytes of numbers for each byte that is picked at once
+            size, begin, end = self.size[a : a + STEP], int(at[a]), int(at[min(a + STEP, len(self.size))])
+            out[begin:end] = self.data[np.repeat(self.start[a : a + STEP] - at[a : a + len(size)], size) + np.arange(begin, end)]
+        return out, at
 
     @classmethod
     def of_words(cls, w: Words, group: np.ndarray) -> _Terms:
@@ -75,11 +81,11 @@ def _string_array(t: _Terms) -> pa.Array:
     return pa.StringArray.from_buffers(len(t.key), pa.py_buffer(at.astype(np.int32)), pa.py_buffer(_LOWER[data]))
 
 
-def term_counts(docs: DataFrame, groups: dict[str, Column], separators: np.ndarray, text: str = "text") -> DataFrame:
+def term_counts(docs: DataFrame, groups: dict[str, Column], separators: np.ndarray, text: str = "text", held_rows: int = HELD) -> DataFrame:
     """(group columns, term, n, texts): how often each term stands in a group's texts and in how many of them. Terms are
     what ``separators`` (by byte) part, A-Z lower-cased. Every group that occurs also has a row with a null term.
 
-    Tasks sum what they read, HELD rows and HELD_BYTES at most, so that a frequent term of a large group is a few rows of each
+    Tasks sum what they read, ``held_rows`` rows and HELD_BYTES at most, so that a frequent term of a large group is a few rows of each
     task; the rest is Spark's aggregate. Within a task words are told apart by 64-bit hashes, afterwards by themselves."""
     names = list(groups)
 
@@ -102,9 +108,9 @@ def term_counts(docs: DataFrame, groups: dict[str, Column], separators: np.ndarr
             for begin, data, at in pieces(batch.column(len(names))):
                 # The words' bytes are copied: what is held must not keep the whole batch.
                 held.append(_Terms.merged([_Terms.of_words(Words(data, at, separators), number[begin : begin + len(at) - 1])]))
-                if sum(len(t.key) for t in held) > HELD or sum(len(t.data) for t in held) > HELD_BYTES:
+                if sum(len(t.key) for t in held) > held_rows or sum(len(t.data) for t in held) > HELD_BYTES:
                     held = [_Terms.merged(held)]
-                    if len(held[0].key) > HELD // 2 or len(held[0].data) > HELD_BYTES // 2:
+                    if len(held[0].key) > held_rows // 2 or len(held[0].data) > HELD_BYTES // 2:
                         yield from out(held.pop())
         if held:
             yield from out(_Terms.merged(held))

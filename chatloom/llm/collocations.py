@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import cut, text_or_empty
+from ._common import cut, small_batches, text_or_empty
 from ._quotient import ShardedCounter, merged, unmix, unpack
 from ._termcounts import term_counts
 from ._wordhash import Words, mix, pieces
@@ -26,6 +26,8 @@ TOP_PHRASES = 2000
 NO_LANG = "und"
 #: Entries of the dictionary that a worker holds at once, 12 bytes each; more are taken in blocks, one pass each.
 MOST_IDS = 1 << 22
+#: Distinct words that a task sums up before it passes them on: about 300 bytes each at the peak, two tasks beside a JVM.
+HELD_WORDS = 1 << 19
 #: Phrase occurrences to a shard of the filters, about.
 SHARD_KEYS = 1 << 21
 #: Bytes that end a piece of a text; with blank and tab, those between words.
@@ -214,7 +216,7 @@ def _narrow(rows: DataFrame, words: int, shared, last: bool) -> DataFrame:
 def frequent_phrases(docs: DataFrame, lang: Column, least: int = LEAST_COUNT, most_words: int = MOST_WORDS, most_ids: int = MOST_IDS) -> tuple[DataFrame, list[DataFrame]]:
     """((lang, n) with all word occurrences, tables of the frequent words and phrases by length). Words: (id, lang, term, n);
     phrases: (id, left, last, n) with the ids of the phrase without its last word and of that word."""
-    words = cut(term_counts(docs, {"lang": lang}, BETWEEN).filter("term IS NOT NULL").drop("texts"))
+    words = cut(term_counts(docs, {"lang": lang}, BETWEEN, held_rows=HELD_WORDS).filter("term IS NOT NULL").drop("texts"))
     langs = words.groupBy("lang").agg(F.sum("n").alias("n"))
     found, size = numbered(words.filter(F.col("n") >= least), ["lang", "term"])
     levels = [cut(found)]
@@ -266,7 +268,8 @@ def collocations(docs: DataFrame, least: int = LEAST_COUNT, most_words: int = MO
     Null text is empty, null lang is ``und``; repeated rows count as often as they stand; other columns are ignored; an
     empty table and texts without frequent phrases give no rows."""
     lang = F.coalesce(F.col("lang"), F.lit(NO_LANG))
-    langs, levels = frequent_phrases(docs, lang, least, most_words, most_ids)
+    with small_batches(docs.sparkSession):
+        langs, levels = frequent_phrases(docs, lang, least, most_words, most_ids)
     named = _named(levels)
     of_cut = """array_min(transform(sequence(1, size(heads) - 1), k -> named_struct(
         'score', (CAST(a AS DECIMAL(19, 0)) * CAST(n AS DECIMAL(19, 0)) * 1000BD) div (CAST(heads[k - 1] AS DECIMAL(19, 0)) * CAST(tails[size(heads) - k - 1] AS DECIMAL(19, 0))),

@@ -2,12 +2,13 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
-from chatloom.llm import _quotient, collocations, license_scan, source_audit
+from chatloom.llm import _quotient, _termcounts, collocations, license_scan, source_audit
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, term string, rank int"
@@ -109,6 +110,27 @@ def test_collocations_equal_plain_python(spark):
     assert collocations.collocations(df.limit(0)).count() == 0 and collocations.collocations(df, 10**6).count() == 0
 
 
+def test_word_counting_takes_little_memory(spark, monkeypatch):
+    """The bytes of many terms are picked with a few bytes beside each (before: 24), op13's Python tasks get small batches, and
+    their words come out the same when few are held."""
+    n = 1 << 18
+    start = np.random.default_rng(3).permutation(n) * 8
+    terms = _termcounts._Terms(*[np.zeros(n, np.int64)] * 4, np.arange(8 * n, dtype=np.uint32).astype(np.uint8), start, np.full(n, 8))
+    tracemalloc.start()
+    data, at = terms.bytes_of()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (data.reshape(-1, 8) == terms.data.reshape(-1, 8)[start // 8]).all() and at[-1] == 8 * n and peak < 8 * len(data)
+    name, seen, found = "spark.sql.execution.arrow.maxBytesPerBatch", [], collocations.frequent_phrases
+    before = spark.conf.get(name)
+    monkeypatch.setattr(collocations, "frequent_phrases", lambda *a: seen.append(spark.conf.get(name)) or found(*a))
+    monkeypatch.setattr(collocations, "HELD_WORDS", 4)
+    docs = [(" ".join(f"w{i % 7}" for i in range(k, k + 9)), "en") for k in range(60)]
+    got = collocations.collocations(spark.createDataFrame(docs, "text string, lang string"), 5).collect()
+    assert {tuple(r[f] for f in "lang rank phrase a l r n score".split()) for r in got} == plain_collocations(docs, 5)
+    assert seen == [str(8 << 20)] and spark.conf.get(name) == before
+
+
 def test_counting_filters_are_lossless():
     rng = np.random.default_rng(2)
     for bits in (1, 8, 13):
