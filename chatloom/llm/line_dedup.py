@@ -36,11 +36,12 @@ def _words_less(line: str, n: str, i: Column) -> Column:
 
 def text_lines(docs: DataFrame) -> DataFrame:
     """One row per line with words: where it stands, its normal form ``line``, its number of words and the form's keys.
-    Texts are hashed and put into normal form before they are split, so once each."""
+    Texts are hashed and put into normal form before they are split, so once each: without ``outer``, Spark filters on the size
+    of the list of lines first, and makes it twice. A list always has a line."""
     t = text_or_empty("text")
     whole = docs.select("doc_id", F.xxhash64(t).alias("th"), _clean_lines(t).alias("lines"))
     return (
-        whole.select("doc_id", "th", F.posexplode("lines").alias("line_no", "raw"))
+        whole.select("doc_id", "th", F.posexplode_outer("lines").alias("line_no", "raw"))
         .select(F.struct("doc_id", "th", "line_no").alias("pos"), F.trim("raw").alias("line"))
         .filter("line <> ''")
         .withColumns({"k1": F.xxhash64("line"), "k2": F.xxhash64(F.lit(7), "line")})
@@ -69,7 +70,7 @@ def _lines_at(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     whole = docs.select("doc_id", F.xxhash64(t).alias("th"), _clean_lines(t).alias("lines"))
     met = whole.join(per_doc, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("th") == F.col("oth")))
     told = F.transform("wanted", lambda w: F.struct(w.at.alias("line_no"), *[w[c].alias(c) for c in rest], F.trim(F.get("lines", w.at)).alias("line")))
-    lines = met.select("doc_id", "th", F.inline(told))
+    lines = met.select("doc_id", "th", F.inline_outer(told))
     return lines.select(F.struct("doc_id", "th", "line_no").alias("first"), *rest, "line", _words("line").alias("n"))
 
 

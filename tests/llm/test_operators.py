@@ -168,6 +168,12 @@ def test_line_normal_form(spark):
     assert len(r) == 3 and {(x.doc_id, x.n_lines, x.dropped) for x in r} == {(1, 2, "3"), (None, 1, "")}
 
 
+def test_lines_are_made_once(spark):
+    """A text is put into normal form once (before: again for a filter on the number of its lines)."""
+    plan = line_dedup.text_lines(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1
+
+
 def test_mixing(spark, docs, odd):
     for d in (docs, odd):
         rows = mixing.mix_report(d).collect()
