@@ -6,9 +6,9 @@ size one group; groups meet on prefix shingles, pairs of groups are filtered by
 they share, and the pairs that remain are expanded to units and verified on whole sets.
 
 What is wanted are components. So links are looked for in rounds. In the first ones, each group is compared with one pivot
-of those it shares shingles with, which is linear in the number of shingles and joins nearly all copies. Then only pairs
-of groups from different components are looked at, completely: no link between components is lost, and large groups of
-near copies are never paired up with themselves.
+of those it shares shingles with, which is linear in the number of shingles and joins nearly all copies; groups at shingles
+that many components still share try further ones. Then only pairs of groups from different components are looked at,
+completely: no link between components is lost, and large groups of near copies are not paired up with themselves.
 """
 
 from __future__ import annotations
@@ -37,9 +37,13 @@ STEPS = 8  # of a count's logarithm, per doubling
 #: shows where that is more.
 HOT = 1_000
 PIVOT_ROUNDS = 2
-#: Up to so many pairs of postings for each posting, or where a pivot brings few links, the last step takes over. That
+#: A shingle is crowded if more than CROWD of its postings are outside its most common component. Where crowded shingles make
+#: up to FEW_PAIRS pairs of postings for each posting there is, or a pivot brings few links, the last step takes over. That
 #: step is complete, so this changes the time only.
-FEW_PAIRS = 8
+CROWD = 16
+FEW_PAIRS = 1
+#: So many shingles before its own a posting carries to the last step, to be met there once a pair, mostly.
+BEFORE = 3
 #: Ids up to this number (16 MB) are broadcast to the scan of what belongs to them; more are joined by shuffle.
 MOST_BROADCAST = 1_000_000
 
@@ -251,9 +255,9 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
     start = start.unionAll(grouped.filter("unit <> gid").select(F.col("unit").alias("a"), F.col("gid").alias("b")))
     comps = components(verify(docs, units, start, k, percent).unionAll(links))
 
-    def state() -> tuple[DataFrame, DataFrame, bool, tuple]:
+    def state(posts: DataFrame) -> tuple[DataFrame, DataFrame, bool, tuple]:
         """Components of units so far, the postings at shingles that still see two (low and high differ if a group's units
-        do), whether these make so few pairs that another pivot would save nothing, and the tables behind that."""
+        do), whether crowded ones make so few pairs that another pivot would save nothing, and the tables behind that."""
         of_unit = grouped.join(comps.withColumnRenamed("id", "unit"), "unit", "left").withColumn("comp", F.coalesce("comp", "unit"))
         of_unit = cut(of_unit)
         ranges = of_unit.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
@@ -266,26 +270,29 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
         majors = of_comp.groupBy("token").agg(F.sum("count").alias("c"), *sizes_of, F.max(F.when(F.col("low").isNotNull(), F.struct("count", "low"))).alias("m"))
         minors = F.col("c") - F.coalesce("m.count", F.lit(0))
         majors = cut(majors.select("token", F.col("m.low").alias("major"), "least", "most", "c", minors.alias("minors")))
-        total = majors.agg(F.sum("c").alias("posts"), F.sum(F.col("c").cast("double") * F.col("minors")).alias("pairs")).first()
-        wide = seen.join(majors.select("token", "major", "least", "most"), "token")
+        pairs = F.when(F.col("minors") > CROWD, F.col("c").cast("double") * F.col("minors"))
+        total = majors.agg(F.sum("c").alias("posts"), F.sum(pairs).alias("pairs")).first()
+        wide = seen.join(majors.select("token", "major", "least", "most", "minors"), "token")
         return of_unit, wide, (total["pairs"] or 0) <= FEW_PAIRS * (total["posts"] or 0), (seen, majors)
 
-    of_unit, open_posts, few, tables = state()
+    of_unit, open_posts, few, tables = state(posts)
     for r in range(1, PIVOT_ROUNDS):
         if few:
             break
-        # Another pivot for each shingle: first the group with most open shingles, as the one with fewest edits is nearest to
-        # all others; in later rounds by a hash that changes.
-        ranked = open_posts.join(open_posts.groupBy("gid").agg(F.count("*").alias("much")), "gid")
+        # Another pivot for each shingle of the groups at crowded ones: first the group with most open shingles, as the one with
+        # fewest edits is nearest to all others; in later rounds by a hash that changes.
+        crowd = open_posts.filter(F.col("minors") > CROWD).select("gid").distinct()
+        crowd = cut(open_posts.join(crowd, "gid", "left_semi"))
+        ranked = crowd.join(crowd.groupBy("gid").agg(F.count("*").alias("much")), "gid")
         rank = F.struct((-F.col("much") if r == 1 else F.xxhash64("gid", F.lit(r))).alias("h"), F.col("gid").alias("pivot"), F.col("low").alias("pl"))
         pivots = ranked.groupBy("token").agg(F.min(rank).alias("p"))
-        tried = open_posts.join(pivots, "token").filter("low <> p.pl").select("gid", "n", F.col("p.pivot").alias("pivot"))
+        tried = crowd.join(pivots, "token").filter("low <> p.pl").select("gid", "n", F.col("p.pivot").alias("pivot"))
         tried = cut(best(tried))
         found = verify(docs, units, tried, k, percent)
         comps, before = _joined(comps, of_unit, found), (of_unit, *tables)
-        of_unit, open_posts, few, tables = state()
+        of_unit, open_posts, few, tables = state(before[1])  # shingles that see one component do so from then on
         few |= found.count() * 10 < tried.count()
-        drop(tried, found, *before)
+        drop(crowd, tried, found, *before)
     found = verify(docs, units, _remaining_pairs(open_posts, of_unit, percent), k, percent)
     comps = _joined(comps, of_unit, found)
     drop(posts, of_unit, *tables)
@@ -314,11 +321,14 @@ def _meetings(full: DataFrame, percent: int) -> DataFrame:
 
     Behind the first shared shingle, in both sets, stands all else that they share, so it lies before the last places of an
     overlap as large as their two sizes call for. What many unlinked texts share stands late in their order, behind what is
-    their own, and makes no rows. Postings meet by shingle and range of sizes. Each shingle's most common component stands
+    their own, and makes no rows. Nor does a shingle that both have another one of right before, among the last BEFORE: it is
+    not the first, and the first has none. Postings meet by shingle and range of sizes. Each shingle's most common component stands
     on one side, the others on both, so that a large component is paired with what is outside it, never with itself."""
     band = F.floor(F.log("n") / math.log(100 / percent)).cast("int")
+    in_order = Window.partitionBy("sid").orderBy("pos")
+    full = full.withColumn("before", F.array_compact(F.array(*[F.lag("token", i).over(in_order) for i in range(1, BEFORE + 1)])))
     full = full.withColumns({"minor": (F.col("low") != F.col("high")) | F.coalesce(F.col("low") != F.col("major"), F.lit(True)), "band": band}).drop("major")
-    x = full.filter("minor").select(*[F.col(c).alias(f"{c}_x") for c in ("token", "sid", "low", "high", "n", "pos")], F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)])).alias("band_x"))
+    x = full.filter("minor").select(*[F.col(c).alias(f"{c}_x") for c in ("token", "sid", "low", "high", "n", "pos", "before")], F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)])).alias("band_x"))
     y = full.select(*[F.col(c).alias(f"{c}_y") for c in full.columns])
     overlap = _overlap(F.col("n_x"), F.col("n_y"), percent)
     meet = (
@@ -329,6 +339,7 @@ def _meetings(full: DataFrame, percent: int) -> DataFrame:
         & _close("n_x", "n_y", percent)
         & (F.col("pos_x") <= F.col("n_x") - overlap)
         & (F.col("pos_y") <= F.col("n_y") - overlap)
+        & ~F.arrays_overlap("before_x", "before_y")
     )
     return x.join(y, meet).select(F.least("sid_x", "sid_y").alias("g"), F.greatest("sid_x", "sid_y").alias("h"), "n_x", "n_y")
 

@@ -346,6 +346,26 @@ def test_jaccard_boilerplate_makes_no_pairs(spark, monkeypatch):
     assert made and sum(made) <= 5
 
 
+def test_jaccard_family_meets_once_a_pair(spark, monkeypatch):
+    """Edited copies of one text, about half of the pairs below the bar: a pair is met about once (before: 4,160 rows for 459
+    pairs, one for each shingle they share early), and a second pivot joins some of what the first left apart."""
+    random.seed(3)
+    base, rows = [f"b{i}" for i in range(300)], []
+    for i in range(70):
+        w = list(base)
+        for j in random.sample(range(300), random.randint(2, 14)):
+            w[j] = f"e{i}-{j}"
+        rows.append((i, " ".join(w)))
+    made, meetings = [], jaccard_join._meetings
+    monkeypatch.setattr(jaccard_join, "_meetings", lambda *a: made.append((meetings(*a).count(), meetings(*a).select("g", "h").distinct().count())) or meetings(*a))
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    for few in (10**9, 0):
+        monkeypatch.setattr(jaccard_join, "FEW_PAIRS", few)
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.component_report(d).collect()} == brute_components(rows)
+    (n, pairs), (after, _) = made
+    assert pairs > 100 and n <= 1.5 * pairs and after < 0.7 * n
+
+
 def test_toxicity_separates_planted_words(spark):
     random.seed(2)
     rows, labels = [], []
