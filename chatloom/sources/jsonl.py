@@ -11,14 +11,18 @@ CHAT_SCHEMA = "conversations array<struct<`from`:string,value:string>>, id strin
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """path, line_no (from 0, per file), raw. Blocks of a file are counted and offset; no file is read in one task."""
+    """path, line_no (from 0, per file), raw. Blocks of a file are counted and offset; no file is read in one task. The texts
+    stay where they are read: the table of blocks, a row for each split of the files, goes to them. If the two readings of the
+    files were dealt into tasks differently, that is an error."""
     raw = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("raw")
     )
     blocks = raw.groupBy("path", "block").agg(F.count("*").alias("n"), F.min("at").alias("first"))
     before = F.sum("n").over(Window.partitionBy("path").orderBy("block")) - F.col("n")
-    blocks = blocks.withColumn("before", before).drop("n")
-    return raw.join(blocks, ["path", "block"]).select("path", (F.col("at") - F.col("first") + F.col("before")).alias("line_no"), "raw")
+    found = raw.join(F.broadcast(blocks.withColumn("before", before)), ["path", "block"], "left")
+    at = F.col("at") - F.col("first")
+    number = F.when((at >= 0) & (at < F.col("n")), at + F.col("before")).otherwise(F.raise_error(F.lit("lines were read in other splits than they were counted in")).cast("long"))
+    return found.select("path", number.alias("line_no"), "raw")
 
 
 def ordered_head(rows: DataFrame, n: int, chunk: int = 1 << 16) -> DataFrame:

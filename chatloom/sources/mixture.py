@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -15,6 +16,7 @@ from chatloom.operators.datasets import smallest
 from chatloom.operators.packing import pack
 from chatloom.operators.tokens import RANKS, with_token_masks
 from chatloom.sources.jsonl import read_lines
+from chatloom.sources.scratch import scratch_dir
 
 # The keys of a dataset and the kinds there are; other keys are errors, as a misspelled one would be ignored else.
 KINDS = {"chat_template": "chat", "axolotl.integrations.kd.chat_template": "chat", "completion": "completion", "user_defined.default": "preference", "custom": "prompt"}
@@ -175,7 +177,8 @@ def training_rows(spark: SparkSession, mixture: Mixture, ranks: str = RANKS, see
     """COLUMNS plus token_ids, token_loss, tokens, pack, begin: what the trainer reads. Chat rows have loss on assistant turns
     (everywhere with train_on_inputs), completions on all tokens, preferences on what was chosen, prompts nowhere. Rows longer than the
     context have no pack; without sample packing every other row is a pack of its own. Empty rows have none. ``special`` has the
-    ids of the template's markers; without them their characters are tokens like any text."""
+    ids of the template's markers; without them their characters are tokens like any text. With sample packing the rows and
+    their tokens are written to the scratch folder once, as the plan of the packs needs all lengths first."""
     rows = read_mixture(spark, mixture)
 
     def piece(c: str, loss: bool) -> Column:
@@ -188,7 +191,13 @@ def training_rows(spark: SparkSession, mixture: Mixture, ranks: str = RANKS, see
     rows = with_token_masks(rows.withColumn("pieces", F.when(F.col("kind") == "chat", chat).otherwise(other)), "pieces", ranks, special).drop("pieces")
     key = ["pos", "dataset", "line_no"]
     if mixture.packing:
-        return pack(rows, key, F.size("token_ids"), mixture.context, seed)
+        path = f"{scratch_dir(spark)}/chatloom-{uuid.uuid4().hex}"
+        rows = rows.withColumns({"tokens": F.size("token_ids").cast("long"), "row_": F.monotonically_increasing_id()})
+        rows.write.option("compression", "zstd").parquet(path)
+        rows = spark.read.schema(rows.schema).parquet(path)
+        # Packs are planned over keys and lengths; a key may repeat, as line numbers are those of one file.
+        places = pack(rows.select(*key, "row_", "tokens"), key, F.col("tokens"), mixture.context, seed)
+        return rows.join(places.select("row_", "pack", "begin"), "row_").select(*COLUMNS, "token_ids", "token_loss", "pack", "begin", "tokens")
     n = F.size("token_ids").cast("long")
     fits = n.between(1, mixture.context)
     return rows.withColumns({"pack": F.when(fits, F.xxhash64(F.lit(seed), *key)), "begin": F.when(fits, F.lit(0).cast("long")), "tokens": n})

@@ -38,6 +38,17 @@ def test_merging_equals_the_plain_loop(ranks):
     for w in words:
         got = pairs.merge(w)
         assert [i for i, _ in got] == plain_merge(ranks, w) and sum(n for _, n in got) == len(w)
+        assert pairs._merge_long(w) == got
+
+
+def test_memos_serve_all_texts_of_a_worker(ranks, monkeypatch):
+    monkeypatch.setattr(K, "LONG_TEXT", 50)
+    pairs, met = K.BytePairs(ranks), []
+    monkeypatch.setattr(pairs, "merge", lambda raw, merge=pairs.merge: met.append(raw) or merge(raw))
+    texts = some_texts()
+    told = [pairs.encode_packed(t) for t in texts]
+    assert len(met) == len(set(met)) and [pairs.encode_packed(t) for t in texts] == told and len(met) == len(pairs.memo)
+    assert ["".join(str(x) for x, _ in pairs.encode(t)) for t in texts] == ["".join(map(str, K.unpacked([p])[:, 0])) for p in told]
 
 
 def test_tokens_equal_another_encoder(spark, ranks, monkeypatch):

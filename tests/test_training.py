@@ -144,6 +144,21 @@ def test_rows_for_the_trainer(spark, mixture):
     assert sum(map(len, packs.values())) == 6 == sum(0 < r.tokens <= 60 for r in rows.values())
 
 
+def test_packed_rows_are_tokenised_once(spark, mixture, tmp_path):
+    # Files of a folder repeat line numbers, so keys repeat with other lengths and with the same one.
+    for part in range(3):
+        (tmp_path / "many").mkdir(exist_ok=True)
+        (tmp_path / "many" / f"{part}.json").write_text("".join(f'{{"text": "{"word " * (k % 4 + part // 2)}"}}\n' for k in range(20)))
+    several = dataclasses.replace(mixture, sources=(M.Source(str(tmp_path / "many"), "completion", {"text": "text"}),) * 2)
+    packed = M.training_rows(spark, several)
+    assert "MapInArrow" not in packed._jdf.queryExecution().executedPlan().toString()
+    said = lambda rows: sorted((r.pos, r.line_no, r.text, r.token_ids, r.token_loss, r.tokens) for r in rows)
+    rows = packed.collect()
+    assert len(rows) == 120 and said(rows) == said(M.training_rows(spark, dataclasses.replace(several, packing=False)).collect())
+    spans = sorted((r.pack, r.begin, r.begin + r.tokens) for r in rows if r.pack is not None)
+    assert len(spans) == sum(r.tokens > 0 for r in rows) and all(a[0] != b[0] or a[2] == b[1] for a, b in zip(spans, spans[1:], strict=False))
+
+
 def test_validation_rows_are_exactly_as_many(spark, mixture):
     rows = M.read_mixture(spark, mixture)
     for size, n in ((0, 0), (0.3, 3), (2, 2)):
