@@ -179,7 +179,10 @@ def training_rows(spark: SparkSession, mixture: Mixture, ranks: str = RANKS, see
     context have no pack; without sample packing every other row is a pack of its own. Empty rows have none. ``special`` has the
     ids of the template's markers; without them their characters are tokens like any text. With sample packing the rows and
     their tokens are written to the scratch folder once, as the plan of the packs needs all lengths first."""
-    rows = read_mixture(spark, mixture)
+    # A dataset named again is read and tokenised with its first naming.
+    first = [mixture.sources.index(s) for s in mixture.sources]
+    rows = reduce(DataFrame.unionByName, [read_source(spark, mixture.sources[i], i) for i in sorted(set(first))])
+    named = F.create_map(*[c for i in sorted(set(first)) for c in (F.lit(i), F.array(*[F.lit(k) for k, f in enumerate(first) if f == i]))])
 
     def piece(c: str, loss: bool) -> Column:
         return F.struct(F.coalesce(F.col(c), F.lit("")).alias("text"), F.lit(loss or mixture.train_on_inputs).alias("loss"), F.lit(False).alias("own"))
@@ -189,6 +192,7 @@ def training_rows(spark: SparkSession, mixture: Mixture, ranks: str = RANKS, see
         chat = F.transform(chat, lambda p: F.struct(p["text"].alias("text"), F.lit(True).alias("loss"), p["own"].alias("own")))
     other = F.when(F.col("kind") == "completion", F.array(piece("text", True))).otherwise(F.array(piece("prompt", False), piece("chosen", True)))
     rows = with_token_masks(rows.withColumn("pieces", F.when(F.col("kind") == "chat", chat).otherwise(other)), "pieces", ranks, special).drop("pieces")
+    rows = rows.withColumn("pos", F.explode(F.element_at(named, F.col("pos"))))
     key = ["pos", "dataset", "line_no"]
     if mixture.packing:
         path = f"{scratch_dir(spark)}/chatloom-{uuid.uuid4().hex}"

@@ -1,6 +1,10 @@
 import base64
+import os
 import random
+import subprocess
+import sys
 import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -66,6 +70,20 @@ def test_tokens_equal_another_encoder(spark, ranks, monkeypatch):
     assert K.with_token_counts(df.limit(0), 60).count() == 0 and K.with_token_ids(df.limit(0)).count() == 0
 
 
+def test_workers_need_no_import_path(tmp_path):
+    code = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})
+from pyspark.sql import SparkSession
+from chatloom.operators import tokens as K
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+df = spark.createDataFrame([("some text",)], "text string")
+assert K.with_token_counts(df, 9).first().tokens == len(K.with_token_ids(df).first().token_ids) == 2
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    assert subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env).returncode == 0
+
+
 def test_long_words_take_time_in_proportion(ranks):
     pairs, took = K.BytePairs(ranks), []
     random.seed(7)

@@ -152,9 +152,11 @@ def test_packed_rows_are_tokenised_once(spark, mixture, tmp_path):
     several = dataclasses.replace(mixture, sources=(M.Source(str(tmp_path / "many"), "completion", {"text": "text"}),) * 2)
     packed = M.training_rows(spark, several)
     assert "MapInArrow" not in packed._jdf.queryExecution().executedPlan().toString()
+    whole = M.training_rows(spark, dataclasses.replace(several, packing=False))
+    assert whole._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1 and whole.columns == packed.columns
     said = lambda rows: sorted((r.pos, r.line_no, r.text, r.token_ids, r.token_loss, r.tokens) for r in rows)
     rows = packed.collect()
-    assert len(rows) == 120 and said(rows) == said(M.training_rows(spark, dataclasses.replace(several, packing=False)).collect())
+    assert len(rows) == 120 and said(rows) == said(whole.collect())
     spans = sorted((r.pack, r.begin, r.begin + r.tokens) for r in rows if r.pack is not None)
     assert len(spans) == sum(r.tokens > 0 for r in rows) and all(a[0] != b[0] or a[2] == b[1] for a, b in zip(spans, spans[1:], strict=False))
 
